@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, secrets
-from .common import table
+from . import langid, media, quality, secrets, wordpiece
+from .common import fold, table
+
+TOKENIZERS = "/opt/tokenizers"
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +31,21 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op3_media": op3_media, "op4_secrets": op4_secrets}
+def op5_token_counts(spark: SparkSession, sf_dir: str, model_file: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), *wordpiece.pieces(model_file))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(fold(F.col("doc_id"), 3) != 1))
+    return quality.score(docs, model).select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
+    return langid.predict(docs, model).select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+QUERIES = {"op3_media": op3_media, "op4_secrets": op4_secrets, "op5_token_counts": op5_token_counts, "op6_quality": op6_quality, "op8_language": op8_language}
 ORACLES: dict[str, str] = {}
