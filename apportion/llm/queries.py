@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, media, quality, secrets, wordpiece
+from . import decontaminate, langid, media, quality, secrets, simhash, wordpiece
 from .common import fold, table
 
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.demux(media.mux(table(spark, sf_dir, "documents"))).drop("units")
 
@@ -41,11 +45,24 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.where(F.col("coverage") >= decontaminate.THRESHOLD)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
     return langid.predict(docs, model).select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {"op3_media": op3_media, "op4_secrets": op4_secrets, "op5_token_counts": op5_token_counts, "op6_quality": op6_quality, "op8_language": op8_language}
+QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op3_media": op3_media,
+    "op4_secrets": op4_secrets,
+    "op5_token_counts": op5_token_counts,
+    "op6_quality": op6_quality,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_language": op8_language,
+}
 ORACLES: dict[str, str] = {}
