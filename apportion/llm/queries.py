@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, media, quality, secrets, simhash, wordpiece
+from . import decontaminate, html, langid, media, quality, secrets, simhash, wordpiece
 from .common import fold, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -56,6 +56,13 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    # The url is carried in a struct with the id, so that rows which repeat an id keep their own.
+    keyed = pages.select(F.struct("page_id", "url").alias("page"), F.col("page_id"), "html")
+    return html.extract(keyed, html.fit(pages), id_col="page").select("page.page_id", "page.url", "text", "n_chars")
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_media": op3_media,
@@ -64,5 +71,6 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op8_language": op8_language,
+    "op9_html": op9_html,
 }
 ORACLES: dict[str, str] = {}
