@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, media, quality, secrets, simhash, wordpiece
+from . import decontaminate, html, langid, media, ngram, quality, secrets, simhash, wordpiece
 from .common import fold, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -63,6 +63,12 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(keyed, html.fit(pages), id_col="page").select("page.page_id", "page.url", "text", "n_chars")
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = ngram.score(docs, fold(F.col("doc_id"), 5) != 1)
+    return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_media": op3_media,
@@ -72,5 +78,6 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_language": op8_language,
     "op9_html": op9_html,
+    "op10_lm_scores": op10_lm_scores,
 }
 ORACLES: dict[str, str] = {}
