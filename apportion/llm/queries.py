@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, media, ngram, quality, secrets, simhash, wordpiece
+from . import decontaminate, html, langid, media, ngram, pieces, quality, secrets, simhash, wordpiece
 from .common import fold, table
 
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
+    model = pieces.load(model_file)
+    docs = table(spark, sf_dir, "documents")
+    keyed = docs.select(F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256")).alias("key"), "text")
+    # The digest of the text goes along, so that what decoding gives is held against the text without a join.
+    back = pieces.decode(pieces.encode(keyed, model, "key").select(F.struct("key", "ids").alias("pair"), "ids"), model, "pair")
+    same = F.sha2("text", 256) == F.col("pair.key.sha256")
+    ids = F.col("pair.ids")
+    return back.select("pair.key.doc_id", F.size(ids).alias("n_pieces"), ids.alias("ids"), same.alias("round_trip"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -70,6 +81,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash": op2_simhash,
     "op3_media": op3_media,
     "op4_secrets": op4_secrets,
