@@ -22,7 +22,8 @@ All counts are over all training texts, and no table of words or bigrams goes to
     6. score     bigram groups send each block one sum for each of its texts.
 
 A frequent word or bigram is one entry in each block, so it does not make a group large; groups are hashes of words
-and bigrams, and their number follows the input. Words and bigrams are told apart by 64-bit hashes of words.
+and bigrams, and their number follows the input. Words and bigrams are told apart by 64-bit hashes of words. The texts are
+read twice (for steps 1 and 4), so docs must give the same rows in the same order each time, as tables and checkpoints do.
 
 Null texts count as empty: one end. Without training texts, N and V are 0 and every token has probability 1 in the base
 formula's limit of log10(0.5 / 0.5) = 0, and 1 / (V + 1) = 1 in the model.
@@ -35,20 +36,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, offsets, text_batches
 from .packed import mix, pack, pack_sorted, unpack, unpack_sorted
 
-BLOCK_CHARS = 1 << 23
-GROUP_CHARS = 1 << 25
+BLOCK_CHARS = 1 << 22
+GROUP_CHARS = 1 << 24
 BUCKETS, STEPS, ROUNDS = 48, 4, 60
 """Frequency buckets; histogram bins to a factor of two; rounds of EM."""
 
 END = "\n"  # no word holds it
 U64 = np.uint64
+COPIES = 1 << 12
+"""Blocks of equal rows share a name; so many numbers are left free to tell their copies apart."""
 
 
 @dataclass(frozen=True)
@@ -73,7 +75,7 @@ ROW = "kind int, place long, block long, a binary, b binary, ids array<{id}>, c
 kind 1: a block's texts, training texts first: lengths (a), words' numbers (b), ids; c: number of training texts."""
 
 
-def _block_rows(block: int, ids: list, texts: list[str], train: list[bool], groups: int):
+def _block_rows(block: int, ids: list, texts: list[str], train: list[bool], groups: int, wanted: int):
     import xxhash
 
     order = sorted(range(len(texts)), key=lambda i: not train[i])
@@ -89,9 +91,11 @@ def _block_rows(block: int, ids: list, texts: list[str], train: list[bool], grou
         if k + 1 == n_train:
             at_train = len(sequence)
     seq = np.array(sequence, dtype=np.int64)
+    if wanted == 1:
+        yield (1, block, block, pack(np.array(lengths)), pack(seq), [ids[i] for i in order], n_train.to_bytes(8, "little"))
+        return
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), dtype=U64, count=len(number))
     counts = np.bincount(seq[:at_train], minlength=len(number)) if len(number) else np.zeros(0, np.int64)
-    yield (1, block, block, pack(np.array(lengths)), pack(seq), [ids[i] for i in order], n_train.to_bytes(8, "little"))
     group = (mix(hashes) % U64(groups)).astype(np.int64)
     order_w = np.lexsort((hashes, group))
     for g, part in _runs(group[order_w], order_w):
@@ -115,21 +119,22 @@ def _rows(table: pa.Table) -> list[dict]:
     return table.to_pylist()
 
 
-def _read(docs: DataFrame, train: Column, groups: int, id_col: str, text_col: str) -> DataFrame:
+def _read(docs: DataFrame, train: Column, groups: int, id_col: str, text_col: str, wanted: int) -> DataFrame:
+    """Rows of ROW of one kind. Blocks are named by a hash of their rows, so each reading gives them the same names."""
+    import xxhash
+
     kept = docs.select(id_col, F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     id_type = kept.schema[0].dataType
-    arrow_id = pa.int64() if id_type.simpleString() == "bigint" else None
 
     def run(batches):
-        part, made = TaskContext.get().partitionId(), 0
-        ids, texts, train, size, kind = [], [], [], 0, arrow_id
+        ids, texts, train, size, name, kind = [], [], [], 0, xxhash.xxh64(), None
 
         def flush():
-            nonlocal ids, texts, train, size, made
+            nonlocal ids, texts, train, size, name
             schema = pa.schema([("kind", pa.int32()), ("place", pa.int64()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("ids", pa.list_(kind)), ("c", pa.binary())])
-            rows = list(_block_rows(part << 32 | made, ids, texts, train, groups))
-            made += 1
-            ids, texts, train, size = [], [], [], 0
+            block = (name.intdigest() & ~(COPIES - 1)) - (1 << 63)
+            rows = [r for r in _block_rows(block, ids, texts, train, groups, wanted) if r[0] == wanted]
+            ids, texts, train, size, name = [], [], [], 0, xxhash.xxh64()
             for i in range(0, len(rows), 64):
                 yield _table(rows[i : i + 64], schema)
 
@@ -141,6 +146,7 @@ def _read(docs: DataFrame, train: Column, groups: int, id_col: str, text_col: st
                 texts.append(t)
                 train.append(f)
                 size += len(t)
+                name.update(f"{i!r} {f} ".encode() + t.encode())
                 if size >= BLOCK_CHARS:
                     yield from flush()
         if ids:
@@ -219,13 +225,21 @@ scores, and in `lone` the context buckets and counts of tokens whose bigram trai
 
 def _pair(rows: list[dict], counts: Counts, end: int, groups: int):
     """Rows of PAIR_ROW for one block."""
-    texts = next(r for r in rows if r["ids"] is not None)
+    copies = [r for r in rows if r["ids"] is not None]
+    answers = [r for r in rows if r["ids"] is None]
+    if len(copies) > COPIES:
+        raise ValueError(f"over {COPIES} blocks of equal rows")
+    for k, texts in enumerate(copies):
+        yield from _pair_block(texts, texts["block"] + k, answers, counts, end, groups)
+
+
+def _pair_block(texts: dict, block: int, answers: list[dict], counts: Counts, end: int, groups: int):
     lengths, seq = unpack(texts["a"]).astype(np.int64), unpack(texts["b"]).astype(np.int64)
     n_train = int.from_bytes(texts["c"], "little")
-    answers = [r for r in rows if r["ids"] is None]
-    rank = np.zeros(sum(len(unpack(r["c"])) for r in answers), dtype=np.int64)
-    for r in answers:
-        rank[unpack(r["c"]).astype(np.int64)] = unpack(r["a"]).astype(np.int64) - 1
+    places = [unpack(r["c"]).astype(np.int64) for r in answers]
+    rank = np.full(max((int(x.max()) + 1 for x in places if len(x)), default=0), -1, dtype=np.int64)
+    for at, r in zip(places, answers, strict=True):
+        rank[at] = unpack(r["a"]).astype(np.int64) - 1
     # Tokens of all texts, an end after each; contexts likewise, an end before each.
     at = offsets(lengths + 1)
     tokens = np.full(at[-1], end, dtype=np.int64)
@@ -240,7 +254,7 @@ def _pair(rows: list[dict], counts: Counts, end: int, groups: int):
     known = (tokens >= 0) & (context >= 0)
     lone = np.flatnonzero(~known)
     cu = np.where(context[lone] >= 0, counts.of(np.maximum(context[lone], 0)), 0) if counts.distinct else np.zeros(len(lone), np.int64)
-    yield (1, texts["block"], texts["block"], None, None, None, None, n_train, texts["ids"], numbers, b"".join(len(p).to_bytes(8, "little") + p for p in (pack(_bucket(cu)), pack(cw[lone]), pack(text[lone]))))
+    yield (1, block, block, None, None, None, None, n_train, texts["ids"], numbers, b"".join(len(p).to_bytes(8, "little") + p for p in (pack(_bucket(cu)), pack(cw[lone]), pack(text[lone]))))
     if counts.distinct >= 1 << 32:
         raise ValueError("bigrams of over 2^32 distinct words need wider keys")
     key = context[known].astype(U64) << U64(32) | tokens[known].astype(U64)
@@ -253,7 +267,7 @@ def _pair(rows: list[dict], counts: Counts, end: int, groups: int):
     for g, part in _runs(group[by_group], by_group):
         n = size[part]
         starts = np.repeat(first[part] - offsets(n)[:-1], n) + np.arange(n.sum())
-        yield (0, g, texts["block"], pack_sorted(own[part] >> U64(32)), pack(own[part] & U64(0xFFFFFFFF)), pack(n), pack(owner[starts]), n_train, None, None, None)
+        yield (0, g, block, pack_sorted(own[part] >> U64(32)), pack(own[part] & U64(0xFFFFFFFF)), pack(n), pack(owner[starts]), n_train, None, None, None)
 
 
 def _pairs(answers: DataFrame, texts: DataFrame, counts: Counts, end: int, groups: int, id_type: str, parts: int) -> DataFrame:
@@ -405,9 +419,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     chars, ends = docs.agg(F.sum(F.length(F.col(text_col))), F.sum(F.coalesce(train, F.lit(False)).cast("long"))).first()
     groups = max(8, -(-(chars or 0) // GROUP_CHARS))
-    read = cut(_read(docs, train, groups, id_col, text_col))
-    words = read.where("kind = 0").select("place", "block", "a", "b", "c")
-    histogram = cut(_histogram(words))
+    words = cut(_read(docs, train, groups, id_col, text_col, 0).select("place", "block", "a", "b", "c"))
+    histogram = cut(_histogram(words.select("place", "a", "b")))
     levels = [(r["level"], r["n"]) for r in histogram.groupBy("level").agg(F.sum("n").alias("n")).collect()]
     counts, end = _count_table(levels, ends or 0)
     spark = docs.sparkSession
@@ -416,7 +429,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     before = Window.partitionBy("level").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     starts = histogram.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(first, "level").groupBy("place").agg(F.collect_list(F.struct("level", (F.col("first") + F.col("before")).alias("start"))).alias("starts"))
     answers = _ranks(words, starts)
-    pairs = _pairs(answers, read.where("kind = 1"), counts, end, groups, id_type, groups)
+    pairs = _pairs(answers, _read(docs, train, groups, id_col, text_col, 1), counts, end, groups, id_type, groups)
     found = _estimates(pairs, counts).collect()
     weights = learn([tuple(r) for r in found], counts.distinct)
     out = _totals(pairs, _sums(pairs, counts, weights), counts, weights, id_col, id_type)

@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Encoding follows the model file exactly, so its ids are those of the SentencePiece library: white space becomes the word
-mark, one mark is put before the text, and the text falls into units that no piece can cross (before a run of marks, and
-between characters that stand side by side in no piece). The distinct units of all texts are encoded once, as relations:
+Encoding follows the model file exactly, so its ids are those of the SentencePiece library: blanks become word marks,
+one mark is put before the text, and the text falls into units that no piece can cross: before a run of marks and, if no
+piece of the model mixes letters, digits and others or has two digits, between those. Distinct units are encoded once, as relations:
 
     1. each unit's substrings of at most the longest piece's length are exploded;
     2. an equi-join with the piece table keeps the substrings that are pieces: the lattice's edges;
@@ -27,6 +27,7 @@ from __future__ import annotations
 import heapq
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,10 @@ from .packed import pack, unpack
 
 MARK = "▁"
 LONGEST = 62
-BLOCK_CHARS, GROUP_CHARS = 1 << 23, 1 << 25
-_WORD = re.compile(r" +[^ ]*")
+BLOCK_CHARS, GROUP_CHARS = 1 << 21, 1 << 25
+SEEN = 400_000
+"""Units a task remembers so as not to name them again; beyond it forgets, and names some more than once."""
+_WORDS = re.compile(r" +[^ ]*")
 
 
 @dataclass(frozen=True)
@@ -55,9 +58,22 @@ class Model:
     def longest(self) -> int:
         return max(map(len, self.pieces), default=1)
 
-    @property
-    def beside(self) -> frozenset:
-        return frozenset(a + b for p in self.pieces for a, b in zip(p, p[1:], strict=False))
+    @cached_property
+    def units(self) -> re.Pattern:
+        """What finds a text's units: runs of letters, digits one by one, and runs of others, unless a piece crosses these."""
+
+        def kind(c):
+            return 1 if c.isalpha() else 2 if c.isdecimal() else 0
+
+        beside = {(kind(a), kind(b)) for p in self.pieces for a, b in zip(p, p[1:], strict=False) if a != MARK}
+        if not all(a == b != 2 for a, b in beside):
+            return _WORDS
+        # Numbers that aren't decimal digits are word characters to a pattern, but no letters.
+        odd = re.escape("".join(sorted({c for p in self.pieces for c in p if c.isalnum() and kind(c) == 0})))
+        return re.compile(rf" *[^\W\d_{odd}]+| *\d| *(?:[^\w ]|[_{odd}])+| +")
+
+    def units_of(self, text: str) -> list[str]:
+        return [u.replace(" ", MARK) for u in self.units.findall(" " + text.replace(MARK, " "))] if text else []
 
 
 def load(model_file: str) -> Model:
@@ -79,16 +95,6 @@ def load(model_file: str) -> Model:
     return Model(pieces, tuple(bytes_), tuple(texts))
 
 
-def units_of(word: str, beside: frozenset) -> list[str]:
-    """A word with its marks, cut between characters that no piece has side by side."""
-    out, at = [], 0
-    for i in range(1, len(word)):
-        if word[i - 1 : i + 1] not in beside:
-            out.append(word[at:i])
-            at = i
-    return [*out, word[at:]]
-
-
 def merge(unit: str, model: Model) -> list[int]:
     """Ids of a unit by a heap of merges; time n log n."""
     n, get = len(unit), model.pieces.get
@@ -122,38 +128,65 @@ def merge(unit: str, model: Model) -> list[int]:
 
 
 def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
-    """(group, unit, ids) for distinct units of at most LONGEST characters; `units` has group and unit, hashed by unit."""
-    table = spark.createDataFrame([(p, i, -s) for p, (i, s) in model.pieces.items()] or [("", 0, 0.0)], "piece string, id int, cost double")
+    """(unit, ids) for distinct units of at most LONGEST characters; `units` is already hashed by unit.
+
+    An edge is one number, so that edges sort and travel cheaply: rank of its score, start, size, and id; a character
+    that is no piece is an edge of the last rank whose id stands for none.
+    """
+    ranks = {s: k for k, s in enumerate(sorted({s for _, s in model.pieces.values()}, reverse=True))}
+    none = (1 << 28) - 1
+    table = spark.createDataFrame([(p, (ranks[s] << 40) + i) for p, (i, s) in model.pieces.items()] or [("", 0)], "piece string, known long")
     spans = (
         units.where(F.length("unit").between(1, LONGEST))
-        .select("group", "unit", F.length("unit").alias("n"))
+        .select("unit", F.length("unit").alias("n"))
         .select("*", F.explode(F.expr("sequence(0, n - 1)")).alias("start"))
         .select("*", F.explode(F.expr(f"sequence(1, least({model.longest}, n - start))")).alias("size"))
-        .select("*", F.expr("substring(unit, start + 1, size)").alias("piece"))
+        .select("unit", "start", "size", F.expr("substring(unit, start + 1, size)").alias("piece"))
     )
     # The piece table is a vocabulary file's, so its size doesn't grow with the texts.
-    edges = spans.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR size = 1")
+    edges = spans.join(F.broadcast(table), "piece", "left").where("known IS NOT NULL OR size = 1")
+    words = edges.groupBy("unit").agg(F.sort_array(F.collect_list(F.expr(f"coalesce(known, {(1 << 60) + none}L) + shiftleft(CAST(start AS BIGINT), 34) + shiftleft(CAST(size AS BIGINT), 28)"))).alias("edges"))
+    # What a fold needs more than once is bound to a variable of a one-element array, as the optimiser would repeat a column's expression at each use.
     known = F.array(*[F.lit(i) for i in model.byte_ids])
-    raw = F.transform(F.expr("sequence(1, octet_length(piece))"), lambda i: F.element_at(known, F.conv(F.substring(F.hex(F.encode("piece", "UTF-8")), i * 2 - 1, F.lit(2)), 16, 10).cast("int") + 1))
-    edge = F.struct(
-        F.coalesce("cost", F.lit(float("inf"))).alias("cost"),
-        "start",
-        F.expr("shiftleft(1L, start) | shiftleft(1L, start + size)").alias("ends"),
-        F.expr("shiftleft(1L, start + size) - shiftleft(1L, start + 1)").alias("inner"),
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(raw).alias("ids"),
-    )
-    words = edges.groupBy("unit", "group", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
-    merges = F.filter("edges", lambda e: e["inner"] > 0)
 
-    def step(state, _):
-        ready = F.filter("merges", lambda e: (state.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(state.bitwiseAND(e["inner"])) == 1))
-        return F.coalesce(state.bitwiseAND(F.bitwise_not(F.get(ready, F.lit(0))["inner"])), state)
+    def bind(value, body):
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def bit(at):
+        return F.call_function("shiftleft", F.lit(1).cast("long"), at)
+
+    def start(e):
+        return F.shiftright(e, 34).bitwiseAND(63).cast("int")
 
-    folded = words.withColumn("merges", merges).withColumn("bounds", F.expr("shiftleft(1L, n + 1) - 1"))
-    folded = folded.withColumn("bounds", F.when(F.size("merges") > 0, F.aggregate(F.expr("sequence(2, n)"), F.col("bounds"), step)).otherwise(F.col("bounds")))
-    chosen = F.filter("edges", lambda e: (F.col("bounds").bitwiseAND(e["ends"]) == e["ends"]) & (F.col("bounds").bitwiseAND(e["inner"]) == 0))
-    in_order = F.array_sort(F.transform(chosen, lambda e: F.struct(e["start"].alias("start"), e["ids"].alias("ids"))))
-    return folded.select("group", "unit", F.flatten(F.transform(in_order, lambda e: e["ids"])).alias("ids"))
+    def size(e):
+        return F.shiftright(e, 28).bitwiseAND(63).cast("int")
+
+    def fold(merges):
+        def step(state, _):
+            ready = F.filter(merges, lambda e: (state.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(state.bitwiseAND(e["inside"])) == 1))
+            return F.coalesce(state.bitwiseAND(F.bitwise_not(F.get(ready, F.lit(0))["inside"])), state)
+
+        every = bit(F.length("unit") + 1) - 1
+        return F.when(F.size(merges) == 0, every).otherwise(F.aggregate(F.sequence(F.lit(2), F.length("unit")), every, step))
+
+    def raw(char):
+        return F.transform(F.sequence(F.lit(1), F.octet_length(char)), lambda i: F.element_at(known, F.conv(F.substring(F.hex(F.encode(char, "UTF-8")), i * 2 - 1, F.lit(2)), 16, 10).cast("int") + 1))
+
+    def ids_of(e):
+        i = e.bitwiseAND(none)
+        return F.when(i == none, raw(F.substring(F.col("unit"), start(e) + 1, F.lit(1)))).otherwise(F.array(i.cast("int")))
+
+    spread = F.transform("edges", lambda e: F.struct((bit(start(e)) + bit(start(e) + size(e))).alias("ends"), (bit(start(e) + size(e)) - bit(start(e) + 1)).alias("inside"), e.bitwiseAND((1 << 40) - 1).alias("key")))
+
+    def segmented(all_edges):
+        def chosen(bounds):
+            # Edges between neighbouring bounds, by start.
+            whole = F.filter(all_edges, lambda e: (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (bounds.bitwiseAND(e["inside"]) == 0))
+            return F.flatten(F.transform(F.sort_array(F.transform(whole, lambda e: e["key"])), ids_of))
+
+        return bind(bind(F.filter(all_edges, lambda e: e["inside"] > 0), fold), chosen)
+
+    return words.select("unit", bind(spread, segmented).alias("ids"))
 
 
 def _blocks(batches, model: Model):
@@ -163,25 +196,21 @@ def _blocks(batches, model: Model):
     """
     import xxhash
 
-    beside = model.beside
-    ids, lengths, seq, number, memo, size, name = [], [], [], {}, {}, 0, xxhash.xxh64()
+    find = model.units.findall
+    ids, lengths, seq, number, size, name = [], [], [], {}, 0, xxhash.xxh64()
     for batch, texts in text_batches(batches):
         for i, t in zip(batch.column(0).to_pylist(), texts, strict=True):
-            before = len(seq)
-            for w in _WORD.findall(" " + t.replace(MARK, " ")) if t else ():
-                own = memo.get(w)
-                if own is None:
-                    own = memo[w] = [number.setdefault(u, len(number)) for u in units_of(w.replace(" ", MARK), beside)]
-                seq += own
+            own = [number.setdefault(u, len(number)) for u in find(" " + t.replace(MARK, " "))] if t else ()
+            seq += own
             ids.append(i)
-            lengths.append(len(seq) - before)
+            lengths.append(len(own))
             size += len(t)
             name.update(t.encode() + b"\xff")
             if size >= BLOCK_CHARS:
-                yield name.intdigest() - (1 << 63), ids, lengths, seq, list(number)
-                ids, lengths, seq, number, memo, size, name = [], [], [], {}, {}, 0, xxhash.xxh64()
+                yield name.intdigest() - (1 << 63), ids, lengths, seq, [u.replace(" ", MARK) for u in number]
+                ids, lengths, seq, number, size, name = [], [], [], {}, 0, xxhash.xxh64()
     if ids:
-        yield name.intdigest() - (1 << 63), ids, lengths, seq, list(number)
+        yield name.intdigest() - (1 << 63), ids, lengths, seq, [u.replace(" ", MARK) for u in number]
 
 
 def _pack_texts(texts: list[str]) -> bytes:
@@ -234,24 +263,30 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for block, ids, lengths, seq, _ in _blocks(seen(batches), sent.value):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([pack(np.array(lengths))]), pa.array([pack(np.array(seq))])], names=["block", "texts", "lengths", "seq"])
 
-    named = kept.mapInArrow(name_units, "group int, block long, units binary, numbers binary")
+    def new_units(batches):
+        seen: set[str] = set()
+        for _, _, _, _, units in _blocks(batches, sent.value):
+            new = [u for u in units if len(u) <= LONGEST and u not in seen]
+            if len(seen) > SEEN:
+                seen.clear()
+            seen.update(new)
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string())], names=["unit"])
 
-    def distinct(table: pa.Table) -> pa.Table:
-        units = sorted({u for x in table.column("units").to_pylist() for u in _unpack_texts(x) if len(u) <= LONGEST})
-        return pa.table({"group": pa.array([table.column("group")[0].as_py()] * len(units), pa.int32()), "unit": pa.array(units, pa.string())})
-
-    units = named.groupBy("group").applyInArrow(distinct, "group int, unit string").repartition(groups * 4, "unit")
-    encoded = lattice(units, spark, model)
+    named = kept.mapInArrow(name_units, "group int, block long, units binary, numbers binary")
+    # A number of partitions is given, as the work on a unit is much more than its size.
+    units = kept.mapInArrow(new_units, "unit string").repartition(groups * 4, "unit").distinct()
+    encoded = lattice(units, spark, model).withColumn("group", F.pmod(F.crc32(F.col("unit").cast("binary")), F.lit(groups)).cast("int"))
 
     def answer(table: pa.Table) -> pa.Table:
         own = table.filter(pa.compute.is_valid(table.column("unit")))
-        ids = own.column("ids").combine_chunks() if own.num_rows else pa.array([], pa.list_(pa.int32()))
-        known = {u: k for k, u in enumerate(own.column("unit").to_pylist())}
-        values = [np.asarray(x, dtype=np.int64) for x in ids.to_pylist()]
+        lists = own.column("ids").combine_chunks()
+        flat, ends = np.asarray(lists.flatten(), dtype=np.int64), np.asarray(lists.offsets, dtype=np.int64) if own.num_rows else np.zeros(1, dtype=np.int64)
+        ends = ends - ends[0]
+        known = {u: flat[a:b] for u, a, b in zip(own.column("unit").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
         blocks = table.filter(pa.compute.is_valid(table.column("units")))
         rows = []
         for block, packed, numbers in zip(*(blocks.column(c).to_pylist() for c in ("block", "units", "numbers")), strict=True):
-            got = [values[known[u]] if len(u) <= LONGEST else np.array(merge(u, sent.value), dtype=np.int64) for u in _unpack_texts(packed)]
+            got = [known[u] if len(u) <= LONGEST else np.array(merge(u, sent.value), dtype=np.int64) for u in _unpack_texts(packed)]
             rows.append((block, numbers, pack(np.array([len(x) for x in got])), pack(np.concatenate(got)) if got else pack(np.zeros(0))))
         cols = list(zip(*rows, strict=True)) or [[]] * 4
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("block", "numbers", "sizes", "ids"), cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)})
@@ -278,7 +313,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             ends = offsets(own)
             ids = every[np.repeat(start[seq] - ends[:-1], own) + np.arange(ends[-1])]
             cut_at = ends[offsets(unpack(row.column("lengths")[0].as_py()).astype(np.int64))]
-            made.append(pa.RecordBatch.from_arrays([row.column("texts").flatten(), pa.ListArray.from_arrays(pa.array(cut_at, pa.int32()), pa.array(ids, pa.int32()))], names=[id_col, "ids"]))
+            batch = pa.RecordBatch.from_arrays([row.column("texts").flatten(), pa.ListArray.from_arrays(pa.array(cut_at, pa.int32()), pa.array(ids, pa.int32()))], names=[id_col, "ids"])
+            made += [batch.slice(k, 128) for k in range(0, batch.num_rows, 128)]
         return pa.Table.from_batches(made)
 
     texts = kept.mapInArrow(name_texts, f"block long, texts array<{id_type}>, lengths binary, seq binary")
@@ -293,10 +329,8 @@ def decode(encoded: DataFrame, model: Model, id_col: str = "doc_id", ids_col: st
     def run(batches):
         texts = [t or b"" for t in sent.value.texts]
         for batch in batches:
-            out = []
-            for ids in batch.column("ids").to_pylist():
-                t = b"".join([texts[i] for i in ids or ()]).decode("utf-8", "replace")
-                out.append(t.removeprefix(" "))
+            lists = batch.column("ids")
+            out = [b"".join([texts[i] for i in lists[k].as_py() or ()]).decode("utf-8", "replace").removeprefix(" ") for k in range(len(lists))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=[id_col, "text"])
 
     return kept.mapInArrow(run, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, text string")
