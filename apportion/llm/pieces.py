@@ -40,9 +40,7 @@ from .packed import pack, unpack
 
 MARK = "▁"
 LONGEST = 62
-BLOCK_CHARS, GROUP_CHARS = 1 << 21, 1 << 25
-SEEN = 400_000
-"""Units a task remembers so as not to name them again; beyond it forgets, and names some more than once."""
+BLOCK_CHARS, GROUP_CHARS = 1 << 22, 1 << 24
 _WORDS = re.compile(r" +[^ ]*")
 
 
@@ -229,6 +227,11 @@ def _unpack_texts(data: bytes) -> list[str]:
     return [joined[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
+PLACED = "kind int, place long, block long, a binary, b binary, ids array<{id}>"
+"""kind 0: units of a block in the group `place`: texts (a) and numbers in the block (b). kind 1: a block's texts, at its
+own place: numbers of units of each text (a), units' numbers (b), and ids."""
+
+
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, ids), one for each row of docs: the ids of its text's pieces, in order."""
     import zlib
@@ -239,19 +242,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     groups = max(8, -(-(kept.agg(F.sum(F.length("text"))).first()[0] or 0) // GROUP_CHARS))
     sent = spark.sparkContext.broadcast(model)
 
-    def name_units(batches):
-        for block, _, _, _, units in _blocks(batches, sent.value):
-            by: dict[int, list[int]] = {}
-            for k, u in enumerate(units):
-                by.setdefault(zlib.crc32(u.encode()) % groups, []).append(k)
-            rows = []
-            for g, own in by.items():
-                own.sort(key=units.__getitem__)
-                rows.append((g, block, _pack_texts([units[k] for k in own]), pack(np.array(own))))
-            cols = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["group", "block", "units", "numbers"])
-
-    def name_texts(batches):
+    def name(batches):
         kind = None
 
         def seen(it):
@@ -260,65 +251,80 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 kind = b.schema.field(0).type
                 yield b
 
-        for block, ids, lengths, seq, _ in _blocks(seen(batches), sent.value):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([pack(np.array(lengths))]), pa.array([pack(np.array(seq))])], names=["block", "texts", "lengths", "seq"])
-
-    def new_units(batches):
-        seen: set[str] = set()
-        for _, _, _, _, units in _blocks(batches, sent.value):
-            new = [u for u in units if len(u) <= LONGEST and u not in seen]
-            if len(seen) > SEEN:
-                seen.clear()
-            seen.update(new)
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string())], names=["unit"])
-
-    named = kept.mapInArrow(name_units, "group int, block long, units binary, numbers binary")
-    # A number of partitions is given, as the work on a unit is much more than its size.
-    units = kept.mapInArrow(new_units, "unit string").repartition(groups * 4, "unit").distinct()
-    encoded = lattice(units, spark, model).withColumn("group", F.pmod(F.crc32(F.col("unit").cast("binary")), F.lit(groups)).cast("int"))
-
-    def answer(table: pa.Table) -> pa.Table:
-        own = table.filter(pa.compute.is_valid(table.column("unit")))
+        for block, ids, lengths, seq, units in _blocks(seen(batches), sent.value):
+            by: dict[int, list[int]] = {}
+            for k, u in enumerate(units):
+                by.setdefault(zlib.crc32(u.encode()) % groups, []).append(k)
+            rows = [(0, g, block, _pack_texts([units[k] for k in own]), pack(np.array(own)), None) for g, own in by.items()]
+            rows.append((1, block, block, pack(np.array(lengths)), pack(np.array(seq)), ids))
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(kind))
+            for k in range(0, len(rows), 64):
+                cols = zip(*rows[k : k + 64], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["kind", "place", "block", "a", "b", "ids"])
+
+    # One shuffle by place serves the three uses below, so the texts are read once.
+    placed = kept.mapInArrow(name, PLACED.format(id=id_type))
+
+    def of_kind(table: pa.Table, kind: int) -> pa.Table:
+        return table.filter(pa.compute.equal(table.column("kind"), kind))
+
+    def distinct(table: pa.Table) -> pa.Table:
+        return pa.table({"unit": pa.array({u for x in of_kind(table, 0).column("a").to_pylist() for u in _unpack_texts(x) if len(u) <= LONGEST}, pa.string())})
+
+    # Groups are hashes of units, so their units are distinct over all groups. The number of partitions is given, as the
+    # work on a unit is much more than its size.
+    units = placed.groupBy("place").applyInArrow(distinct, "unit string").repartition(groups * 4, "unit")
+    encoded = lattice(units, spark, model).withColumn("place", F.pmod(F.crc32(F.col("unit").cast("binary")), F.lit(groups)).cast("long"))
+    answer_schema = pa.schema([("place", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("flat", pa.binary())])
+
+    def answer(table: pa.Table, own: pa.Table) -> pa.Table:
         lists = own.column("ids").combine_chunks()
         flat, ends = np.asarray(lists.flatten(), dtype=np.int64), np.asarray(lists.offsets, dtype=np.int64) if own.num_rows else np.zeros(1, dtype=np.int64)
         ends = ends - ends[0]
-        known = {u: flat[a:b] for u, a, b in zip(own.column("unit").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
-        blocks = table.filter(pa.compute.is_valid(table.column("units")))
+        known = {u: k for k, u in enumerate(own.column("unit").to_pylist())}
+        n_known = len(known)
+        size, start = np.diff(ends), ends[:-1]
         rows = []
-        for block, packed, numbers in zip(*(blocks.column(c).to_pylist() for c in ("block", "units", "numbers")), strict=True):
-            got = [known[u] if len(u) <= LONGEST else np.array(merge(u, sent.value), dtype=np.int64) for u in _unpack_texts(packed)]
-            rows.append((block, numbers, pack(np.array([len(x) for x in got])), pack(np.concatenate(got)) if got else pack(np.zeros(0))))
+        for block, a, b in zip(*(of_kind(table, 0).column(c).to_pylist() for c in ("block", "a", "b")), strict=True):
+            units = _unpack_texts(a)
+            for u in units:
+                if u not in known:  # too long for the lattice
+                    x = np.array(merge(u, sent.value), dtype=np.int64)
+                    known[u] = len(size)
+                    start, size, flat = np.append(start, len(flat)), np.append(size, len(x)), np.concatenate([flat, x])
+            at = np.fromiter((known[u] for u in units), dtype=np.int64, count=len(units))
+            ids = flat[np.repeat(start[at] - offsets(size[at])[:-1], size[at]) + np.arange(size[at].sum())]
+            rows.append((block, b, pack(size[at]), pack(ids)))
+        assert all(len(u) > LONGEST for u in list(known)[n_known:])
         cols = list(zip(*rows, strict=True)) or [[]] * 4
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("block", "numbers", "sizes", "ids"), cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)})
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, answer_schema, strict=True)], schema=answer_schema)
 
-    answers = encoded.unionByName(named, allowMissingColumns=True).groupBy("group").applyInArrow(answer, "block long, numbers binary, sizes binary, ids binary")
+    answers = placed.groupBy("place").cogroup(encoded.groupBy("place")).applyInArrow(answer, "place long, numbers binary, sizes binary, flat binary")
 
-    def assemble(table: pa.Table) -> pa.Table:
-        text = table.filter(pa.compute.is_valid(table.column("texts")))
-        got = table.filter(pa.compute.is_valid(table.column("numbers")))
-        numbers = [unpack(x).astype(np.int64) for x in got.column("numbers").to_pylist()]
-        sizes = [unpack(x).astype(np.int64) for x in got.column("sizes").to_pylist()]
+    def assemble(table: pa.Table, got: pa.Table) -> pa.Table:
+        text = of_kind(table, 1)
+        schema = pa.schema([(id_col, table.schema.field("ids").type.value_type), ("ids", pa.list_(pa.int32()))])
+        numbers = [unpack(x).astype(np.int64) for x in got.column("numbers").to_pylist()] if text.num_rows else []
         n = max((int(x.max()) + 1 for x in numbers if len(x)), default=0)
         size, start = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         flat, at = [np.zeros(0, dtype=np.int32)], 0
-        for num, s, x in zip(numbers, sizes, got.column("ids").to_pylist(), strict=True):
-            size[num], start[num] = s, at + offsets(s)[:-1]
+        for num, s, x in zip(numbers, *(got.column(c).to_pylist() for c in ("sizes", "flat")), strict=True) if text.num_rows else ():
+            own = unpack(s).astype(np.int64)
+            size[num], start[num] = own, at + offsets(own)[:-1]
             flat.append(unpack(x).astype(np.int32))
-            at += int(s.sum())
+            at += int(own.sum())
         every = np.concatenate(flat)
         made = []
-        for row in text.select(["texts", "lengths", "seq"]).to_batches(max_chunksize=1):
-            seq = unpack(row.column("seq")[0].as_py()).astype(np.int64)
-            own = size[seq]
-            ends = offsets(own)
-            ids = every[np.repeat(start[seq] - ends[:-1], own) + np.arange(ends[-1])]
-            cut_at = ends[offsets(unpack(row.column("lengths")[0].as_py()).astype(np.int64))]
-            batch = pa.RecordBatch.from_arrays([row.column("texts").flatten(), pa.ListArray.from_arrays(pa.array(cut_at, pa.int32()), pa.array(ids, pa.int32()))], names=[id_col, "ids"])
+        for row in text.select(["ids", "a", "b"]).to_batches(max_chunksize=1):
+            seq = unpack(row.column("b")[0].as_py()).astype(np.int64)
+            ends = offsets(size[seq])
+            ids = every[np.repeat(start[seq] - ends[:-1], size[seq]) + np.arange(ends[-1])]
+            cut_at = ends[offsets(unpack(row.column("a")[0].as_py()).astype(np.int64))]
+            batch = pa.RecordBatch.from_arrays([row.column("ids").flatten(), pa.ListArray.from_arrays(pa.array(cut_at, pa.int32()), pa.array(ids, pa.int32()))], schema=schema)
             made += [batch.slice(k, 128) for k in range(0, batch.num_rows, 128)]
-        return pa.Table.from_batches(made)
+        return pa.Table.from_batches(made, schema=schema)
 
-    texts = kept.mapInArrow(name_texts, f"block long, texts array<{id_type}>, lengths binary, seq binary")
-    return texts.unionByName(answers, allowMissingColumns=True).groupBy("block").applyInArrow(assemble, f"`{id_col}` {id_type}, ids array<int>")
+    return placed.groupBy("place").cogroup(answers.groupBy("place")).applyInArrow(assemble, f"`{id_col}` {id_type}, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
