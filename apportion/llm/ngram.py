@@ -15,7 +15,7 @@ All counts are over all training texts, and no table of words or bigrams goes to
                  of its own words, and the words' hashes and training counts, split over word groups;
     2. count     word groups add up counts over blocks (a shuffle of each block's distinct words); the driver gets the
                  histogram of counts alone (at most the square root of 2 N rows), which turns a rank into its count;
-    3. rank      word groups send each block the ranks of its words, densest counts first (a shuffle of the same size);
+    3. rank      word groups send each block the ranks of its words, highest counts first;
     4. pair      each block scores what needs no bigram count, and sends its distinct bigrams of known words, with the
                  texts that hold them, to bigram groups (the largest shuffle, a few bytes for each token);
     5. learn     bigram groups add up counts and histogram (bucket, estimates); the driver runs EM on the histogram;
@@ -187,25 +187,23 @@ def _count_table(levels: list[tuple[int, int]], ends: int) -> tuple[Counts, int]
 
 
 def _ranks(words: DataFrame, starts: DataFrame) -> DataFrame:
-    """kind 2 rows: ranks plus one (0: not in training) of each block's words of each group, in the order of their numbers c."""
+    """(block, a, c): ranks plus one (0: not in training) of each block's words of each group, in the order of their numbers c."""
+    out_schema = pa.schema([("block", pa.int64()), ("a", pa.binary()), ("c", pa.binary())])
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table, own: pa.Table) -> pa.Table:
         rows = _rows(table)
-        level_start = {x["level"]: x["start"] for r in rows if r["starts"] is not None for x in r["starts"]}
-        rows = [r for r in rows if r["starts"] is None]
         if not rows:
             return out_schema.empty_table()
+        start = dict(zip(own.column("level").to_pylist(), own.column("start").to_pylist(), strict=True))
         every, counts, where = _group_words(rows)
         rank = np.zeros(len(every), dtype=np.int64)
         order = np.argsort(-counts, kind="stable")
-        for level, own in _runs(-counts[order], order):
+        for level, at in _runs(-counts[order], order):
             if level:
-                rank[own] = level_start[-level] + np.arange(len(own)) + 1
+                rank[at] = start[-level] + np.arange(len(at)) + 1
         return pa.Table.from_batches([_table([(r["block"], pack(rank[w]), r["c"]) for r, w in zip(rows, where, strict=True)], out_schema)])
 
-    out_schema = pa.schema([("block", pa.int64()), ("a", pa.binary()), ("c", pa.binary())])
-    both = words.select("place", "block", "a", "b", "c").unionByName(starts, allowMissingColumns=True)
-    return both.groupBy("place").applyInArrow(run, "block long, a binary, c binary")
+    return words.groupBy("place").cogroup(starts.groupBy("place")).applyInArrow(run, "block long, a binary, c binary")
 
 
 def _safe_log10(x: np.ndarray) -> np.ndarray:
@@ -419,15 +417,16 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     chars, ends = docs.agg(F.sum(F.length(F.col(text_col))), F.sum(F.coalesce(train, F.lit(False)).cast("long"))).first()
     groups = max(8, -(-(chars or 0) // GROUP_CHARS))
-    words = cut(_read(docs, train, groups, id_col, text_col, 0).select("place", "block", "a", "b", "c"))
-    histogram = cut(_histogram(words.select("place", "a", "b")))
+    # Words are dealt to their groups once; the checkpoint keeps that, so steps 2 and 3 need no shuffle of their own.
+    words = cut(_read(docs, train, groups, id_col, text_col, 0).select("place", "block", "a", "b", "c").repartition(groups, "place"))
+    histogram = cut(_histogram(words))
     levels = [(r["level"], r["n"]) for r in histogram.groupBy("level").agg(F.sum("n").alias("n")).collect()]
     counts, end = _count_table(levels, ends or 0)
     spark = docs.sparkSession
     # Where each group's words of a level begin: ranks of the level in order of the groups, after the end token's.
     first = spark.createDataFrame([(int(v), int(f) + (int(v) == (ends or 0))) for v, f in zip(counts.level, counts.first, strict=True)] or [(0, 0)], "level long, first long")
     before = Window.partitionBy("level").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    starts = histogram.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(first, "level").groupBy("place").agg(F.collect_list(F.struct("level", (F.col("first") + F.col("before")).alias("start"))).alias("starts"))
+    starts = histogram.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(first, "level").select("place", "level", (F.col("first") + F.col("before")).alias("start"))
     answers = _ranks(words, starts)
     pairs = _pairs(answers, _read(docs, train, groups, id_col, text_col, 1), counts, end, groups, id_type, groups)
     found = _estimates(pairs, counts).collect()
