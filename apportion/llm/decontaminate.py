@@ -200,7 +200,7 @@ def _joined(docs: DataFrame, items: DataFrame, id_col: str, shortest: int) -> Da
                 own = words(text or "")
                 out = set()
                 for k in wanted:
-                    out.update(xxhash.xxh64_intdigest(b" ".join(own[i : i + k]), seed=k) - (1 << 63) for i in range(len(own) - k + 1))
+                    out.update(xxhash.xxh64_intdigest(b" ".join(own[i : i + k]), seed=int(k)) - (1 << 63) for i in range(len(own) - int(k) + 1))
                 return sorted(out)
 
             return texts.combine(lengths, one)

@@ -256,9 +256,9 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = near_duplicates(docs, id_col, text_col)
     keep = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
     named = docs.join(keep, F.col(id_col) == F.col("__id"), "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())))
-    roots = found.where("component_id IS NULL").select("fingerprint", "component_root").distinct()
-    lone = _attach(docs.where(F.col(id_col).isNull()), text_col).join(roots, hex_of(F.col("__fp")) == F.col("fingerprint"))
-    lone = lone.withColumn("__n", F.row_number().over(Window.partitionBy("component_root").orderBy(F.col(text_col).asc_nulls_last())))
+    roots = found.where("component_id IS NULL").select(F.col("fingerprint").alias("__hex"), F.col("component_root").alias("__root")).distinct()
+    lone = _attach(docs.where(F.col(id_col).isNull()), text_col).join(roots, hex_of(F.col("__fp")) == F.col("__hex"))
+    lone = lone.withColumn("__n", F.row_number().over(Window.partitionBy("__root").orderBy(F.col(text_col).asc_nulls_last())))
     return named.where("__n = 1").select(*docs.columns).unionByName(lone.where("__n = 1").select(*docs.columns))
 
 
