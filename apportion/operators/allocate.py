@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from apportion.functions.settle import settle
+
 from .contest import bucket_sums
 from .crosswalk import Crosswalk, shares
 from .resolve import resolve
@@ -60,16 +62,16 @@ def apportion(ballots: DataFrame, geometry: Crosswalk, explicit: Crosswalk | Non
     """Direct contributions by precinct splits. Explicit splits serve codes that geometry leaves open, in their scopes."""
     keys = ["contest_type", "year", "county", "code", "bucket", "candidate"]
     code = F.when(F.col("non_geographic"), F.lit("")).otherwise(F.col("code"))
-    sums = ballots.where("votes > 0 AND county != ''").withColumn("code", code).withColumn("candidate", F.trim(F.coalesce("candidate", F.lit("")))).groupBy(*keys).agg(F.sum("votes").alias("votes"))
+    sums = settle(ballots.where("votes > 0 AND county != ''").withColumn("code", code).withColumn("candidate", F.trim(F.coalesce("candidate", F.lit("")))).groupBy(*keys).agg(F.sum("votes").alias("votes")))
     each = sums.withColumn("scope", F.explode(F.array(*[F.lit(s) for s in scopes])))
     wanted = each.where("code != ''").select("scope", "county", "code").distinct()
-    splits = resolve(wanted, geometry)
+    splits = settle(resolve(wanted, geometry))
     if explicit is not None:
         splits = splits.unionByName(resolve(wanted.join(splits.select("scope", "county", "code").distinct(), ["scope", "county", "code"], "left_anti"), explicit))
     on = ["scope", "county", "code"]
     direct = each.join(splits, on).groupBy(*CONTEST, "county", "district", "bucket", "candidate").agg(F.sum(F.col("votes") * F.col("share")).alias("votes")).withColumn("source", F.lit("direct"))
     rest = each.join(splits.select(*on).distinct(), on, "left_anti").groupBy(*CONTEST, "county", "bucket", "candidate").agg(F.sum("votes").alias("votes"))
-    return Apportioned(direct, rest)
+    return Apportioned(settle(direct), settle(rest))
 
 
 def allocation_weights(direct: DataFrame, county_weights: DataFrame, config: DataFrame, strict_zero: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -80,12 +82,13 @@ def allocation_weights(direct: DataFrame, county_weights: DataFrame, config: Dat
     """
     own = [*CONTEST, "county"]
     by_bucket = direct.groupBy(*own, "district", "bucket").agg(F.sum("votes").alias("votes"))
+    by_bucket = settle(by_bucket)
     total = shares(by_bucket.groupBy(*own, "district").agg(F.sum("votes").alias("votes")), own, "votes", "total_share").drop("votes")
     party = shares(by_bucket, [*own, "bucket"], "votes", "party_share").drop("votes")
     buckets = party.select(*own, "bucket").distinct()
     both = total.join(buckets, own).join(party, [*own, "district", "bucket"], "left").fillna(0.0, ["party_share"])
     mixed = with_blend(both, config).withColumn("raw", blended(F.col("total_share"), F.col("party_share"), F.col("blend"), strict_zero))
-    by = shares(mixed, [*own, "bucket"], "raw", "share").select(*own, "bucket", "district", "share")
+    by = settle(shares(mixed, [*own, "bucket"], "raw", "share").select(*own, "bucket", "district", "share"))
     return by, total.withColumnRenamed("total_share", "share")
 
 

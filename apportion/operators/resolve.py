@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from apportion.functions.settle import settle
 from apportion.functions.text import leading_digits
 
 from .crosswalk import Crosswalk, shares
@@ -68,7 +69,7 @@ def resolve(wanted: DataFrame, crosswalk: Crosswalk) -> DataFrame:
     exact = own.join(splits, [*ON, "code"]).select(*ON, "code", "district", "share", F.lit(1).alias("stage"))
     codes = splits.select(*ON, "code").distinct()
     open_ = own.join(codes, [*ON, "code"], "left_anti")
-    found = candidates(open_, codes)
+    found = candidates(settle(open_), codes)
     found = found.withColumn("n", F.count("*").over(Window.partitionBy(*ON, "code", "stage"))).where("stage = 2 OR (stage = 3 AND n <= 3) OR (stage = 4 AND n <= 4)")
     weighed = found.join(weights.select(*ON, F.col("code").alias("candidate"), "weight"), [*ON, "candidate"], "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))).where("weight > 0")
     best = weighed.withColumn("first", F.min("stage").over(Window.partitionBy(*ON, "code"))).where("stage = first")

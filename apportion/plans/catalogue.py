@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from apportion.functions import text as T
 from apportion.functions import votes as V
+from apportion.functions.settle import settle
 from apportion.operators import allocate, calibrate, contest, crosswalk, diagnose, dims, population, resolve, trend, tune
 
 from . import ballots as B
@@ -203,7 +204,8 @@ def long_to_bucket_pivot(spark, sf_dir):
 
 
 def _crosswalk(spark, sf_dir):
-    return crosswalk.from_areas(B.pieces(spark, sf_dir))
+    found = crosswalk.from_areas(settle(B.pieces(spark, sf_dir)))
+    return crosswalk.Crosswalk(settle(found.splits), found.county_weights, found.code_weights)
 
 
 @query(f"WITH {B.CROSSWALK_SQL} SELECT scope, county, code, district, round(share, 8) AS share FROM sp")
