@@ -20,18 +20,37 @@ SCOPES = tuple(B.SCOPE_DISTRICTS)
 SLICE = "contest_type, year, county"
 
 
-def query(sql: str | None = None):
+NUDGE = 1.37e-3
+"""Part of the last digit that is added before rounding, in both engines: sums of shares often end in an exact half."""
+
+
+def _nudged(sql: str) -> str:
+    """SQL with NUDGE in each round(x, digits)."""
+    out, at = "", 0
+    while (i := sql.find("round(", at)) >= 0:
+        depth, j, comma = 1, i + 6, 0
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[j], 0)
+            comma = j if sql[j] == "," and depth == 1 else comma
+            j += 1
+        digits = int(sql[comma + 1 : j - 1])
+        out += f"{sql[at:i]}round(({sql[i + 6 : comma]}) + {NUDGE * 10.0**-digits!r}, {digits})"
+        at = j
+    return out + sql[at:]
+
+
+def query(sql: str | None = None, exact: bool = False):
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLES[f.__name__] = sql
+            ORACLES[f.__name__] = sql if exact else _nudged(sql)
         return f
 
     return add
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+    return df.withColumns({c: F.round(F.col(c) + NUDGE * 10.0**-digits, digits) for c in columns})
 
 
 # Contest slices.
@@ -133,11 +152,11 @@ def non_geo_filter(spark, sf_dir):
     return B.read(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(T.is_non_geographic(F.col("event_type")).cast("bigint")).alias("non_geographic"))
 
 
-@query("""WITH k AS (SELECT DISTINCT n_name AS county, CAST(l_partkey % 900 AS VARCHAR) AS code FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
+@query("""WITH k AS (SELECT DISTINCT n_name AS county, CAST(l_partkey * 13 % 600 AS VARCHAR) AS code FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
 SELECT county, code, CASE WHEN regexp_matches(code, '^5[0-9]{2,}$') AND EXISTS (SELECT 1 FROM k s WHERE s.county = k.county AND s.code = CAST(CAST(substr(k.code, 2) AS BIGINT) AS VARCHAR) AND s.code <> '') AND county = 'NATION_1' THEN CAST(CAST(substr(code, 2) AS BIGINT) AS VARCHAR) ELSE code END AS canonical FROM k WHERE regexp_matches(code, '^5[0-9]{2,}$')""")
 def legacy_code_alias(spark, sf_dir):
     nations = B.read(spark, sf_dir, "supplier").join(B.read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    codes = B.read(spark, sf_dir, "lineitem").join(nations, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("n_name").alias("county"), (F.col("l_partkey") % 900).cast("string").alias("code")).distinct()
+    codes = B.read(spark, sf_dir, "lineitem").join(nations, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("n_name").alias("county"), (F.col("l_partkey") * 13 % 600).cast("string").alias("code")).distinct()
     short = codes.where(F.col("code").rlike(r"^5\d{2,}$")).withColumn("short", F.regexp_replace(F.substring("code", 2, 9), r"^0+(?=\d)", ""))
     known = codes.select("county", F.col("code").alias("short"), F.lit(True).alias("known"))
     rows = short.join(known, ["county", "short"], "left")
@@ -239,7 +258,7 @@ def explicit_splits(spark, sf_dir):
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)
 SELECT 'congressional' AS scope, county, code, district, round(w / sum(w) OVER (PARTITION BY county, code), 8) AS share FROM j""")
 def block_crosswalk_left_fill(spark, sf_dir):
-    line = B.read(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("BLOCKID"), "l_orderkey", "l_partkey", "l_suppkey")
+    line = B.read(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("BLOCKID"), "l_orderkey", "l_partkey", "l_suppkey")
     orders = B.read(spark, sf_dir, "orders").join(B.read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
     precincts = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("BLOCKID", F.col("c_nationkey").cast("string").alias("COUNTYFP"), (F.col("l_partkey") % 50).cast("string").alias("DISTRICT"))
     districts = line.join(B.read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select("BLOCKID", F.col("s_nationkey").cast("string").alias("DISTRICT"))
@@ -341,19 +360,19 @@ def apply_overrides(spark, sf_dir):
 
 
 @query(f"""WITH {B.APPORTION_SQL}, {_CALIBRATED_SQL} SELECT scope, contest_type, year, district, {_TARGET_SQL} AS target_margin_pct, round(raw, 3) AS raw_margin_pct, round(raw - {_TARGET_SQL}, 3) AS raw_error_pct, round(abs(raw - {_TARGET_SQL}), 3) AS raw_abs_error_pct,
-CASE WHEN abs(raw - {_TARGET_SQL}) >= 1.0 OR raw = {_TARGET_SQL} THEN 'yes' ELSE 'no' END AS needs_calibration, 'ok' AS status FROM cal""")
+CASE WHEN abs(raw - {_TARGET_SQL}) >= 1.0 OR raw = {_TARGET_SQL} THEN 'yes' ELSE 'no' END AS needs_calibration, 'ok' AS status FROM cal""", exact=True)
 def calibration_report(spark, sf_dir):
     results = allocate.district_results(_allocated(spark, sf_dir).contributions)
     rows = calibrate.report(calibrate.calibrate(results, _targets(results)), _targets(results))
     return rows.select("scope", "contest_type", "year", "district", "target_margin_pct", "raw_margin_pct", "raw_error_pct", "raw_abs_error_pct", "needs_calibration", "status")
 
 
-@query("""WITH k AS (SELECT 'congressional' AS scope, o_orderpriority AS contest_type, CAST(year(o_orderdate) AS INT) AS year, CAST(o_custkey % 20 AS VARCHAR) AS district, CAST(sum(o_totalprice) AS BIGINT) AS votes FROM orders WHERE o_custkey % 20 < 12 GROUP BY ALL)
+@query("""WITH k AS (SELECT 'congressional' AS scope, o_orderpriority AS contest_type, CAST(year(o_orderdate) AS INT) AS year, CAST(o_custkey % 20 AS VARCHAR) AS district, CAST(count(*) AS BIGINT) AS votes FROM orders WHERE o_custkey % 20 < 12 GROUP BY ALL)
 SELECT scope, contest_type, year, district, CASE WHEN CAST(district AS INT) >= 6 THEN CAST(1 AS BIGINT) ELSE votes END AS votes FROM k UNION ALL SELECT DISTINCT 'congressional', o_orderpriority, CAST(year(o_orderdate) AS INT), CAST(o_custkey % 20 AS VARCHAR), CAST(1 AS BIGINT) FROM orders WHERE o_custkey % 20 BETWEEN 12 AND 15""")
 def upsert_overrides(spark, sf_dir):
-    o = B.read(spark, sf_dir, "orders").select(F.lit("congressional").alias("scope"), F.col("o_orderpriority").alias("contest_type"), F.year("o_orderdate").alias("year"), (F.col("o_custkey") % 20).cast("string").alias("district"), "o_totalprice")
+    o = B.read(spark, sf_dir, "orders").select(F.lit("congressional").alias("scope"), F.col("o_orderpriority").alias("contest_type"), F.year("o_orderdate").alias("year"), (F.col("o_custkey") % 20).cast("string").alias("district"))
     key = ["scope", "contest_type", "year", "district"]
-    current = o.where("CAST(district AS INT) < 12").groupBy(*key).agg(F.round(F.sum("o_totalprice")).cast("bigint").alias("votes"))
+    current = o.where("CAST(district AS INT) < 12").groupBy(*key).agg(F.count("*").alias("votes"))
     new = o.where("CAST(district AS INT) BETWEEN 6 AND 15").select(*key).distinct().withColumn("votes", F.lit(1).cast("bigint"))
     return calibrate.upsert(current, new)
 
@@ -407,7 +426,7 @@ def grid_eval(spark, sf_dir):
 _POP_SQL = """p AS (SELECT n_name AS name, CAST(sum(CASE WHEN year(o_orderdate) = 1995 THEN 1 ELSE 0 END) AS BIGINT) AS a, CAST(sum(CASE WHEN year(o_orderdate) = 1996 THEN 1 ELSE 0 END) AS BIGINT) AS b, CAST(sum(CASE WHEN year(o_orderdate) = 2000 THEN 1 ELSE 0 END) AS BIGINT) AS c FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name)"""
 
 
-@query(f"""WITH {_POP_SQL} SELECT name, a AS estimate_base_1995, b AS estimate_1996, c AS estimate_2000, c - a AS change_base_1995_to_2000, CASE WHEN a <> 0 THEN round((c - a) / CAST(a AS DOUBLE) * 100, 2) END AS pct_change_base_1995_to_2000, c - b AS change_1996_to_2000, CASE WHEN b <> 0 THEN round((c - b) / CAST(b AS DOUBLE) * 100, 2) END AS pct_change_1996_to_2000 FROM p""")
+@query(f"""WITH {_POP_SQL} SELECT name, a AS estimate_base_1995, b AS estimate_1996, c AS estimate_2000, c - a AS change_base_1995_to_2000, CASE WHEN a <> 0 THEN round((c - a) / CAST(a AS DOUBLE) * 100, 2) END AS pct_change_base_1995_to_2000, c - b AS change_1996_to_2000, CASE WHEN b <> 0 THEN round((c - b) / CAST(b AS DOUBLE) * 100, 2) END AS pct_change_1996_to_2000 FROM p""", exact=True)
 def population_change(spark, sf_dir):
     rows = B.read(spark, sf_dir, "orders").join(B.read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(B.read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     wide = rows.groupBy(F.col("n_name").alias("name")).agg(*[F.sum((F.year("o_orderdate") == y).cast("bigint")).alias(n) for y, n in ((1995, "estimate_base_1995"), (1996, "estimate_1996"), (2000, "estimate_2000"))])
@@ -442,9 +461,9 @@ def set_union(spark, sf_dir):
     return B.read(spark, sf_dir, "orders").select((F.col("o_custkey") % 500).alias("k")).union(B.read(spark, sf_dir, "customer").select(F.col("c_custkey") % 700)).distinct()
 
 
-@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 350000")
 def set_except(spark, sf_dir):
-    return B.read(spark, sf_dir, "customer").select("c_custkey").subtract(B.read(spark, sf_dir, "orders").select("o_custkey"))
+    return B.read(spark, sf_dir, "customer").select("c_custkey").subtract(B.read(spark, sf_dir, "orders").where("o_totalprice > 350000").select("o_custkey"))
 
 
 @query("SELECT DISTINCT o_orderpriority, CAST(year(o_orderdate) AS INT) AS year FROM orders")
