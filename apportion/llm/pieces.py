@@ -26,8 +26,10 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import offsets, text_batches
-from .packed import pack, unpack
+from .packed import pack, pack_sorted, unpack, unpack_sorted
 
 MARK = "▁"
 LONGEST = 62
@@ -195,18 +197,23 @@ def _blocks(batches, model: Model):
     import xxhash
 
     find = model.units.findall
-    ids, lengths, seq, number, size, name = [], [], [], {}, 0, xxhash.xxh64()
+
+    def fresh():
+        return [], [], [], defaultdict(count().__next__), 0, xxhash.xxh64()
+
+    ids, lengths, seq, number, size, name = fresh()
     for batch, texts in text_batches(batches):
         for i, t in zip(batch.column(0).to_pylist(), texts, strict=True):
-            own = [number.setdefault(u, len(number)) for u in find(" " + t.replace(MARK, " "))] if t else ()
-            seq += own
+            before = len(seq)
+            if t:
+                seq.extend(map(number.__getitem__, find(" " + t.replace(MARK, " "))))
             ids.append(i)
-            lengths.append(len(own))
+            lengths.append(len(seq) - before)
             size += len(t)
             name.update(t.encode() + b"\xff")
             if size >= BLOCK_CHARS:
                 yield name.intdigest() - (1 << 63), ids, lengths, seq, [u.replace(" ", MARK) for u in number]
-                ids, lengths, seq, number, size, name = [], [], [], {}, 0, xxhash.xxh64()
+                ids, lengths, seq, number, size, name = fresh()
     if ids:
         yield name.intdigest() - (1 << 63), ids, lengths, seq, [u.replace(" ", MARK) for u in number]
 
@@ -237,6 +244,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     import zlib
 
     spark = docs.sparkSession
+    # Units are already together by partition, about 2^14 in each; without this, grouping their edges would sort them all.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", 1 << 17)
     kept = docs.select(id_col, F.col(text_col).alias("text"))
     id_type = kept.schema[0].dataType.simpleString()
     groups = max(8, -(-(kept.agg(F.sum(F.length("text"))).first()[0] or 0) // GROUP_CHARS))
@@ -255,7 +264,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             by: dict[int, list[int]] = {}
             for k, u in enumerate(units):
                 by.setdefault(zlib.crc32(u.encode()) % groups, []).append(k)
-            rows = [(0, g, block, _pack_texts([units[k] for k in own]), pack(np.array(own)), None) for g, own in by.items()]
+            rows = [(0, g, block, _pack_texts([units[k] for k in own]), pack_sorted(np.array(own, dtype=np.uint64)), None) for g, own in by.items()]
             rows.append((1, block, block, pack(np.array(lengths)), pack(np.array(seq)), ids))
             types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(kind))
             for k in range(0, len(rows), 64):
@@ -304,7 +313,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def assemble(table: pa.Table, got: pa.Table) -> pa.Table:
         text = of_kind(table, 1)
         schema = pa.schema([(id_col, table.schema.field("ids").type.value_type), ("ids", pa.list_(pa.int32()))])
-        numbers = [unpack(x).astype(np.int64) for x in got.column("numbers").to_pylist()] if text.num_rows else []
+        numbers = [unpack_sorted(x).astype(np.int64) for x in got.column("numbers").to_pylist()] if text.num_rows else []
         n = max((int(x.max()) + 1 for x in numbers if len(x)), default=0)
         size, start = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         flat, at = [np.zeros(0, dtype=np.int32)], 0
@@ -336,7 +345,8 @@ def decode(encoded: DataFrame, model: Model, id_col: str = "doc_id", ids_col: st
         texts = [t or b"" for t in sent.value.texts]
         for batch in batches:
             lists = batch.column("ids")
-            out = [b"".join([texts[i] for i in lists[k].as_py() or ()]).decode("utf-8", "replace").removeprefix(" ") for k in range(len(lists))]
+            flat, ends = lists.values.to_numpy(), lists.offsets.to_pylist()
+            out = [b"".join([texts[i] for i in flat[a:b].tolist()]).decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=[id_col, "text"])
 
     return kept.mapInArrow(run, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, text string")
