@@ -1,0 +1 @@
+"""Empty on purpose: the surveyed analytics are batch queries, with no streams, watermarks or state."""
