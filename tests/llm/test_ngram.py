@@ -74,3 +74,16 @@ def test_packed_numbers_come_back():
     for x in (np.zeros(0, np.uint64), np.array([0], np.uint64), r.integers(0, 1 << 63, 1000, dtype=np.uint64), np.array([2**64 - 1, 0, 5], np.uint64)):
         assert (unpack(pack(x)) == x).all()
         assert (unpack_sorted(pack_sorted(np.sort(x))) == np.sort(x)).all()
+
+
+def test_equal_blocks_keep_their_own_sums(spark, monkeypatch):
+    monkeypatch.setattr(ngram, "BLOCK_CHARS", 4)
+    rows = [(1, "a b a b", True), (2, "a c", False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(1)
+    both = df.union(df)
+    got = sorted(tuple(x) for x in ngram.score(both, F.col("train")).collect())
+    want = plain([(k, t, f) for k, (_, t, f) in enumerate(rows + rows)])
+    assert [x[0] for x in got] == [1, 1, 2, 2]
+    for x in got:
+        w = want[0 if x[0] == 1 else 1]
+        assert x[1:4] == w[:3] and x[4] == pytest.approx(w[3], abs=1e-9) and x[5] == pytest.approx(w[4], rel=2e-3)
