@@ -34,6 +34,18 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data), dtype=np.uint64)
 
 
+def pack_numbered(x: np.ndarray) -> bytes:
+    """As pack(), for numbers given out in order of first sight (0, 1, ...): first sights need no number, so they are 0."""
+    x = np.ascontiguousarray(x, dtype=np.int64)
+    new = np.diff(np.maximum.accumulate(x), prepend=-1) > 0 if len(x) else x > 0
+    return pack(np.where(new, 0, x + 1))
+
+
+def unpack_numbered(data: bytes) -> np.ndarray:
+    x = unpack(data).astype(np.int64)
+    return np.where(x == 0, np.cumsum(x == 0), x) - 1
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Numbers spread over 64 bits, each by itself."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

@@ -38,11 +38,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import offsets, text_batches
-from .packed import pack, pack_sorted, unpack, unpack_sorted
+from .packed import pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
 
 MARK = "▁"
 LONGEST = 62
-BLOCK_CHARS, GROUP_CHARS = 1 << 22, 1 << 24
+BLOCK_CHARS, GROUP_CHARS, BATCH_ROWS = 1 << 22, 1 << 24, 1 << 10
 _WORDS = re.compile(r" +[^ ]*")
 
 
@@ -246,6 +246,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     # Units are already together by partition, about 2^14 in each; without this, grouping their edges would sort them all.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", 1 << 17)
+    # Whole texts and lists of ids travel in batches, so a batch of the usual 10,000 rows takes tens of megabytes on either side.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     kept = docs.select(id_col, F.col(text_col).alias("text"))
     id_type = kept.schema[0].dataType.simpleString()
     groups = max(8, -(-(kept.agg(F.sum(F.length("text"))).first()[0] or 0) // GROUP_CHARS))
@@ -265,7 +267,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             for k, u in enumerate(units):
                 by.setdefault(zlib.crc32(u.encode()) % groups, []).append(k)
             rows = [(0, g, block, _pack_texts([units[k] for k in own]), pack_sorted(np.array(own, dtype=np.uint64)), None) for g, own in by.items()]
-            rows.append((1, block, block, pack(np.array(lengths)), pack(np.array(seq)), ids))
+            rows.append((1, block, block, pack(np.array(lengths)), pack_numbered(np.array(seq)), ids))
             types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(kind))
             for k in range(0, len(rows), 64):
                 cols = zip(*rows[k : k + 64], strict=True)
@@ -325,7 +327,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         every = np.concatenate(flat)
         made = []
         for row in text.select(["ids", "a", "b"]).to_batches(max_chunksize=1):
-            seq = unpack(row.column("b")[0].as_py()).astype(np.int64)
+            seq = unpack_numbered(row.column("b")[0].as_py())
             ends = offsets(size[seq])
             ids = every[np.repeat(start[seq] - ends[:-1], size[seq]) + np.arange(ends[-1])]
             cut_at = ends[offsets(unpack(row.column("a")[0].as_py()).astype(np.int64))]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from apportion.llm import ngram
-from apportion.llm.packed import pack, pack_sorted, unpack, unpack_sorted
+from apportion.llm.packed import pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
 
 
 def plain(rows):
@@ -74,6 +74,8 @@ def test_packed_numbers_come_back():
     for x in (np.zeros(0, np.uint64), np.array([0], np.uint64), r.integers(0, 1 << 63, 1000, dtype=np.uint64), np.array([2**64 - 1, 0, 5], np.uint64)):
         assert (unpack(pack(x)) == x).all()
         assert (unpack_sorted(pack_sorted(np.sort(x))) == np.sort(x)).all()
+    for seen in ([], [0], [0, 1, 0, 2, 2, 1, 3], list(range(300)) + [5, 299, 0]):
+        assert unpack_numbered(pack_numbered(np.array(seen, dtype=np.int64))).tolist() == seen
 
 
 def test_equal_blocks_keep_their_own_sums(spark, monkeypatch):
