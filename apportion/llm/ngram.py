@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, offsets, text_batches
-from .packed import mix, pack, pack_sorted, unpack, unpack_sorted
+from .packed import mix, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
 
 BLOCK_CHARS = 1 << 22
 GROUP_CHARS = 1 << 24
@@ -92,7 +92,7 @@ def _block_rows(block: int, ids: list, texts: list[str], train: list[bool], grou
             at_train = len(sequence)
     seq = np.array(sequence, dtype=np.int64)
     if wanted == 1:
-        yield (1, block, block, pack(np.array(lengths)), pack(seq), [ids[i] for i in order], n_train.to_bytes(8, "little"))
+        yield (1, block, block, pack(np.array(lengths)), pack_numbered(seq), [ids[i] for i in order], n_train.to_bytes(8, "little"))
         return
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), dtype=U64, count=len(number))
     counts = np.bincount(seq[:at_train], minlength=len(number)) if len(number) else np.zeros(0, np.int64)
@@ -232,7 +232,7 @@ def _pair(rows: list[dict], counts: Counts, end: int, groups: int):
 
 
 def _pair_block(texts: dict, block: int, answers: list[dict], counts: Counts, end: int, groups: int):
-    lengths, seq = unpack(texts["a"]).astype(np.int64), unpack(texts["b"]).astype(np.int64)
+    lengths, seq = unpack(texts["a"]).astype(np.int64), unpack_numbered(texts["b"])
     n_train = int.from_bytes(texts["c"], "little")
     places = [unpack(r["c"]).astype(np.int64) for r in answers]
     rank = np.full(max((int(x.max()) + 1 for x in places if len(x)), default=0), -1, dtype=np.int64)
