@@ -17,7 +17,7 @@ bit set can't hold, are merged by a heap instead, with the same result.
 
 Texts don't move to be encoded: each task names the distinct units of blocks of texts, units are encoded in groups by
 hash, and each block gets its units' ids back; so a frequent word is one row in each block. The blocks are read from
-docs more than once, so docs must give the same rows in the same order each time, as tables and checkpoints do.
+docs more than once, so docs must give the same rows in the same partitions and order each time, as tables and checkpoints do.
 
 Null and empty texts have no ids and decode to empty. The word mark in a text is taken for a blank, as the library does.
 """
@@ -192,14 +192,16 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
 def _blocks(batches, model: Model):
     """(block, ids, texts' numbers of units, units' numbers, units in order of number) of this partition's blocks.
 
-    A block's name is a hash of its texts, so every reading of it has the same name; blocks of equal texts share theirs.
+    A block's name is a hash of its partition's number, its own in the partition and its texts, so every reading of it has
+    the same name, and blocks of equal texts have names of their own.
     """
     import xxhash
+    from pyspark import TaskContext
 
-    find = model.units.findall
+    find, part, ordinal = model.units.findall, TaskContext.get().partitionId(), count()
 
     def fresh():
-        return [], [], [], defaultdict(count().__next__), 0, xxhash.xxh64()
+        return [], [], [], defaultdict(count().__next__), 0, xxhash.xxh64(f"{part} {next(ordinal)} ".encode())
 
     ids, lengths, seq, number, size, name = fresh()
     for batch, texts in text_batches(batches):

@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 import zlib
+from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -306,3 +308,16 @@ def test_equal_blocks_and_heap_merges(spark, monkeypatch):
     df = spark.createDataFrame([(1, "some words here"), (1, "some words here")], "doc_id long, text string").repartition(2)
     both = [x["ids"] for x in pieces.encode(df.union(df), model).collect()]
     assert len(both) == 4 and len({tuple(x) for x in both}) == 1
+
+
+def test_equal_blocks_are_groups_of_their_own(spark):
+    model = pieces.load(MODEL)
+
+    def names(batches):
+        with mock.patch.object(pieces, "BLOCK_CHARS", 10):
+            for block, ids, *_ in pieces._blocks(batches, model):
+                yield pa.RecordBatch.from_pydict({"block": [block], "n": [len(ids)]}, pa.schema([("block", pa.int64()), ("n", pa.int64())]))
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize([(1, "some words here")] * 12, 3), "doc_id long, text string")
+    first, again = ([tuple(r) for r in df.mapInArrow(names, "block long, n long").collect()] for _ in range(2))
+    assert first == again and len({b for b, _ in first}) == 12 and {n for _, n in first} == {1}
