@@ -7,7 +7,8 @@ that mark their content themselves, with one <article> or <main>. They are count
 hash, and added to prior counts that stand for common usage, so unseen elements get sensible weights.
 
 Elements that are never content (scripts, menus, forms, asides, adverts, notices, reader comments, and any element that
-labelled pages hold outside their content only) score as tags and their words are left out of the region's text. In
+labelled pages hold outside their content only) score as tags and their words are left out of the region's text. A class
+or id that has such a word as one part among others ("with-sidebar") only gives its element weights of its own. In
 the region, each block element makes a block: its text with character references decoded, each run of white space as
 one space, trimmed; blocks are joined in page order by a line feed. A page is parsed within one row of one narrow pass.
 
@@ -42,16 +43,36 @@ CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("d
 NEVER = frozenset("head script style template noscript nav menu aside form button select textarea input iframe svg canvas object dialog footer title".split())
 NEVER_NAMES = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments commentlist consent contentinfo cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar widget".split())
 OWN = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 GOOD = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt figcaption article main".split())
 LISTS = frozenset("ul ol li dl table thead tbody tr td th".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))""", re.DOTALL)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s>"'][^\s>]*+)))?|"[^"]*+"?|'[^']*+'?""")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
 
 
-def _names(attributes: str) -> list[str]:
-    return [w for m in _NAMES.finditer(attributes) for w in re.split(r"[\s_-]+|(?<=[a-z])(?=[A-Z])", m[2] or m[3] or m[4] or "") if w]
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by lower-cased name, the first of a repeated name."""
+    own: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(raw):
+        if m[1]:
+            own.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return own
+
+
+def _parts(words: str) -> list[str]:
+    return [w.lower() for w in re.split(r"[\s_-]+|(?<=[a-z])(?=[A-Z])", words) if w]
+
+
+def _hidden(own: dict[str, str]) -> bool:
+    return own.get("hidden", "false").lower() != "false" or own.get("aria-hidden", "").lower() == "true" or bool(_NOT_SHOWN.search(own.get("style", "")))
+
+
+def _never_named(name: str, own: dict[str, str]) -> bool:
+    """Whether a class, role or id has no other parts than NEVER_NAMES. A heading's id is made of its text, so it is left out."""
+    words = " ".join(own.get(a, "") for a in ("class", "role", *(() if name in HEADINGS else ("id",)))).split()
+    return any((parts := _parts(w)) and NEVER_NAMES.issuperset(parts) for w in words)
 
 
 def tokens(page: str, outside: frozenset = frozenset()) -> list[tuple[str, str, bool, bool]]:
@@ -101,11 +122,12 @@ def tokens(page: str, outside: frozenset = frozenset()) -> list[tuple[str, str,
             first = next((i for i, s in enumerate(stack) if s[2]), None)
             if first is not None:
                 close(first)
-        names = _names(attributes)
-        key = ".".join([name, *sorted({n.lower() for n in names})])
+        held = _attributes(attributes)
+        names = {n for a in ("class", "id", "role") for n in _parts(held.get(a, ""))}
+        key = ".".join([name, *sorted(names)])
         above = stack[-1] if stack else ("", "", False, False)
         own = above[3] or name in OWN
-        never = above[2] or name in NEVER or (name == "header" and not own) or (name not in OWN | {"html", "body"} and (any(n.lower() in NEVER_NAMES for n in names) or key in outside)) or bool(_HIDDEN.search(attributes))
+        never = above[2] or name in NEVER or (name == "header" and not own) or (name not in OWN | {"html", "body"} and (_never_named(name, held) or key in outside)) or _hidden(held)
         out.append(("<" + name, "", not never, above[3]))
         if name in VOID or (attributes.rstrip(">").endswith("/") and name not in BLOCK):
             continue

@@ -274,6 +274,21 @@ def test_main_text():
         assert isinstance(html.main_text(odd, html.weights([])), str)
 
 
+@pytest.mark.parametrize(
+    "element",
+    ['article class="overflow-hidden"', 'div style="overflow:hidden"', 'div title="The hidden cost"', "div data-x=hidden", 'div class="content with-sidebar"', 'section id="search-algorithms"', 'div title="class=ad" data-role="search"', "div hidden=false"],
+)
+def test_words_within_attributes_hide_nothing(element):
+    page = f"""<body><nav><a href="/">Menu</a></nav><{element}><h2 id="related-work">Related work</h2><p>Many words of the text <a href="/hidden-valley">with a link</a> and more of them</p></{element.split()[0]}></body>"""
+    assert html.main_text(page, html.weights([])) == "Related work\nMany words of the text with a link and more of them"
+
+
+@pytest.mark.parametrize("element", ["div hidden", 'div hidden="hidden"', 'div aria-hidden="true"', "div style='color:red; display : none'", "div style=display:none", 'div class="wide sidebar"', 'div id="cookieBanner"', 'div class="social-share"', "div role=search", 'h2 class="ad"', 'section id="comments"'])
+def test_what_is_hidden_or_named_stays_out(element):
+    page = f"<article><p>Many words of the text</p><{element}><p>not this</p></{element.split()[0]}><p>and some more of them</p></article>"
+    assert html.main_text(page, html.weights([])) == "Many words of the text\nand some more of them"
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, "<article><p>words of it</p></article>"), (1, "<article><p>words of it</p></article>"), (2, None), (3, "")], "page_id long, html string")
     got = sorted(tuple(r) for r in html.extract(pages, html.fit(pages)).collect())
