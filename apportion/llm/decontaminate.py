@@ -164,8 +164,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     if _bounded(items):
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
         return docs.mapInArrow(_tiler(docs, items, shortest, docs.columns, text_col, threshold), schema)
-    bad = overlaps(docs, benchmark, id_col, text_col, item_col, item_text, shortest).where(F.col("coverage") >= threshold).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    # Whether a row is contaminated depends on its text, so a row goes by its id and text; ids may be null or repeated.
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    kept = docs.select(F.struct(F.col(id_col).alias("id"), digest.alias("digest")).alias("__key"), F.col(text_col).alias("text"))
+    bad = _joined(kept, items, "__key", shortest).where(F.col("coverage") >= threshold).select(F.col("__key.id").alias("__id"), F.col("__key.digest").alias("__digest")).distinct()
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__id")) & (digest == F.col("__digest")), "left_anti")
 
 
 def _bounded(items: DataFrame) -> bool:

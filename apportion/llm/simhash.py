@@ -249,17 +249,24 @@ def hex_of(fp: Column) -> Column:
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of docs for each component, with all its columns: that of its smallest id; of rows that repeat this id, one.
+    """One row of docs for each component, with all its columns: that of its smallest id; of its rows that repeat this id, one.
 
     Rows without an id are left out if their component has one; else one row of the component stays.
     """
     found = near_duplicates(docs, id_col, text_col)
-    keep = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
-    named = docs.join(keep, F.col(id_col) == F.col("__id"), "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())))
+    own = F.col(id_col) == F.col("component_id")
+    ids = found.groupBy(F.col(id_col).alias("__id")).agg(F.max(own).alias("least"), (F.min("fingerprint") != F.max("fingerprint")).alias("several")).where("least")
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last()))
+    named = docs.join(ids.where("NOT several"), F.col(id_col) == F.col("__id"), "left_semi").withColumn("__n", first)
+    # Rows of different texts may repeat an id; these few are told apart by their fingerprints.
+    classes = found.where(own).select(F.col(id_col).alias("__id"), F.col("fingerprint").alias("__hex"), F.col("component_root").alias("__root")).distinct()
+    repeated = _attach(docs.join(ids.where("several"), F.col(id_col) == F.col("__id"), "left_semi"), text_col).join(classes, (F.col(id_col) == F.col("__id")) & (hex_of(F.col("__fp")) == F.col("__hex")))
+    repeated = repeated.withColumn("__n", F.row_number().over(Window.partitionBy("__root").orderBy(F.col(text_col).asc_nulls_last())))
     roots = found.where("component_id IS NULL").select(F.col("fingerprint").alias("__hex"), F.col("component_root").alias("__root")).distinct()
     lone = _attach(docs.where(F.col(id_col).isNull()), text_col).join(roots, hex_of(F.col("__fp")) == F.col("__hex"))
     lone = lone.withColumn("__n", F.row_number().over(Window.partitionBy("__root").orderBy(F.col(text_col).asc_nulls_last())))
-    return named.where("__n = 1").select(*docs.columns).unionByName(lone.where("__n = 1").select(*docs.columns))
+    kept = [rows.where("__n = 1").select(*docs.columns) for rows in (named, repeated, lone)]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2])
 
 
 def _attach(docs: DataFrame, text_col: str) -> DataFrame:

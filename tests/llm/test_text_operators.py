@@ -156,6 +156,13 @@ def test_near_duplicates_against_all_pairs(spark, odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.representatives(empty).count() == 0
 
 
+def test_a_repeated_id_stands_in_each_of_its_components(spark):
+    a, b, c = ("".join(random.Random(k).choices("abcdefgh ", k=400)) for k in range(3))
+    docs = spark.createDataFrame([(1, c), (5, a), (5, b), (5, b), (5, c), (7, a), (8, b), (None, a)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"]) for r in simhash.representatives(docs).collect())
+    assert got == sorted([(1, c), (5, a), (5, b)])
+
+
 def test_long_lists_give_the_parts_of_short_ones():
     r = np.random.default_rng(2)
     for position in (0, 17, 55):
@@ -219,6 +226,15 @@ def test_reordered_passages_and_both_ways(spark, odd, empty, monkeypatch):
     assert sorted(r["doc_id"] for r in decontaminate.clean(docs, bench).collect()) == [3, 4, 5]
 
 
+@pytest.mark.parametrize("chars", [decontaminate.BROADCAST_CHARS, 0])
+def test_clean_goes_by_row_not_by_id(spark, monkeypatch, chars):
+    monkeypatch.setattr(decontaminate, "BROADCAST_CHARS", chars)
+    item = "one two three four five six seven"
+    docs = spark.createDataFrame([(None, item), (None, "clean"), (None, None), (1, item), (1, "clean too"), (1, "clean too"), (2, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(10, item)], "item_id long, text string")
+    assert sorted(str(r["text"]) for r in decontaminate.clean(docs, bench).collect()) == ["None", "clean", "clean too", "clean too"]
+
+
 # Quality and language.
 
 
