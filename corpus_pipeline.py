@@ -26,6 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near-duplicates are op2's: at most 3 of 64 bits of fingerprints of 3-word shingles differ. Most pairs of texts whose
+    five-word Jaccard similarity is between 0.8 and about 0.9 are not linked, so both stay."""
     return simhash.representatives(docs)
 
 
