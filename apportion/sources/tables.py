@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from apportion.functions import text as T
 from apportion.functions import votes as V
+from apportion.functions.settle import settle
 
 CANONICAL = ("county", "precinct", "office", "district", "party", "candidate", "votes")
 WIDE_FILE = r"(?i)^Virginia_Elections_Database__(\d{4})_(.+?)_General_Election_including_precincts\.csv$"
@@ -170,4 +171,15 @@ def manifest(meta: DataFrame, *keys: str) -> str:
 
 
 def row_numbers(df: DataFrame, *order: str) -> DataFrame:
-    return df.withColumn("id", F.row_number().over(Window.orderBy(*order)))
+    """Adds id, from 1 in this order: a row's position in its range of rows, after the sizes of the ranges before.
+
+    Rows that the order leaves equal go by their place in df, so they don't all fall into one range.
+    """
+    placed = df.withColumn("__place", F.monotonically_increasing_id())
+    rows = settle(placed.repartitionByRange(*order, "__place").sortWithinPartitions(*order, "__place").withColumn("__at", F.monotonically_increasing_id()).drop("__place"))
+    # The id's upper bits are the range's number, its lower 33 bits the position in it.
+    ranges = rows.groupBy(F.shiftright("__at", 33).alias("__range")).agg(F.count("*").alias("n"))
+    before = ranges.select("__range", F.coalesce(F.sum("n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    joined = rows.withColumn("__range", F.shiftright("__at", 33)).join(before, "__range")
+    numbered = joined.withColumn("id", (F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1).cast("int"))
+    return numbered.select(*dict.fromkeys([*df.columns, "id"]))

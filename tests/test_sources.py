@@ -103,3 +103,17 @@ def test_grid():
     for bad in ("", "2", "-0.1"):
         with pytest.raises(ValueError):
             tune.parse_grid(bad)
+
+
+def test_row_numbers_are_global_but_not_of_one_task(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = [(None if k % 50 == 0 else "tie" if k % 3 else f"k{k % 7}", k) for k in range(600)]
+        df = spark.createDataFrame(rows, "k string, v long").repartition(3)
+        got = tables.row_numbers(df, "k", "v").withColumn("task", F.spark_partition_id()).collect()
+        assert [(r["k"], r["v"]) for r in sorted(got, key=lambda r: r["id"])] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+        assert sorted(r["id"] for r in got) == list(range(1, 601)) and len({r["task"] for r in got}) > 1
+        assert sorted(r["id"] for r in tables.row_numbers(df, "k").collect()) == list(range(1, 601))
+        assert tables.row_numbers(df.where("false"), "k").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
