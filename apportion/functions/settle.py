@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """df computed once: a checkpoint in the folder that spark.checkpoint.dir names, or kept by Spark where there is none.
+    """df computed once, as a checkpoint in the folder that spark.checkpoint.dir names; its files outlive lost executors.
 
-    Meant for sums by precinct, county or district, which are far smaller than the ballots they come from.
+    Meant for sums by precinct, county or district, which are far smaller than the ballots they come from. Where the
+    setting is missing, a local session gets a folder of its own; a cluster, whose nodes share no such folder, an error.
     """
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() is not None else df.persist()
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint"))
+    return df.checkpoint()

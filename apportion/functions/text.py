@@ -19,6 +19,7 @@ DISTRICT_YEARS = (2023, 2025)
 GENERAL_DATES = {2008: "2008-11-04", 2009: "2009-11-03", 2012: "2012-11-06", 2013: "2013-11-05", 2014: "2014-11-04", 2016: "2016-11-08", 2017: "2017-11-07", 2018: "2018-11-06", 2020: "2020-11-03", 2021: "2021-11-02", 2024: "2024-11-05", 2025: "2025-11-04"}
 NON_GEOGRAPHIC = ("ABSENTEE", "PROVISIONAL", "EARLY", "MAIL", "CURBSIDE", "ONE STOP", "OS ", "OS-")
 SUFFIXES = ("COUNTY", "CITY", "TOWN")
+SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _lookup(key: Column, table: dict, default: Column) -> Column:
@@ -30,7 +31,7 @@ def text(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text(c), r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    return F.btrim(text(c), F.lit(SPACE))
 
 
 def clean_text(c: Column) -> Column:
@@ -82,7 +83,7 @@ def locality_aliases(canonical: Column) -> Column:
 
 
 def _without_zeros(c: Column) -> Column:
-    return F.when(c.rlike(r"^\d+$"), F.regexp_replace(c, r"^0+(?=\d)", "")).otherwise(c)
+    return F.when(c.rlike(r"^[0-9]+$"), F.coalesce(F.nullif(F.ltrim(c, F.lit("0")), F.lit("")), F.lit("0"))).otherwise(c)
 
 
 def precinct_code(c: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from apportion.functions.settle import settle
@@ -48,7 +48,9 @@ class Apportioned:
 
 def blends(spark, defaults: dict[str, float] = DEFAULT_BLEND, counties=COUNTY_BLEND) -> DataFrame:
     """(scope, county, blend); county is null for a scope's default."""
-    return spark.createDataFrame([(s, None, b) for s, b in defaults.items()] + list(counties), "scope string, county string, blend double")
+    # Literals, so that no Python worker has to start for a few rows.
+    rows = [F.struct(F.lit(s).alias("scope"), F.lit(c).cast("string").alias("county"), F.lit(float(b)).alias("blend")) for s, c, b in [(s, None, b) for s, b in defaults.items()] + list(counties)]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 def with_blend(df: DataFrame, config: DataFrame) -> DataFrame:
@@ -58,20 +60,26 @@ def with_blend(df: DataFrame, config: DataFrame) -> DataFrame:
     return df.join(own, ["scope", "county"], "left").join(default, "scope", "left").withColumn("blend", F.coalesce("__own", "__default", F.lit(0.15))).drop("__own", "__default")
 
 
-def apportion(ballots: DataFrame, geometry: Crosswalk, explicit: Crosswalk | None, scopes: tuple[str, ...]) -> Apportioned:
-    """Direct contributions by precinct splits. Explicit splits serve codes that geometry leaves open, in their scopes."""
+def apportion(ballots: DataFrame, geometry: Crosswalk, explicit: Crosswalk | None, scopes: tuple[str, ...], candidates: bool = True) -> Apportioned:
+    """Direct contributions by precinct splits. Explicit splits serve codes that geometry leaves open, in their scopes.
+
+    Without `candidates`, votes are added up over them and the column is empty: readers that ask for buckets alone then
+    aggregate and shuffle one row for each bucket instead of each candidate.
+    """
     keys = ["contest_type", "year", "county", "code", "bucket", "candidate"]
     code = F.when(F.col("non_geographic"), F.lit("")).otherwise(F.col("code"))
-    sums = settle(ballots.where("votes > 0 AND county != ''").withColumn("code", code).withColumn("candidate", F.trim(F.coalesce("candidate", F.lit("")))).groupBy(*keys).agg(F.sum("votes").alias("votes")))
-    each = sums.withColumn("scope", F.explode(F.array(*[F.lit(s) for s in scopes])))
-    wanted = each.where("code != ''").select("scope", "county", "code").distinct()
-    splits = settle(resolve(wanted, geometry))
-    if explicit is not None:
-        splits = splits.unionByName(resolve(wanted.join(splits.select("scope", "county", "code").distinct(), ["scope", "county", "code"], "left_anti"), explicit))
+    sums = settle(ballots.where("votes > 0 AND county != ''").withColumn("code", code).withColumn("candidate", F.trim(F.coalesce("candidate", F.lit(""))) if candidates else F.lit("")).groupBy(*keys).agg(F.sum("votes").alias("votes")))
+    scope = F.explode(F.array(*[F.lit(s) for s in scopes])).alias("scope")
+    wanted = sums.where("code != ''").select("county", "code").distinct().select(scope, "county", "code")
     on = ["scope", "county", "code"]
-    direct = each.join(splits, on).groupBy(*CONTEST, "county", "district", "bucket", "candidate").agg(F.sum(F.col("votes") * F.col("share")).alias("votes")).withColumn("source", F.lit("direct"))
-    rest = each.join(splits.select(*on).distinct(), on, "left_anti").groupBy(*CONTEST, "county", "bucket", "candidate").agg(F.sum("votes").alias("votes"))
-    return Apportioned(settle(direct), settle(rest))
+    splits = resolve(wanted, geometry)
+    if explicit is not None:
+        splits = settle(splits)
+        splits = splits.unionByName(resolve(wanted.join(splits.select(*on).distinct(), on, "left_anti"), explicit))
+    # One pass over the precincts: rows that no split matches keep all their votes, with a null district.
+    part = F.sum(F.col("votes") * F.coalesce("share", F.lit(1.0))).alias("votes")
+    both = settle(sums.select("*", scope).join(splits.select(*on, "district", "share"), on, "left").groupBy(*CONTEST, "county", "district", "bucket", "candidate").agg(part))
+    return Apportioned(both.where("district IS NOT NULL").withColumn("source", F.lit("direct")), both.where("district IS NULL").drop("district"))
 
 
 def allocation_weights(direct: DataFrame, county_weights: DataFrame, config: DataFrame, strict_zero: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -88,7 +96,7 @@ def allocation_weights(direct: DataFrame, county_weights: DataFrame, config: Dat
     buckets = party.select(*own, "bucket").distinct()
     both = total.join(buckets, own).join(party, [*own, "district", "bucket"], "left").fillna(0.0, ["party_share"])
     mixed = with_blend(both, config).withColumn("raw", blended(F.col("total_share"), F.col("party_share"), F.col("blend"), strict_zero))
-    by = settle(shares(mixed, [*own, "bucket"], "raw", "share").select(*own, "bucket", "district", "share"))
+    by = shares(mixed, [*own, "bucket"], "raw", "share").select(*own, "bucket", "district", "share")
     return by, total.withColumnRenamed("total_share", "share")
 
 
@@ -102,13 +110,16 @@ def allocate(found: Apportioned, geometry: Crosswalk, config: DataFrame, strict_
     own = [*CONTEST, "county"]
     by, total = allocation_weights(found.contributions, geometry.county_weights, config, strict_zero)
     rest = found.unmatched
-    has_bucket, has_total = by.select(*own, "bucket").distinct(), total.select(*own).distinct()
-    a = rest.join(by, [*own, "bucket"])
-    open_ = rest.join(has_bucket, [*own, "bucket"], "left_anti")
-    b = open_.join(total, own)
-    c = open_.join(has_total, own, "left_anti").join(geometry.county_weights, ["scope", "county"])
-    parts = [x.select(*CONTEST, "county", "district", "bucket", "candidate", F.lit("allocated").alias("source"), (F.col("votes") * F.col("share")).alias("votes")) for x in (a, b, c)]
-    return Apportioned(found.contributions.unionByName(parts[0]).unionByName(parts[1]).unionByName(parts[2]), rest)
+
+    def listed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        # A list is as long as its county has districts.
+        return df.groupBy(*keys).agg(F.collect_list(F.struct("district", "share")).alias(name))
+
+    weights = rest.select(*own, "bucket").distinct().join(listed(by, [*own, "bucket"], "__bucket"), [*own, "bucket"], "left").join(listed(total, own, "__total"), own, "left").join(listed(geometry.county_weights, ["scope", "county"], "__area"), ["scope", "county"], "left")
+    weights = weights.select(*own, "bucket", F.coalesce("__bucket", "__total", "__area").alias("__weights"))
+    dealt = rest.join(weights, [*own, "bucket"]).select(*own, "bucket", "candidate", "votes", F.explode("__weights").alias("__w"))
+    given = dealt.select(*own, F.col("__w.district").alias("district"), "bucket", "candidate", F.lit("allocated").alias("source"), (F.col("votes") * F.col("__w.share")).alias("votes"))
+    return Apportioned(found.contributions.unionByName(given), rest)
 
 
 def direct_contests(ballots: DataFrame) -> DataFrame:
@@ -131,13 +142,3 @@ def coverage(found: Apportioned) -> DataFrame:
     both = both.select(*CONTEST, (F.col("direct_matched_votes") + F.col("unmatched")).alias("input_votes"), (F.col("direct_matched_votes") + F.col("allocated_votes")).alias("matched_votes"), "direct_matched_votes", "allocated_votes")
     pct = [F.when(F.col("input_votes") > 0, F.col(c) / F.col("input_votes") * 100).otherwise(0.0).alias(n) for c, n in (("matched_votes", "match_coverage_pct"), ("direct_matched_votes", "direct_match_coverage_pct"))]
     return both.select("*", *pct)
-
-
-def leading(contributions: DataFrame) -> DataFrame:
-    from .contest import leading_candidates
-
-    return leading_candidates(contributions, [*CONTEST, "district"])
-
-
-def window_total(value: str, *keys: str) -> Column:
-    return F.sum(value).over(Window.partitionBy(*keys))

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from apportion.functions.settle import settle
 from apportion.functions.text import district_id, office_class, precinct_code, precinct_code_of_label, locality_key
 
 
@@ -37,10 +38,13 @@ def from_areas(areas: DataFrame) -> Crosswalk:
     """
     sums = areas.groupBy("scope", "county", F.col("code").alias("raw"), "district").agg(F.sum("weight").alias("weight"))
     raw = sums.withColumn("total", F.sum("weight").over(Window.partitionBy("scope", "county", "raw")))
-    named = raw.select("scope", F.upper("county").alias("county"), precinct_code(F.col("raw")).alias("code"), district_id(F.col("district")).alias("district"), (F.col("weight") / F.col("total")).alias("part"), "total").where("county != '' AND code != '' AND district != '' AND part > 0")
+    # All three frames come from these sums, which are settled once.
+    every = settle(raw.select("scope", F.upper("county").alias("county"), precinct_code(F.col("raw")).alias("code"), district_id(F.col("district")).alias("district"), (F.col("weight") / F.col("total")).alias("part"), "total", "weight"))
+    placed = every.where("county != '' AND district != ''")
+    named = placed.where("code != '' AND part > 0")
     splits = shares(named.groupBy("scope", "county", "code", "district").agg(F.sum("part").alias("part")), ["scope", "county", "code"], "part").drop("part")
     weights = named.groupBy("scope", "county", "code").agg(F.max("total").alias("weight"))
-    counties = areas.select("scope", F.upper("county").alias("county"), district_id(F.col("district")).alias("district"), "weight").where("county != '' AND district != ''").groupBy("scope", "county", "district").agg(F.sum("weight").alias("weight"))
+    counties = placed.groupBy("scope", "county", "district").agg(F.sum("weight").alias("weight"))
     return Crosswalk(splits, shares(counties, ["scope", "county"], "weight").drop("weight"), weights)
 
 

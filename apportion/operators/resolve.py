@@ -29,33 +29,40 @@ def _head(code: Column, cut: int) -> Column:
     return F.when(F.length(code) > cut, F.substring(code, F.lit(1), F.length(code) - cut)).otherwise(F.lit(""))
 
 
-def candidates(wanted: DataFrame, codes: DataFrame) -> DataFrame:
-    """(scope, county, code, stage, candidate) of stages 2 to 4, before any guard. Both sides are distinct codes."""
-    p = wanted.select(*ON, "code", F.regexp_replace("code", "-+$", "").alias("p")).where("p != ''").withColumn("number", _number(F.col("p"))).withColumn("digits", leading_digits(F.col("p")))
-    c = codes.select(*ON, F.col("code").alias("candidate")).withColumn("number", _number(F.col("candidate"))).withColumn("digits", leading_digits(F.col("candidate")))
-    keyed = [*ON, "key"]
+SAME, LONGER, ADDED, DROPPED, BASE = 2, 3, 4, 5, 6
+"""Kinds of keys. A kind's stage is its number, 4 at most."""
 
-    def joined(left: DataFrame, right: DataFrame, stage: int) -> DataFrame:
-        return left.join(right, keyed).select(*ON, "code", F.lit(stage).alias("stage"), "candidate")
 
-    numbers = p.where("number != ''").select(*ON, "code", F.col("number").alias("key"))
-    same = joined(numbers, c.where("number != ''").select(*ON, "candidate", F.col("number").alias("key")), 2)
-    longer = joined(numbers, c.select(*ON, "candidate", _head(F.col("number"), 1).alias("key")).where("key != ''"), 3)
+def _keys(df: DataFrame, code: str, keep: str | list[str], kinds: dict[int, Column], cut_kind: int) -> DataFrame:
+    """(scope, county, keep, kind, key, ok), one row for each key that a code has; `code` is the column that keys are made of.
 
-    def heads(df: DataFrame, code: str, *keep: str) -> DataFrame:
-        cut = F.explode(F.array(F.lit(1), F.lit(2)))
-        return df.select(*ON, *keep, code, cut.alias("n")).where(f"length({code}) > n").select(*ON, *keep, F.expr(f"substring({code}, 1, length({code}) - n)").alias("key"), F.expr(f"right({code}, n)").alias("suffix")).where(F.col("suffix").rlike(SUFFIX)).drop("suffix")
+    A code's heads, short of one or two characters that can be a suffix, are its keys of cut_kind. ok tells for BASE
+    whether what follows the leading digits can be a suffix, and holds for all other kinds.
+    """
+    digits = leading_digits(F.col(code))
+    based = F.expr(f"substring({code}, length(__digits) + 1)").rlike(SUFFIX)
+    heads = [F.struct(F.lit(cut_kind).alias("kind"), F.when(F.right(F.col(code), F.lit(n)).rlike(SUFFIX), _head(F.col(code), n)).otherwise("").alias("key"), F.lit(True).alias("ok")) for n in (1, 2)]
+    own = [F.struct(F.lit(kind).alias("kind"), key.alias("key"), F.lit(True).alias("ok")) for kind, key in kinds.items()]
+    base = F.struct(F.lit(BASE).alias("kind"), F.when(F.length("__digits") >= 3, F.col("__digits")).otherwise("").alias("key"), based.alias("ok"))
+    keyed = df.withColumn("__digits", digits).withColumn("__number", _number(F.col(code)))
+    kept = [keep] if isinstance(keep, str) else keep
+    return keyed.select(*ON, *kept, F.explode(F.array(*own, *heads, base)).alias("__k")).select(*ON, *kept, "__k.*").where("key != ''")
 
-    added = joined(p.select(*ON, "code", F.col("p").alias("key")), heads(c, "candidate", "candidate").select(*ON, "candidate", "key"), 4)
-    dropped = joined(heads(p, "p", "code").select(*ON, "code", "key"), c.select(*ON, "candidate", F.col("candidate").alias("key")), 4)
 
-    def based(df: DataFrame, code: str, keep: str) -> DataFrame:
-        rest = F.expr(f"substring({code}, length(digits) + 1)")
-        return df.where("length(digits) >= 3").select(*ON, keep, F.col("digits").alias("key"), rest.rlike(SUFFIX).alias("ok"))
+def candidates(wanted: DataFrame, codes: DataFrame) -> DataFrame:
+    """(scope, county, code, stage, candidate) of stages 2 to 4, before any guard, with what else `codes` has. Both sides
+    are distinct codes.
 
-    left, right = based(p, "p", "code").withColumnRenamed("ok", "p_ok"), based(c, "candidate", "candidate").withColumnRenamed("ok", "c_ok")
-    base = left.join(right, keyed).where("p_ok OR c_ok").select(*ON, "code", F.lit(4).alias("stage"), "candidate")
-    return same.unionByName(longer).unionByName(added).unionByName(dropped).unionByName(base).distinct()
+    Each side is exploded into its keys of all kinds, so that all stages are one join; its rows come together by code.
+    """
+    p = wanted.select(*ON, "code", F.regexp_replace("code", "-+$", "").alias("__p")).where("__p != ''")
+    number = F.col("__number")
+    left = _keys(p, "__p", "code", {SAME: number, LONGER: number, ADDED: F.col("__p")}, DROPPED)
+    c = codes.withColumnRenamed("code", "candidate")
+    more = [x for x in c.columns if x not in (*ON, "candidate")]
+    right = _keys(c, "candidate", ["candidate", *more], {SAME: number, LONGER: _head(number, 1), DROPPED: F.col("candidate")}, ADDED).withColumnRenamed("ok", "__ok")
+    met = left.join(right, [*ON, "kind", "key"]).where("ok OR __ok")
+    return met.select(*ON, "code", F.least("kind", F.lit(4)).alias("stage"), "candidate", *more).repartition(*ON, "code").distinct()
 
 
 def resolve(wanted: DataFrame, crosswalk: Crosswalk) -> DataFrame:
@@ -65,14 +72,15 @@ def resolve(wanted: DataFrame, crosswalk: Crosswalk) -> DataFrame:
     out, and a stage that comes to nothing gives way to the next.
     """
     splits, weights = crosswalk.splits, crosswalk.code_weights
-    own = wanted.where("county != '' AND code != ''").select(*ON, "code").distinct()
-    exact = own.join(splits, [*ON, "code"]).select(*ON, "code", "district", "share", F.lit(1).alias("stage"))
-    codes = splits.select(*ON, "code").distinct()
-    open_ = own.join(codes, [*ON, "code"], "left_anti")
-    found = candidates(settle(open_), codes)
-    found = found.withColumn("n", F.count("*").over(Window.partitionBy(*ON, "code", "stage"))).where("stage = 2 OR (stage = 3 AND n <= 3) OR (stage = 4 AND n <= 4)")
-    weighed = found.join(weights.select(*ON, F.col("code").alias("candidate"), "weight"), [*ON, "candidate"], "left").withColumn("weight", F.coalesce("weight", F.lit(1.0))).where("weight > 0")
-    best = weighed.withColumn("first", F.min("stage").over(Window.partitionBy(*ON, "code"))).where("stage = first")
+    # Settled before its filter, which would otherwise be pushed below the expressions that make the codes, into every row.
+    own = settle(wanted.select(*ON, "code").distinct()).where("county != '' AND code != ''")
+    known = settle(own.join(splits.select(*ON, "code", "district", "share"), [*ON, "code"], "left"))
+    exact = known.where("district IS NOT NULL").select(*ON, "code", "district", "share", F.lit(1).alias("stage"))
+    codes = splits.select(*ON, "code").distinct().join(weights.select(*ON, "code", "weight"), [*ON, "code"], "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
+    # From here to the end rows stay together by code, so nothing but the districts of the candidates has to move.
+    found = candidates(known.where("district IS NULL").select(*ON, "code"), codes)
+    found = found.withColumn("n", F.count("*").over(Window.partitionBy(*ON, "code", "stage"))).where("(stage = 2 OR (stage = 3 AND n <= 3) OR (stage = 4 AND n <= 4)) AND weight > 0")
+    best = found.withColumn("first", F.min("stage").over(Window.partitionBy(*ON, "code"))).where("stage = first")
     parts = best.join(splits.select(*ON, F.col("code").alias("candidate"), "district", "share"), [*ON, "candidate"])
     merged = parts.groupBy(*ON, "code", "stage", "district").agg(F.sum(F.col("share") * F.col("weight")).alias("part"))
     return exact.unionByName(shares(merged, [*ON, "code"], "part").select(*ON, "code", "district", "share", "stage"))

@@ -24,9 +24,11 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = {n: read(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")}
     nations = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("county"), F.col("r_name").alias("region"))
     buyers = t["customer"].join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "county", "region")
-    orders = t["orders"].join(buyers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "county", "region", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("contest_type"))
+    # Lines, orders and customers grow together, so they are merged by key: files as small as the test tables' would make
+    # the optimiser broadcast the lines themselves.
+    orders = t["orders"].join(buyers.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "county", "region", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("contest_type"))
     own = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
-    joined = own.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t["part"].select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(t["supplier"].select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    joined = own.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(t["part"].select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(t["supplier"].select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     number = F.lpad((F.col("l_partkey") % 200).cast("string"), 3, "0")
     label = F.when(F.col("l_linenumber") == 1, F.concat(number, F.lit(" - Absentee"))).otherwise(F.concat(number, F.when(F.col("l_partkey") % 11 == 0, "a").otherwise(""), F.lit(" - Main Street")))
     party = F.when(F.col("l_returnflag") == "A", "Democratic").when(F.col("l_returnflag") == "R", "REPUBLICAN").otherwise("Libertarian")
@@ -44,7 +46,7 @@ def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.concat((F.col("l_partkey") % 200).cast("string"), F.when(F.col("l_partkey") % 13 == 0, "B").otherwise(""))
     sums = own.groupBy("county", code.alias("code"), "s_nationkey").agg(F.sum("votes").alias("weight"))
     scopes = F.explode(F.array(*[F.struct(F.lit(s).alias("scope"), (F.col("s_nationkey") % n + 1).cast("string").alias("district")) for s, n in SCOPE_DISTRICTS.items()]))
-    return sums.select("county", "code", "weight", scopes.alias("x")).groupBy("x.scope", "county", "code", "x.district").agg(F.sum("weight").alias("weight"))
+    return sums.select("county", "code", "weight", scopes.alias("x")).select("x.scope", "county", "code", "x.district", "weight")
 
 
 LINES_SQL = """l AS (SELECT cn.n_name AS county, r.r_name AS region, CAST(year(o_orderdate) AS INT) AS year, o_orderpriority AS contest_type,

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from apportion.functions import text as T
 from apportion.functions import votes as V
-from apportion.functions.settle import settle
 from apportion.operators import allocate, calibrate, contest, crosswalk, diagnose, dims, population, resolve, trend, tune
 
 from . import ballots as B
@@ -20,12 +19,12 @@ SCOPES = tuple(B.SCOPE_DISTRICTS)
 SLICE = "contest_type, year, county"
 
 
-NUDGE = 1.37e-3
-"""Part of the last digit that is added before rounding, in both engines: sums of shares often end in an exact half."""
+# Sums of shares differ between engines in their last bits, and often end in an exact half of the last digit wanted. So
+# both engines first cast to a decimal of six digits more, which drops those bits, and round that half up.
 
 
-def _nudged(sql: str) -> str:
-    """SQL with NUDGE in each round(x, digits)."""
+def _exact_rounds(sql: str) -> str:
+    """SQL with each round(x, digits) made of a decimal."""
     out, at = "", 0
     while (i := sql.find("round(", at)) >= 0:
         depth, j, comma = 1, i + 6, 0
@@ -34,7 +33,7 @@ def _nudged(sql: str) -> str:
             comma = j if sql[j] == "," and depth == 1 else comma
             j += 1
         digits = int(sql[comma + 1 : j - 1])
-        out += f"{sql[at:i]}round(({sql[i + 6 : comma]}) + {NUDGE * 10.0**-digits!r}, {digits})"
+        out += f"{sql[at:i]}CAST(round(CAST({sql[i + 6 : comma]} AS DECIMAL(38, {digits + 6})), {digits}) AS DOUBLE)"
         at = j
     return out + sql[at:]
 
@@ -43,14 +42,14 @@ def query(sql: str | None = None, exact: bool = False):
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLES[f.__name__] = sql if exact else _nudged(sql)
+            ORACLES[f.__name__] = sql if exact else _exact_rounds(sql)
         return f
 
     return add
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c) + NUDGE * 10.0**-digits, digits) for c in columns})
+    return df.withColumns({c: F.round(F.col(c).cast(f"decimal(38, {digits + 6})"), digits).cast("double") for c in columns})
 
 
 # Contest slices.
@@ -223,8 +222,7 @@ def long_to_bucket_pivot(spark, sf_dir):
 
 
 def _crosswalk(spark, sf_dir):
-    found = crosswalk.from_areas(settle(B.pieces(spark, sf_dir)))
-    return crosswalk.Crosswalk(settle(found.splits), found.county_weights, found.code_weights)
+    return crosswalk.from_areas(B.pieces(spark, sf_dir))
 
 
 @query(f"WITH {B.CROSSWALK_SQL} SELECT scope, county, code, district, round(share, 8) AS share FROM sp")
@@ -269,7 +267,8 @@ def block_crosswalk_left_fill(spark, sf_dir):
 
 @query(f"WITH {B.LADDER_SQL} SELECT scope, county, code, district, CAST(stage AS INT) AS stage, round(share, 7) AS share FROM rs")
 def ladder_resolve(spark, sf_dir):
-    wanted = B.ballots(spark, sf_dir).where("NOT non_geographic").select(F.explode(F.array(*[F.lit(s) for s in SCOPES])).alias("scope"), "county", "code").distinct()
+    codes = B.ballots(spark, sf_dir).where("NOT non_geographic").select("county", "code").distinct()
+    wanted = codes.select(F.explode(F.array(*[F.lit(s) for s in SCOPES])).alias("scope"), "county", "code")
     return rounded(resolve.resolve(wanted, _crosswalk(spark, sf_dir)), 7, "share")
 
 
@@ -295,9 +294,9 @@ def weights_l1(spark, sf_dir):
 # Apportionment and allocation.
 
 
-def _allocated(spark, sf_dir):
+def _allocated(spark, sf_dir, candidates=False):
     geometry = _crosswalk(spark, sf_dir)
-    direct = allocate.apportion(B.ballots(spark, sf_dir), geometry, None, SCOPES)
+    direct = allocate.apportion(B.ballots(spark, sf_dir), geometry, None, SCOPES, candidates)
     return allocate.allocate(direct, geometry, allocate.blends(spark))
 
 
@@ -307,7 +306,7 @@ _VOTES_SQL = ", ".join(f"round({c}, 3) AS {c}" for c in _VOTES)
 
 @query(f"WITH {B.APPORTION_SQL} SELECT scope, contest_type, year, county, district, bucket, round(sum(votes), 3) AS votes FROM direct GROUP BY ALL")
 def apportion(spark, sf_dir):
-    found = allocate.apportion(B.ballots(spark, sf_dir), _crosswalk(spark, sf_dir), None, SCOPES).contributions
+    found = allocate.apportion(B.ballots(spark, sf_dir), _crosswalk(spark, sf_dir), None, SCOPES, candidates=False).contributions
     return rounded(found.groupBy("scope", "contest_type", "year", "county", "district", "bucket").agg(F.sum("votes").alias("votes")), 3, "votes")
 
 
@@ -318,7 +317,7 @@ def allocate_unmatched(spark, sf_dir):
 
 @query(f"WITH {B.APPORTION_SQL} SELECT scope, contest_type, year, district, bucket, candidate, round(sum(votes), 3) AS votes FROM al GROUP BY ALL")
 def allocated_candidates(spark, sf_dir):
-    found = _allocated(spark, sf_dir).contributions.where("source = 'allocated'")
+    found = _allocated(spark, sf_dir, candidates=True).contributions.where("source = 'allocated'")
     return rounded(found.groupBy("scope", "contest_type", "year", "district", "bucket", "candidate").agg(F.sum("votes").alias("votes")), 3, "votes")
 
 
@@ -367,12 +366,12 @@ def calibration_report(spark, sf_dir):
     return rows.select("scope", "contest_type", "year", "district", "target_margin_pct", "raw_margin_pct", "raw_error_pct", "raw_abs_error_pct", "needs_calibration", "status")
 
 
-@query("""WITH k AS (SELECT 'congressional' AS scope, o_orderpriority AS contest_type, CAST(year(o_orderdate) AS INT) AS year, CAST(o_custkey % 20 AS VARCHAR) AS district, CAST(count(*) AS BIGINT) AS votes FROM orders WHERE o_custkey % 20 < 12 GROUP BY ALL)
-SELECT scope, contest_type, year, district, CASE WHEN CAST(district AS INT) >= 6 THEN CAST(1 AS BIGINT) ELSE votes END AS votes FROM k UNION ALL SELECT DISTINCT 'congressional', o_orderpriority, CAST(year(o_orderdate) AS INT), CAST(o_custkey % 20 AS VARCHAR), CAST(1 AS BIGINT) FROM orders WHERE o_custkey % 20 BETWEEN 12 AND 15""")
+@query("""WITH k AS (SELECT 'congressional' AS scope, o_orderpriority AS contest_type, CAST(year(o_orderdate) AS INT) AS year, CAST(o_custkey % 20 AS VARCHAR) AS district, CAST(round(sum(CAST(o_totalprice AS DECIMAL(18, 2)))) AS BIGINT) AS votes FROM orders WHERE o_custkey % 20 < 12 GROUP BY ALL)
+SELECT scope, contest_type, year, district, CASE WHEN CAST(district AS INT) >= 6 THEN CAST(1 AS BIGINT) ELSE votes END AS votes FROM k UNION ALL SELECT DISTINCT 'congressional', o_orderpriority, CAST(year(o_orderdate) AS INT), CAST(o_custkey % 20 AS VARCHAR), CAST(1 AS BIGINT) FROM orders WHERE o_custkey % 20 BETWEEN 12 AND 15""", exact=True)
 def upsert_overrides(spark, sf_dir):
-    o = B.read(spark, sf_dir, "orders").select(F.lit("congressional").alias("scope"), F.col("o_orderpriority").alias("contest_type"), F.year("o_orderdate").alias("year"), (F.col("o_custkey") % 20).cast("string").alias("district"))
+    o = B.read(spark, sf_dir, "orders").select(F.lit("congressional").alias("scope"), F.col("o_orderpriority").alias("contest_type"), F.year("o_orderdate").alias("year"), (F.col("o_custkey") % 20).cast("string").alias("district"), F.col("o_totalprice").cast("decimal(18, 2)").alias("price"))
     key = ["scope", "contest_type", "year", "district"]
-    current = o.where("CAST(district AS INT) < 12").groupBy(*key).agg(F.count("*").alias("votes"))
+    current = o.where("CAST(district AS INT) < 12").groupBy(*key).agg(F.round(F.sum("price")).cast("bigint").alias("votes"))
     new = o.where("CAST(district AS INT) BETWEEN 6 AND 15").select(*key).distinct().withColumn("votes", F.lit(1).cast("bigint"))
     return calibrate.upsert(current, new)
 
@@ -399,13 +398,17 @@ def diag_topn_text(spark, sf_dir):
     return diagnose.top_counties(diagnose.county_contributions(_allocated(spark, sf_dir)))
 
 
+def _statistics(spark, sf_dir):
+    geometry = _crosswalk(spark, sf_dir)
+    direct = allocate.apportion(B.ballots(spark, sf_dir), geometry, None, SCOPES, candidates=False)
+    results = allocate.district_results(allocate.allocate(direct, geometry, allocate.blends(spark)).contributions)
+    return tune.statistics(direct, geometry, _targets(results))
+
+
 @query(f"""WITH {B.APPORTION_SQL}, e AS (SELECT abs((rep_votes - dem_votes) / total_votes * 100 - {_TARGET_SQL}) AS e FROM res)
 SELECT CAST(count(*) AS BIGINT) AS target_count, CAST(0 AS BIGINT) AS missing_count, CAST(sum(CASE WHEN e >= 1.0 THEN 1 ELSE 0 END) AS BIGINT) AS over_threshold_count, round(avg(e), 5) AS mae, round(sqrt(avg(e * e)), 5) AS rmse, round(max(e), 5) AS max_abs_error FROM e""")
 def eval_metrics(spark, sf_dir):
-    geometry = _crosswalk(spark, sf_dir)
-    direct = allocate.apportion(B.ballots(spark, sf_dir), geometry, None, SCOPES)
-    results = allocate.district_results(allocate.allocate(direct, geometry, allocate.blends(spark)).contributions)
-    stats = tune.statistics(direct, geometry, _targets(results))
+    stats = _statistics(spark, sf_dir)
     config = {(s, None): v for s, v in allocate.DEFAULT_BLEND.items()}
     rows = tune.metrics(tune.evaluate(stats, tune.config_frame(spark, [("default", config)]))).drop("config_id")
     return rounded(rows, 5, "mae", "rmse", "max_abs_error")
@@ -413,10 +416,7 @@ def eval_metrics(spark, sf_dir):
 
 @query()
 def grid_eval(spark, sf_dir):
-    geometry = _crosswalk(spark, sf_dir)
-    direct = allocate.apportion(B.ballots(spark, sf_dir), geometry, None, SCOPES)
-    results = allocate.district_results(allocate.allocate(direct, geometry, allocate.blends(spark)).contributions)
-    stats = tune.statistics(direct, geometry, _targets(results))
+    stats = _statistics(spark, sf_dir)
     configs = [(f"{v:.2f}", {(s, None): v for s in SCOPES}) for v in tune.parse_grid("0,0.15,0.3,0.5,0.7,0.85,1.0")]
     return tune.metrics(tune.evaluate(stats, tune.config_frame(spark, configs)))
 
@@ -515,7 +515,7 @@ def smart_insights(spark, sf_dir):
 
 @query()
 def district_payloads(spark, sf_dir):
-    found = _allocated(spark, sf_dir)
+    found = _allocated(spark, sf_dir, candidates=True)
     keys = ("scope", "contest_type", "year")
-    rows = contest.district_rows(allocate.district_results(found.contributions), allocate.leading(found.contributions))
+    rows = contest.district_rows(allocate.district_results(found.contributions), contest.leading_candidates(found.contributions, [*allocate.CONTEST, "district"]))
     return contest.slice_payloads(rows, allocate.coverage(found), keys)
