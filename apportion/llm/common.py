@@ -20,10 +20,16 @@ def fold(doc_id: Column, k: int) -> Column:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with an eager checkpoint in the folder that spark.checkpoint.dir names."""
+    """Cut lineage with an eager checkpoint in the folder that spark.checkpoint.dir names.
+
+    Where the setting is missing, a local session gets a folder of its own; a cluster, whose nodes share none, an error.
+    """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint"))
     return df.checkpoint()
 
 
@@ -35,15 +41,22 @@ def text_batches(batches, column: str = "text", rows: int = 256):
             yield part, [x if x is not None else "" for x in part.column(column).to_pylist()]
 
 
-def bounded_sample(df: DataFrame, by: Column, rows: int) -> DataFrame:
-    """About `rows` rows of df, chosen by a hash of `by` (the same rows each time); all of them if df has no more.
+LONGEST = 1 << 16
+"""Characters of the longest text that a sample to learn from may hold."""
+
+
+def bounded_sample(df: DataFrame, rows: int, text: str | None = "text") -> DataFrame:
+    """At most `rows` distinct rows of df whose text is not null and has at most LONGEST characters, to learn a model from.
+    So a sample has at most rows x LONGEST characters, however many rows repeat an id or a text.
 
-    The count reads only what the filters of df read, so the sample costs one narrow pass and one filtered pass.
+    Rows are drawn by a hash of all their columns (the same rows each time), so equal rows are drawn, and kept, once. The
+    count before reads only what the filters of df read, not the texts.
     """
     total = df.count()
-    if total <= rows:
-        return df
-    return df.where(F.pmod(F.xxhash64(by, F.lit("sample")), F.lit(1 << 20)) < int((1 << 20) * rows / total))
+    own = df if text is None else df.where(F.length(text) <= LONGEST)
+    if total > rows:
+        own = own.where(F.pmod(F.xxhash64(*df.columns, F.lit("sample")), F.lit(1 << 20)) < int((1 << 20) * rows / total))
+    return own.distinct().limit(rows)
 
 
 def offsets(lengths) -> np.ndarray:

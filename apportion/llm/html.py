@@ -1,18 +1,27 @@
 """Main text of web pages by the maximum-scoring subsequence of their tokens.
 
 A page is a row of tokens: tags, and words with the element that holds them. Words of elements that mostly hold content
-score above zero, tags and words of other elements below; the contiguous run of tokens with the greatest sum, found in
-one scan, is the content region. Weights are log odds of lying inside or outside the content of labelled pages: pages
-that mark their content themselves, with one <article> or <main>. They are counted on at most LABELLED pages drawn by
-hash, and added to prior counts that stand for common usage, so unseen elements get sensible weights.
-
-Elements that are never content (scripts, menus, forms, asides, adverts, notices, reader comments, and any element that
-labelled pages hold outside their content only) score as tags and their words are left out of the region's text. A class
-or id that has such a word as one part among others ("with-sidebar") only gives its element weights of its own. In
-the region, each block element makes a block: its text with character references decoded, each run of white space as
-one space, trimmed; blocks are joined in page order by a line feed. A page is parsed within one row of one narrow pass.
-
-Null and empty pages, and pages without content, have empty text.
+score above zero; tags, and words of other elements, below. The contiguous run of tokens with the greatest sum, found in
+one linear scan, is the content region: what lies before and after it (menus, adverts, notices, footers, comments) goes
+because its sum is below zero, whatever it is called.
+
+Weights are log odds of lying inside or outside the content of labelled pages: pages that mark their content themselves,
+with one <article> or <main>. They are counted on at most LABELLED pages drawn by hash, and added to prior counts that
+stand for common usage. A weight belongs to a key, which is made of
+
+    * the nearest block or named element, its name with its class, id and role;
+    * for elements that are not made for prose (div, span, td, ...), whether the block is a short one;
+    * whether an element around it is of a doubtful kind by common usage (menus, asides, forms, adverts, comments, ...).
+
+The search can't cut inside its run. There, elements of a doubtful kind whose words score below zero are left out; a kind
+whose words labelled pages hold in their content scores above zero and stays. A form around most of a page is no doubt.
+
+Only what a browser doesn't show as text is never taken: scripts, styles, the head, controls, and what attributes hide
+(`hidden`, aria-hidden="true", display:none in `style`). Each block element makes a block of the region: its text with
+character references decoded, each run of white space as one space, trimmed; blocks are joined in page order by a line
+feed. A page is parsed within one row of one narrow pass.
+
+Null and empty pages, and pages without content, have empty text. Ids may be null or repeated: rows are not joined.
 """
 
 from __future__ import annotations
@@ -21,6 +30,8 @@ import html
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,9 +39,9 @@ from pyspark.sql import functions as F
 
 from .common import bounded_sample, text_batches
 
-LABELLED = 2_000
-MIN_WORDS, OUTSIDE = 20, 0.02
-"""An element with so many words on labelled pages, at most this share of them inside content, is never content."""
+LABELLED = 500
+SHORT = 12
+"""A block of fewer words is a short one."""
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,9 +50,12 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 CLOSES_P = BLOCK - {"body", "head", "html", "option", "optgroup", "td", "th", "tr", "caption", "tbody", "thead", "tfoot"}
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}), "option": ("option", {"select"})}
 
-# Common usage: elements, and words of class, id and role, that hold no content; elements that hold it.
-NEVER = frozenset("head script style template noscript nav menu aside form button select textarea input iframe svg canvas object dialog footer title".split())
-NEVER_NAMES = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments commentlist consent contentinfo cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar widget".split())
+UNSEEN = frozenset("head script style template noscript button select textarea input iframe svg canvas object title".split())
+"""Elements whose text a browser doesn't show as text of the page."""
+
+# Common usage: elements, and words of class, id and role, that seldom hold content; elements that hold it.
+DOUBTFUL = frozenset("nav menu aside dialog footer".split())
+DOUBTFUL_NAMES = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments commentlist consent contentinfo cookie cookies copyright disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar widget".split())
 OWN = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 GOOD = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt figcaption article main".split())
@@ -69,28 +83,52 @@ def _hidden(own: dict[str, str]) -> bool:
     return own.get("hidden", "false").lower() != "false" or own.get("aria-hidden", "").lower() == "true" or bool(_NOT_SHOWN.search(own.get("style", "")))
 
 
-def _never_named(name: str, own: dict[str, str]) -> bool:
-    """Whether a class, role or id has no other parts than NEVER_NAMES. A heading's id is made of its text, so it is left out."""
+def _doubtful_named(name: str, own: dict[str, str]) -> bool:
+    """Whether a class, role or id has no other parts than DOUBTFUL_NAMES. A heading's id is made of its text, so it is left out."""
     words = " ".join(own.get(a, "") for a in ("class", "role", *(() if name in HEADINGS else ("id",)))).split()
-    return any((parts := _parts(w)) and NEVER_NAMES.issuperset(parts) for w in words)
+    return any((parts := _parts(w)) and DOUBTFUL_NAMES.issuperset(parts) for w in words)
+
+
+@dataclass(slots=True)
+class Token:
+    """A tag (no text) or a text. `own`: an <article> or <main> is around it; `doubt`: 2 if an element of a doubtful kind
+    is, 1 if only a form is, else 0; `n`: how many words the text has."""
+
+    key: str
+    text: str
+    shown: bool
+    own: bool
+    doubt: int
+    n: int = 0
+
+
+@dataclass(slots=True)
+class _Open:
+    name: str
+    key: str
+    shown: bool
+    own: bool
+    doubt: int
 
 
-def tokens(page: str, outside: frozenset = frozenset()) -> list[tuple[str, str, bool, bool]]:
-    """(key, text, content, own) in page order: key is `<name` or `</name` with no text, or a text's element; content is
-    whether no element around it is one that is never content; own is whether an <article> or <main> is around it."""
-    out: list = []
-    stack: list[tuple[str, str, bool, bool]] = []  # name, key, never, own
+def tokens(page: str) -> list[Token]:
+    """Tokens in page order. A tag's key is `<name` or `</name`; a text's that of its element, after `~` in doubt."""
+    out: list[Token] = []
+    root = _Open("", "", True, False, 0)
+    stack: list[_Open] = []
+    open_names: Counter = Counter()
     at = 0
 
     def text(raw: str) -> None:
         if raw and not raw.isspace():
-            top = stack[-1] if stack else ("", "", False, False)
-            out.append((top[1], raw, not top[2], top[3]))
+            top = stack[-1] if stack else root
+            out.append(Token(top.key, raw, top.shown, top.own, top.doubt, len(raw.split())))
 
     def close(index: int) -> None:
         while len(stack) > index:
-            name, _, never, own = stack.pop()
-            out.append(("</" + name, "", not never, own))
+            e = stack.pop()
+            open_names[e.name] -= 1
+            out.append(Token("</" + e.name, "", e.shown, e.own, e.doubt))
 
     for m in _TOKEN.finditer(page):
         if m.start() < at:
@@ -103,96 +141,122 @@ def tokens(page: str, outside: frozenset = frozenset()) -> list[tuple[str, str,
         if not m[0].endswith(">"):
             break  # the page ends within a tag
         if m[1]:
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if found is not None:
-                close(found)
+            if open_names[name] > 0:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name))
             elif name == "p":
-                out.append(("</p", "", True, bool(stack and stack[-1][3])))
+                top = stack[-1] if stack else root
+                out.append(Token("</p", "", top.shown, top.own, top.doubt))
             continue
         if name in CLOSES_P or name in CLOSES:
             ends, scope = CLOSES.get(name, ("", set()))
             ends = set(ends.split()) | ({"p"} if name in CLOSES_P else set())
-            i = len(stack) - 1
-            while i >= 0 and stack[i][0] not in ends and stack[i][0] not in scope and (stack[i][0] not in BLOCK or stack[i][0] in ("p", "li")):
+            i = len(stack) - 1 if any(open_names[e] > 0 for e in ends) else -1
+            while i >= 0 and stack[i].name not in ends and stack[i].name not in scope and (stack[i].name not in BLOCK or stack[i].name in ("p", "li")):
                 i -= 1
-            if i >= 0 and stack[i][0] in ends:
-                close(i)
-        if name in OWN:
+            if i >= 0:
+                if stack[i].name in ends:
+                    close(i)
+        if name in OWN and stack and (stack[-1].doubt or not stack[-1].shown):
             # Content that a page marks is not part of an element left open before it.
-            first = next((i for i, s in enumerate(stack) if s[2]), None)
-            if first is not None:
-                close(first)
+            close(next(i for i, s in enumerate(stack) if s.doubt or not s.shown))
         held = _attributes(attributes)
         names = {n for a in ("class", "id", "role") for n in _parts(held.get(a, ""))}
-        key = ".".join([name, *sorted(names)])
-        above = stack[-1] if stack else ("", "", False, False)
-        own = above[3] or name in OWN
-        never = above[2] or name in NEVER or (name == "header" and not own) or (name not in OWN | {"html", "body"} and (_never_named(name, held) or key in outside)) or _hidden(held)
-        out.append(("<" + name, "", not never, above[3]))
+        above = stack[-1] if stack else root
+        own = above.own or name in OWN
+        doubtful = name in DOUBTFUL or (name == "header" and not own) or (name not in OWN | {"html", "body"} and _doubtful_named(name, held))
+        doubt = max(above.doubt, 2 if doubtful else 1 if name == "form" else 0)
+        shown = above.shown and name not in UNSEEN and not _hidden(held)
+        out.append(Token("<" + name, "", shown, above.own, doubt))
         if name in VOID or (attributes.rstrip(">").endswith("/") and name not in BLOCK):
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.IGNORECASE).search(page, at)
             at = len(page) if end is None else end.start()
-            stack.append((name, key, True, own))
+            open_names[name] += 1
+            stack.append(_Open(name, name, False, own, doubt))
             continue
         # Texts are counted by the nearest block or named element.
-        stack.append((name, key if names or name in BLOCK or (name == "a" and above[1].split(".")[0] not in GOOD) else above[1] or name, never, own))
+        key = ".".join([name, *sorted(names)]) if names or name in BLOCK or (name == "a" and above.key.split(".")[0] not in GOOD) else above.key or name
+        open_names[name] += 1
+        stack.append(_Open(name, key, shown, own, doubt))
     else:
         text(page[at:])
+    _finish(out)
     return out
 
 
+def _finish(found: list[Token]) -> None:
+    """Marks texts in doubt and texts of short blocks in their keys, once the whole page is known."""
+    texts = [t for t in found if t.text and t.shown]
+    form = 2 * sum(t.n for t in texts if t.doubt == 1) > sum(t.n for t in texts)
+    block: list[Token] = []
+
+    def end():
+        if sum(t.n for t in block) < SHORT:
+            for t in block:
+                if t.key.split(".")[0] not in GOOD | LISTS | {"a"}:
+                    t.key += "/short"
+        block.clear()
+
+    for t in found:
+        if t.text:
+            if t.shown:
+                block.append(t)
+        elif t.key.lstrip("</") in BLOCK:
+            end()
+    end()
+    for t in found:
+        if t.doubt == 1 and form:
+            t.doubt = 0
+        if t.doubt and t.text:
+            t.key = "~" + t.key
+
+
 class Weights:
-    """Log odds of keys, from counts inside and outside content; and the elements that are never content."""
+    """Log odds of keys, from counts inside and outside content."""
 
-    def __init__(self, inside: dict[str, int], outside: dict[str, int], never: frozenset = frozenset()):
-        self.inside, self.outside, self.never = inside, outside, never
+    def __init__(self, inside: dict[str, int], outside: dict[str, int]):
+        self.inside, self.outside = inside, outside
         self.memo: dict[str, float] = {}
 
     def __call__(self, key: str) -> float:
         w = self.memo.get(key)
         if w is None:
-            # Prior counts: words of content elements 8 to 2, of lists and tables 3 to 1, links 1 to 4, others 4 to 3; tags 1 to 4, save those of content and lists, 1 to 2.
-            name = key.lstrip("</").split(".")[0]
+            # Prior counts: words in doubt 1 to 8, of content elements 8 to 2, of lists and tables 3 to 1, links 1 to 4, other short blocks 2 to 3, others 4 to 3; tags 1 to 4, save those of content and lists, 1 to 2.
+            name = key.lstrip("</").split(".")[0].split("/")[0]
             if key.startswith("<"):
                 a, b = (1, 2) if name in GOOD | LISTS or name not in BLOCK else (1, 4)
+            elif key.startswith("~"):
+                a, b = (1, 8)
             else:
-                a, b = (8, 2) if name in GOOD else (3, 1) if name in LISTS else (1, 4) if name == "a" else (4, 3)
+                a, b = (8, 2) if name in GOOD else (3, 1) if name in LISTS else (1, 4) if name == "a" else (2, 3) if key.endswith("/short") else (4, 3)
             w = math.log((self.inside.get(key, 0) + a) / (self.outside.get(key, 0) + b))
             w = max(-4.0, min(4.0, w)) if not key.startswith("<") else max(-4.0, min(-0.1, w))
             if len(self.memo) < 100_000:
                 self.memo[key] = w
         return w
 
-
-def counts(page: str) -> Counter:
-    """Words and tags of a labelled page by (key, inside), without elements that never are content."""
-    found: Counter = Counter()
-    for key, text, content, own in tokens(page):
-        if content:
-            found[key, own] += len(text.split()) if text else 1
-    return found
+    def of(self, t: Token) -> float:
+        if not t.shown:
+            return 0.0 if t.text else -0.5
+        return self(t.key) * (t.n if t.text else 1)
 
 
 def weights(pages: list[str]) -> Weights:
+    """Weights from the shown words and the tags of labelled pages."""
     inside, outside = Counter(), Counter()
     for page in pages:
-        for (key, own), n in counts(page).items():
-            (inside if own else outside)[key] += n
-    seen = {k: inside[k] + outside[k] for k in {*inside, *outside} if k and not k.startswith("<")}
-    never = frozenset(k for k, n in seen.items() if "." in k and n >= MIN_WORDS and inside[k] <= OUTSIDE * n)
-    return Weights(dict(inside), dict(outside), never)
+        for t in tokens(page):
+            if t.shown:
+                (inside if t.own else outside)[t.key] += t.n if t.text else 1
+    return Weights(dict(inside), dict(outside))
 
 
-def region(found: list[tuple[str, str, bool, bool]], w: Weights) -> tuple[int, int]:
-    """The run of tokens with the greatest sum; (0, 0) if no sum is above zero."""
+def region(scores: Iterable[float]) -> tuple[int, int]:
+    """The contiguous run with the greatest sum, the shortest first one of equals; (0, 0) if no sum is above zero."""
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (key, text, content, _) in enumerate(found):
-        if not text:
-            total += w(key) if content else -0.5
-        elif content:
-            total += w(key) * len(text.split())
+    for i, x in enumerate(scores):
+        total += x
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
@@ -200,9 +264,28 @@ def region(found: list[tuple[str, str, bool, bool]], w: Weights) -> tuple[int, i
     return best_at
 
 
+def _left_out(found: list[Token], scores: list[float], a: int, b: int) -> set[int]:
+    """Texts in the run a to b of elements of a doubtful kind whose words score below zero, with content on both sides."""
+    out, spans, span = set(), [], []
+    good = [i for i in range(a, b) if found[i].text and found[i].shown and scores[i] > 0]
+    for i in range(good[0], good[-1] + 1) if good else ():
+        if found[i].doubt:
+            span.append(i)
+        elif span:
+            spans.append(span)
+            span = []
+    for span in spans:
+        texts = [i for i in span if found[i].text and found[i].shown]
+        if sum(scores[i] for i in texts) < 0:
+            out.update(texts)
+    return out
+
+
 def main_text(page: str, w: Weights) -> str:
-    found = tokens(page, w.never)
-    a, b = region(found, w)
+    found = tokens(page)
+    scores = [w.of(t) for t in found]
+    a, b = region(scores)
+    drop = _left_out(found, scores, a, b)
     blocks, held = [], []
 
     def end():
@@ -210,11 +293,12 @@ def main_text(page: str, w: Weights) -> str:
             blocks.append(block)
         held.clear()
 
-    for key, text, content, _ in found[a:b]:
-        if text:
-            if content:
-                held.append(text)
-        elif (name := key.lstrip("</")) in BLOCK:
+    for i in range(a, b):
+        t = found[i]
+        if t.text:
+            if t.shown and i not in drop:
+                held.append(t.text)
+        elif (name := t.key.lstrip("</")) in BLOCK:
             end()
         elif name == "br":
             held.append(" ")
@@ -223,16 +307,16 @@ def main_text(page: str, w: Weights) -> str:
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", rows: int = LABELLED) -> Weights:
-    """Weights from pages with exactly one <article> or <main>, at most about `rows` of them, drawn by a hash of the id."""
+    """Weights from pages with exactly one <article> or <main>, at most `rows` of them, drawn by a hash of the page."""
     marks = F.size(F.split(F.col(html_col), r"(?i)<(?:article|main)[\s>]")) - 1
-    own = pages.where(marks == 1).select(F.col(id_col).alias("__id"), F.col(html_col).alias("html"))
-    return weights([r["html"] for r in bounded_sample(own, F.coalesce(F.col("__id").cast("string"), F.lit("")), rows).collect()])
+    own = pages.where(marks == 1).select(F.col(html_col).alias("html"))
+    return weights([r["html"] for r in bounded_sample(own, rows, "html").collect()])
 
 
 def extract(pages: DataFrame, w: Weights, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Rows (id, text, n_chars), one for each row of pages."""
     id_type = pages.select(id_col).schema[0]
-    sent = pages.sparkSession.sparkContext.broadcast((w.inside, w.outside, w.never))
+    sent = pages.sparkSession.sparkContext.broadcast((w.inside, w.outside))
 
     def run(batches):
         own = Weights(*sent.value)

@@ -115,9 +115,9 @@ def fit_texts(rows: list[tuple[str, str]], seed: int = 0) -> Model:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Model:
-    """Model from the rows of docs with a language, at most about `rows` of them, drawn by a hash of the id."""
-    own = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), F.col(lang_col).alias("__lang"))
-    chosen = bounded_sample(own, F.col("__id"), rows).select("text", "__lang").collect()
+    """Model from the rows of docs with a text and a language, at most `rows` of them, drawn by a hash of the row."""
+    own = docs.where(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("__lang"))
+    chosen = bounded_sample(own, rows).collect()
     return fit_texts(sorted((r["text"], r["__lang"]) for r in chosen))
 
 
