@@ -13,8 +13,8 @@ stand for common usage. A weight belongs to a key, which is made of
     * for elements that are not made for prose (div, span, td, ...), whether the block is a short one;
     * whether an element around it is of a doubtful kind by common usage (menus, asides, forms, adverts, comments, ...).
 
-The search can't cut inside its run. There, elements of a doubtful kind whose words score below zero are left out; a kind
-whose words labelled pages hold in their content scores above zero and stays. A form around most of a page is no doubt.
+The search can't cut inside its run. There, elements of a doubtful kind whose words score below zero are left out, so they
+interrupt a run at the cost of GAP at most; a kind whose words labelled pages hold in their content scores above zero and stays. A form around most of a page is no doubt.
 
 Only what a browser doesn't show as text is never taken: scripts, styles, the head, controls, and what attributes hide
 (`hidden`, aria-hidden="true", display:none in `style`). Each block element makes a block of the region: its text with
@@ -40,6 +40,8 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, text_batches
 
 LABELLED = 500
+GAP = 2.0
+"""What elements of a doubtful kind cost at most where they interrupt a run."""
 SHORT = 12
 """A block of fewer words is a short one."""
 
@@ -264,28 +266,43 @@ def region(scores: Iterable[float]) -> tuple[int, int]:
     return best_at
 
 
-def _left_out(found: list[Token], scores: list[float], a: int, b: int) -> set[int]:
-    """Texts in the run a to b of elements of a doubtful kind whose words score below zero, with content on both sides."""
-    out, spans, span = set(), [], []
-    good = [i for i in range(a, b) if found[i].text and found[i].shown and scores[i] > 0]
-    for i in range(good[0], good[-1] + 1) if good else ():
-        if found[i].doubt:
+def _spans(found: list[Token]) -> list[list[int]]:
+    """Runs of tokens of elements of a doubtful kind."""
+    spans, span = [], []
+    for i, t in enumerate(found):
+        if t.doubt:
             span.append(i)
         elif span:
             spans.append(span)
             span = []
-    for span in spans:
+    return spans + [span] if span else spans
+
+
+def scored(found: list[Token], w: Weights) -> tuple[list[float], list[list[int]]]:
+    """Scores of the tokens, and the texts of each doubtful run that scores below zero; such a run costs GAP at most."""
+    scores, doubtful = [w.of(t) for t in found], []
+    for span in _spans(found):
         texts = [i for i in span if found[i].text and found[i].shown]
         if sum(scores[i] for i in texts) < 0:
-            out.update(texts)
-    return out
+            doubtful.append(texts)
+            if sum(scores[i] for i in span) < -GAP:
+                for i in span:
+                    scores[i] = 0.0
+                scores[span[0]] = -GAP
+    return scores, doubtful
+
+
+def _left_out(found: list[Token], scores: list[float], doubtful: list[list[int]], a: int, b: int) -> set[int]:
+    """Doubtful texts in the run a to b that have content on both sides."""
+    good = [i for i in range(a, b) if found[i].text and found[i].shown and scores[i] > 0]
+    return {i for texts in doubtful for i in texts if good and good[0] < i < good[-1]}
 
 
 def main_text(page: str, w: Weights) -> str:
     found = tokens(page)
-    scores = [w.of(t) for t in found]
+    scores, doubtful = scored(found, w)
     a, b = region(scores)
-    drop = _left_out(found, scores, a, b)
+    drop = _left_out(found, scores, doubtful, a, b)
     blocks, held = [], []
 
     def end():
