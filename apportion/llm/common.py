@@ -24,13 +24,28 @@ def cut(df: DataFrame) -> DataFrame:
 
     Where the setting is missing, a local session gets a folder of its own; a cluster, whose nodes share none, an error.
     """
-    sc = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this session's own in the one that spark.checkpoint.dir names."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint"))
-    return df.checkpoint()
+    return sc.getCheckpointDir()
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A name for a new column that no column of df has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    out = f"__{name}"
+    while out.lower() in taken:
+        out = f"_{out}"
+    return out
 
 
 def text_batches(batches, column: str = "text", rows: int = 256):

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 import zlib
 from unittest import mock
@@ -88,6 +89,29 @@ def test_the_ledger_scans_a_blob_once(spark, odd, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_ledger_is_stored_and_scans_new_blobs_only(spark, tmp_path, monkeypatch):
+    folder, key = str(tmp_path / "ledger"), "AKIA" + "A" * 16
+    first = spark.createDataFrame([(1, f"a {key}"), (2, "plain"), (3, f"a {key}"), (None, None)], "doc_id long, text string")
+    second = spark.createDataFrame([(1, f"a {key} moved"), (2, "plain"), (4, f"a {key}"), (5, "")], "doc_id long, text string")
+    assert secrets.read_ledger(spark, folder) is None
+    assert secrets.update(first, folder).count() == 3
+    ledger = secrets.read_ledger(spark, folder)
+    assert secrets.unseen(second, ledger).count() == 1 and secrets.scan(second, ledger).count() == 1
+    monkeypatch.setattr(secrets, "find_spans", lambda text: 1 / 0)  # known blobs are not scanned again
+    assert secrets.scan(first, ledger).count() == 0
+    monkeypatch.undo()
+    assert secrets.update(second, folder).count() == 4
+    assert secrets.update(second, folder, rule_version="next").count() == 4 + 4
+    found = sorted((r["path"], len(r["spans"])) for r in secrets.findings(second, secrets.read_ledger(spark, folder)).collect())
+    assert found == [(1, 1), (2, 0), (4, 1), (5, 0)]
+
+
+def test_redact_keeps_columns_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "AKIA" + "A" * 16, "b", "s", 7), (2, "plain", "c", "t", 8)], "doc_id long, text string, __blob string, __spans string, __salt int")
+    got = sorted(tuple(r) for r in secrets.redact(docs, secrets.scan(docs)).collect())
+    assert got == [(1, "[REDACTED]", "b", "s", 7), (2, "plain", "c", "t", 8)]
+
+
 # Token counts.
 
 
@@ -222,10 +246,33 @@ def test_reordered_passages_and_both_ways(spark, odd, empty, monkeypatch):
     assert decontaminate.clean(odd, bench).count() == len(ODD) and decontaminate.clean(empty, bench).count() == 0
     assert decontaminate.clean(docs, bench.where("false")).count() == 8
     monkeypatch.setattr(decontaminate, "BROADCAST_CHARS", 0)
-    assert set(found()) == set(here)
+    assert found() == here
     assert sorted(r["doc_id"] for r in decontaminate.clean(docs, bench).collect()) == [3, 4, 5]
 
 
+def test_tiles_keep_the_order_of_plain_tiling_and_repetitive_texts_are_quick():
+    a, b = np.array([1, 2, 3, 9, 1, 2, 3, 4, 9, 1, 2, 3, 4]), np.array([1, 2, 3, 4, 8, 1, 2, 3])
+    assert decontaminate.tile(a, b, 3) == [(4, 4, 0), (3, 0, 5)]
+    began = time.time()
+    assert decontaminate.tile(np.ones(20_000, dtype=np.int64), np.ones(200, dtype=np.int64), 5) == [(200, 0, 0)]
+    r = random.Random(1)
+    decontaminate.tile(np.array(r.choices([1, 2], k=20_000)), np.array(r.choices([1, 2], k=2_000)), 5)
+    assert decontaminate.Index([(0, "a " * 200)], 5).matches("a " * 20_000) == [(0, 1, 200, 200, 1.0)]
+    assert time.time() - began < 3
+
+
+@pytest.mark.parametrize("chars", [decontaminate.BROADCAST_CHARS, 0])
+def test_ids_of_any_type_and_null_ids(spark, monkeypatch, chars):
+    monkeypatch.setattr(decontaminate, "BROADCAST_CHARS", chars)
+    item = "one two three four five six seven"
+    docs = spark.createDataFrame([("a", item, 1), (None, item, 2), (None, item, 2), ("b", "clean", 3)], "doc_id string, text string, digest int")
+    bench = spark.createDataFrame([("x", item), (None, item), (None, item), (None, "short")], "item_id string, text string")
+    got = sorted((str(r["doc_id"]), str(r["item_id"]), r["coverage"]) for r in decontaminate.overlaps(docs, bench).collect())
+    assert got == sorted((d, i, 1.0) for d in ("a", "None", "None") for i in ("x", "None", "None"))
+    assert [tuple(r) for r in decontaminate.clean(docs, bench).collect()] == [("b", "clean", 3)]
+    assert decontaminate.clean(docs, bench.where("item_id IS NULL")).count() == 1
+
+
 @pytest.mark.parametrize("chars", [decontaminate.BROADCAST_CHARS, 0])
 def test_clean_goes_by_row_not_by_id(spark, monkeypatch, chars):
     monkeypatch.setattr(decontaminate, "BROADCAST_CHARS", chars)
