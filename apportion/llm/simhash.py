@@ -1,18 +1,20 @@
 """Near-duplicate documents by SimHash over a byte-position inverted index with count filtering.
 
-A fingerprint is 64 majority bits over the XXH64 hashes of a text's 3-word shingles. Fingerprints that differ in at
-most DISTANCE bits agree in at least 8 - DISTANCE = 5 of their 8 byte positions. The inverted index is over byte
-positions: its lists are those of five positions at once (56 choices), so fingerprints that meet in a list have reached
-the guaranteed number of shared bytes, and no list is longer than the 2^24 values that the other bytes can have. In a
-list, pairs of distinct fingerprints are tallied and verified, but only links to a root of each connected part leave it:
-a list of n fingerprints gives fewer than n rows, never n^2.
-
-    * lists of up to SMALL fingerprints are verified pair by pair, in blocks;
-    * longer lists differ in 24 bits only, so they are verified with a table of 2^24 marks: two fingerprints are within
-      three bits if and only if some value is within one bit of the one and two bits of the other.
+A fingerprint is 64 majority bits over the XXH64 hashes of a text's 3-word shingles. Fingerprints that differ in at most
+DISTANCE bits agree in at least MATCHES = 8 - DISTANCE = 5 of their 8 byte positions, so in four of the first seven. The
+inverted index has a list for each value of four of the first seven bytes (35 choices); pairs that meet in a list have
+four shared bytes, and the tally over all eight positions keeps those that reach five, whose bits are then compared.
+Only links to a root of each connected part leave a list: n fingerprints give fewer than n rows, never n^2.
+
+    * pairs of a list of up to SMALL fingerprints are tallied in blocks;
+    * a longer list is tallied by splitting: each of the four other bytes deals it into lists of five shared bytes, which
+      reach the count by themselves. Such a list differs in 24 bits only; if it is still long, it is verified with a
+      table of 2^24 marks: two fingerprints are within three bits if and only if some value is within one bit of the one
+      and two bits of the other. The links join the same parts as those of all pairs.
 
 Texts with equal fingerprints are one vertex, which takes care of exact copies before the index. Links between vertices
-are joined to connected components by alternating large and small stars, with lineage cut at each round.
+are joined to connected components by alternating large and small stars, with lineage cut at each round. Where rows are
+joined to what their fingerprint, neighbours or component come to, keys with over 1/HOT of the rows are dealt to SALTS parts.
 
 Null texts count as empty; texts without words have fingerprint zero and are linked like any other. Rows are kept as
 they are, repeated ids included; a component's id is its smallest id that isn't null.
@@ -27,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, offsets, text_batches
+from .common import cut, fresh, offsets, text_batches
 
 SHINGLE, SEED, DISTANCE, SMALL = 3, 42, 3, 2048
 MATCHES = 8 - DISTANCE
-MASKS = [sum(0xFF << 8 * b for b in kept) for kept in combinations(range(8), MATCHES)]
+MASKS = [sum(0xFF << 8 * b for b in kept) for kept in combinations(range(7), MATCHES - 1)]
+HOT, SALTS = 1000, 32
 _U = np.uint64
 
 
@@ -152,13 +155,35 @@ def _table(fps: np.ndarray, mask: int) -> np.ndarray:
         root = new
 
 
+def _split(fps: np.ndarray, mask: int) -> np.ndarray:
+    """Root of each fingerprint of a long list, whose pairs share the mask's four bytes and need a fifth."""
+    left, right = [], []
+    for b in (b for b in range(8) if not mask >> 8 * b & 1):
+        value = (fps >> _U(8 * b)) & _U(0xFF)
+        order = np.argsort(value, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(value[order])) + 1):
+            root = _pairs(fps[own]) if len(own) <= SMALL else _table(fps[own], mask | 0xFF << 8 * b)
+            left.append(own)
+            right.append(own[root])
+    return _roots(len(fps), np.concatenate(left), np.concatenate(right))
+
+
 def _list_links(position: int, fps: np.ndarray) -> list[tuple[int, int]]:
     """(fingerprint, root) for each one of a list that isn't its part's root."""
-    root = _pairs(fps) if len(fps) <= SMALL else _table(fps, MASKS[position])
+    root = _pairs(fps) if len(fps) <= SMALL else _split(fps, MASKS[position])
     own = np.flatnonzero(root != np.arange(len(fps)))
     return list(zip(fps[own].view(np.int64).tolist(), fps[root[own]].view(np.int64).tolist(), strict=True))
 
 
+def _dealt(left: DataFrame, right: DataFrame, key: str, sizes: DataFrame, total: int) -> DataFrame:
+    """left joined to right, which has one row for each key. sizes (key, n) has left's rows of each key, total of all:
+    fewer than HOT keys can have over total / HOT, so these go to every task, and both sides deal them to SALTS parts."""
+    hot = F.broadcast(sizes.where(F.col("n") * HOT > total).select(key, F.lit(True).alias("__hot")))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*left.columns), F.lit(SALTS))).otherwise(0).cast("int").alias("__salt")
+    each = F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("__salt")
+    return left.join(hot, key, "left").select(*left.columns, salt).join(right.join(hot, key, "left").select(*right.columns, each), [key, "__salt"]).drop("__salt")
+
+
 def links(vertices: DataFrame) -> DataFrame:
     """Distinct links (u, v) between distinct fingerprints (column fp) that keep all connected parts whole."""
     index = vertices.select(F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in MASKS])).alias("position", "shared"), "fp")
@@ -212,10 +237,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     neighbour, and ends when every node is linked to its root alone. Work of a round is in proportion to the links.
     """
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, links: int) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        joined = both.join(least, "u")
+        sized = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = sized.select("u", F.least("u", "m").alias("m"))
+        joined = _dealt(both, least, "u", sized.select("u", "n"), links)
         if large:
             return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
@@ -226,7 +252,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     e = cut(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     now = state(e)
     for _ in range(most_rounds):
-        e = cut(star(star(e, True), False))
+        # Both stars have at most twice the links; a bound that is too low deals some more keys, which does no harm.
+        e = cut(star(star(e, True, int(now[0])), False, int(now[0])))
         before, now = now, state(e)
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -235,13 +262,16 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, fingerprint, component_id, component_root), one for each row of docs; the root is the component's smallest fingerprint."""
-    rows = cut(with_fingerprint(docs, id_col, text_col))
-    vertices = rows.groupBy("fp").agg(F.min(id_col).alias("__least"))
+    # The id has a name of its own meanwhile, whatever it is called.
+    rows = cut(with_fingerprint(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")), "__id"))
+    vertices = cut(rows.groupBy("fp").agg(F.min("__id").alias("least"), F.count("*").alias("n")))
+    found, total = vertices.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     joined = components(links(vertices.select("fp")))
-    rooted = vertices.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("__least").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "root", "component_id")
-    return rows.join(classes, "fp").select(id_col, hex_of(F.col("fp")).alias("fingerprint"), "component_id", hex_of(F.col("root")).alias("component_root"))
+    rooted = vertices.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    parts = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    classes = _dealt(rooted, parts.select("root", "component_id"), "root", parts.select("root", "n"), found).select("fp", "root", "component_id")
+    every = _dealt(rows, classes, "fp", vertices.select("fp", "n"), total)
+    return every.select(F.col("__id").alias(id_col), hex_of(F.col("fp")).alias("fingerprint"), "component_id", hex_of(F.col("root")).alias("component_root"))
 
 
 def hex_of(fp: Column) -> Column:
@@ -253,27 +283,31 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows without an id are left out if their component has one; else one row of the component stays.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    own = F.col(id_col) == F.col("component_id")
-    ids = found.groupBy(F.col(id_col).alias("__id")).agg(F.max(own).alias("least"), (F.min("fingerprint") != F.max("fingerprint")).alias("several")).where("least")
+    i, h, r, n, fp = (fresh(docs, x) for x in ("id", "hex", "root", "n", "fp"))
+    found = near_duplicates(docs, id_col, text_col).select(F.col(id_col).alias(i), F.col("fingerprint").alias(h), "component_id", F.col("component_root").alias(r))
+    own = F.col(i) == F.col("component_id")
+    ids = found.groupBy(i).agg(F.max(own).alias("least"), (F.min(h) != F.max(h)).alias("several")).where("least")
     first = F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last()))
-    named = docs.join(ids.where("NOT several"), F.col(id_col) == F.col("__id"), "left_semi").withColumn("__n", first)
-    # Rows of different texts may repeat an id; these few are told apart by their fingerprints.
-    classes = found.where(own).select(F.col(id_col).alias("__id"), F.col("fingerprint").alias("__hex"), F.col("component_root").alias("__root")).distinct()
-    repeated = _attach(docs.join(ids.where("several"), F.col(id_col) == F.col("__id"), "left_semi"), text_col).join(classes, (F.col(id_col) == F.col("__id")) & (hex_of(F.col("__fp")) == F.col("__hex")))
-    repeated = repeated.withColumn("__n", F.row_number().over(Window.partitionBy("__root").orderBy(F.col(text_col).asc_nulls_last())))
-    roots = found.where("component_id IS NULL").select(F.col("fingerprint").alias("__hex"), F.col("component_root").alias("__root")).distinct()
-    lone = _attach(docs.where(F.col(id_col).isNull()), text_col).join(roots, hex_of(F.col("__fp")) == F.col("__hex"))
-    lone = lone.withColumn("__n", F.row_number().over(Window.partitionBy("__root").orderBy(F.col(text_col).asc_nulls_last())))
-    kept = [rows.where("__n = 1").select(*docs.columns) for rows in (named, repeated, lone)]
+
+    def of(few: str) -> DataFrame:
+        return docs.join(ids.where(few).select(i), F.col(id_col) == F.col(i), "left_semi")
+
+    # Rows of different texts may repeat an id; these few are told apart by their fingerprints, as are rows without one.
+    classes = found.where(own).select(i, h, r).distinct()
+    repeated = _attach(of("several"), text_col, fp).join(classes, (F.col(id_col) == F.col(i)) & (hex_of(F.col(fp)) == F.col(h)))
+    roots = found.where("component_id IS NULL").select(h, r).distinct()
+    lone = _attach(docs.where(F.col(id_col).isNull()), text_col, fp).join(roots, hex_of(F.col(fp)) == F.col(h))
+    by_root = F.row_number().over(Window.partitionBy(r).orderBy(F.col(text_col).asc_nulls_last()))
+    every = [of("NOT several").withColumn(n, first), repeated.withColumn(n, by_root), lone.withColumn(n, by_root)]
+    kept = [rows.where(F.col(n) == 1).select(*[F.col(f"`{c}`") for c in docs.columns]) for rows in every]
     return kept[0].unionByName(kept[1]).unionByName(kept[2])
 
 
-def _attach(docs: DataFrame, text_col: str) -> DataFrame:
+def _attach(docs: DataFrame, text_col: str, fp: str) -> DataFrame:
     names = docs.columns
 
     def run(batches):
         for part, texts in text_batches(batches, text_col):
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(fingerprints(texts).view(np.int64), pa.int64())], names=[*names, "__fp"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(fingerprints(texts).view(np.int64), pa.int64())], names=[*names, fp])
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __fp long")
+    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{fp}` long")

@@ -187,14 +187,39 @@ def test_a_repeated_id_stands_in_each_of_its_components(spark):
     assert got == sorted([(1, c), (5, a), (5, b)])
 
 
-def test_long_lists_give_the_parts_of_short_ones():
+def test_long_lists_give_the_parts_of_short_ones(monkeypatch):
     r = np.random.default_rng(2)
-    for position in (0, 17, 55):
+    for position in (0, 17, 34):
         mask = simhash.MASKS[position]
         free = [b for b in range(64) if not mask >> b & 1]
-        for bits in (free[:10], free):
+        for bits in (free[:10], free[8:18], free):
             fps = np.unique(np.array([sum(1 << int(b) for b, x in zip(bits, r.integers(0, 2, len(bits))) if x) for _ in range(300)], dtype=np.uint64))
-            assert (simhash._pairs(fps) == simhash._table(fps, mask)).all()
+            monkeypatch.setattr(simhash, "SMALL", 2048)
+            short = simhash._pairs(fps)
+            assert (simhash._split(fps, mask) == short).all()
+            monkeypatch.setattr(simhash, "SMALL", 40)
+            if bits is not free:
+                assert (simhash._split(fps, mask) == short).all()
+
+
+def test_the_tally_rejects_pairs_that_share_a_list():
+    # Four of the first seven bytes are equal, so the two meet in a list; no fifth byte is.
+    a, b = np.uint64(0x11), np.uint64(0x11) ^ np.uint64(0x0101010100000000)
+    assert sum(int(a) & m == int(b) & m for m in simhash.MASKS) == 1 and int(a ^ b).bit_count() == 4
+    shared = (np.array([a ^ b]).view(np.uint8) == 0).sum()
+    assert shared == simhash.MATCHES - 1 and simhash._pairs(np.array([a, b])).tolist() == [0, 1]
+    # Any two within three bits meet in at least one list.
+    for bits in ((0, 1, 2), (0, 8, 16), (7, 55, 63), (5,), (40, 41, 63)):
+        c = int(a) ^ sum(1 << x for x in bits)
+        assert any(int(a) & m == c & m for m in simhash.MASKS)
+
+
+def test_hot_fingerprints_are_dealt_to_parts(spark):
+    rows = [(k, "the same text again and again") for k in range(300)] + [(1000 + k, f"text number {k} of {k} other ones {k * k}") for k in range(50)]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == 350 and {got[k] for k in range(300)} == {0}
+    clash = spark.createDataFrame([(1, "a b c d", "x"), (2, "a b c d", "y"), (None, "other words here", "z")], "doc_id long, text string, __fp string")
+    assert sorted(r["__fp"] for r in simhash.representatives(clash).collect()) == ["x", "z"]
 
 
 # Decontamination.
