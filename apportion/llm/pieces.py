@@ -9,11 +9,14 @@ piece of the model mixes letters, digits and others or has two digits, between t
     3. edges are grouped by unit, the best score first;
     4. a higher-order fold over the grouped edges finds the unit's segmentation.
 
-A unigram model's fold would be Viterbi, the greatest sum of scores. The public model is a byte-pair one, whose scores
-are ranks of merges, and the greatest sum of ranks is not what its encoder gives; so the fold replays the merges on the
-lattice: the state is a bit set of boundaries, and each step takes the best edge that spans exactly two segments, the
-leftmost of equals. Characters that are no piece fall back to byte pieces. Units of over LONGEST characters, which the
-bit set can't hold, are merged by a heap instead, with the same result.
+A unigram model's fold is Viterbi: the state holds the greatest sum of scores up to each character and the edge that
+reached it. A byte-pair model's scores are ranks of merges, and the greatest sum of ranks is not what its encoder gives;
+so its fold replays the merges on the lattice: the state is a bit set of boundaries, and each step takes the best edge
+that spans exactly two segments, the leftmost of equals. Characters that are no piece fall back to byte pieces. Units of
+over LONGEST characters, whose lattice would be one row's state, are done in place by a heap of merges or by Viterbi over
+the same pieces, with the same ids. (Sums are of single precision and by unit; the library's run on through the text, so
+segmentations whose sums are equal but for rounding may differ from its choice.) load() refuses models that would need more: other types, normalisation rules, added
+or suffixed blanks, no byte pieces, and pieces with a blank inside, which would cross units.
 
 Texts don't move to be encoded: each task names the distinct units of blocks of texts, units are encoded in groups by
 hash, and each block gets its units' ids back; so a frequent word is one row in each block. The blocks are read from
@@ -34,7 +37,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import offsets, text_batches
@@ -46,13 +49,20 @@ BLOCK_CHARS, GROUP_CHARS, BATCH_ROWS = 1 << 22, 1 << 24, 1 << 10
 _WORDS = re.compile(r" +[^ ]*")
 
 
+UNKNOWN_PENALTY = 10.0
+"""How far an unknown character's score lies below the least score of a unigram model's pieces."""
+
+
 @dataclass(frozen=True)
 class Model:
-    """Pieces that text can match, with ids and scores; byte pieces' ids by byte; the text of each id."""
+    """Pieces that text can match, with ids and scores; byte pieces' ids by byte; the text of each id; whether scores are
+    those of a unigram model, and then that of an unknown character."""
 
     pieces: dict[str, tuple[int, float]]
     byte_ids: tuple[int, ...]
     texts: tuple[bytes | None, ...]
+    unigram: bool = False
+    unknown: float = 0.0
 
     @property
     def longest(self) -> int:
@@ -77,26 +87,62 @@ class Model:
 
 
 def load(model_file: str) -> Model:
-    import sentencepiece
-
-    sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
-    pieces, texts, bytes_ = {}, [], [sp.unk_id()] * 256
-    for i in range(sp.get_piece_size()):
-        p = sp.id_to_piece(i)
-        if sp.is_byte(i):
-            bytes_[int(p[3:5], 16)] = i
-            texts.append(bytes([int(p[3:5], 16)]))
-        elif sp.is_control(i) or sp.is_unknown(i):
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(model_file, "rb") as f:
+        proto.ParseFromString(f.read())
+    trained, rules = proto.trainer_spec, proto.normalizer_spec
+    pieces, texts, bytes_, least = {}, [], {}, 0.0
+    kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
+    wrong = {
+        "type": trained.model_type not in (trained.UNIGRAM, trained.BPE),
+        "normalisation": bool(rules.precompiled_charsmap or rules.normalization_rule_tsv) or rules.remove_extra_whitespaces or not rules.escape_whitespaces,
+        "blanks": not rules.add_dummy_prefix or trained.treat_whitespace_as_suffix,
+        "pieces": any(p.type == kinds.USER_DEFINED or (p.type == kinds.NORMAL and MARK in p.piece.lstrip(MARK)) for p in proto.pieces),
+    }
+    for i, p in enumerate(proto.pieces):
+        if p.type == kinds.BYTE:
+            bytes_[int(p.piece[3:5], 16)] = i
+            texts.append(bytes([int(p.piece[3:5], 16)]))
+        elif p.type in (kinds.CONTROL, kinds.UNKNOWN):
             texts.append(None)
         else:
-            texts.append(p.replace(MARK, " ").encode())
-            if not sp.is_unused(i):
-                pieces[p] = (i, sp.get_score(i))
-    return Model(pieces, tuple(bytes_), tuple(texts))
+            texts.append(p.piece.replace(MARK, " ").encode())
+            if p.type == kinds.NORMAL:
+                pieces[p.piece] = (i, p.score)
+                least = min(least, p.score)
+    wrong["byte pieces"] = len(bytes_) < 256
+    if any(wrong.values()):
+        raise ValueError(f"this encoder does not do what the model asks for: {', '.join(k for k, v in wrong.items() if v)}")
+    return Model(pieces, tuple(bytes_[b] for b in range(256)), tuple(texts), trained.model_type == trained.UNIGRAM, least - UNKNOWN_PENALTY)
+
+
+def best_path(unit: str, model: Model) -> list[int]:
+    """Ids of a unit by Viterbi, with sums of single precision as the library has them."""
+    add, get, longest = np.float32, model.pieces.get, model.longest
+    best: list = [add(0), *[None] * len(unit)]
+    back: list = [None] * (len(unit) + 1)
+    for at in range(len(unit)):
+        single = False
+        for to in range(at + 1, min(at + longest, len(unit)) + 1):
+            if (p := get(unit[at:to])) is not None:
+                single |= to == at + 1
+                if best[to] is None or best[at] + add(p[1]) > best[to]:
+                    best[to], back[to] = best[at] + add(p[1]), (at, [p[0]])
+        if not single and (best[at + 1] is None or best[at] + add(model.unknown) > best[at + 1]):
+            best[at + 1], back[at + 1] = best[at] + add(model.unknown), (at, [model.byte_ids[b] for b in unit[at].encode()])
+    out, at = [], len(unit)
+    while at:
+        at, ids = back[at]
+        out.append(ids)
+    return [i for ids in reversed(out) for i in ids]
 
 
 def merge(unit: str, model: Model) -> list[int]:
-    """Ids of a unit by a heap of merges; time n log n."""
+    """Ids of a unit: by a heap of merges, in time n log n, or by Viterbi if the model is a unigram one."""
+    if model.unigram:
+        return best_path(unit, model)
     n, get = len(unit), model.pieces.get
     end = list(range(1, n + 1))
     left, right = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -135,7 +181,9 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
     """
     ranks = {s: k for k, s in enumerate(sorted({s for _, s in model.pieces.values()}, reverse=True))}
     none = (1 << 28) - 1
-    table = spark.createDataFrame([(p, (ranks[s] << 40) + i) for p, (i, s) in model.pieces.items()] or [("", 0)], "piece string, known long")
+    table = spark.createDataFrame([(p, (0 if model.unigram else ranks[s] << 40) + i, s) for p, (i, s) in model.pieces.items()] or [("", 0, 0.0)], "piece string, known long, score float")
+    if not model.unigram:
+        table = table.drop("score")
     spans = (
         units.where(F.length("unit").between(1, LONGEST))
         .select("unit", F.length("unit").alias("n"))
@@ -145,7 +193,10 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
     )
     # The piece table is a vocabulary file's, so its size doesn't grow with the texts.
     edges = spans.join(F.broadcast(table), "piece", "left").where("known IS NOT NULL OR size = 1")
-    words = edges.groupBy("unit").agg(F.sort_array(F.collect_list(F.expr(f"coalesce(known, {(1 << 60) + none}L) + shiftleft(CAST(start AS BIGINT), 34) + shiftleft(CAST(size AS BIGINT), 28)"))).alias("edges"))
+    edge = F.expr(f"coalesce(known, {(0 if model.unigram else 1 << 60) + none}L) + shiftleft(CAST(start AS BIGINT), 34) + shiftleft(CAST(size AS BIGINT), 28)")
+    if model.unigram:
+        edge = F.struct(edge.alias("edge"), F.coalesce("score", F.lit(model.unknown).cast("float")).alias("score"))
+    words = edges.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     # What a fold needs more than once is bound to a variable of a one-element array, as the optimiser would repeat a column's expression at each use.
     known = F.array(*[F.lit(i) for i in model.byte_ids])
 
@@ -176,6 +227,9 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
         i = e.bitwiseAND(none)
         return F.when(i == none, raw(F.substring(F.col("unit"), start(e) + 1, F.lit(1)))).otherwise(F.array(i.cast("int")))
 
+    if model.unigram:
+        return words.select("unit", bind(_viterbi(F.col("edges"), F.length("unit"), start, size), lambda path: F.flatten(F.transform(path, ids_of))).alias("ids"))
+
     spread = F.transform("edges", lambda e: F.struct((bit(start(e)) + bit(start(e) + size(e))).alias("ends"), (bit(start(e) + size(e)) - bit(start(e) + 1)).alias("inside"), e.bitwiseAND((1 << 40) - 1).alias("key")))
 
     def segmented(all_edges):
@@ -189,6 +243,32 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
     return words.select("unit", bind(spread, segmented).alias("ids"))
 
 
+def _viterbi(edges: Column, n: Column, start, size) -> Column:
+    """Edges of the path with the greatest sum of scores over n characters; `edges` is sorted by start, then by size, so
+    all edges to a character come before those from it, and the first of equals stays."""
+
+    def replaced(values, at, x):
+        return F.concat(F.slice(values, 1, at), F.array(x), F.slice(values, at + 2, n + 1))
+
+    def step(state, e):
+        to = start(e["edge"]) + size(e["edge"])
+        total = F.get(state["best"], start(e["edge"])) + e["score"]
+        old = F.get(state["best"], to)
+        moved = F.struct(replaced(state["best"], to, total).alias("best"), replaced(state["back"], to, e["edge"]).alias("back"))
+        return F.when(total.isNotNull() & (old.isNull() | (total > old)), moved).otherwise(state)
+
+    first = F.struct(F.concat(F.array(F.lit(0).cast("float")), F.array_repeat(F.lit(None).cast("float"), n)).alias("best"), F.array_repeat(F.lit(None).cast("long"), n + 1).alias("back"))
+
+    def walk(state):
+        def back(path, _):
+            at = F.when(F.size(path) == 0, n).otherwise(start(F.get(path, F.lit(0))))
+            return F.when(at == 0, path).otherwise(F.concat(F.array(F.get(state["back"], at)), path))
+
+        return F.aggregate(F.sequence(F.lit(1), n), F.array().cast("array<long>"), back)
+
+    return F.get(F.transform(F.array(F.aggregate(edges, first, step)), walk), F.lit(0))
+
+
 def _blocks(batches, model: Model):
     """(block, ids, texts' numbers of units, units' numbers, units in order of number) of this partition's blocks.
 

@@ -405,6 +405,43 @@ def test_ids_are_the_library_s(spark, odd, empty):
     assert pieces.encode(odd, model).count() == len(ODD) and pieces.encode(empty, model).count() == 0
 
 
+def unigram_model(folder, **changes):
+    """A small unigram model's file, made by hand."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    m, r = pb.ModelProto(), random.Random(3)
+    for piece, kind in (("<unk>", 2), ("<s>", 3), ("</s>", 3), *((f"<0x{b:02X}>", 6) for b in range(256))):
+        m.pieces.add(piece=piece, score=0.0, type=kind)
+    own = sorted({"▁", *"abcde", *("".join(r.choices("▁", k=r.random() < 0.3)) + "".join(r.choices("abcde", k=r.randint(1, 5))) for _ in range(150))})
+    for piece in own:
+        m.pieces.add(piece=piece, score=-r.uniform(2, 9), type=1)
+    m.trainer_spec.model_type, m.trainer_spec.byte_fallback = 1, True
+    m.normalizer_spec.name, m.normalizer_spec.remove_extra_whitespaces = "identity", False
+    for name, value in changes.items():
+        setattr(m.normalizer_spec, name, value)
+    path = folder / "unigram.model"
+    path.write_bytes(m.SerializeToString())
+    return str(path)
+
+
+def test_unigram_ids_are_the_library_s(spark, tmp_path):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = unigram_model(tmp_path)
+    sp, model, r = sentencepiece.SentencePieceProcessor(model_file=path), pieces.load(path), random.Random(4)
+    texts = ["".join(r.choices("aabbccdde  é中", k=r.randint(0, 90))) for _ in range(120)] + ["abcde" * 40, "é" * 70, ""]
+    assert [pieces.best_path(u, model) for u in ("▁abcab", "éab")] == [sp.encode("abcab"), sp.encode("éab")[1:]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    coded = pieces.encode(df, model)
+    assert {x["doc_id"]: x["ids"] for x in coded.collect()} == {i: sp.encode(t) for i, t in enumerate(texts)}
+    assert {x["doc_id"]: x["text"] for x in pieces.decode(coded, model).collect()} == dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("changes", [{"remove_extra_whitespaces": True}, {"add_dummy_prefix": False}, {"precompiled_charsmap": b"x"}])
+def test_models_with_other_rules_are_refused(tmp_path, changes):
+    with pytest.raises(ValueError):
+        pieces.load(unigram_model(tmp_path, **changes))
+
+
 def test_equal_blocks_and_heap_merges(spark, monkeypatch):
     model = pieces.load(MODEL)
     monkeypatch.setattr(pieces, "BLOCK_CHARS", 10)
