@@ -6,6 +6,8 @@ district, share) and code_weights (county, code, weight). Shares of a precinct a
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -48,6 +50,56 @@ def from_areas(areas: DataFrame) -> Crosswalk:
     return Crosswalk(splits, shares(counties, ["scope", "county"], "weight").drop("weight"), weights)
 
 
+DISTRICT_COLUMNS = ("DISTRICT", "CD119FP", "CD118FP", "SLDLST", "SLDUST", "district_id", "district")
+VINTAGES = (("GEOID20", "ALAND20", "AWATER20"), ("GEOID10", "ALAND10", "AWATER10"), ("GEOID", "ALAND", "AWATER"))
+
+
+def pick_column(df: DataFrame, wanted: tuple[str, ...] = DISTRICT_COLUMNS) -> str:
+    """The first of these columns that df has."""
+    found = next((c for c in wanted if c in df.columns), None)
+    if found is None:
+        raise ValueError(f"none of the columns {wanted}")
+    return found
+
+
+def block_weights(blocks: DataFrame) -> DataFrame:
+    """(BLOCKID, weight) of a block table of any vintage: land and water area, 1 where that isn't above zero."""
+    names = next((v for v in VINTAGES if set(v) <= set(blocks.columns)), None)
+    if names is None:
+        raise ValueError(f"no vintage's columns among {blocks.columns}")
+    area = F.coalesce(F.col(names[1]).try_cast("double"), F.lit(0.0)) + F.coalesce(F.col(names[2]).try_cast("double"), F.lit(0.0))
+    return blocks.select(F.col(names[0]).alias("BLOCKID"), F.when(area > 0, area).otherwise(1.0).alias("weight"))
+
+
+def from_overlay(precincts: DataFrame, districts: DataFrame, scope: str, cell: float) -> Crosswalk:
+    """Crosswalk from two polygon layers: precincts (id, county, code, rings), districts (one of DISTRICT_COLUMNS, rings).
+
+    Pieces are the common areas; the layers meet on grid cells of the size `cell`.
+    """
+    from .geo import overlay
+
+    named = districts.select(F.col(pick_column(districts)).cast("string").alias("id"), "rings")
+    pieces = overlay(precincts.select("id", "rings"), named, cell)
+    owners = precincts.select(F.col("id").alias("left_id"), "county", "code")
+    return from_areas(pieces.join(owners, "left_id").select(F.lit(scope).alias("scope"), "county", "code", F.col("right_id").alias("district"), F.col("area").alias("weight")))
+
+
+def chosen(source: str, overlay: Callable[[], Crosswalk], blocks: Callable[[], Crosswalk]) -> Crosswalk:
+    """The crosswalk of a source: overlay, blockassign, or auto, which is blockassign or, where its input is missing or
+    unfit, overlay with a warning."""
+    if source not in ("overlay", "blockassign", "auto"):
+        raise ValueError(f"unknown mapping source {source!r}")
+    if source == "overlay":
+        return overlay()
+    try:
+        return blocks()
+    except (FileNotFoundError, ValueError, KeyError) as e:
+        if source == "blockassign":
+            raise
+        warnings.warn(f"block assignment failed, using overlay: {e}", stacklevel=2)
+        return overlay()
+
+
 def from_blocks(precincts: DataFrame, districts: DataFrame, weights: DataFrame, counties: DataFrame, scope: str) -> Crosswalk:
     """Crosswalk from block assignments: precincts (BLOCKID, COUNTYFP, DISTRICT), districts (BLOCKID, DISTRICT),
     weights (BLOCKID, weight; missing ones count 1) and county names (countyfp, county; missing ones are their code)."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from apportion.functions import votes as V
@@ -51,3 +51,28 @@ def candidate_counties(report: DataFrame, contributions: DataFrame, error: float
     bad = report.where(F.coalesce("raw_abs_error_pct", F.lit(0.0)) >= error).select(*KEY)
     own = contributions.join(bad, KEY, "left_semi").where((F.col("district_share_of_total") >= county_share) & (F.col("allocated_share") >= allocated_share))
     return own.select("scope", F.upper(F.trim("county")).alias("county")).where("county != ''").distinct()
+
+
+def with_coverage(contributions: DataFrame, coverage: DataFrame) -> DataFrame:
+    """Contributions with their county's votes in the whole contest (county_scope_*); 0 where there are none."""
+    names = ("input_votes", "direct_votes", "allocated_votes")
+    own = coverage.select(*CONTEST, "county", *[F.col(n).alias(f"county_scope_{n}") for n in names])
+    rows = contributions.join(own, [*CONTEST, "county"], "left").fillna(0.0, [f"county_scope_{n}" for n in names])
+    return rows.withColumn("county_scope_allocated_share", V.share(F.col("county_scope_allocated_votes"), F.col("county_scope_input_votes")))
+
+
+def select_contests(df: DataFrame, years: tuple[int, ...] = (), scopes: tuple[str, ...] = (), contests: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of any of the years, of any of the scopes and of any of the contests; no value means no filter."""
+    for column, values in (("year", years), ("scope", scopes), ("contest_type", contests)):
+        if values:
+            df = df.where(F.col(column).isin(*values))
+    return df
+
+
+def report_order() -> list:
+    """Raw reports: the greatest error first, a missing one as none; (column, descending) pairs."""
+    return [(F.coalesce("raw_abs_error_pct", F.lit(0.0)), True), *coverage_order()[:-1], *V.district_order(F.col("district"))]
+
+
+def coverage_order() -> list[Column]:
+    return [F.col("scope"), F.col("contest_type"), F.col("year"), F.col("county")]

@@ -84,3 +84,25 @@ def resolve(wanted: DataFrame, crosswalk: Crosswalk) -> DataFrame:
     parts = best.join(splits.select(*ON, F.col("code").alias("candidate"), "district", "share"), [*ON, "candidate"])
     merged = parts.groupBy(*ON, "code", "stage", "district").agg(F.sum(F.col("share") * F.col("weight")).alias("part"))
     return exact.unionByName(shares(merged, [*ON, "code"], "part").select(*ON, "code", "district", "share", "stage"))
+
+
+def by_label(rows: DataFrame, layer: DataFrame) -> DataFrame:
+    """rows (county, code, label, ...) with `matched`, the code of the precinct layer (county, code, label) that they fall
+    to: their own code if the layer has it, else the code of the only precinct of the county with their label."""
+    codes = layer.select("county", "code", F.col("code").alias("__own")).distinct()
+    only = layer.where("label != ''").groupBy("county", "label").agg(F.min("code").alias("__by_label"), F.count_distinct("code").alias("__n")).where("__n = 1").drop("__n")
+    joined = rows.join(codes, ["county", "code"], "left").join(only, ["county", "label"], "left")
+    return joined.select(*[F.col(c) for c in rows.columns], F.coalesce("__own", "__by_label").alias("matched"))
+
+
+def redistributed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, county, matched, votes): votes of rows without a match are dealt over the matched precincts of their county
+    in proportion to those' votes in the same group; where the county has none, they stay with a null match."""
+    group = [*keys, "county"]
+    sums = rows.groupBy(*group, "matched").agg(F.sum("votes").alias("votes"))
+    known = sums.where("matched IS NOT NULL AND votes > 0")
+    parts = shares(known, group, "votes").select(*group, "matched", "votes", "share")
+    rest = sums.where("matched IS NULL").select(*group, F.col("votes").alias("__rest"))
+    given = parts.join(rest, group, "left").select(*group, "matched", (F.col("votes") + F.col("share") * F.coalesce("__rest", F.lit(0.0))).alias("votes"))
+    lost = rest.join(known.select(*group).distinct(), group, "left_anti").select(*group, F.lit(None).cast("string").alias("matched"), F.col("__rest").alias("votes"))
+    return given.unionByName(lost)

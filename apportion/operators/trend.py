@@ -70,5 +70,14 @@ def insights(results: DataFrame, n: int = 5) -> DataFrame:
     return top[0].unionByName(top[1]).withColumn("place", place)
 
 
+def population_signals(rows: DataFrame, growth: str = "pct_change_2020_to_2025", n: int = 5) -> DataFrame:
+    """The n localities that grow most and the n that shrink most, as (kind, place, unit, value)."""
+    own = rows.where(F.col(growth).isNotNull()).select(F.col("normalized_name").alias("unit"), F.col(growth).alias("value"))
+    up = own.where("value > 0").orderBy(F.col("value").desc(), "unit").limit(n).withColumn("kind", F.lit("growth"))
+    down = own.where("value < 0").orderBy("value", "unit").limit(n).withColumn("kind", F.lit("decline"))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.abs("value").desc(), "unit"))
+    return up.unionByName(down).select("kind", place.alias("place"), "unit", "value")
+
+
 def confidence(matched_pct: Column, low: float = 80.0, high: float = 98.0) -> Column:
     return F.when(matched_pct >= high, "high").when(matched_pct >= low, "medium").otherwise("low")

@@ -11,7 +11,7 @@ import json
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from apportion.functions import votes as V
@@ -57,6 +57,26 @@ def evaluate(stats: DataFrame, configs: DataFrame, strict_zero: bool = False) ->
     return sums.select("config_id", *KEY, "target_margin_pct", margin.alias("raw_margin_pct"), F.abs(margin - F.col("target_margin_pct")).alias("abs_error"))
 
 
+def compared(baseline: DataFrame, trials: DataFrame) -> DataFrame:
+    """(config_id, target key, baseline_abs_error, trial_abs_error, improvement) of the targets that each trial improves.
+
+    A target without an error in the trial keeps the baseline's, so it doesn't count.
+    """
+    base = baseline.select(*KEY, F.col("abs_error").alias("baseline_abs_error"))
+    ids = F.array(*[F.lit(r["config_id"]) for r in trials.select("config_id").distinct().collect()]).cast("array<string>")  # as many as the grid has
+    both = base.select("*", F.explode(ids).alias("config_id")).join(trials.select("config_id", *KEY, F.col("abs_error").alias("__trial")), ["config_id", *KEY], "left")
+    rows = both.withColumn("trial_abs_error", F.coalesce("__trial", "baseline_abs_error")).withColumn("improvement", F.col("baseline_abs_error") - F.col("trial_abs_error"))
+    return rows.where("improvement > 0").select("config_id", *KEY, "baseline_abs_error", "trial_abs_error", "improvement")
+
+
+def top_improved(compared_rows: DataFrame, n: int = 5) -> DataFrame:
+    """(config_id, top_improved_targets): the n targets that improve most, as JSON; of equals, in order of the key."""
+    w = Window.partitionBy("config_id").orderBy(F.col("improvement").desc(), *KEY)
+    rows = compared_rows.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= n)
+    item = F.struct("__n", F.struct(*KEY, F.bround("improvement", 3).alias("abs_error_improvement_pct"), F.bround("baseline_abs_error", 3).alias("baseline_abs_error_pct"), F.bround("trial_abs_error", 3).alias("trial_abs_error_pct")).alias("target"))
+    return rows.groupBy("config_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["target"])).alias("top_improved_targets"))
+
+
 def metrics(rows: DataFrame, threshold: float = 1.0, penalty: float = 100.0) -> DataFrame:
     """(config_id, target_count, missing_count, over_threshold_count, mae, rmse, max_abs_error); a missing margin counts `penalty`."""
     e = F.coalesce("abs_error", F.lit(penalty))
@@ -122,14 +142,22 @@ def coordinate_descent(stats: DataFrame, start: Config, grid: list[float], round
 
 
 def suggestions(stats: DataFrame, start: Config, counties: list[tuple[str, str]], grid: list[float], threshold: float = 1.0, penalty: float = 100.0, min_gain: float = 0.01) -> list[dict]:
-    """For each county, the one value that improves the start's mean error most, if by min_gain or more; best first."""
+    """For each county, the one value that improves the start's mean error most, if by min_gain or more; best first, with
+    the targets that improve most."""
     trials = {(s, c, v): {**start, (s, c): v} for s, c in counties for v in grid}
     found = score_all(stats, [start, *trials.values()], threshold, penalty)
     base = found[signature(start)]
-    out = []
+    out, kept = [], {}
     for s, c in counties:
         v, m = min(((v, found[signature(trials[s, c, v])]) for v in grid), key=lambda x: (_rank(x[1]), x[0]))
         if (gain := base["mae"] - m["mae"]) >= min_gain:
             now = start.get((s, c), start.get((s, None), 0.15))
-            out.append({"scope": s, "county": c, "current_value": now, "suggested_value": v, "delta_value": v - now, "mae_gain": gain, "rmse_gain": base["rmse"] - m["rmse"], "over_threshold_delta": m["over_threshold_count"] - base["over_threshold_count"]})
+            kept[signature(trials[s, c, v])] = trials[s, c, v]
+            out.append({"scope": s, "county": c, "current_value": now, "suggested_value": v, "delta_value": v - now, "mae_gain": gain, "rmse_gain": base["rmse"] - m["rmse"], "over_threshold_delta": base["over_threshold_count"] - m["over_threshold_count"], "top_improved_targets": signature(trials[s, c, v])})
+    if out:
+        spark = stats.sparkSession
+        tops = top_improved(compared(evaluate(stats, config_frame(spark, [("", start)])), evaluate(stats, config_frame(spark, kept.items()))))
+        texts = {r["config_id"]: r["top_improved_targets"] for r in tops.collect()}
+        for row in out:
+            row["top_improved_targets"] = texts.get(row["top_improved_targets"], "[]")
     return sorted(out, key=lambda x: -x["mae_gain"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from apportion.functions import text as T
 from apportion.functions import votes as V
 from apportion.operators import allocate, calibrate, contest, crosswalk, diagnose, dims, population, resolve, trend, tune
+from apportion.sources import tables
 
 from . import ballots as B
 
@@ -414,11 +415,21 @@ def eval_metrics(spark, sf_dir):
     return rounded(rows, 5, "mae", "rmse", "max_abs_error")
 
 
-@query()
+GRID = "0,0.15,0.3,0.5,0.7,0.85,1.0"
+
+
+def _metrics_sql(blend: float) -> str:
+    # A blend of 0 means the bucket's own districts alone.
+    total, party = (1 - blend, blend) if blend else (0.0, 1.0)
+    own = B.APPORTION_SQL.replace("(CASE WHEN tt.scope = 'congressional' THEN 0.65 ELSE 0.85 END)", str(total)).replace("(CASE WHEN tt.scope = 'congressional' THEN 0.35 ELSE 0.15 END)", str(party))
+    return f"""(WITH {own}, e AS (SELECT abs((rep_votes - dem_votes) / total_votes * 100 - {_TARGET_SQL}) AS e FROM res)
+SELECT '{blend:.2f}' AS config_id, CAST(count(*) AS BIGINT) AS target_count, CAST(0 AS BIGINT) AS missing_count, CAST(sum(CASE WHEN e >= 1.0 THEN 1 ELSE 0 END) AS BIGINT) AS over_threshold_count, round(avg(e), 5) AS mae, round(sqrt(avg(e * e)), 5) AS rmse, round(max(e), 5) AS max_abs_error FROM e)"""
+
+
+@query(" UNION ALL ".join(_metrics_sql(v) for v in tune.parse_grid(GRID)))
 def grid_eval(spark, sf_dir):
-    stats = _statistics(spark, sf_dir)
-    configs = [(f"{v:.2f}", {(s, None): v for s in SCOPES}) for v in tune.parse_grid("0,0.15,0.3,0.5,0.7,0.85,1.0")]
-    return tune.metrics(tune.evaluate(stats, tune.config_frame(spark, configs)))
+    configs = [(f"{v:.2f}", {(s, None): v for s in SCOPES}) for v in tune.parse_grid(GRID)]
+    return rounded(tune.metrics(tune.evaluate(_statistics(spark, sf_dir), tune.config_frame(spark, configs))), 5, "mae", "rmse", "max_abs_error")
 
 
 # Population.
@@ -438,11 +449,7 @@ def population_change(spark, sf_dir):
 
 @query("SELECT p_brand, p_partkey, CAST(row_number() OVER (ORDER BY p_brand, p_partkey) AS INT) AS id FROM part")
 def row_ids(spark, sf_dir):
-    # Ids in a global order without one task for all rows: positions in a group, after the sizes of the groups before.
-    part = B.read(spark, sf_dir, "part").select("p_brand", "p_partkey")
-    sizes = part.groupBy("p_brand").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("p_brand").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    return part.join(before, "p_brand").select("p_brand", "p_partkey", (F.col("before") + F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))).cast("int").alias("id"))
+    return tables.row_numbers(B.read(spark, sf_dir, "part").select("p_brand", "p_partkey"), "p_brand", "p_partkey")
 
 
 @query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 100")

@@ -10,7 +10,7 @@ import io
 import json
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from apportion.functions import text as T
@@ -82,7 +82,8 @@ def census_matrix(spark: SparkSession, path: str, header: str = "Geographic Area
 
 
 def geojson(spark: SparkSession, path: str) -> DataFrame:
-    """(properties map, geometry as JSON) of each feature of a collection."""
+    """(properties map, geometry as JSON) of each feature of a collection. A file is one row of one task, as a collection
+    is one JSON value: meant for boundary layers, of which a state has a few thousand features."""
     raw = spark.read.option("wholetext", True).text(path)
     parts = F.from_json("value", "features array<struct<properties: map<string, string>, geometry: string>>")
     return raw.select(F.explode(parts["features"]).alias("f")).select("f.properties", "f.geometry")
@@ -147,22 +148,33 @@ def result_overrides(spark: SparkSession, path: str) -> DataFrame:
 
 
 def repaired_lines(spark: SparkSession, path: str, joins: dict[str, str]) -> DataFrame:
-    """Lines of a file after literal replacements that put lost line breaks back; blank lines go."""
+    """Lines of a file after literal replacements that put lost line breaks back; blank lines go, and so do lines of
+    separators alone. The file, which people keep by hand, is one row of one task until its lines are split."""
     whole = F.col("value")
     for bad, good in joins.items():
         whole = F.replace(whole, F.lit(bad), F.lit(good))
-    return spark.read.option("wholetext", True).text(path).select(F.explode(F.split(whole, "\n")).alias("line")).where(F.trim("line") != "")
+    return spark.read.option("wholetext", True).text(path).select(F.explode(F.split(whole, "\n")).alias("line")).where(F.translate("line", " ,\r\t", "") != "")
 
 
-def write_canonical(rows: DataFrame, path: str) -> None:
-    """Canonical rows as sorted CSV, a folder for each year; ordering is within each year."""
-    ordered = rows.repartition("year").sortWithinPartitions("year", *CANONICAL[:6])
+def write_canonical(rows: DataFrame, path: str) -> int:
+    """Canonical rows as CSV, a folder for each year, in the order of the six keys within it; returns how many there were.
+
+    Rows are dealt by ranges of the whole order, so a large year has many tasks and files, which follow each other.
+    """
+    seen = Observation("canonical")
+    # Counted above the sort, which reads its input twice to find its ranges.
+    ordered = rows.orderBy("year", *CANONICAL[:6]).observe(seen, F.count("*").alias("n"))
     ordered.write.mode("overwrite").partitionBy("year").option("header", True).csv(path)
+    return seen.get["n"]
 
 
-def write_slices(payloads: DataFrame, path: str, *keys: str) -> None:
-    """One JSON text for each slice, in folders by key; slices that are no longer made go."""
+def write_slices(payloads: DataFrame, path: str, *keys: str, meta: DataFrame | None = None) -> None:
+    """One JSON text for each slice, in folders by key; slices that are no longer made go. With `meta`, one row for each
+    slice, their manifest is written beside them, below <path>-manifest."""
     payloads.select(*keys, "payload").write.mode("overwrite").partitionBy(*keys).text(path)
+    if meta is not None:
+        text = manifest(meta, *keys)
+        payloads.sparkSession.range(1, numPartitions=1).select(F.lit(text).alias("value")).write.mode("overwrite").text(f"{path}-manifest")
 
 
 def manifest(meta: DataFrame, *keys: str) -> str:
