@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +41,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, offsets, text_batches
-from .packed import mix, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
+from .packed import growth, mix, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
 
-BLOCK_CHARS = 1 << 22
-GROUP_CHARS = 1 << 24
+BLOCK_CHARS, GROUP_CHARS = 1 << 22, 1 << 24
+"""Characters of a block and of a group at 2^29 characters of input; they grow with its root, up to 8 and 4 times."""
 BUCKETS, STEPS, ROUNDS = 48, 4, 60
 """Frequency buckets; histogram bins to a factor of two; rounds of EM."""
 
 END = "\n"  # no word holds it
 U64 = np.uint64
-COPIES = 1 << 12
-"""Blocks of equal rows share a name; so many numbers are left free to tell their copies apart."""
 
 
 @dataclass(frozen=True)
@@ -119,22 +118,29 @@ def _rows(table: pa.Table) -> list[dict]:
     return table.to_pylist()
 
 
-def _read(docs: DataFrame, train: Column, groups: int, id_col: str, text_col: str, wanted: int) -> DataFrame:
-    """Rows of ROW of one kind. Blocks are named by a hash of their rows, so each reading gives them the same names."""
+def _read(docs: DataFrame, train: Column, groups: int, block_chars: int, id_col: str, text_col: str, wanted: int) -> DataFrame:
+    """Rows of ROW of one kind. A block's name is a hash of its partition's number, its own in the partition and its rows,
+    so each reading gives it the same name, and blocks of equal rows have names of their own."""
     import xxhash
+    from pyspark import TaskContext
 
     kept = docs.select(id_col, F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     id_type = kept.schema[0].dataType
 
     def run(batches):
-        ids, texts, train, size, name, kind = [], [], [], 0, xxhash.xxh64(), None
+        part, ordinal = TaskContext.get().partitionId(), count()
+
+        def fresh_name():
+            return xxhash.xxh64(f"{part} {next(ordinal)} ".encode())
+
+        ids, texts, train, size, name, kind = [], [], [], 0, fresh_name(), None
 
         def flush():
             nonlocal ids, texts, train, size, name
             schema = pa.schema([("kind", pa.int32()), ("place", pa.int64()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("ids", pa.list_(kind)), ("c", pa.binary())])
-            block = (name.intdigest() & ~(COPIES - 1)) - (1 << 63)
+            block = name.intdigest() - (1 << 63)
             rows = [r for r in _block_rows(block, ids, texts, train, groups, wanted) if r[0] == wanted]
-            ids, texts, train, size, name = [], [], [], 0, xxhash.xxh64()
+            ids, texts, train, size, name = [], [], [], 0, fresh_name()
             for i in range(0, len(rows), 64):
                 yield _table(rows[i : i + 64], schema)
 
@@ -147,7 +153,7 @@ def _read(docs: DataFrame, train: Column, groups: int, id_col: str, text_col: st
                 train.append(f)
                 size += len(t)
                 name.update(f"{i!r} {f} ".encode() + t.encode())
-                if size >= BLOCK_CHARS:
+                if size >= block_chars:
                     yield from flush()
         if ids:
             yield from flush()
@@ -222,22 +228,22 @@ scores, and in `lone` the context buckets and counts of tokens whose bigram trai
 
 
 def _pair(rows: list[dict], counts: Counts, end: int, groups: int):
-    """Rows of PAIR_ROW for one block."""
-    copies = [r for r in rows if r["ids"] is not None]
-    answers = [r for r in rows if r["ids"] is None]
-    if len(copies) > COPIES:
-        raise ValueError(f"over {COPIES} blocks of equal rows")
-    for k, texts in enumerate(copies):
-        yield from _pair_block(texts, texts["block"] + k, answers, counts, end, groups)
-
-
-def _pair_block(texts: dict, block: int, answers: list[dict], counts: Counts, end: int, groups: int):
+    """Rows of PAIR_ROW for one block. Its texts and the ranks of its words come from two readings; if these didn't give
+    the same blocks, that is an error, never a wrong score."""
+    own = [r for r in rows if r["ids"] is not None]
+    if len(own) != 1:
+        raise RuntimeError("docs gave other rows when they were read again: pass a table or a checkpoint")
+    texts, block, answers = own[0], own[0]["block"], [r for r in rows if r["ids"] is None]
     lengths, seq = unpack(texts["a"]).astype(np.int64), unpack_numbered(texts["b"])
     n_train = int.from_bytes(texts["c"], "little")
     places = [unpack(r["c"]).astype(np.int64) for r in answers]
-    rank = np.full(max((int(x.max()) + 1 for x in places if len(x)), default=0), -1, dtype=np.int64)
+    rank = np.full(int(seq.max()) + 1 if len(seq) else 0, -2, dtype=np.int64)
     for at, r in zip(places, answers, strict=True):
+        if len(at) and int(at.max()) >= len(rank):
+            raise RuntimeError("a block came back with other words")
         rank[at] = unpack(r["a"]).astype(np.int64) - 1
+    if (rank == -2).any():
+        raise RuntimeError("docs gave other rows when they were read again: pass a table or a checkpoint")
     # Tokens of all texts, an end after each; contexts likewise, an end before each.
     at = offsets(lengths + 1)
     tokens = np.full(at[-1], end, dtype=np.int64)
@@ -416,9 +422,10 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     """
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     chars, ends = docs.agg(F.sum(F.length(F.col(text_col))), F.sum(F.coalesce(train, F.lit(False)).cast("long"))).first()
-    groups = max(8, -(-(chars or 0) // GROUP_CHARS))
+    groups = max(8, -(-(chars or 0) // (GROUP_CHARS * growth(chars or 0, 4))))
+    block_chars = BLOCK_CHARS * growth(chars or 0, 8)
     # Words are dealt to their groups once; the checkpoint keeps that, so steps 2 and 3 need no shuffle of their own.
-    words = cut(_read(docs, train, groups, id_col, text_col, 0).select("place", "block", "a", "b", "c").repartition(groups, "place"))
+    words = cut(_read(docs, train, groups, block_chars, id_col, text_col, 0).select("place", "block", "a", "b", "c").repartition(groups, "place"))
     histogram = cut(_histogram(words))
     levels = [(r["level"], r["n"]) for r in histogram.groupBy("level").agg(F.sum("n").alias("n")).collect()]
     counts, end = _count_table(levels, ends or 0)
@@ -428,7 +435,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     before = Window.partitionBy("level").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     starts = histogram.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(first, "level").select("place", "level", (F.col("first") + F.col("before")).alias("start"))
     answers = _ranks(words, starts)
-    pairs = _pairs(answers, _read(docs, train, groups, id_col, text_col, 1), counts, end, groups, id_type, groups)
+    pairs = _pairs(answers, _read(docs, train, groups, block_chars, id_col, text_col, 1), counts, end, groups, id_type, groups)
     found = _estimates(pairs, counts).collect()
     weights = learn([tuple(r) for r in found], counts.distinct)
     out = _totals(pairs, _sums(pairs, counts, weights), counts, weights, id_col, id_type)

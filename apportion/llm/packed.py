@@ -5,6 +5,16 @@ from __future__ import annotations
 import numpy as np
 
 
+def growth(chars: int, most: int) -> int:
+    """How many times larger blocks or groups are than at 2^29 characters: as the square root of the input, `most` at most.
+
+    Each block sends one row to each group. Were both of one size at all inputs, rows would grow with the square of the
+    input and hold ever fewer numbers; growing as the root, rows grow with the input and keep their size, until memory
+    sets `most`.
+    """
+    return max(1, min(most, round((chars / (1 << 29)) ** 0.5)))
+
+
 def pack(x: np.ndarray) -> bytes:
     """A byte string that holds non-negative numbers: byte planes of the widest one's size, compressed."""
     import zstandard

@@ -41,11 +41,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import offsets, text_batches
-from .packed import pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
+from .packed import growth, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
 
 MARK = "▁"
 LONGEST = 62
 BLOCK_CHARS, GROUP_CHARS, BATCH_ROWS = 1 << 22, 1 << 24, 1 << 10
+"""Characters of a block and of a group at 2^29 characters of input; they grow with its root, up to 8 and 4 times."""
 _WORDS = re.compile(r" +[^ ]*")
 
 
@@ -269,7 +270,7 @@ def _viterbi(edges: Column, n: Column, start, size) -> Column:
     return F.get(F.transform(F.array(F.aggregate(edges, first, step)), walk), F.lit(0))
 
 
-def _blocks(batches, model: Model):
+def _blocks(batches, model: Model, chars: int | None = None):
     """(block, ids, texts' numbers of units, units' numbers, units in order of number) of this partition's blocks.
 
     A block's name is a hash of its partition's number, its own in the partition and its texts, so every reading of it has
@@ -293,7 +294,7 @@ def _blocks(batches, model: Model):
             lengths.append(len(seq) - before)
             size += len(t)
             name.update(t.encode() + b"\xff")
-            if size >= BLOCK_CHARS:
+            if size >= (chars or BLOCK_CHARS):
                 yield name.intdigest() - (1 << 63), ids, lengths, seq, [u.replace(" ", MARK) for u in number]
                 ids, lengths, seq, number, size, name = fresh()
     if ids:
@@ -332,7 +333,9 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     kept = docs.select(id_col, F.col(text_col).alias("text"))
     id_type = kept.schema[0].dataType.simpleString()
-    groups = max(8, -(-(kept.agg(F.sum(F.length("text"))).first()[0] or 0) // GROUP_CHARS))
+    chars = kept.agg(F.sum(F.length("text"))).first()[0] or 0
+    groups = max(8, -(-chars // (GROUP_CHARS * growth(chars, 4))))
+    block_chars = BLOCK_CHARS * growth(chars, 8)
     sent = spark.sparkContext.broadcast(model)
 
     def name(batches):
@@ -344,7 +347,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 kind = b.schema.field(0).type
                 yield b
 
-        for block, ids, lengths, seq, units in _blocks(seen(batches), sent.value):
+        for block, ids, lengths, seq, units in _blocks(seen(batches), sent.value, block_chars):
             by: dict[int, list[int]] = {}
             for k, u in enumerate(units):
                 by.setdefault(zlib.crc32(u.encode()) % groups, []).append(k)
@@ -399,7 +402,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         schema = pa.schema([(id_col, table.schema.field("ids").type.value_type), ("ids", pa.list_(pa.int32()))])
         numbers = [unpack_sorted(x).astype(np.int64) for x in got.column("numbers").to_pylist()] if text.num_rows else []
         n = max((int(x.max()) + 1 for x in numbers if len(x)), default=0)
-        size, start = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        size, start = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int64)
         flat, at = [np.zeros(0, dtype=np.int32)], 0
         for num, s, x in zip(numbers, *(got.column(c).to_pylist() for c in ("sizes", "flat")), strict=True) if text.num_rows else ():
             own = unpack(s).astype(np.int64)
@@ -410,6 +413,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         made = []
         for row in text.select(["ids", "a", "b"]).to_batches(max_chunksize=1):
             seq = unpack_numbered(row.column("b")[0].as_py())
+            if len(seq) and (int(seq.max()) >= n or (size < 0).any()):
+                raise RuntimeError("docs gave other rows when they were read again: pass a table or a checkpoint")
             ends = offsets(size[seq])
             ids = every[np.repeat(start[seq] - ends[:-1], size[seq]) + np.arange(ends[-1])]
             cut_at = ends[offsets(unpack(row.column("a")[0].as_py()).astype(np.int64))]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from apportion.llm import ngram
-from apportion.llm.packed import pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
+from apportion.llm.packed import growth, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
 
 
 def plain(rows):
@@ -89,3 +89,30 @@ def test_equal_blocks_keep_their_own_sums(spark, monkeypatch):
     for x in got:
         w = want[0 if x[0] == 1 else 1]
         assert x[1:4] == w[:3] and x[4] == pytest.approx(w[3], abs=1e-9) and x[5] == pytest.approx(w[4], rel=2e-3)
+
+
+def test_blocks_that_were_read_differently_raise():
+    counts, end = ngram._count_table([(2, 1), (1, 2)], 1)
+    rows = {wanted: list(ngram._block_rows(7, [1, 2], ["a b", "a c"], [True, False], 4, wanted)) for wanted in (0, 1)}
+    text = dict(zip(("kind", "place", "block", "a", "b", "ids", "c"), next(r for r in rows[1] if r[0] == 1), strict=True))
+    with pytest.raises(RuntimeError):  # no ranks for its words
+        list(ngram._pair([text], counts, end, 4))
+    with pytest.raises(RuntimeError):  # ranks for a block that is not there
+        list(ngram._pair([{"block": 7, "a": b"", "c": b"", "ids": None}], counts, end, 4))
+
+
+def test_null_and_repeated_ids_and_clashing_names(spark):
+    df = spark.createDataFrame([(None, "a b", 1), (None, None, 2), (5, "a b", 3), (5, "b", 4)], "doc_id long, text string, score int").withColumn("train", F.lit(True))
+    got = sorted((str(x["doc_id"]), x["n_tokens"]) for x in ngram.score(df, F.col("train")).collect())
+    assert got == [("5", 2), ("5", 3), ("None", 1), ("None", 3)]
+
+
+def test_rows_of_a_block_keep_their_size_as_the_input_grows():
+    def words_in_a_row(chars):
+        groups = max(8, -(-chars // (ngram.GROUP_CHARS * growth(chars, 4))))
+        return ngram.BLOCK_CHARS * growth(chars, 8) / 6 / groups
+
+    small = words_in_a_row(1 << 29)
+    assert all(words_in_a_row((1 << 29) * k) > small / 2 for k in (1, 4, 10, 16, 30, 60))
+    # Blocks and groups are as large as memory allows from 64 times that input on.
+    assert growth(1 << 60, 8) == 8 and growth(0, 8) == 1
