@@ -147,17 +147,25 @@ def demux_bytes(media: bytes) -> dict:
         es_pid = (s[i + 1] & 0x1F) << 8 | s[i + 2]
     if es_pid is None:
         raise ValueError("no elementary stream in the program tables")
-    gaps = 0
+    flags = np.where((control & 2 > 0) & (p[:, 4] > 0), p[:, 5], 0)
+    gaps, keep = 0, np.ones(len(p), dtype=bool)
     for own in (PAT_PID, pmt_pid, es_pid):
-        cc = (p[(pid == own) & has, 3] & 0xF).astype(np.int64)
-        gaps += int(((cc[1:] - cc[:-1]) % 16 != 1).sum())
-    es = np.flatnonzero((pid == es_pid) & has)
+        rows = np.flatnonzero((pid == own) & has)
+        step = np.diff((p[rows, 3] & 0xF).astype(np.int64)) % 16
+        # A packet may be sent twice: the second has the counter and the payload of the first, and is left out.
+        twice = step == 0
+        twice[twice] = [bool((p[a, begin[a] :] == p[b, begin[b] :]).all()) if begin[a] == begin[b] else False for a, b in zip(rows[:-1][twice], rows[1:][twice], strict=True)]
+        twice[1:] &= ~twice[:-1]
+        keep[rows[1:][twice]] = False
+        # A counter may jump where the packet says so.
+        gaps += int(((step != 1) & ~twice & (flags[rows[1:]] & 0x80 == 0)).sum())
+    es = np.flatnonzero((pid == es_pid) & has & keep)
     q, b = p[es], begin[es]
     mask = np.arange(PACKET) >= b[:, None]
     data = q[mask]
     ends = np.cumsum(PACKET - b)
     at = np.flatnonzero(starts[es])
-    random = ((control[es] & 2) > 0) & (q[:, 4] > 0) & ((q[:, 5] & 0x40) > 0)
+    random = (flags[es] & 0x40) > 0
     lo = np.concatenate(([0], ends))[at]
     hi = np.append(lo[1:], len(data))
     units, pieces, offset = [], [], 0

@@ -28,7 +28,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.demux(media.mux(table(spark, sf_dir, "documents"))).drop("units")
+    found = media.demux(media.mux(table(spark, sf_dir, "documents")))
+    # Timestamps of the access units, and where in the payload those begin that a reader can start from.
+    points = F.transform(F.filter("units", lambda u: u["random_access"]), lambda u: u["offset"])
+    return found.select("*", F.transform("units", lambda u: u["pts"]).alias("timestamps"), points.alias("random_access")).drop("units")
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,16 @@ def test_streams_come_back(n):
 def test_lost_and_broken_packets_show():
     stream = media.mux_bytes(bytes(range(256)) * 40)
     assert media.demux_bytes(stream[: 188 * 5] + stream[188 * 6 :])["gaps"] == 1
+    twice = media.demux_bytes(stream[: 188 * 6] + stream[188 * 5 :])
+    assert twice["gaps"] == 0 and bytes(twice["samples"]) == bytes(range(256)) * 40
+    thrice = media.demux_bytes(stream[: 188 * 6] + stream[188 * 5 : 188 * 6] * 2 + stream[188 * 6 :])
+    assert thrice["gaps"] == 1
+    # The packet that begins a unit has an adaptation field; its discontinuity flag allows a jump of the counter.
+    first = next(k for k in range(3, len(stream) // 188) if stream[188 * k + 1] & 0x40 and stream[188 * k + 3] & 0x20)
+    jump = bytearray(stream[: 188 * (first - 1)] + stream[188 * first :])
+    assert media.demux_bytes(bytes(jump))["gaps"] == 1
+    jump[188 * (first - 1) + 5] |= 0x80
+    assert media.demux_bytes(bytes(jump))["gaps"] == 0
     for bad in (b"", stream[:-1], b"\0" + stream[1:], stream[:20] + b"\xff" + stream[21:]):
         with pytest.raises(ValueError):
             media.demux_bytes(bad)
