@@ -213,10 +213,12 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
     def size(e):
         return F.shiftright(e, 28).bitwiseAND(63).cast("int")
 
+    done = F.lit(-(1 << 63))  # the state's highest bit, which no boundary has: no edge is ready, nor will one be
+
     def fold(merges):
         def step(state, _):
-            ready = F.filter(merges, lambda e: (state.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(state.bitwiseAND(e["inside"])) == 1))
-            return F.coalesce(state.bitwiseAND(F.bitwise_not(F.get(ready, F.lit(0))["inside"])), state)
+            ready = F.filter(merges, lambda e: (F.bit_count(state.bitwiseAND(e["inside"])) == 1) & (state.bitwiseAND(e["ends"]) == e["ends"]))
+            return F.when(state < 0, state).otherwise(F.coalesce(state.bitwiseAND(F.bitwise_not(F.get(ready, F.lit(0))["inside"])), state.bitwiseOR(done)))
 
         every = bit(F.length("unit") + 1) - 1
         return F.when(F.size(merges) == 0, every).otherwise(F.aggregate(F.sequence(F.lit(2), F.length("unit")), every, step))
