@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import zipfile
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -54,8 +55,8 @@ def wide(spark: SparkSession, path: str, office: str, date: str | None = None) -
     return out.where("votes > 0")
 
 
-def long(spark: SparkSession, path: str) -> DataFrame:
-    """Canonical rows of a file with one line for each candidate and precinct."""
+def long(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Canonical rows of files with one line for each candidate and precinct, and the name of each row's `file`."""
     rows = spark.read.option("header", True).option("multiLine", True).csv(path)
     out = rows.select(
         T.normal_key(F.col("LocalityName")).alias("county"),
@@ -65,10 +66,32 @@ def long(spark: SparkSession, path: str) -> DataFrame:
         T.party_code(F.col("Party"), F.col("CandidateName")).alias("party"),
         T.clean_text(F.col("CandidateName")).alias("candidate"),
         V.parse_int(F.col("TOTAL_VOTES")).alias("votes"),
+        F.url_decode(F.col("_metadata.file_name")).alias("file"),
     )
     return out.where("votes > 0 AND county != '' AND precinct != '' AND office != '' AND candidate != ''")
 
 
+def converted(spark: SparkSession, *paths: str) -> DataFrame:
+    """Canonical rows of all files whose names tell their kind, with `file`; other files are ignored.
+
+    Pivoted files are read one by one, as each has candidates of its own in its head; long ones together.
+    """
+    named = {p: p.rstrip("/").rsplit("/", 1)[-1] for p in paths}
+    frames = []
+    for path, name in named.items():
+        if m := re.match(WIDE_FILE, name):
+            office = re.sub("[^a-z0-9]+", "_", m[2].lower()).strip("_") or "contest"
+            frames.append(wide(spark, path, office).withColumn("file", F.lit(name)))
+    if together := [p for p, name in named.items() if re.match(LONG_FILE, name)]:
+        frames.append(long(spark, together))
+    if not frames:
+        raise FileNotFoundError("no file of a known kind")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def census_matrix(spark: SparkSession, path: str, header: str = "Geographic Area", footnotes: tuple[str, ...] = ("Note:", "Suggested Citation", "Source:", "Release Date")) -> DataFrame:
     """Cells c0 to c7 of a population table: rows after the header's two lines, up to the first footnote."""
     from functools import reduce

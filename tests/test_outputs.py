@@ -127,3 +127,14 @@ def test_orders_and_leftovers(spark):
     got = sorted((r["county"], str(r["matched"]), r["votes"]) for r in resolve.redistributed(rows, ["g"]).collect())
     assert got == [("c", "K2", 15.0), ("d", "None", 4.0)]
     assert len(diagnose.report_order()) == 6 and len(diagnose.coverage_order()) == 4
+
+
+def test_files_are_read_by_their_names(spark, tmp_path):
+    wide, long, other = tmp_path / "Virginia_Elections_Database__2020_President_General_Election_including_precincts.csv", tmp_path / "Election Results_2023.csv", tmp_path / "notes.csv"
+    wide.write_text("County/City,Ward,Pct,A One,B Two,Total Votes Cast\n,,,Democratic,Republican,\nX County,-,101 - Main,\"1,000\",5,1005\n")
+    long.write_text("LocalityName,PrecinctName,OfficeTitle,CandidateName,Party,TOTAL_VOTES,DistrictType,DistrictName,ElectionDate,ElectionType\nY CITY,202 - Oak,Governor,C Three,Democratic,7,,,2023-11-07,General\n")
+    other.write_text("nothing\n")
+    got = sorted((r["file"], r["county"], r["candidate"], r["votes"]) for r in tables.converted(spark, *map(str, (wide, long, other))).collect())
+    assert got == [(long.name, "Y CITY", "C Three", 7), (wide.name, "X COUNTY", "A One", 1000), (wide.name, "X COUNTY", "B Two", 5)]
+    with pytest.raises(FileNotFoundError):
+        tables.converted(spark, str(other))
