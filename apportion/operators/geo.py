@@ -90,26 +90,49 @@ def intersection_area(a, b) -> float:
 
 
 def overlay(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
-    """(left_id, right_id, area) of every pair that overlaps; `cell` is the grid's size, about that of a small polygon."""
+    """(left_id, right_id, area) of every pair that overlaps; `cell` is the grid's size, about that of a small polygon.
+
+    Boxes alone are dealt to the cells they touch; rings are fetched by id for the pairs whose boxes meet.
+    """
 
     def celled(df: DataFrame, side: str) -> DataFrame:
-        b = df.select(F.col("id").alias(f"{side}_id"), F.col("rings").alias(f"{side}_rings"), bounds(F.col("rings")).alias(f"{side}_b")).where(f"{side}_b.x0 IS NOT NULL")
+        b = df.select(F.col("id").alias(f"{side}_id"), bounds(F.col("rings")).alias(f"{side}_b")).where(f"{side}_b.x0 IS NOT NULL")
         for axis in "xy":
             b = b.withColumn(f"c{axis}", F.explode(F.sequence(F.floor(F.col(f"{side}_b.{axis}0") / cell), F.floor(F.col(f"{side}_b.{axis}1") / cell))))
         return b
 
     pairs = celled(left, "left").join(celled(right, "right"), ["cx", "cy"])
     meet = "left_b.x0 <= right_b.x1 AND right_b.x0 <= left_b.x1 AND left_b.y0 <= right_b.y1 AND right_b.y0 <= left_b.y1"
+    # Of the cells that two boxes share, the first one counts the pair.
     first = " AND ".join(f"c{a} = greatest(floor(left_b.{a}0 / {cell}D), floor(right_b.{a}0 / {cell}D))" for a in "xy")
+    near = pairs.where(f"{meet} AND {first}").select("left_id", "right_id")
+    near = near.join(left.select(F.col("id").alias("left_id"), F.col("rings").alias("__left")), "left_id").join(right.select(F.col("id").alias("right_id"), F.col("rings").alias("__right")), "right_id")
 
     @F.pandas_udf("double")
     def common(a, b):
         return a.combine(b, intersection_area)
 
-    return pairs.where(f"{meet} AND {first}").select("left_id", "right_id", common("left_rings", "right_rings").alias("area")).where("area > 0")
+    return near.select("left_id", "right_id", common("__left", "__right").alias("area")).where("area > 0")
+
+
+def inner_point(rings: Column) -> Column:
+    """A point (x, y) inside the polygon: the middle of its widest span at half its height; null for flat ones."""
+    b = bounds(rings)
+    y = (b["y0"] + b["y1"]) / 2
+
+    def crossings(r):
+        def at(i):
+            p, q = F.element_at(r, i), F.element_at(r, i % F.size(r) + 1)
+            return F.when((p["y"] <= y) != (q["y"] <= y), p["x"] + (y - p["y"]) * (q["x"] - p["x"]) / (q["y"] - p["y"]))
+
+        return F.filter(F.transform(F.sequence(F.lit(1), F.size(r)), at), lambda x: x.isNotNull())
+
+    xs = F.array_sort(F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 2), crossings)))
+    spans = F.filter(F.transform(xs, lambda x, i: F.struct((F.get(xs, i + 1) - x).alias("width"), ((F.get(xs, i + 1) + x) / 2).alias("x"), (i % 2 == 0).alias("inside"))), lambda s: s["inside"])
+    return F.when(F.size(xs) > 1, F.struct(F.array_max(spans)["x"].alias("x"), y.alias("y")))
 
 
 def centroid_layer(precincts: DataFrame) -> DataFrame:
-    """Internal point of each precinct where it has one, else the middle of its bounds; (id, lon, lat)."""
-    b = bounds(F.col("rings"))
-    return precincts.select("id", F.coalesce(F.col("lon").try_cast("double"), (b["x0"] + b["x1"]) / 2).alias("lon"), F.coalesce(F.col("lat").try_cast("double"), (b["y0"] + b["y1"]) / 2).alias("lat"))
+    """Internal point of each precinct where it has one, else a point inside its outline; (id, lon, lat)."""
+    own = inner_point(F.col("rings"))
+    return precincts.select("id", F.coalesce(F.col("lon").try_cast("double"), own["x"]).alias("lon"), F.coalesce(F.col("lat").try_cast("double"), own["y"]).alias("lat"))

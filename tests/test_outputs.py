@@ -138,3 +138,12 @@ def test_files_are_read_by_their_names(spark, tmp_path):
     assert got == [(long.name, "Y CITY", "C Three", 7), (wide.name, "X COUNTY", "A One", 1000), (wide.name, "X COUNTY", "B Two", 5)]
     with pytest.raises(FileNotFoundError):
         tables.converted(spark, str(other))
+
+
+def test_points_lie_inside(spark):
+    from apportion.operators import geo
+
+    # A U whose middle of bounds lies outside it, and a precinct that brings its own point.
+    u = [[{"x": float(x), "y": float(y)} for x, y in ((0, 0), (9, 0), (9, 10), (8, 10), (8, 1), (2, 1), (2, 10), (0, 10))]]
+    rows = spark.createDataFrame([(1, u, None, None), (2, u, "3.5", "4.5"), (3, [], None, None)], f"id int, rings {RINGS}, lon string, lat string")
+    assert sorted(tuple(r) for r in geo.centroid_layer(rows).collect()) == [(1, 1.0, 5.0), (2, 3.5, 4.5), (3, None, None)]
