@@ -34,7 +34,8 @@ from .common import cut, fresh, offsets, text_batches
 SHINGLE, SEED, DISTANCE, SMALL = 3, 42, 3, 2048
 MATCHES = 8 - DISTANCE
 MASKS = [sum(0xFF << 8 * b for b in kept) for kept in combinations(range(7), MATCHES - 1)]
-HOT, SALTS = 1000, 32
+HOT, SALTS, FEW = 1000, 32, 1_000_000
+"""Keys with over 1/HOT of the rows are dealt to SALTS parts; FEW links are no work for one task, so they are not dealt."""
 _U = np.uint64
 
 
@@ -241,7 +242,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         sized = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         least = sized.select("u", F.least("u", "m").alias("m"))
-        joined = _dealt(both, least, "u", sized.select("u", "n"), links)
+        joined = _dealt(both, least, "u", sized.select("u", "n"), links) if links > FEW else both.join(least, "u")
         if large:
             return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()

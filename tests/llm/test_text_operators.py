@@ -172,7 +172,9 @@ def test_fingerprint_by_its_definition():
     assert int(simhash.fingerprints([text])[0]) == sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
 
 
-def test_near_duplicates_against_all_pairs(spark, odd, empty):
+@pytest.mark.parametrize("few", [0, simhash.FEW])
+def test_near_duplicates_against_all_pairs(spark, odd, empty, monkeypatch, few):
+    monkeypatch.setattr(simhash, "FEW", few)
     r = random.Random(1)
     base = [f"w{r.randint(0, 400)}" for _ in range(300)]
     rows = list(ODD)
