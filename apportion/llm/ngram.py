@@ -45,6 +45,8 @@ from .packed import growth, mix, pack, pack_numbered, pack_sorted, unpack, unpac
 
 BLOCK_CHARS, GROUP_CHARS = 1 << 22, 1 << 24
 """Characters of a block and of a group at 2^29 characters of input; they grow with its root, up to 8 and 4 times."""
+LEVEL = 5
+"""Of compression for the largest shuffle."""
 BUCKETS, STEPS, ROUNDS = 48, 4, 60
 """Frequency buckets; histogram bins to a factor of two; rounds of EM."""
 
@@ -95,8 +97,9 @@ def _block_rows(block: int, ids: list, texts: list[str], train: list[bool], grou
         return
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), dtype=U64, count=len(number))
     counts = np.bincount(seq[:at_train], minlength=len(number)) if len(number) else np.zeros(0, np.int64)
-    group = (mix(hashes) % U64(groups)).astype(np.int64)
-    order_w = np.lexsort((hashes, group))
+    # Groups are ranges of hashes, so a row's hashes lie close together and their differences are short.
+    group = ((hashes >> U64(32)) * U64(groups) >> U64(32)).astype(np.int64)
+    order_w = np.argsort(hashes, kind="stable")
     for g, part in _runs(group[order_w], order_w):
         yield (0, g, block, pack_sorted(hashes[part]), pack(counts[part]), None, pack(part))
 
@@ -271,7 +274,7 @@ def _pair(rows: list[dict], counts: Counts, end: int, groups: int):
     for g, part in _runs(group[by_group], by_group):
         n = size[part]
         starts = np.repeat(first[part] - offsets(n)[:-1], n) + np.arange(n.sum())
-        yield (0, g, block, pack_sorted(own[part] >> U64(32)), pack(own[part] & U64(0xFFFFFFFF)), pack(n), pack(owner[starts]), n_train, None, None, None)
+        yield (0, g, block, pack_sorted(own[part] >> U64(32), LEVEL), pack(own[part] & U64(0xFFFFFFFF), LEVEL), pack(n, LEVEL), pack(owner[starts], LEVEL), n_train, None, None, None)
 
 
 def _pairs(answers: DataFrame, texts: DataFrame, counts: Counts, end: int, groups: int, id_type: str, parts: int) -> DataFrame:

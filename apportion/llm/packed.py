@@ -15,14 +15,14 @@ def growth(chars: int, most: int) -> int:
     return max(1, min(most, round((chars / (1 << 29)) ** 0.5)))
 
 
-def pack(x: np.ndarray) -> bytes:
+def pack(x: np.ndarray, level: int = 1) -> bytes:
     """A byte string that holds non-negative numbers: byte planes of the widest one's size, compressed."""
     import zstandard
 
     x = np.ascontiguousarray(x, dtype=np.uint64)
     width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
     planes = x.view(np.uint8).reshape(-1, 8)[:, :width].T
-    return bytes([width]) + len(x).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return bytes([width]) + len(x).to_bytes(8, "little") + zstandard.ZstdCompressor(level=level).compress(planes.tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -35,9 +35,9 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def pack_sorted(x: np.ndarray) -> bytes:
+def pack_sorted(x: np.ndarray, level: int = 1) -> bytes:
     """As pack(), for numbers in ascending order."""
-    return pack(np.diff(x, prepend=np.uint64(0)) if len(x) else x)
+    return pack(np.diff(x, prepend=np.uint64(0)) if len(x) else x, level)
 
 
 def unpack_sorted(data: bytes) -> np.ndarray:
