@@ -64,14 +64,30 @@ def bounded_sample(df: DataFrame, rows: int, text: str | None = "text") -> DataF
     """At most `rows` distinct rows of df whose text is not null and has at most LONGEST characters, to learn a model from.
     So a sample has at most rows x LONGEST characters, however many rows repeat an id or a text.
 
-    Rows are drawn by a hash of all their columns (the same rows each time), so equal rows are drawn, and kept, once. The
-    count before reads only what the filters of df read, not the texts.
+    They are the rows with the smallest hashes of all their columns: the same ones however df is partitioned and whatever
+    its size, all of them where df has no more, and equal rows once. Hashes below a bound that lets through four times the
+    need are looked at first; where rows repeat so much that this is too few, the bound is raised.
     """
     total = df.count()
-    own = df if text is None else df.where(F.length(text) <= LONGEST)
-    if total > rows:
-        own = own.where(F.pmod(F.xxhash64(*df.columns, F.lit("sample")), F.lit(1 << 20)) < int((1 << 20) * rows / total))
-    return own.distinct().limit(rows)
+    h = fresh(df, "hash")
+    own = (df if text is None else df.where(F.length(text) <= LONGEST)).withColumn(h, F.xxhash64(*df.columns, F.lit("sample")))
+    share = min(1.0, 4 * rows / max(1, total))
+    while True:
+        low = own if share == 1 else own.where(F.col(h) < -(1 << 63) + int((1 << 64) * share))
+        found = low.select(h).distinct().orderBy(h).limit(rows).agg(F.count("*").alias("n"), F.max(h).alias("last")).first()
+        if found["n"] == rows or share == 1:
+            break
+        share = min(1.0, 16 * share)
+    return low.where(F.col(h) <= F.lit(found["last"])).drop(h).distinct()
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int, id_col: str = "doc_id", text_col: str = "text") -> list:
+    """At most `rows` rows (__id, text, __label) of docs with labels 0 and 1, as bounded_sample() draws them: `rows` labels,
+    the bounded side of a broadcast join, and of what they meet `rows` distinct texts, however often an id occurs."""
+    own = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
+    chosen = bounded_sample(own, rows, None)
+    met = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id")
+    return bounded_sample(met.select("__id", "text", "__label"), rows).collect()
 
 
 def offsets(lengths) -> np.ndarray:

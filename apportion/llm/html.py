@@ -13,11 +13,14 @@ stand for common usage. A weight belongs to a key, which is made of
     * for elements that are not made for prose (div, span, td, ...), whether the block is a short one;
     * whether an element around it is of a doubtful kind by common usage (menus, asides, forms, adverts, comments, ...).
 
+A page's only <article> or <main> is evidence too: what it holds, elements in doubt aside, scores at least WITHIN a word, so
+closing lists of links, tables and bylines stay with their article. It is no proof: the search still decides.
+
 The search can't cut inside its run. There, elements of a doubtful kind whose words score below zero are left out, so they
 interrupt a run at the cost of GAP at most; a kind whose words labelled pages hold in their content scores above zero and stays. A form around most of a page is no doubt.
 
 Only what a browser doesn't show as text is never taken: scripts, styles, the head, controls, and what attributes hide
-(`hidden`, aria-hidden="true", display:none in `style`). Each block element makes a block of the region: its text with
+(`hidden`, display:none in `style`). Each block element makes a block of the region: its text with
 character references decoded, each run of white space as one space, trimmed; blocks are joined in page order by a line
 feed. A page is parsed within one row of one narrow pass.
 
@@ -40,6 +43,8 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, text_batches
 
 LABELLED = 500
+WITHIN, TAG_WITHIN = 0.5, -0.1
+"""The least that a word and a tag within a page's only <article> or <main> score, in doubt aside."""
 GAP = 2.0
 """What elements of a doubtful kind cost at most where they interrupt a run."""
 SHORT = 12
@@ -82,7 +87,7 @@ def _parts(words: str) -> list[str]:
 
 
 def _hidden(own: dict[str, str]) -> bool:
-    return own.get("hidden", "false").lower() != "false" or own.get("aria-hidden", "").lower() == "true" or bool(_NOT_SHOWN.search(own.get("style", "")))
+    return own.get("hidden", "false").lower() != "false" or bool(_NOT_SHOWN.search(own.get("style", "")))
 
 
 def _doubtful_named(name: str, own: dict[str, str]) -> bool:
@@ -122,7 +127,8 @@ def tokens(page: str) -> list[Token]:
     at = 0
 
     def text(raw: str) -> None:
-        if raw and not raw.isspace():
+        # White space alone is a text too, of no words: it may part the words of two elements.
+        if raw:
             top = stack[-1] if stack else root
             out.append(Token(top.key, raw, top.shown, top.own, top.doubt, len(raw.split())))
 
@@ -281,6 +287,8 @@ def _spans(found: list[Token]) -> list[list[int]]:
 def scored(found: list[Token], w: Weights) -> tuple[list[float], list[list[int]]]:
     """Scores of the tokens, and the texts of each doubtful run that scores below zero; such a run costs GAP at most."""
     scores, doubtful = [w.of(t) for t in found], []
+    if sum(not t.own and t.key.removeprefix("<") in OWN for t in found if not t.text) == 1:
+        scores = [max(x, WITHIN * t.n if t.text else TAG_WITHIN) if t.own and t.shown and not t.doubt else x for x, t in zip(scores, found, strict=True)]
     for span in _spans(found):
         texts = [i for i in span if found[i].text and found[i].shown]
         if sum(scores[i] for i in texts) < 0:

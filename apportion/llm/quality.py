@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LONGEST, bounded_sample, text_batches
+from .common import labelled_sample, text_batches
 
 TRAIN_ROWS = 4_000
 DICTIONARY_BYTES = 112_000
@@ -93,13 +93,9 @@ def fit_texts(rows: list[tuple[str, int]]) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS) -> Model:
     """Model from labelled rows of docs; `labels` has ids with labels 0 and 1 (others and nulls are left out).
 
-    At most `rows` labels are drawn by a hash; they are the bounded side of a broadcast join. At most `rows` distinct texts
-    come of it, each of at most LONGEST characters, however often an id occurs.
+    Of labels and of texts at most `rows` are drawn, each text of at most LONGEST characters, however often an id occurs.
     """
-    own = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label"))
-    chosen = bounded_sample(own, rows, None)
-    short = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where(F.length("text") <= LONGEST)
-    got = short.join(F.broadcast(chosen), "__id").select("__id", "text", "__label").distinct().limit(rows).collect()
+    got = labelled_sample(docs, labels, label_col, rows, id_col, text_col)
     got.sort(key=lambda r: (hash_order(r["__id"]), r["__label"], r["text"] or ""))
     return fit_texts([(r["text"] or "", int(r["__label"])) for r in got])
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 import time
+from html.parser import HTMLParser
 
 from apportion.llm import html
 from apportion.llm.queries import op9_html
@@ -38,13 +39,72 @@ def test_labelled_pages_change_the_region():
 
 
 def test_attributes_that_only_look_hidden():
-    for attribute in ("style='overflow:hidden'", "class='overflow-hidden'", "data-x='is hidden gem'", "title='The hidden cost'", "class='content with-sidebar'", "id='related-work'", "aria-hidden='false'"):
+    for attribute in ("style='overflow:hidden'", "class='overflow-hidden'", "data-x='is hidden gem'", "title='The hidden cost'", "class='content with-sidebar'", "id='related-work'", "aria-hidden='false'", "aria-hidden='true'"):
         for tag in ("article", "main", "div", "section"):
             assert html.main_text(f"<body><{tag} {attribute}>{PROSE}</{tag}></body>", NONE) == TEXT, (tag, attribute)
-    for attribute in ("hidden", "style='color:red; display : none'", "aria-hidden=true"):
+    for attribute in ("hidden", "style='color:red; display : none'"):
         assert html.main_text(f"<body><div {attribute}>{PROSE}</div><p>{'seen ' * 30}</p></body>", NONE) == ("seen " * 30).strip()
 
 
+def test_blanks_between_inline_elements():
+    for inner, want in (("<b>Hello</b> <i>world</i>", "Hello world"), ("<a>one</a> <a>two</a>\n<em>three</em>", "one two three"), ("a<span aria-hidden=true>b</span>c", "abc"), ("x<b> </b>y<!-- -->z", "x yz"), ("x&nbsp;<b>y</b>", "x y")):
+        assert html.main_text(f"<article>{PROSE}<p>{inner}</p>{PROSE}</article>", NONE) == f"{TEXT}\n{want}\n{TEXT}"
+
+
+class Plain(HTMLParser):
+    """Text of all blocks, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.blocks, self.held = [], ""
+
+    def end(self):
+        self.blocks += [b] if (b := " ".join(self.held.split())) else []
+        self.held = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.held += " " if tag == "br" else ""
+        if tag in html.BLOCK:
+            self.end()
+
+    def handle_endtag(self, tag):
+        if tag in html.BLOCK:
+            self.end()
+
+    def handle_data(self, data):
+        self.held += data
+
+
+def test_text_of_random_nested_pages():
+    """Everything within one <article> comes back, as a plain parser gives it."""
+    rng = random.Random(11)
+
+    def made(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.4:
+            return rng.choice(["word", " ", "\n", "two words", " lead", "trail ", "&amp;", "&#233;", "<br>", "<!-- no -->"])
+        inner = "".join(made(depth - 1) for _ in range(rng.randrange(4)))
+        tag = rng.choice(["b", "i", "em", "span", "a", "code"] if kind < 0.7 else ["div", "section", "blockquote", "ul"])
+        inner = f"<li>{inner}</li>" if tag == "ul" else inner
+        return f"<{tag}>{inner}</{tag}>"
+
+    for _ in range(400):
+        body = PROSE + "".join(made(4) for _ in range(6)) + PROSE
+        plain = Plain()
+        plain.feed(body)
+        plain.end()
+        assert html.main_text(f"<body><nav><a>Home</a></nav><article>{body}</article></body>", NONE) == "\n".join(plain.blocks), body
+
+
+def test_edges_of_an_article_stay():
+    side = "<nav><ul><li><a href='/'>Home</a></li></ul></nav>"
+    for edge, want in (("<ul><li><a href='/x'>First link</a></li><li><a href='/y'>Second link</a></li></ul>", "First link\nSecond link"), ("<table><tr><td>1</td><td>2</td></tr></table>", "1\n2"), ("<div>By hand</div>", "By hand")):
+        assert html.main_text(f"<body>{side}<article>{PROSE}{edge}</article><footer>Made 2020</footer></body>", NONE) == f"{TEXT}\n{want}"
+        assert html.main_text(f"<body>{side}<article>{edge}{PROSE}</article><footer>Made 2020</footer></body>", NONE) == f"{want}\n{TEXT}"
+    # Two articles are no evidence, and what is in doubt within one goes.
+    assert html.main_text(f"<body><article>{PROSE}<div class='share'><a>Like</a></div></article></body>", NONE) == TEXT
+
+
 def test_inner_advert_goes_and_page_in_form_stays():
     assert html.main_text(f"<article>{PROSE}<div class='ad'>Buy this now please</div><form><p>Your mail</p><input></form>{PROSE}</article>", NONE) == f"{TEXT}\n{TEXT}"
     assert html.main_text(f"<body><form action='/'>{PROSE}{PROSE}</form></body>", NONE) == f"{TEXT}\n{TEXT}"
