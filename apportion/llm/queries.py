@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, media, ngram, pieces, quality, secrets, simhash, wordpiece
+from . import decontaminate, html, langid, media, ngram, pieces, quality, resample, secrets, simhash, wordpiece
 from .common import fold, shared_folder, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -88,6 +88,10 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash": op2_simhash,
@@ -99,5 +103,6 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_html": op9_html,
     "op10_lm_scores": op10_lm_scores,
+    "op12_resample": op12_resample,
 }
 ORACLES: dict[str, str] = {}
