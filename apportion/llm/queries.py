@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, media, ngram, pieces, quality, resample, secrets, simhash, wordpiece
+from . import decontaminate, divergence, html, langid, media, ngram, pieces, quality, resample, secrets, simhash, wordpiece
 from .common import fold, shared_folder, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -92,6 +92,10 @@ def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash": op2_simhash,
@@ -104,5 +108,54 @@ QUERIES = {
     "op9_html": op9_html,
     "op10_lm_scores": op10_lm_scores,
     "op12_resample": op12_resample,
+    "op13_divergence": op13_divergence,
+}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    # The checksum goes by half bytes, the lower one first; t holds the sixteen checksums of half bytes.
+    "op12_resample": rf"""
+WITH halves AS (SELECT [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108] AS t),
+tokens AS (
+  SELECT 0 AS side, doc_id AS id, row_number() OVER () AS row_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT 1, NULL, NULL, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+grams AS (SELECT side, row_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM tokens),
+counted AS (SELECT side, row_id, g, count(*) AS n FROM grams GROUP BY ALL),
+hashed AS (
+  SELECT g, xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(regexp_replace(hex(encode(g)), '(.)(.)', '\2\1', 'g'), '.'), lambda h: strpos('0123456789ABCDEF', h)::BIGINT - 1),
+    lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT g FROM counted), halves),
+bucketed AS (SELECT side, row_id, bucket, n FROM counted JOIN hashed USING (g)),
+sums AS (SELECT bucket, sum(CASE WHEN side = 0 THEN n ELSE 0 END)::DOUBLE AS s, sum(CASE WHEN side = 1 THEN n ELSE 0 END)::DOUBLE AS t FROM bucketed GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM sums),
+weighed AS (SELECT row_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM bucketed JOIN gains USING (bucket) WHERE side = 0 GROUP BY row_id),
+scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM tokens LEFT JOIN weighed USING (row_id) WHERE side = 0),
+placed AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * (SELECT count(*) FROM placed) // 100 THEN place END AS rank FROM placed
+UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM scored WHERE n_words < 20""",
+    "op13_divergence": rf"""
+WITH docs AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS d, regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+occurrences AS (SELECT lang, source, d, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term FROM occurrences GROUP BY ALL HAVING count(DISTINCT d) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+pools AS (SELECT DISTINCT lang, source, false AS whole FROM docs UNION ALL SELECT DISTINCT lang, '', true FROM docs),
+counts AS (
+  SELECT lang, source, false AS whole, term, count(*) AS n FROM occurrences JOIN kept USING (lang, term) GROUP BY ALL
+  UNION ALL SELECT lang, '', true, term, count(*) FROM occurrences JOIN kept USING (lang, term) GROUP BY ALL),
+every AS (SELECT lang, source, whole, term, coalesce(n, 0) AS n FROM pools JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, whole, term)),
+shares AS (SELECT lang, source, whole, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source, whole) + 2 * v) AS p FROM every JOIN sizes USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source AND NOT a.whole AND NOT b.whole GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM pools a JOIN pools b ON a.lang = b.lang AND a.source <> b.source AND NOT a.whole AND NOT b.whole LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT a.lang, a.source, 'term', a.term, (a.p - b.p) * (a.p - b.p) // (a.p + b.p)
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND NOT a.whole AND b.whole WHERE a.n > 0 AND a.p > b.p)
+SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10""",
 }
-ORACLES: dict[str, str] = {}
