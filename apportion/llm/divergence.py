@@ -71,7 +71,7 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 yield pa.RecordBatch.from_arrays(
                     [
                         langs.dictionary.take(pa.array(group // len(sources.dictionary))),
-                        terms.cast(pa.large_string()).take(pa.array(term[starts])).cast(pa.string()),
+                        terms.view(pa.large_string()).take(pa.array(term[starts])).cast(pa.string()),
                         sources.dictionary.take(pa.array(group % len(sources.dictionary))),
                         pa.array(np.diff(starts, append=len(term))),
                         pa.array(np.add.reduceat(n, starts)),

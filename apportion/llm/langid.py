@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, offsets
+from .common import bounded_sample
+from .words import letter_codes
 
 TRAIN_ROWS = 6_000
 BITS, WIDTH, EPOCHS, RATE = 16, 16, 6, 1.0
@@ -27,21 +28,6 @@ BLOCK_CHARS = 1 << 20
 KEEP = 0.999
 """Share of correctly labelled calibration rows that the threshold of rejection must keep."""
 
-_letters: list[np.ndarray] = []
-
-
-def _is_letter() -> np.ndarray:
-    if not _letters:
-        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000))
-    return _letters[0]
-
-
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points, 0 for anything but letters, of the texts laid end to end with a 0 before each and three at the end; their starts."""
-    raw = [("\0" + t.lower()).encode("utf-32-le", "replace") for t in texts]
-    x = np.frombuffer(b"".join(raw) + b"\0" * 12, dtype=np.uint32)
-    return np.where(_is_letter()[x], x, np.uint32(0)), offsets([len(r) // 4 for r in raw])
-
 
 def _grams(x: np.ndarray):
     """Buckets of the 2-, 3- and 4-grams that begin at each place but the last three, and which of them count."""
@@ -58,7 +44,7 @@ def _grams(x: np.ndarray):
 
 def subwords(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text, and each one's share of its subwords."""
-    x, _ = _codes([text])
+    x, _ = letter_codes([text], 3)
     found = [b[v] for b, v in _grams(x)]
     ids, counts = np.unique(np.concatenate(found), return_counts=True)
     return ids, (counts / max(1, counts.sum())).astype(np.float32)
@@ -123,7 +109,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def logits(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Mean logits of each text, and its number of subwords."""
-    x, starts = _codes(texts)
+    x, starts = letter_codes(texts, 3)
     total, count = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts), dtype=np.int64)
     for at in range(0, len(x) - 3, BLOCK_CHARS):
         block = x[at : at + BLOCK_CHARS + 3]

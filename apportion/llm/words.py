@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import offsets
+
 BLOCK_BYTES = 1 << 23
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -20,28 +22,23 @@ LETTER_OR_DIGIT[48:58] = True
 
 @dataclass(frozen=True)
 class Words:
-    """Words of some texts in order: `low` has the texts' bytes with A-Z lower-cased, `start` and `length` say where each
-    word lies there, `text` which text it is of. Words of a text are next to each other."""
+    """Words of some texts in order, those of a text next to each other: `data` has their bytes end to end, `length` how many
+    each has, `text` which text it is of."""
 
-    low: np.ndarray
-    start: np.ndarray
+    data: np.ndarray
     length: np.ndarray
     text: np.ndarray
 
     def coded(self) -> tuple[np.ndarray, pa.Array]:
         """The number of each word among the distinct words, and these, as binary values."""
-        if not len(self.start):
-            return np.zeros(0, dtype=np.int64), pa.array([], pa.large_binary())
-        ends = np.cumsum(self.length)
-        places = np.repeat(self.start - (ends - self.length), self.length) + np.arange(ends[-1])
-        offsets = np.concatenate([np.zeros(1, dtype=np.int64), ends])
-        every = pa.Array.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(offsets), pa.py_buffer(self.low[places])])
+        every = pa.Array.from_buffers(pa.large_binary(), len(self.length), [None, pa.py_buffer(offsets(self.length)), pa.py_buffer(self.data)])
         coded = every.dictionary_encode()
         return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words:
-    """Words of texts laid end to end in `raw`, from one of `offsets` to the next; `member` has the bytes words are made of."""
+def words(raw: np.ndarray, at: np.ndarray, member: np.ndarray) -> Words:
+    """Words, with A-Z lower-cased, of texts laid end to end in `raw`, from one place of `at` to the next; `member` has the
+    bytes that words are made of."""
     low = LOWER[raw]
     inside = member[low]
     first = inside.copy()
@@ -49,11 +46,11 @@ def words(raw: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words:
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     # A word ends with its text.
-    edges = offsets[(offsets > 0) & (offsets < len(raw))]
+    edges = at[(at > 0) & (at < len(raw))]
     first[edges] = inside[edges]
     last[edges - 1] = inside[edges - 1]
     start = np.flatnonzero(first)
-    return Words(low, start, np.flatnonzero(last) + 1 - start, np.searchsorted(offsets, start, "right") - 1)
+    return Words(low[inside], np.flatnonzero(last) + 1 - start, np.searchsorted(at, start, "right") - 1)
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
@@ -68,6 +65,19 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+_letters: list[np.ndarray] = []
+
+
+def letter_codes(texts: list[str], tail: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased code points, 0 for anything but letters, of texts laid end to end with a 0 before each and `tail` of them
+    at the end; and where each text begins, with the end of the last."""
+    if not _letters:
+        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000))
+    raw = [("\0" + t.lower()).encode("utf-32-le", "replace") for t in texts]
+    x = np.frombuffer(b"".join(raw) + b"\0" * 4 * tail, dtype=np.uint32)
+    return np.where(_letters[0][x], x, np.uint32(0)), offsets([len(r) // 4 for r in raw])
+
+
 def blocks(column, size: int = BLOCK_BYTES):
     """(first, last, bytes, offsets) of runs of whole texts of about `size` bytes; a longer text is a run of its own."""
     raw, at = text_bytes(column)
