@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, divergence, html, langid, media, ngram, pieces, quality, resample, secrets, simhash, wordpiece
+from . import decontaminate, divergence, html, langid, media, ngram, pieces, quality, resample, secrets, simhash, toxicity, wordpiece
 from .common import fold, shared_folder, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -88,6 +88,12 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -107,6 +113,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_html": op9_html,
     "op10_lm_scores": op10_lm_scores,
+    "op11_toxicity": op11_toxicity,
     "op12_resample": op12_resample,
     "op13_divergence": op13_divergence,
 }
