@@ -71,10 +71,10 @@ def block_weights(blocks: DataFrame) -> DataFrame:
     return blocks.select(F.col(names[0]).alias("BLOCKID"), F.when(area > 0, area).otherwise(1.0).alias("weight"))
 
 
-def from_overlay(precincts: DataFrame, districts: DataFrame, scope: str, cell: float) -> Crosswalk:
+def from_overlay(precincts: DataFrame, districts: DataFrame, scope: str, cell: float | None = None) -> Crosswalk:
     """Crosswalk from two polygon layers: precincts (id, county, code, rings), districts (one of DISTRICT_COLUMNS, rings).
 
-    Pieces are the common areas; the layers meet on grid cells of the size `cell`.
+    Pieces are the common areas; the layers meet on grid cells of the size `cell`, that of most precincts if not given.
     """
     from .geo import overlay
 

@@ -1,8 +1,8 @@
 """Plane geometry for crosswalks: projection, areas, and areas of intersection between two polygon layers.
 
-Layers are (id, rings): rings are arrays of (x, y) points, holes wound the other way. Pairs of polygons whose bounding
-boxes overlap meet in an equi-join on grid cells, each pair in the first cell that both boxes share; the area of a pair's
-intersection is then exact, as the signed sum over triangles of both polygons, clipped against each other.
+Layers are (id, rings): rings are arrays of (x, y) points, holes wound the other way. Outlines are cut to the cells of a grid,
+pieces meet in an equi-join on cells, and the area that two of a cell share is exact: the signed sum, over pairs of edges that share
+a range of x, of what lies below both, in arrays. Its work grows with the edges of a cell, not with the product of two outlines.
 """
 
 from __future__ import annotations
@@ -10,9 +10,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from apportion.functions.settle import settle
+
 RADIUS = 6_378_137.0
 RINGS = "array<array<struct<x: double, y: double>>>"
 
@@ -30,14 +33,19 @@ def project(rings: Column) -> Column:
     return F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(mercator_x(p["x"]).alias("x"), mercator_y(p["y"]).alias("y"))))
 
 
-def area(rings: Column) -> Column:
-    """Area of a polygon by the shoelace formula, rings closed or not; holes count against it by their winding."""
+def signed_ring(r: Column) -> Column:
+    """Area of a ring by the shoelace formula, closed or not: above zero if it is wound to the left."""
+    index = F.sequence(F.lit(1), F.size(r))
+    return F.aggregate(index, F.lit(0.0), lambda s, i: s + F.element_at(r, i)["x"] * F.element_at(r, i % F.size(r) + 1)["y"] - F.element_at(r, i % F.size(r) + 1)["x"] * F.element_at(r, i)["y"]) / 2
+
 
-    def ring(r):
-        index = F.sequence(F.lit(1), F.size(r))
-        return F.aggregate(index, F.lit(0.0), lambda s, i: s + F.element_at(r, i)["x"] * F.element_at(r, i % F.size(r) + 1)["y"] - F.element_at(r, i % F.size(r) + 1)["x"] * F.element_at(r, i)["y"]) / 2
+def signed_area(rings: Column) -> Column:
+    return F.aggregate(rings, F.lit(0.0), lambda s, r: s + F.when(F.size(r) > 2, signed_ring(r)).otherwise(0.0))
 
-    return F.abs(F.aggregate(rings, F.lit(0.0), lambda s, r: s + F.when(F.size(r) > 2, ring(r)).otherwise(0.0)))
+
+def area(rings: Column) -> Column:
+    """Area of a polygon; holes count against it by their winding."""
+    return F.abs(signed_area(rings))
 
 
 def bounds(rings: Column) -> Column:
@@ -46,90 +54,293 @@ def bounds(rings: Column) -> Column:
     return F.struct(F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
 
 
-def _triangles(rings) -> list[tuple[float, np.ndarray]]:
-    """Signed triangles of all rings' edges with one corner of the polygon; their signed sum is the polygon."""
-    points = [np.array([(p["x"], p["y"]) for p in r], dtype=float) for r in rings if len(r) > 2]
-    if not points:
-        return []
-    o, out = points[0][0], []
-    for ring in points:
-        for a, b in zip(ring, np.roll(ring, -1, axis=0), strict=True):
-            cross = (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
-            if cross:
-                out.append((1.0 if cross > 0 else -1.0, np.array([o, a, b] if cross > 0 else [o, b, a])))
-    return out
-
-
-def _clip(subject: list, triangle: np.ndarray) -> list:
-    for a, b in zip(triangle, np.roll(triangle, -1, axis=0), strict=True):
-        side = [(b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0]) for p in subject]
-        out = []
-        for i, p in enumerate(subject):
-            q, s, t = subject[i - 1], side[i], side[i - 1]
-            if (s >= 0) != (t >= 0):
-                k = t / (t - s)
-                out.append((q[0] + k * (p[0] - q[0]), q[1] + k * (p[1] - q[1])))
-            if s >= 0:
-                out.append((p[0], p[1]))
-        subject = out
-        if len(subject) < 3:
-            return []
-    return subject
-
-
-def intersection_area(a, b) -> float:
-    """Area of the intersection of two polygons, of any shape, given as rings."""
-    total, right = 0.0, [(s, t, t.min(axis=0), t.max(axis=0)) for s, t in _triangles(b)]
-    for s, t in _triangles(a):
-        low, high = t.min(axis=0), t.max(axis=0)
-        for u, v, v0, v1 in right:
-            if (low <= v1).all() and (v0 <= high).all() and (p := _clip([tuple(x) for x in t], v)):
-                x, y = np.array(p).T
-                total += s * u * 0.5 * abs(float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))))
-    return abs(total)
-
-
-def overlay(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
-    """(left_id, right_id, area) of every pair that overlaps; `cell` is the grid's size, about that of a small polygon.
-
-    Boxes alone are dealt to the cells they touch; rings are fetched by id for the pairs whose boxes meet.
+def _edges(rings) -> np.ndarray:
+    """Edges of all rings as columns x0, y0, x1, y1, sign, from left to right; upright ones go. The signed areas below them
+    add up to the polygon, whichever way it is wound."""
+    parts = []
+    for r in rings if rings is not None else ():
+        if len(r) > 2:
+            p = np.array([(q["x"], q["y"]) for q in r], dtype=float)
+            parts.append(np.column_stack([p, np.roll(p, -1, axis=0)]))
+    if not parts:
+        return np.zeros((0, 5))
+    e = np.concatenate(parts)
+    e = e[e[:, 0] != e[:, 2]]
+    back = e[:, 0] > e[:, 2]
+    e[back] = e[back][:, [2, 3, 0, 1]]
+    sign = np.where(back, -1.0, 1.0)
+    base = e[:, 1].min(initial=np.inf)
+    total = (sign * (e[:, 2] - e[:, 0]) * ((e[:, 1] - base) + (e[:, 3] - base))).sum()
+    return np.column_stack([e, sign if total >= 0 else -sign])
+
+
+def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row once for each whole number from its first to its last: the row, and the number."""
+    n = (last - first + 1).astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    return row, first[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def pieces(rings, cell: float):
+    """(cx, cy, edges) of the polygon's part in each grid cell that it meets, edges as rows x0, y0, x1, y1, sign.
+
+    Heights are above the cell's lower side. What of the outline lies above a cell bounds it by its upper side: such edges
+    are one flat each, joined where they follow each other, so a cell within the polygon has one edge. Points where
+    edges cross the grid depend on the edge alone: equal edges of two polygons are cut alike.
+    """
+    e = _edges(rings)
+    if not len(e):
+        return
+    slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
+
+    def height(row, x):
+        # Ends are as they were.
+        return np.where(x == e[row, 0], e[row, 1], np.where(x == e[row, 2], e[row, 3], e[row, 1] + (x - e[row, 0]) * slope[row]))
+
+    last = np.ceil(e[:, 2] / cell) - 1
+    row, cx = _spread(np.floor(e[:, 0] / cell), np.maximum(last, np.floor(e[:, 0] / cell)))
+    x0, x1 = np.maximum(e[row, 0], cx * cell), np.minimum(e[row, 2], (cx + 1) * cell)
+    y0, y1 = height(row, x0), height(row, x1)
+    # Each is cut again where it passes from one row of cells to another.
+    part, cy = _spread(np.floor(np.minimum(y0, y1) / cell), np.floor(np.maximum(y0, y1) / cell))
+    own, rising = row[part], y1[part] >= y0[part]
+
+    def place(level):
+        """Where an edge reaches the height of a row of cells, within its column."""
+        with np.errstate(divide="ignore", invalid="ignore"):
+            x = e[own, 0] + (level * cell - e[own, 1]) / slope[own]
+        return np.where(np.isfinite(x), np.clip(x, x0[part], x1[part]), x0[part])
+
+    enters, leaves = place(np.where(rising, cy, cy + 1)), place(np.where(rising, cy + 1, cy))
+    lowest, highest = np.floor(np.minimum(y0, y1) / cell)[part], np.floor(np.maximum(y0, y1) / cell)[part]
+    a = np.where(cy == np.where(rising, lowest, highest), x0[part], enters)
+    b = np.where(cy == np.where(rising, highest, lowest), x1[part], leaves)
+    ya, yb = (np.clip(height(own, x) - cy * cell, 0.0, cell) for x in (a, b))
+    cut = np.column_stack([a, ya, b, yb, e[own, 4]])
+    cx = cx[part]
+    order = np.lexsort((-cy, cx))
+    order = order[(b > a)[order]]
+    cut, cx, cy = cut[order], cx[order].astype(np.int64), cy[order].astype(np.int64)
+    column = np.flatnonzero(np.diff(cx, prepend=np.iinfo(np.int64).min))
+    for c0, c1 in zip(column, np.append(column[1:], len(cx)), strict=True):
+        # From the top of the column down; `above` has where the winding of what lies above changes, and by how much.
+        above: dict[float, float] = {}
+        rows = c0 + np.flatnonzero(np.diff(cy[c0:c1], prepend=np.iinfo(np.int64).max))
+        at = int(cy[c0])
+        for r0, r1 in zip(rows, np.append(rows[1:], c1), strict=True):
+            while at > cy[r0]:
+                if above:
+                    yield int(cx[c0]), at, _flats(above, cell)
+                at -= 1
+            yield int(cx[c0]), at, np.concatenate([cut[r0:r1], _flats(above, cell)])
+            for x, s in [*zip(cut[r0:r1, 0].tolist(), cut[r0:r1, 4].tolist(), strict=True), *zip(cut[r0:r1, 2].tolist(), (-cut[r0:r1, 4]).tolist(), strict=True)]:
+                if total := above.get(x, 0.0) + s:
+                    above[x] = total
+                else:
+                    del above[x]
+            at -= 1
+
+
+def _flats(above: dict[float, float], cell: float) -> np.ndarray:
+    if not above:
+        return np.zeros((0, 5))
+    x = np.array(sorted(above))
+    sign = np.cumsum([above[v] for v in x.tolist()])[:-1]
+    full = np.full(len(x) - 1, cell)
+    return np.column_stack([x[:-1], full, x[1:], full, sign])[sign != 0]
+
+
+PAIRS = 1 << 20
+"""Pairs of edges that are looked at together."""
+
+
+def common_area(a: np.ndarray, b: np.ndarray) -> float:
+    """Area of the intersection of two pieces of a cell: the sum, over pairs of edges that share a range of x, of the area
+    below both, with both signs."""
+    if not len(a) or not len(b):
+        return 0.0
+    a, b = a[np.argsort(a[:, 0], kind="stable")], b[np.argsort(b[:, 0], kind="stable")]
+    # The right one begins within the left one or where it begins; or the left one begins within the right one.
+    i0, i1 = np.searchsorted(b[:, 0], a[:, 0], "left"), np.searchsorted(b[:, 0], a[:, 2], "left")
+    j0, j1 = np.searchsorted(a[:, 0], b[:, 0], "right"), np.searchsorted(a[:, 0], b[:, 2], "left")
+    total = 0.0
+    for first, last, turned in ((i0, i1, False), (j0, j1, True)):
+        n = np.maximum(last - first, 0)
+        ends, at = np.cumsum(n), 0
+        while at < len(n):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+            row, other = _spread(first[at:to], first[at:to] + n[at:to] - 1)
+            row = row + at
+            total += _below_both(a[other if turned else row], b[row if turned else other])
+            at = to
+    return total
+
+
+def _below_both(e: np.ndarray, f: np.ndarray) -> float:
+    if not len(e):
+        return 0.0
+    left, right = np.maximum(e[:, 0], f[:, 0]), np.minimum(e[:, 2], f[:, 2])
+
+    def height(g, x):
+        return g[:, 1] + (x - g[:, 0]) * ((g[:, 3] - g[:, 1]) / (g[:, 2] - g[:, 0]))
+
+    e0, e1, f0, f1 = height(e, left), height(e, right), height(f, left), height(f, right)
+    d0, d1 = e0 - f0, e1 - f1
+    # The lower of two is their mean less half their distance, which is a trapezoid, or two triangles where they cross.
+    size = np.abs(d0) + np.abs(d1)
+    apart = np.where(d0 * d1 >= 0, size / 2, (d0 * d0 + d1 * d1) / np.where(size > 0, 2 * size, 1))
+    return float((e[:, 4] * f[:, 4] * (right - left) * ((e0 + e1 + f0 + f1) / 4 - apart / 2)).sum())
+
+
+LEAST = 1e-12
+"""Common areas of a smaller part of a cell are taken for rounding."""
+
+
+def intersection_area(a, b, cell: float | None = None) -> float:
+    """Area of the intersection of two polygons, of any shape, given as rings; a sixteenth of the larger extent is the
+    cell if none is given."""
+    if cell is None:
+        points = [(p["x"], p["y"]) for rings in (a, b) for r in rings for p in r]
+        cell = float(np.ptp(np.array(points), axis=0).max()) / 16 if points else 1.0
+    own = {(x, y): e for x, y, e in pieces(a, cell or 1.0)}
+    areas = [common_area(own[x, y], e) for x, y, e in pieces(b, cell or 1.0) if (x, y) in own]
+    return sum(s for s in areas if s > LEAST * cell * cell)
+
+
+def cell_of(layer: DataFrame) -> float:
+    """A grid size for a layer: the median of its polygons' larger sides, so most meet a few cells."""
+    b = layer.select(bounds(F.col("rings")).alias("b")).where("b.x0 IS NOT NULL")
+    side = b.agg(F.percentile_approx(F.greatest(F.expr("b.x1 - b.x0"), F.expr("b.y1 - b.y0")), 0.5)).first()[0]
+    return float(side) if side else 1.0
+
+
+def overlay(left: DataFrame, right: DataFrame, cell: float | None = None) -> DataFrame:
+    """(left_id, right_id, area) of every pair that overlaps; `cell` is the grid's size, that of left's polygons if not given.
+
+    Outlines are cut to cells first, each polygon by itself. Pieces then meet cell by cell, so a pair moves no more of an outline than
+    the cells that it shares, and a long outline is the work of as many tasks as it has cells.
     """
+    cell = cell or cell_of(left)
 
     def celled(df: DataFrame, side: str) -> DataFrame:
-        b = df.select(F.col("id").alias(f"{side}_id"), bounds(F.col("rings")).alias(f"{side}_b")).where(f"{side}_b.x0 IS NOT NULL")
-        for axis in "xy":
-            b = b.withColumn(f"c{axis}", F.explode(F.sequence(F.floor(F.col(f"{side}_b.{axis}0") / cell), F.floor(F.col(f"{side}_b.{axis}1") / cell))))
-        return b
+        kind = df.select("id").schema[0].dataType.simpleString()
 
+        def run(batches):
+            for batch in batches:
+                ids = batch.column(0)
+                for i, rings in enumerate(batch.column(1)):
+                    cells = list(pieces(rings.as_py(), cell))
+                    for at in range(0, len(cells), 1024):
+                        part = cells[at : at + 1024]
+                        x, y = (pa.array([c[k] for c in part], pa.int64()) for k in (0, 1))
+                        yield pa.RecordBatch.from_arrays([x, y, pa.concat_arrays([ids.slice(i, 1)] * len(part)), pa.array([c[2].tobytes() for c in part], pa.binary())], names=["cx", "cy", f"{side}_id", f"{side}_edges"])
+
+        return df.select("id", "rings").mapInArrow(run, f"cx long, cy long, {side}_id {kind}, {side}_edges binary")
+
+    @F.arrow_udf("double")
+    def common(a: pa.Array, b: pa.Array) -> pa.Array:
+        def edges(x):
+            return np.frombuffer(x.as_buffer(), dtype=float).reshape(-1, 5)
+
+        return pa.array([common_area(edges(x), edges(y)) for x, y in zip(a, b, strict=True)], pa.float64())
+
+    # An outline's many cells of one edge are small, those of its border are not.
     pairs = celled(left, "left").join(celled(right, "right"), ["cx", "cy"])
-    meet = "left_b.x0 <= right_b.x1 AND right_b.x0 <= left_b.x1 AND left_b.y0 <= right_b.y1 AND right_b.y0 <= left_b.y1"
-    # Of the cells that two boxes share, the first one counts the pair.
-    first = " AND ".join(f"c{a} = greatest(floor(left_b.{a}0 / {cell}D), floor(right_b.{a}0 / {cell}D))" for a in "xy")
-    near = pairs.where(f"{meet} AND {first}").select("left_id", "right_id")
-    near = near.join(left.select(F.col("id").alias("left_id"), F.col("rings").alias("__left")), "left_id").join(right.select(F.col("id").alias("right_id"), F.col("rings").alias("__right")), "right_id")
+    areas = pairs.select("left_id", "right_id", common("left_edges", "right_edges").alias("area")).where(F.col("area") > LEAST * cell * cell)
+    return areas.groupBy("left_id", "right_id").agg(F.sum("area").alias("area"))
+
 
-    @F.pandas_udf("double")
-    def common(a, b):
-        return a.combine(b, intersection_area)
+def dissolve(blocks: DataFrame, *keys: str) -> DataFrame:
+    """(keys, rings): the outline of all blocks that agree in keys, holes and islands as rings of their own, closed, shells
+    wound to the left and holes to the right.
 
-    return near.select("left_id", "right_id", common("__left", "__right").alias("area")).where("area > 0")
+    blocks has keys and rings. Neighbours have the points of their common border in common, as blocks of one layer do:
+    edges that two of them run through in opposite directions cancel in one aggregation. What is left is joined to rings
+    by doubling: each round every edge learns what the edge twice as far ahead knows, until all edges of a ring know its first
+    one and how far ahead it is. Rounds grow with the logarithm of the longest ring; no task holds more than one outline.
+    """
+    p, q = F.col("e.p"), F.col("e.q")
+
+    def ends(ring):
+        at = F.sequence(F.lit(1), F.size(ring))
+        return F.transform(at, lambda i: F.struct(F.element_at(ring, i).alias("p"), F.element_at(ring, i % F.size(ring) + 1).alias("q")))
+
+    whole = F.filter(F.coalesce("rings", F.array().cast(RINGS)), lambda r: F.size(r) > 2)
+    own = blocks.select(F.struct(*keys).alias("key"), whole.alias("rings")).withColumn("left", signed_area(F.col("rings")) >= 0)
+    edges = own.select("key", "left", F.explode(F.flatten(F.transform("rings", ends))).alias("e")).where(p != q)
+    turned = edges.select("key", F.when(F.col("left"), p).otherwise(q).alias("p"), F.when(F.col("left"), q).otherwise(p).alias("q"))
+    sums = turned.groupBy("key", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.sum(F.when(F.col("p") < F.col("q"), 1).otherwise(-1)).alias("n"))
+    border = sums.where("n != 0").select("key", F.when(F.col("n") > 0, F.col("a")).otherwise(F.col("b")).alias("p"), F.when(F.col("n") > 0, F.col("b")).otherwise(F.col("a")).alias("q"))
+    border = settle(border.withColumn("id", F.monotonically_increasing_id()))
+
+    # After an edge comes the first one clockwise from where it came: outlines that touch in a point stay apart.
+    out = border.select("key", F.col("p").alias("v"), F.col("q").alias("w"), F.col("id").alias("next"))
+    turn = F.pmod(F.atan2(F.expr("p.y - v.y"), F.expr("p.x - v.x")) - F.atan2(F.expr("w.y - v.y"), F.expr("w.x - v.x")), F.lit(2 * math.pi))
+    met = border.select("key", "p", F.col("q").alias("v"), "id").join(out, ["key", "v"]).withColumn("turn", turn)
+    chain = met.groupBy("id").agg(F.min_by("next", F.struct(F.when(F.col("turn") > 1e-12, F.col("turn")).otherwise(2 * math.pi), "next")).alias("next"))
+    known = settle(chain.select("id", "next", F.col("id").alias("first"), F.lit(0).cast("long").alias("ahead")))
+    reach, changed = 1, True
+    while changed:
+        there = known.select(F.col("id").alias("next"), F.col("next").alias("__next"), F.col("first").alias("__first"), F.col("ahead").alias("__ahead"))
+        nearer = F.col("first") <= F.col("__first")
+        step = known.join(there, "next").select("id", F.col("__next").alias("next"), F.least("first", "__first").alias("first"), F.when(nearer, F.col("ahead")).otherwise(F.lit(reach) + F.col("__ahead")).alias("ahead"), (~nearer).alias("changed"))
+        known = settle(step)
+        changed = bool(known.where("changed").limit(1).collect())
+        reach *= 2
+    # From a ring's first edge on, those from which it is farthest ahead come first.
+    placed = border.join(known.select("id", "first", "ahead"), "id").groupBy("key", "first").agg(F.array_sort(F.collect_list(F.struct(F.when(F.col("ahead") == 0, -1).otherwise(0).alias("o"), (-F.col("ahead")).alias("a"), "p"))).alias("e"))
+    ring = F.transform("e", lambda x: x["p"])
+    closed = placed.select("key", F.concat(ring, F.slice(ring, 1, 1)).alias("ring"))
+    return closed.groupBy("key").agg(F.array_sort(F.collect_list("ring")).alias("rings")).select("key.*", "rings")
+
+
+def _crossed(ring: Column, x: Column, y: Column) -> Column:
+    """Whether a ring holds a point: it crosses the ray to the right of it an odd number of times."""
+
+    def at(inside, i):
+        p, q = F.element_at(ring, i), F.element_at(ring, i % F.size(ring) + 1)
+        crosses = (p["y"] <= y) != (q["y"] <= y)
+        return inside != (crosses & F.coalesce(x < p["x"] + (y - p["y"]) * F.try_divide(q["x"] - p["x"], q["y"] - p["y"]), F.lit(False)))
+
+    return F.aggregate(F.sequence(F.lit(1), F.size(ring)), F.lit(False), at)
+
+
+def polygons(rings: Column) -> Column:
+    """Rings as polygons: each shell with its holes. Shells are wound as the largest ring is; a hole belongs to the smallest
+    shell that holds the middle of its first edge."""
+    sized = F.transform(F.filter(rings, lambda r: F.size(r) > 2), lambda r: F.struct(signed_ring(r).alias("a"), r.alias("r")))
+    largest = F.element_at(F.array_sort(F.transform(sized, lambda s: F.struct((-F.abs(s["a"])).alias("size"), s["a"].alias("a")))), 1)["a"]
+    shells = F.filter(sized, lambda s: s["a"] * largest > 0)
+    holes = F.filter(sized, lambda s: s["a"] * largest < 0)
+
+    def owner(hole):
+        p, q = F.element_at(hole["r"], 1), F.element_at(hole["r"], 2)
+        around = F.filter(shells, lambda s: _crossed(s["r"], (p["x"] + q["x"]) / 2, (p["y"] + q["y"]) / 2))
+        return F.element_at(F.array_sort(F.transform(around, lambda s: F.struct(F.abs(s["a"]).alias("size"), s["r"].alias("r")))), 1)["r"]
+
+    owned = F.transform(holes, lambda h: F.struct(h["r"].alias("r"), owner(h).alias("shell")))
+    return F.when(F.size(sized) > 0, F.transform(shells, lambda s: F.concat(F.array(s["r"]), F.transform(F.filter(owned, lambda h: h["shell"] == s["r"]), lambda h: h["r"])))).otherwise(F.array().cast(f"array<{RINGS}>"))
 
 
 def inner_point(rings: Column) -> Column:
-    """A point (x, y) inside the polygon: the middle of its widest span at half its height; null for flat ones."""
+    """A point (x, y) inside the polygon: the middle of its widest span at half its height or, where nothing lies there, at half the
+    height of its steepest edge, beside which there is always something; null for outlines without area."""
     b = bounds(rings)
-    y = (b["y0"] + b["y1"]) / 2
+    own = F.filter(rings, lambda r: F.size(r) > 2)
+    ends = F.flatten(F.transform(own, lambda r: F.transform(F.sequence(F.lit(1), F.size(r)), lambda i: F.struct(F.element_at(r, i).alias("p"), F.element_at(r, i % F.size(r) + 1).alias("q")))))
+    steepest = F.array_max(F.transform(ends, lambda e: F.struct(F.abs(e["p"]["y"] - e["q"]["y"]).alias("rise"), ((e["p"]["y"] + e["q"]["y"]) / 2).alias("y"))))
 
-    def crossings(r):
-        def at(i):
-            p, q = F.element_at(r, i), F.element_at(r, i % F.size(r) + 1)
-            return F.when((p["y"] <= y) != (q["y"] <= y), p["x"] + (y - p["y"]) * (q["x"] - p["x"]) / (q["y"] - p["y"]))
+    def widest(y):
+        def at(e):
+            p, q = e["p"], e["q"]
+            return F.when((p["y"] <= y) != (q["y"] <= y), p["x"] + (y - p["y"]) * F.try_divide(q["x"] - p["x"], q["y"] - p["y"]))
 
-        return F.filter(F.transform(F.sequence(F.lit(1), F.size(r)), at), lambda x: x.isNotNull())
+        xs = F.array_sort(F.filter(F.transform(ends, at), lambda x: x.isNotNull()))
+        spans = F.filter(F.transform(xs, lambda x, i: F.struct((F.get(xs, i + 1) - x).alias("width"), ((F.get(xs, i + 1) + x) / 2).alias("x"), y.alias("y"), (i % 2 == 0).alias("inside"))), lambda s: s["inside"] & (s["width"] > 0))
+        return F.array_max(spans)
 
-    xs = F.array_sort(F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 2), crossings)))
-    spans = F.filter(F.transform(xs, lambda x, i: F.struct((F.get(xs, i + 1) - x).alias("width"), ((F.get(xs, i + 1) + x) / 2).alias("x"), (i % 2 == 0).alias("inside"))), lambda s: s["inside"])
-    return F.when(F.size(xs) > 1, F.struct(F.array_max(spans)["x"].alias("x"), y.alias("y")))
+    found = F.coalesce(widest((b["y0"] + b["y1"]) / 2), widest(steepest["y"]))
+    return F.when(found.isNotNull(), F.struct(found["x"].alias("x"), found["y"].alias("y")))
 
 
 def centroid_layer(precincts: DataFrame) -> DataFrame:
