@@ -6,10 +6,13 @@ district, share) and code_weights (county, code, weight). Shares of a precinct a
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,6 +87,32 @@ def from_overlay(precincts: DataFrame, districts: DataFrame, scope: str, cell: f
     return from_areas(pieces.join(owners, "left_id").select(F.lit(scope).alias("scope"), "county", "code", F.col("right_id").alias("district"), F.col("area").alias("weight")))
 
 
+UNFIT = ("FileNotFoundError", "BadZipFile", "ValueError", "KeyError")
+"""Errors of tasks that mean that an input is missing or unfit."""
+
+
+def probed(make: Callable[[], Crosswalk]) -> Crosswalk:
+    """The crosswalk, if its inputs can be read: a row of each frame is asked for. FileNotFoundError, ValueError or KeyError
+    if not, also where it was the planner or a task that found out; other errors stay as they are."""
+    try:
+        found = make()
+        if found.splits.isEmpty() or found.county_weights.isEmpty() or found.code_weights.isEmpty():
+            raise ValueError("no precinct is assigned")
+    except AnalysisException as e:
+        missing = e.getCondition() or ""
+        if missing.startswith("PATH_NOT_FOUND"):
+            raise FileNotFoundError(str(e)) from e
+        if missing.startswith(("UNRESOLVED_COLUMN", "FIELD_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+            raise KeyError(str(e)) from e
+        raise
+    except (PySparkException, Py4JJavaError) as e:
+        # A worker's error comes with its traceback, a reader's with the file that is gone.
+        if re.search(rf"\b(?:{'|'.join(UNFIT)}|FileNotFoundException|FILE_NOT_EXIST)\b", str(e)):
+            raise FileNotFoundError(str(e)) from e
+        raise
+    return found
+
+
 def chosen(source: str, overlay: Callable[[], Crosswalk], blocks: Callable[[], Crosswalk]) -> Crosswalk:
     """The crosswalk of a source: overlay, blockassign, or auto, which is blockassign or, where its input is missing or
     unfit, overlay with a warning."""
@@ -92,11 +121,11 @@ def chosen(source: str, overlay: Callable[[], Crosswalk], blocks: Callable[[], C
     if source == "overlay":
         return overlay()
     try:
-        return blocks()
+        return probed(blocks)
     except (FileNotFoundError, ValueError, KeyError) as e:
         if source == "blockassign":
             raise
-        warnings.warn(f"block assignment failed, using overlay: {e}", stacklevel=2)
+        warnings.warn(f"block assignment failed, using overlay: {str(e).splitlines()[0]}", stacklevel=2)
         return overlay()
 
 

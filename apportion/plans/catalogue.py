@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from apportion.functions import text as T
 from apportion.functions import votes as V
 from apportion.operators import allocate, calibrate, contest, crosswalk, diagnose, dims, population, resolve, trend, tune
-from apportion.sources import tables
+from apportion.sources import order, tables
 
 from . import ballots as B
 
@@ -449,7 +449,7 @@ def population_change(spark, sf_dir):
 
 @query("SELECT p_brand, p_partkey, CAST(row_number() OVER (ORDER BY p_brand, p_partkey) AS INT) AS id FROM part")
 def row_ids(spark, sf_dir):
-    return tables.row_numbers(B.read(spark, sf_dir, "part").select("p_brand", "p_partkey"), "p_brand", "p_partkey")
+    return order.row_numbers(B.read(spark, sf_dir, "part").select("p_brand", "p_partkey"), "p_brand", "p_partkey")
 
 
 @query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 100")
@@ -460,7 +460,8 @@ def canonical_sort_topk(spark, sf_dir):
 @query("""SELECT district, CAST(row_number() OVER (ORDER BY CASE WHEN regexp_matches(district, '^[0-9]+$') THEN 0 ELSE 1 END, district) AS INT) AS place FROM (SELECT DISTINCT CASE WHEN n_nationkey % 6 = 0 THEN 'Z' || n_nationkey ELSE CAST(n_nationkey AS VARCHAR) END AS district FROM nation)""")
 def district_sort_key(spark, sf_dir):
     d = B.read(spark, sf_dir, "nation").select(F.when(F.col("n_nationkey") % 6 == 0, F.concat(F.lit("Z"), F.col("n_nationkey").cast("string"))).otherwise(F.col("n_nationkey").cast("string")).alias("district")).distinct()
-    return d.select("district", F.row_number().over(Window.orderBy(*V.district_order(F.col("district")))).alias("place"))
+    keyed = d.select("district", *[c.alias(f"__k{i}") for i, c in enumerate(V.district_order(F.col("district")))])
+    return order.row_numbers(keyed, *[c for c in keyed.columns if c != "district"]).select("district", F.col("id").alias("place"))
 
 
 @query("SELECT DISTINCT o_custkey % 500 AS k FROM orders UNION SELECT c_custkey % 700 FROM customer")

@@ -75,7 +75,7 @@ def top_improved_targets(spark, sf_dir):
 
 @query(f"""WITH {_SLICES_SQL} SELECT scope, contest_type, year, district, CAST(row_number() OVER (ORDER BY CASE scope WHEN 'congressional' THEN 1 WHEN 'state_house' THEN 2 ELSE 3 END, contest_type, year, CASE WHEN regexp_matches(district, '^[0-9]+$') THEN 0 ELSE 1 END, district) AS INT) AS id FROM s""")
 def override_order(spark, sf_dir):
-    from apportion.sources.tables import row_numbers
+    from apportion.sources.order import row_numbers
 
     rows = _slices(spark, sf_dir).select("scope", "contest_type", "year", "district")
     names = [f"k{i}" for i in range(len(outputs.override_order()))]

@@ -47,28 +47,6 @@ def write_margin_report(rows: DataFrame, folder: str) -> None:
     write_csv(outliers(rows), f"{folder}/district_margin_target_outliers", *order)
 
 
-def features(df: DataFrame, geometry: str, *properties: str) -> DataFrame:
-    """GeoJSON features, one a row; `geometry` is a struct (type, coordinates) or GeoJSON text."""
-    shape = F.col(geometry)
-    text = shape if dict(df.dtypes)[geometry] == "string" else F.to_json(shape)
-    head = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties")))
-    return df.select(F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"geometry":'), F.coalesce(text, F.lit("null")), F.lit("}")).alias("feature"))
-
-
-def polygon(rings: Column) -> Column:
-    """Rings of points as a GeoJSON polygon."""
-    return F.struct(F.lit("Polygon").alias("type"), F.transform(rings, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"]))).alias("coordinates"))
-
-
-def point(lon: Column, lat: Column) -> Column:
-    return F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
-
-
-def write_features(rows: DataFrame, path: str) -> None:
-    """One feature a line, which readers of GeoJSON sequences take; a layer is never one string."""
-    rows.select("feature").write.mode("overwrite").text(path)
-
-
 def write_population(rows: DataFrame, folder: str) -> None:
     """Estimates by locality as CSV and as JSON lines, in order of name."""
     write_csv(rows, f"{folder}/csv", F.col("normalized_name"))

@@ -10,13 +10,17 @@ import io
 import json
 import re
 import zipfile
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from apportion.functions import text as T
 from apportion.functions import votes as V
-from apportion.functions.settle import settle
+
+from . import geojson, versions
+from .order import fields
+from .order import lines as rows_of_files
 
 CANONICAL = ("county", "precinct", "office", "district", "party", "candidate", "votes")
 WIDE_FILE = r"(?i)^Virginia_Elections_Database__(\d{4})_(.+?)_General_Election_including_precincts\.csv$"
@@ -39,25 +43,45 @@ def source_kind(file_name) -> F.Column:
     return F.when(file_name.rlike(WIDE_FILE), "wide").when(file_name.rlike(LONG_FILE), "long")
 
 
-def wide(spark: SparkSession, path: str, office: str, date: str | None = None) -> DataFrame:
-    """Canonical rows of a pivoted file: candidates in its first line, parties in its second, then one line a precinct."""
-    raw = spark.read.option("header", False).option("multiLine", True).csv(path)
-    head = [[str(x or "").lstrip("﻿").strip() for x in r] for r in raw.limit(2).collect()]
-    columns = raw.columns
-    counted = [(c, head[0][i], head[1][i]) for i, c in enumerate(columns) if i >= 3 and head[0][i].upper() not in TOTALS and head[0][i]]
-    who = F.explode(F.array(*[F.struct(F.lit(n).alias("candidate"), F.lit(p).alias("party"), F.col(c).alias("votes")) for c, n, p in counted]))
-    places = raw.where(F.coalesce(T.strip(F.col(columns[0])), F.lit("")) != "").where((T.strip(F.col(columns[2])) != "") & ~T.normal_key(F.col(columns[2])).isin(*TOTALS))
-    first = {columns[0]: head[0][0], columns[2]: head[0][2] if len(columns) > 2 else ""}
-    places = places.where(~((F.col(columns[0]).eqNullSafe(first[columns[0]])) & (F.col(columns[2]).eqNullSafe(first[columns[2]]))))
-    rows = places.select(T.normal_key(F.col(columns[0])).alias("county"), T.precinct_text(F.col(columns[2])).alias("precinct"), who.alias("x"))
-    label = T.office_label(F.lit(office))
-    out = rows.select("county", "precinct", label.alias("office"), F.lit("").alias("district"), T.party_code(F.col("x.party"), F.col("x.candidate")).alias("party"), T.clean_text(F.col("x.candidate")).alias("candidate"), V.parse_int(F.col("x.votes")).alias("votes"))
+def heads(lines: DataFrame) -> DataFrame:
+    """(path, second, titles, columns) of each pivoted file: where its second line is, the cells of its first, and its candidates'
+    columns (at, candidate, party); totals and columns without a name are none."""
+    begin = lines.groupBy("path").agg(F.min("at").alias("first"))
+    own = lines.join(begin, "path").groupBy("path").agg(F.min_by("value", "at").alias("one"), F.min_by("value", F.when(F.col("at") > F.col("first"), F.col("at"))).alias("two"), F.min(F.when(F.col("at") > F.col("first"), F.col("at"))).alias("second"))
+
+    def named(line):
+        return F.transform(fields(F.coalesce(line, F.lit(""))), lambda c: T.strip(F.replace(c, F.lit("\ufeff"), F.lit(""))))
+
+    both = F.zip_with(named(F.col("one")), named(F.col("two")), lambda a, b: F.struct(F.coalesce(a, F.lit("")).alias("candidate"), F.coalesce(b, F.lit("")).alias("party")))
+    columns = F.transform(both, lambda x, i: F.struct((i + 1).alias("at"), x["candidate"].alias("candidate"), x["party"].alias("party")))
+    wanted = F.filter(columns, lambda c: (c["at"] > 3) & (c["candidate"] != "") & ~F.upper(c["candidate"]).isin(*TOTALS))
+    return own.select("path", "second", named(F.col("one")).alias("titles"), wanted.alias("columns"))
+
+
+def wide(spark: SparkSession, path: str | list[str], office: str | None = None) -> DataFrame:
+    """Canonical rows of pivoted files, and the `file` of each: candidates in a file's first line, parties in its second, then
+    one line a precinct. The office is that of the file's name if none is given.
+
+    All files are read in one scan, by their lines: heads are a table of one row a file, which the lines meet by path, so plans
+    are as long for a thousand files as for one, and a large file is the work of several tasks. Cells hold no line breaks.
+    """
+    lines = rows_of_files(spark, path)
+    met = lines.join(heads(lines), "path").where(F.col("at") > F.col("second")).withColumn("cell", fields(F.col("value")))
+    county, precinct = F.get("cell", F.lit(0)), F.coalesce(F.get("cell", F.lit(2)), F.lit(""))
+    places = met.where((F.coalesce(T.strip(county), F.lit("")) != "") & (T.strip(precinct) != "") & ~T.normal_key(precinct).isin(*TOTALS))
+    # Some files repeat their first line.
+    places = places.where((county != F.coalesce(F.get("titles", F.lit(0)), F.lit(""))) | (precinct != F.coalesce(F.get("titles", F.lit(2)), F.lit(""))))
+    rows = places.select("file", T.normal_key(county).alias("county"), T.precinct_text(precinct).alias("precinct"), F.explode(F.transform("columns", lambda c: F.struct(c["candidate"].alias("candidate"), c["party"].alias("party"), F.get("cell", c["at"] - 1).alias("votes")))).alias("x"))
+    named = F.trim(F.regexp_replace(F.lower(F.regexp_extract("file", WIDE_FILE, 2)), "[^a-z0-9]+", " "))
+    slug = F.lit(office) if office is not None else F.when(named == "", "contest").otherwise(F.replace(named, F.lit(" "), F.lit("_")))
+    out = rows.select("county", "precinct", T.office_label(slug).alias("office"), F.lit("").alias("district"), T.party_code(F.col("x.party"), F.col("x.candidate")).alias("party"), T.clean_text(F.col("x.candidate")).alias("candidate"), V.parse_int(F.col("x.votes")).alias("votes"), "file")
     return out.where("votes > 0")
 
 
-def long(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Canonical rows of files with one line for each candidate and precinct, and the name of each row's `file`."""
-    rows = spark.read.option("header", True).option("multiLine", True).csv(path)
+def long(spark: SparkSession, path: str | list[str], line_breaks: bool = False) -> DataFrame:
+    """Canonical rows of files with one line for each candidate and precinct, and the name of each row's `file`. With
+    `line_breaks` cells may hold them, and a file is one task."""
+    rows = spark.read.option("header", True).option("multiLine", line_breaks).csv(path)
     out = rows.select(
         T.normal_key(F.col("LocalityName")).alias("county"),
         T.precinct_text(F.col("PrecinctName")).alias("precinct"),
@@ -72,50 +96,38 @@ def long(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def converted(spark: SparkSession, *paths: str) -> DataFrame:
-    """Canonical rows of all files whose names tell their kind, with `file`; other files are ignored.
-
-    Pivoted files are read one by one, as each has candidates of its own in its head; long ones together.
-    """
+    """Canonical rows of all files whose names tell their kind, with `file`; other files are ignored. Each kind is one scan."""
     named = {p: p.rstrip("/").rsplit("/", 1)[-1] for p in paths}
-    frames = []
-    for path, name in named.items():
-        if m := re.match(WIDE_FILE, name):
-            office = re.sub("[^a-z0-9]+", "_", m[2].lower()).strip("_") or "contest"
-            frames.append(wide(spark, path, office).withColumn("file", F.lit(name)))
-    if together := [p for p, name in named.items() if re.match(LONG_FILE, name)]:
-        frames.append(long(spark, together))
+    kinds = [(read, [p for p, name in named.items() if re.match(pattern, name)]) for read, pattern in ((wide, WIDE_FILE), (long, LONG_FILE))]
+    frames = [read(spark, own) for read, own in kinds if own]
     if not frames:
         raise FileNotFoundError("no file of a known kind")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
 def census_matrix(spark: SparkSession, path: str, header: str = "Geographic Area", footnotes: tuple[str, ...] = ("Note:", "Suggested Citation", "Source:", "Release Date")) -> DataFrame:
     """Cells c0 to c7 of a population table: rows after the header's two lines, up to the first footnote."""
-    from functools import reduce
-
-    raw = spark.read.schema(_strings(*(f"c{i}" for i in range(8)))).option("header", False).option("multiLine", True).csv(path)
-    rows = raw.withColumn("__at", F.monotonically_increasing_id())
-    marks = rows.agg(F.min(F.when(F.trim("c0") == header, F.col("__at"))).alias("a"), F.min(F.when(reduce(lambda x, y: x | y, [F.ltrim("c0").startswith(f) for f in footnotes]), F.col("__at"))).alias("b")).first()
-    if marks["a"] is None:
+    lines = rows_of_files(spark, path)
+    cell = F.transform(fields(F.col("value")), lambda c: F.nullif(c, F.lit("")))
+    rows = lines.select("at", *[F.get(cell, F.lit(i)).alias(f"c{i}") for i in range(8)])
+    note = reduce(lambda x, y: x | y, [F.ltrim("c0").startswith(f) for f in footnotes])
+    marks = rows.agg(F.min(F.when(F.trim("c0") == header, F.col("at"))).alias("head"), F.min(F.when(note, F.col("at"))).alias("note")).first()
+    if marks["head"] is None:
         raise ValueError(f"no row begins with {header!r}")
-    return rows.where((F.col("__at") > marks["a"] + 1) & F.col("c7").isNotNull() & (F.lit(True) if marks["b"] is None else F.col("__at") < marks["b"])).drop("__at")
 
+    def literal(at):
+        return F.struct(F.lit(at["start"]).cast("long").alias("start"), F.lit(at["place"]).cast("long").alias("place"))
 
-def geojson(spark: SparkSession, path: str) -> DataFrame:
-    """(properties map, geometry as JSON) of each feature of a collection. A file is one row of one task, as a collection
-    is one JSON value: meant for boundary layers, of which a state has a few thousand features."""
-    raw = spark.read.option("wholetext", True).text(path)
-    parts = F.from_json("value", "features array<struct<properties: map<string, string>, geometry: string>>")
-    return raw.select(F.explode(parts["features"]).alias("f")).select("f.properties", "f.geometry")
+    after = rows.where(F.col("at") > literal(marks["head"]))
+    second = after.agg(F.min("at").alias("at")).first()["at"]
+    kept = after.where(F.col("c7").isNotNull() & (F.lit(True) if second is None else F.col("at") > literal(second)))
+    return (kept if marks["note"] is None else kept.where(F.col("at") < literal(marks["note"]))).drop("at")
 
 
 def localities(spark: SparkSession, path: str) -> DataFrame:
     """(name, countyfp, geoid) of a boundary file's localities."""
     p = F.col("properties")
-    return geojson(spark, path).select(T.census_locality(p["NAME20"], p["NAMELSAD20"]).alias("name"), F.lpad(T.text(p["COUNTYFP20"]), 3, "0").alias("countyfp"), T.text(p["GEOID20"]).alias("geoid"))
+    return geojson.read(spark, path).select(T.census_locality(p["NAME20"], p["NAMELSAD20"]).alias("name"), F.lpad(T.text(p["COUNTYFP20"]), 3, "0").alias("countyfp"), T.text(p["GEOID20"]).alias("geoid"))
 
 
 def zipped_text(spark: SparkSession, path: str, suffix: str, required: tuple[str, ...], sep: str = "|") -> DataFrame:
@@ -150,7 +162,7 @@ def _keyed(spark: SparkSession, path: str, values: tuple[str, ...], texts: tuple
     raw = spark.read.option("header", True).csv(path)
     if missing := {"scope", "contest_type", "year", "district", *values} - set(raw.columns):
         raise ValueError(f"columns are missing: {sorted(missing)}")
-    own = raw.select(*[T.strip(F.col(c)).alias(c) if c in raw.columns else F.lit("").alias(c) for c in names], F.monotonically_increasing_id().alias("position")).where(F.concat(*[F.col(c) for c in names]) != "")
+    own = raw.select(*[T.strip(F.col(c)).alias(c) if c in raw.columns else F.lit("").alias(c) for c in names], F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("place")).alias("position")).where(F.concat(*[F.col(c) for c in names]) != "")
     typed = own.select(F.lower("scope").alias("scope"), F.lower("contest_type").alias("contest_type"), F.col("year").try_cast("int").alias("year"), T.district_id(F.col("district")).alias("district"), *[F.col(v).try_cast("double").alias(v) for v in values], *texts, "position")
     known = (*V.CONTESTS, "state_house", "state_senate")
     bad = ~F.col("scope").isin(*V.SCOPES) | ~F.col("contest_type").isin(*known) | F.col("year").isNull() | (F.col("district") == "")
@@ -191,30 +203,18 @@ def write_canonical(rows: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
-def write_slices(payloads: DataFrame, path: str, *keys: str, meta: DataFrame | None = None) -> None:
-    """One JSON text for each slice, in folders by key; slices that are no longer made go. With `meta`, one row for each
-    slice, their manifest is written beside them, below <path>-manifest."""
-    payloads.select(*keys, "payload").write.mode("overwrite").partitionBy(*keys).text(path)
-    if meta is not None:
-        text = manifest(meta, *keys)
-        payloads.sparkSession.range(1, numPartitions=1).select(F.lit(text).alias("value")).write.mode("overwrite").text(f"{path}-manifest")
+def write_slices(payloads: DataFrame, path: str, *keys: str, meta: DataFrame | None = None) -> int:
+    """One JSON text for each slice, in folders by key, as a new version of `path` that takes the place of the one before at
+    once; slices that are no longer made go. Returns the version's number. With `meta`, one row for each slice, their
+    manifest is part of the version. payloads may come from the slices that they replace."""
+    return versions.publish(payloads.select(*keys, "payload"), path, "text", *keys, note=None if meta is None else manifest(meta, *keys))
+
+
+def read_slices(spark: SparkSession, path: str) -> DataFrame:
+    """(payload, keys) of the slices of `path` as last written."""
+    return versions.current(spark, path).withColumnRenamed("value", "payload")
 
 
 def manifest(meta: DataFrame, *keys: str) -> str:
     """JSON list of slices; meta has one row for each."""
     return json.dumps({"files": [r.asDict() for r in meta.orderBy(*keys).collect()]}, sort_keys=True)
-
-
-def row_numbers(df: DataFrame, *order: str) -> DataFrame:
-    """Adds id, from 1 in this order: a row's position in its range of rows, after the sizes of the ranges before.
-
-    Rows that the order leaves equal go by their place in df, so they don't all fall into one range.
-    """
-    placed = df.withColumn("__place", F.monotonically_increasing_id())
-    rows = settle(placed.repartitionByRange(*order, "__place").sortWithinPartitions(*order, "__place").withColumn("__at", F.monotonically_increasing_id()).drop("__place"))
-    # The id's upper bits are the range's number, its lower 33 bits the position in it.
-    ranges = rows.groupBy(F.shiftright("__at", 33).alias("__range")).agg(F.count("*").alias("n"))
-    before = ranges.select("__range", F.coalesce(F.sum("n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    joined = rows.withColumn("__range", F.shiftright("__at", 33)).join(before, "__range")
-    numbered = joined.withColumn("id", (F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1).cast("int"))
-    return numbered.select(*dict.fromkeys([*df.columns, "id"]))

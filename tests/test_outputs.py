@@ -1,12 +1,13 @@
 """Writers, refreshed slices, choice of sources and polygon crosswalks."""
 
 import json
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from apportion.operators import crosswalk, diagnose, population, resolve, tune
-from apportion.sources import outputs, tables
+from apportion.sources import geojson, outputs, tables, versions
 
 
 def lines(spark, path):
@@ -40,15 +41,41 @@ def test_block_weights_of_any_vintage(spark):
 
 
 def test_choice_of_sources(spark, tmp_path):
-    def fail():
-        raise FileNotFoundError("blocks")
-
-    with pytest.warns(UserWarning):
-        assert crosswalk.chosen("auto", lambda: "overlay", fail) == "overlay"
-    assert crosswalk.chosen("auto", fail, lambda: "blocks") == "blocks"
-    for source in ("blockassign", "other"):
-        with pytest.raises((FileNotFoundError, ValueError)):
-            crosswalk.chosen(source, lambda: "overlay", fail)
+    areas = spark.createDataFrame([("congressional", "X", "1", "1", 1.0)], "scope string, county string, code string, district string, weight double")
+    names = spark.createDataFrame([("001", "X")], "countyfp string, county string")
+    with zipfile.ZipFile(tmp_path / "good.zip", "w") as z:
+        z.writestr("VTD.txt", "BLOCKID|COUNTYFP|DISTRICT\n1|001|7\n")
+        z.writestr("CD.txt", "BLOCKID|DISTRICT\n1|3\n")
+    with zipfile.ZipFile(tmp_path / "narrow.zip", "w") as z:
+        z.writestr("VTD.txt", "BLOCKID|COUNTYFP|DISTRICT\n1|001|7\n")
+        z.writestr("CD.txt", "BLOCKID|OTHER\n1|3\n")
+    with zipfile.ZipFile(tmp_path / "empty.zip", "w") as z:
+        z.writestr("VTD.txt", "BLOCKID|COUNTYFP|DISTRICT\n")
+        z.writestr("CD.txt", "BLOCKID|DISTRICT\n")
+    with zipfile.ZipFile(tmp_path / "memberless.zip", "w") as z:
+        z.writestr("VTD.txt", "BLOCKID|COUNTYFP|DISTRICT\n1|001|7\n")
+    (tmp_path / "broken.zip").write_bytes(b"no archive")
+
+    def blocks(name, columns=("BLOCKID", "DISTRICT")):
+        path = str(tmp_path / name)
+        weights = spark.createDataFrame([("1", 2.0)], "BLOCKID string, weight double")
+        return crosswalk.from_blocks(tables.zipped_text(spark, path, "VTD.txt", ("BLOCKID", "COUNTYFP", "DISTRICT")), tables.zipped_text(spark, path, "CD.txt", columns), weights, names, "congressional")
+
+    def overlay():
+        return crosswalk.from_areas(areas)
+
+    assert [r["district"] for r in crosswalk.chosen("auto", overlay, lambda: blocks("good.zip")).splits.collect()] == ["3"]
+    for name in ("gone.zip", "narrow.zip", "memberless.zip", "empty.zip", "broken.zip"):
+        with pytest.warns(UserWarning):
+            assert [r["district"] for r in crosswalk.chosen("auto", overlay, lambda name=name: blocks(name)).splits.collect()] == ["1"]
+        with pytest.raises((FileNotFoundError, ValueError, KeyError)):
+            crosswalk.chosen("blockassign", overlay, lambda name=name: blocks(name))
+    with pytest.warns(UserWarning):  # a column that the planner misses
+        crosswalk.chosen("auto", overlay, lambda: crosswalk.from_areas(areas.drop("code")))
+    with pytest.raises(ZeroDivisionError):
+        crosswalk.chosen("auto", overlay, lambda: 1 / 0)
+    with pytest.raises(ValueError):
+        crosswalk.chosen("other", overlay, overlay)
     (tmp_path / "here.csv").write_text("a")
     outputs.require(spark, str(tmp_path / "here.csv"))
     with pytest.raises(FileNotFoundError):
@@ -80,23 +107,92 @@ def test_reports_and_summary(spark, tmp_path):
     assert [json.loads(x) for x in lines(spark, str(tmp_path / "summary"))] == [{"elapsed_seconds": 0.1, "rows": 3}]
 
 
-def test_features_and_populations(spark, tmp_path):
-    rows = spark.createDataFrame([(1, "a", square(0.0, 0.0, 1.0))], f"id int, name string, rings {RINGS}")
-    outputs.write_features(outputs.features(rows.withColumn("g", outputs.polygon(F.col("rings"))), "g", "id", "name"), str(tmp_path / "f"))
-    outputs.write_features(outputs.features(rows.withColumn("g", outputs.point(F.lit(1.0), F.lit(2.0))), "g", "id"), str(tmp_path / "p"))
-    (f,), (p,) = ([json.loads(x) for x in lines(spark, str(tmp_path / k))] for k in "fp")
-    assert f["properties"] == {"id": 1, "name": "a"} and f["geometry"]["type"] == "Polygon" and f["geometry"]["coordinates"][0][1] == [0.0, 1.0]
-    assert p == {"type": "Feature", "properties": {"id": 1}, "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}}
+def test_features_both_ways(spark, tmp_path):
+    """Rings to features and back: lines, collections of many parts and of one, one-line and indented files of others."""
+    donut, pair = [square(0.0, 0.0, 9.0)[0], square(3.0, 3.0, 3.0)[0][::-1]], [square(0.0, 0.0, 1.0)[0], square(5.0, 5.0, 2.0)[0]]
+    layer = [(k, f"name {k}", [square(float(k), 0.0, 1.0), donut, pair, []][k % 4]) for k in range(40)]
+    rows = spark.createDataFrame(layer, f"id int, name string, rings {RINGS}").repartition(7).withColumn("g", geojson.polygon(F.col("rings")))
+    made = geojson.features(rows, "g", "id", "name", keep=("id",))
+    geojson.write_features(made, str(tmp_path / "lines"))
+    geojson.write_collection(made, str(tmp_path / "parts"), "id")
+    geojson.write_collection(made, str(tmp_path / "one"), "id", one_file=True)
+    text = ["".join(p.read_text() for p in sorted((tmp_path / k).glob("part-*"))) for k in ("parts", "one")]
+    assert text[0] == text[1] and len(list((tmp_path / "one").glob("part-*"))) == 1
+    whole = json.loads(text[0])
+    assert whole["type"] == "FeatureCollection" and [f["properties"]["id"] for f in whole["features"]] == list(range(40))
+    assert [f["geometry"] and (f["geometry"]["type"], len(f["geometry"]["coordinates"])) for f in whole["features"][:4]] == [("Polygon", 1), ("Polygon", 2), ("MultiPolygon", 2), None]
+    assert whole["features"][0]["geometry"]["coordinates"][0][1] == [0.0, 1.0]
+    (tmp_path / "flat.geojson").write_text("\ufeff" + json.dumps(whole))
+    (tmp_path / "tall.geojson").write_text(json.dumps(whole, indent=2))
+    want = sorted((str(k), f"name {k}", [[(p["x"], p["y"]) for p in r] for r in rings]) for k, _, rings in layer)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (split, "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        for path in ("lines", "parts", "one", "flat.geojson", "tall.geojson"):
+            got = geojson.read(spark, str(tmp_path / path)).select("properties", geojson.rings(F.col("geometry")).alias("rings"))
+            assert sorted((r["properties"]["id"], r["properties"]["name"], [[(p["x"], p["y"]) for p in x] for x in r["rings"]]) for r in got.collect()) == want, (path, size)
+        if size == "1k":
+            assert geojson.read(spark, str(tmp_path / "flat.geojson")).rdd.getNumPartitions() > 3
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
+def test_what_is_no_geojson_is_an_error(spark, tmp_path):
+    (tmp_path / "late.json").write_text('{"features":[{"properties":{"a":"1"},"geometry":null,"type":"Feature"},{"properties":{"a":"2"},"geometry":null,"type":"Feature"}],"type":"FeatureCollection"}')
+    assert [r["properties"]["a"] for r in geojson.read(spark, str(tmp_path / "late.json"), whole=True).collect()] == ["1", "2"]
+    (tmp_path / "none.json").write_text('{"type":"FeatureCollection","features":[]}')
+    assert geojson.read(spark, str(tmp_path / "none.json")).count() == 0
+    (tmp_path / "rows.json").write_text('[{"a":1}]')
+    (tmp_path / "cut.json").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"a":')
+    for name in ("late.json", "rows.json", "cut.json"):
+        with pytest.raises(Exception, match="GeoJSON"):
+            geojson.read(spark, str(tmp_path / name)).collect()
+    with pytest.raises(Exception, match="collection"):
+        geojson.read(spark, str(tmp_path / "rows.json"), whole=True).collect()
+
+
+def test_points_and_populations(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None)], "id int, name string")
+    geojson.write_features(geojson.features(rows.withColumn("g", geojson.point(F.lit(1.0), F.lit(2.0))), "g", "id", "name"), str(tmp_path / "p"))
+    assert [json.loads(x) for x in lines(spark, str(tmp_path / "p"))] == [{"type": "Feature", "properties": {"id": 1, "name": None}, "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}}]
     people = spark.createDataFrame([("B CITY", 2), ("A COUNTY", 1)], "normalized_name string, estimate_2020 long")
     outputs.write_population(people, str(tmp_path / "people"))
     assert [json.loads(x)["estimate_2020"] for x in lines(spark, str(tmp_path / "people" / "json"))] == [1, 2]
 
 
 def test_slices_with_their_manifest(spark, tmp_path):
-    payloads = spark.createDataFrame([("congressional", 2020, "{}")], "scope string, year int, payload string")
-    meta = spark.createDataFrame([("congressional", 2020, 11)], "scope string, year int, rows int")
-    tables.write_slices(payloads, str(tmp_path / "slices"), "scope", "year", meta=meta)
-    assert [json.loads(x) for x in lines(spark, str(tmp_path / "slices-manifest"))] == [{"files": [{"rows": 11, "scope": "congressional", "year": 2020}]}]
+    path = str(tmp_path / "slices")
+    with pytest.raises(FileNotFoundError):
+        tables.read_slices(spark, path)
+    payloads = spark.createDataFrame([("congressional", 2020, '{"a":1}'), ("state_house", 2021, '{"b":2}')], "scope string, year int, payload string")
+    meta = spark.createDataFrame([("congressional", 2020, 11), ("state_house", 2021, 3)], "scope string, year int, rows int")
+    assert tables.write_slices(payloads, path, "scope", "year", meta=meta) == 1
+    assert json.loads(versions.latest(spark, path)["note"])["files"][0] == {"rows": 11, "scope": "congressional", "year": 2020}
+    # A targeted fix reads the slices that it replaces.
+    fixed = tables.read_slices(spark, path).withColumn("payload", F.when(F.col("year") == 2020, F.lit("{}")).otherwise(F.col("payload")))
+    assert tables.write_slices(fixed, path, "scope", "year") == 2
+    got = sorted((r["scope"], r["year"], r["payload"]) for r in tables.read_slices(spark, path).collect())
+    assert got == [("congressional", 2020, "{}"), ("state_house", 2021, '{"b":2}')]
+
+
+def test_a_write_that_ends_halfway_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "v")
+    rows = spark.createDataFrame([(1, "a")], "k int, x string")
+    versions.publish(rows, path, "parquet", "k", note="first")
+    bad = rows.withColumn("x", F.raise_error(F.lit("killed")))
+    with pytest.raises(Exception, match="killed"):
+        versions.publish(bad, path, "parquet", "k")
+    # And one that ends after its data, before they are named.
+    rows.withColumn("x", F.lit("half")).write.mode("overwrite").parquet(f"{path}/data/version=2")
+    (tmp_path / "v" / "current" / "version=2" / "_temporary").mkdir(parents=True)
+    assert (versions.latest(spark, path)["note"], [r["x"] for r in versions.current(spark, path).collect()]) == ("first", ["a"])
+    assert versions.publish(versions.current(spark, path).withColumn("x", F.upper("x")), path, "parquet", "k", note="second") == 2
+    assert versions.publish(rows.limit(0), path, "parquet") == 3
+    assert versions.tidy(spark, path, keep=2) == [1] and versions.latest(spark, path)["version"] == 3
+    assert versions.current(spark, path, "k int, x string").count() == 0
+    assert not (tmp_path / "v" / "data" / "version=1").exists()
+
+
+def test_refreshed_manifest_is_read(spark, tmp_path):
     (tmp_path / "manifest.json").write_text(json.dumps({"files": [{"scope": "congressional", "contest_type": "president", "year": 2020, "file": "x.json", "rows": 1, "dem_total": 2, "rep_total": 3, "major_party_contested": True}]}))
     assert outputs.read_manifest(spark, str(tmp_path / "manifest.json")).first()["file"] == "x.json"
 
