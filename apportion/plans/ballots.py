@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportion.functions import text as T
 from apportion.functions import votes as V
+from apportion.operators import dims
 
 SCOPE_DISTRICTS = {"congressional": 5, "state_house": 7, "state_senate": 3}
 
@@ -19,6 +19,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _label():
+    number = F.lpad((F.col("l_partkey") % 200).cast("string"), 3, "0")
+    return F.when(F.col("l_linenumber") == 1, F.concat(number, F.lit(" - Absentee"))).otherwise(F.concat(number, F.when(F.col("l_partkey") % 11 == 0, "a").otherwise(""), F.lit(" - Main Street")))
+
+
+def _party():
+    return F.when(F.col("l_returnflag") == "A", "Democratic").when(F.col("l_returnflag") == "R", "REPUBLICAN").otherwise("Libertarian")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each line: locality, region, year, contest, party, candidate, precinct label, votes, supplier's nation."""
     t = {n: read(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "nation", "region", "part", "supplier")}
@@ -29,15 +38,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = t["orders"].join(buyers.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "county", "region", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("contest_type"))
     own = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
     joined = own.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(t["part"].select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(t["supplier"].select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    number = F.lpad((F.col("l_partkey") % 200).cast("string"), 3, "0")
-    label = F.when(F.col("l_linenumber") == 1, F.concat(number, F.lit(" - Absentee"))).otherwise(F.concat(number, F.when(F.col("l_partkey") % 11 == 0, "a").otherwise(""), F.lit(" - Main Street")))
-    party = F.when(F.col("l_returnflag") == "A", "Democratic").when(F.col("l_returnflag") == "R", "REPUBLICAN").otherwise("Libertarian")
-    return joined.select("county", "region", "year", "contest_type", party.alias("party"), F.col("p_brand").alias("candidate"), label.alias("precinct"), F.col("l_quantity").alias("votes"), "s_nationkey", "l_partkey", "l_linenumber")
+    return joined.select("county", "region", "year", "contest_type", _party().alias("party"), F.col("p_brand").alias("candidate"), _label().alias("precinct"), F.col("l_quantity").alias("votes"), "s_nationkey", "l_partkey", "l_linenumber")
 
 
 def ballots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ballots with bucket, precinct code and whether the label is no place."""
-    return lines(spark, sf_dir).select("county", "region", "year", "contest_type", T.party_bucket(F.col("party")).alias("bucket"), "candidate", T.precinct_code_of_label(F.col("precinct")).alias("code"), T.is_non_geographic(F.col("precinct")).alias("non_geographic"), "votes")
+    labels = read(spark, sf_dir, "lineitem").select(_party().alias("party"), _label().alias("precinct"))
+    return dims.coded(lines(spark, sf_dir), labels).select("county", "region", "year", "contest_type", "bucket", "candidate", "code", "non_geographic", "votes")
 
 
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,9 +40,14 @@ def write_summary(spark: SparkSession, path: str, **values) -> None:
     spark.range(1, numPartitions=1).select(F.lit(json.dumps(values, sort_keys=True)).alias("value")).write.mode("overwrite").text(path)
 
 
+def margin_order() -> list:
+    """Targets with results before others, the greatest error first."""
+    return [F.when(F.col("status") == "ok", 0).otherwise(1), (F.coalesce("raw_abs_error_pct", F.lit(0.0)), True), V.place_in(F.col("scope"), V.SCOPES), F.col("contest_type"), F.col("year"), *V.district_order(F.col("district"))]
+
+
 def write_margin_report(rows: DataFrame, folder: str) -> None:
     """The report of all targets, worst first, and that of the targets that need calibration."""
-    order = [F.when(F.col("status") == "ok", 0).otherwise(1), (F.coalesce("raw_abs_error_pct", F.lit(0.0)), True), V.place_in(F.col("scope"), V.SCOPES), F.col("contest_type"), F.col("year"), *V.district_order(F.col("district"))]
+    order = margin_order()
     write_csv(rows, f"{folder}/district_margin_target_report", *order)
     write_csv(outliers(rows), f"{folder}/district_margin_target_outliers", *order)
 

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from apportion.plans import catalogue, extras  # noqa: F401
+from apportion.plans import catalogue, extras, places  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
