@@ -87,8 +87,8 @@ def from_overlay(precincts: DataFrame, districts: DataFrame, scope: str, cell: f
     return from_areas(pieces.join(owners, "left_id").select(F.lit(scope).alias("scope"), "county", "code", F.col("right_id").alias("district"), F.col("area").alias("weight")))
 
 
-UNFIT = ("FileNotFoundError", "BadZipFile", "ValueError", "KeyError")
-"""Errors of tasks that mean that an input is missing or unfit."""
+_UNFIT = re.compile(r"\b(?:FileNotFoundError|BadZipFile|ValueError|KeyError|FileNotFoundException|FILE_NOT_EXIST)\b")
+"""What errors of tasks say where an input is missing or unfit."""
 
 
 def probed(make: Callable[[], Crosswalk]) -> Crosswalk:
@@ -104,10 +104,12 @@ def probed(make: Callable[[], Crosswalk]) -> Crosswalk:
             raise FileNotFoundError(str(e)) from e
         if missing.startswith(("UNRESOLVED_COLUMN", "FIELD_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
             raise KeyError(str(e)) from e
+        if _UNFIT.search(str(e)):
+            raise FileNotFoundError(str(e)) from e
         raise
     except (PySparkException, Py4JJavaError) as e:
         # A worker's error comes with its traceback, a reader's with the file that is gone.
-        if re.search(rf"\b(?:{'|'.join(UNFIT)}|FileNotFoundException|FILE_NOT_EXIST)\b", str(e)):
+        if _UNFIT.search(str(e)):
             raise FileNotFoundError(str(e)) from e
         raise
     return found

@@ -2,75 +2,22 @@
 
 from __future__ import annotations
 
-import io
-import struct
-import zipfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import archives
+
 RESULT = "struct<dem_votes: long, rep_votes: long, other_votes: long, total_votes: long, dem_candidate: string, rep_candidate: string, winner: string, margin: long, margin_pct: double, color: string>"
 SLICE = f"meta struct<scope: string, contest_type: string, year: int>, general struct<results: map<string, {RESULT}>>"
 
 
-def _records(dbf: bytes):
-    """Attributes of each record of a dBASE table, as text."""
-    n, head, size = struct.unpack("<IHH", dbf[4:12])
-    fields, at = [], 32
-    while dbf[at] != 0x0D:
-        fields.append((dbf[at : at + 11].split(b"\0")[0].decode("latin-1"), dbf[at + 16]))
-        at += 32
-    for k in range(n):
-        at, row = head + k * size + 1, {}
-        for name, width in fields:
-            row[name] = dbf[at : at + width].decode("utf-8", "replace").strip()
-            at += width
-        yield row
-
-
-def _polygons(shp: bytes):
-    """Rings of each record's polygon; no rings for records without a shape."""
-    at = 100
-    while at + 8 <= len(shp):
-        words = struct.unpack(">i", shp[at + 4 : at + 8])[0]
-        body = shp[at + 8 : at + 8 + 2 * words]
-        at += 8 + 2 * words
-        if struct.unpack("<i", body[:4])[0] not in (5, 15, 25):
-            yield []
-            continue
-        parts, points = struct.unpack("<ii", body[36:44])
-        starts = [*struct.unpack(f"<{parts}i", body[44 : 44 + 4 * parts]), points]
-        xy = struct.unpack(f"<{2 * points}d", body[44 + 4 * parts : 44 + 4 * parts + 16 * points])
-        yield [[{"x": xy[2 * i], "y": xy[2 * i + 1]} for i in range(a, b)] for a, b in zip(starts, starts[1:], strict=False)]
-
-
-def zipped_shapes(spark: SparkSession, path: str, attributes: tuple[str, ...], with_rings: bool = True) -> DataFrame:
-    """Attributes (as text; missing ones are empty) and rings of each record of zipped shapefiles; one task reads an archive.
-
-    Without rings only the attribute table is read. Coordinates are taken as they are: the surveyed layers' two datums
-    differ by less than a metre.
+def zipped_shapes(spark: SparkSession, path: str, attributes: tuple[str, ...], with_rings: bool = True, split_bytes: int = archives.SPLIT_BYTES) -> DataFrame:
+    """Attributes (as text; missing ones are empty) and rings of each record of zipped shapefiles, a folder's or one's; a layer
+    is read by a task for each `split_bytes` of it. Without rings only the attribute table is read.
     """
-
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for content in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    named = {n.lower()[-4:]: n for n in reversed(z.namelist())}
-                    rows = _records(z.read(named[".dbf"]))
-                    rings = _polygons(z.read(named[".shp"])) if with_rings else iter(lambda: [], None)
-                    held = []
-                    for row, shape in zip(rows, rings, strict=False):
-                        held.append([*(row.get(a, "") for a in attributes), shape])
-                        if len(held) == 10_000:
-                            yield pd.DataFrame(held, columns=[*attributes, "rings"])
-                            held = []
-                    if held:
-                        yield pd.DataFrame(held, columns=[*attributes, "rings"])
-
-    out = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, ", ".join(f"{a} string" for a in attributes) + ", rings array<array<struct<x: double, y: double>>>")
-    return out if with_rings else out.drop("rings")
+    spark.dataSource.register(archives.ZippedShapes)
+    schema = ", ".join([*(f"`{a}` string" for a in attributes), *(["rings array<array<struct<x: double, y: double>>>"] if with_rings else [])])
+    return spark.read.format("zipped_shapes").schema(schema).option("splitBytes", split_bytes).load(path)
 
 
 def slices(spark: SparkSession, path: str) -> DataFrame:

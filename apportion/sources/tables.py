@@ -6,10 +6,8 @@ a count of bad rows and one example.
 
 from __future__ import annotations
 
-import io
 import json
 import re
-import zipfile
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,7 +16,7 @@ from pyspark.sql import functions as F
 from apportion.functions import text as T
 from apportion.functions import votes as V
 
-from . import geojson, versions
+from . import archives, geojson, versions
 from .order import fields
 from .order import lines as rows_of_files
 
@@ -130,24 +128,11 @@ def localities(spark: SparkSession, path: str) -> DataFrame:
     return geojson.read(spark, path).select(T.census_locality(p["NAME20"], p["NAMELSAD20"]).alias("name"), F.lpad(T.text(p["COUNTYFP20"]), 3, "0").alias("countyfp"), T.text(p["GEOID20"]).alias("geoid"))
 
 
-def zipped_text(spark: SparkSession, path: str, suffix: str, required: tuple[str, ...], sep: str = "|") -> DataFrame:
-    """Rows of the first member with this suffix of each archive, as text columns; each archive is read by one task."""
-
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for content in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    member = next((n for n in z.namelist() if n.endswith(suffix)), None)
-                    if member is None:
-                        raise FileNotFoundError(f"no member ends with {suffix}")
-                    for part in pd.read_csv(z.open(member), sep=sep, dtype=str, keep_default_na=False, chunksize=100_000):
-                        if missing := set(required) - set(part.columns):
-                            raise ValueError(f"columns are missing: {sorted(missing)}")
-                        yield part[list(required)]
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, _strings(*required))
+def zipped_text(spark: SparkSession, path: str, suffix: str, required: tuple[str, ...], sep: str = "|", split_bytes: int = archives.SPLIT_BYTES) -> DataFrame:
+    """Rows of the first member with this suffix of each archive, as text columns; a member is read by a task for each
+    `split_bytes` of it. A missing file, member or column is an error."""
+    spark.dataSource.register(archives.ZippedText)
+    return spark.read.format("zipped_text").schema(_strings(*required)).option("suffix", suffix).option("sep", sep).option("splitBytes", split_bytes).load(path)
 
 
 def _checked(df: DataFrame, bad: F.Column, what: str) -> DataFrame:
