@@ -32,9 +32,12 @@ def county_coverage(found: Apportioned) -> DataFrame:
 
 
 def top_counties(contributions: DataFrame, n: int = 6) -> DataFrame:
-    """The n counties with most votes of each district, as text."""
-    ranked = contributions.withColumn("__n", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.col("total_votes").desc(), "county"))).where(F.col("__n") <= max(1, n))
-    part = F.format_string("%s:%.1f%% (alloc %.1f%%)", "county", F.col("district_share_of_total") * 100, F.col("allocated_share") * 100)
+    """The n counties with most votes of each district, as text. Sums that differ in their last bits alone count as equal,
+    and percentages are rounded as decimals, so the text doesn't depend on the order of adding."""
+    w = Window.partitionBy(*KEY).orderBy(F.round("total_votes", 6).desc(), "county")
+    ranked = contributions.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= max(1, n))
+    pct = [F.round((F.col(c) * 100).cast("decimal(38, 7)"), 1).cast("string") for c in ("district_share_of_total", "allocated_share")]
+    part = F.format_string("%s:%s%% (alloc %s%%)", "county", *pct)
     return ranked.groupBy(*KEY).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__n", part.alias("text")))), lambda x: x["text"]), " | ").alias("top_counties"))
 
 

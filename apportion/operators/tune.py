@@ -114,10 +114,11 @@ def score_all(stats: DataFrame, configs: list[Config], threshold: float = 1.0, p
     return {r["config_id"]: r.asDict() for r in metrics(rows, threshold, penalty).collect()}
 
 
-def coordinate_descent(stats: DataFrame, start: Config, grid: list[float], rounds: int = 1, threshold: float = 1.0, penalty: float = 100.0) -> tuple[Config, list[dict]]:
-    """Best configuration and the history of improvements; each parameter's grid is one job, and none is scored twice."""
+def coordinate_descent(stats: DataFrame, start: Config, grid: list[float], rounds: int = 1, threshold: float = 1.0, penalty: float = 100.0, seen: dict[str, dict] | None = None) -> tuple[Config, list[dict]]:
+    """Best configuration and the history of improvements; each parameter's grid is one job, and none is scored twice.
+    `seen` gets the metrics of all that was scored, by signature."""
     stats = stats.cache()
-    known: dict[str, dict] = {}
+    known: dict[str, dict] = {} if seen is None else seen
 
     def score(configs: list[Config]) -> list[dict]:
         new = [c for c in configs if signature(c) not in known]

@@ -394,7 +394,9 @@ def diag_coverage(spark, sf_dir):
     return rounded(rows, 2, "input_votes", "direct_votes", "allocated_votes")
 
 
-@query()
+@query(f"""WITH {B.APPORTION_SQL}, k AS (SELECT scope, contest_type, year, district, county, sum(CASE WHEN source = 'allocated' THEN votes ELSE 0 END) AS y, sum(votes) AS v FROM con GROUP BY ALL),
+r AS (SELECT *, v / sum(v) OVER (PARTITION BY scope, contest_type, year, district) AS part, row_number() OVER (PARTITION BY scope, contest_type, year, district ORDER BY round(v, 6) DESC, county) AS n FROM k)
+SELECT scope, contest_type, year, district, string_agg(county || ':' || CAST(round(part * 100, 1) AS VARCHAR) || '% (alloc ' || CAST(round(y / v * 100, 1) AS VARCHAR) || '%)', ' | ' ORDER BY n) AS top_counties FROM r WHERE n <= 6 GROUP BY ALL""")
 def diag_topn_text(spark, sf_dir):
     return diagnose.top_counties(diagnose.county_contributions(_allocated(spark, sf_dir)))
 
@@ -527,3 +529,13 @@ def district_payloads(spark, sf_dir):
     keys = ("scope", "contest_type", "year")
     rows = contest.district_rows(allocate.district_results(found.contributions), contest.leading_candidates(found.contributions, [*allocate.CONTEST, "district"]))
     return contest.slice_payloads(rows, allocate.coverage(found), keys)
+
+
+@query(f"""WITH {B.APPORTION_SQL}, c AS (SELECT scope, contest_type, year, sum(CASE WHEN source = 'direct' THEN votes ELSE 0 END) AS x FROM con GROUP BY ALL), u AS (SELECT scope, contest_type, year, sum(votes) AS z FROM unm GROUP BY ALL)
+SELECT scope, contest_type, year, district, round(x / (x + z) * 100, 5) AS direct_match_coverage_pct, CASE WHEN rep_votes > dem_votes THEN 'Republican' WHEN dem_votes > rep_votes THEN 'Democratic' ELSE 'Tie' END AS winner, round((rep_votes - dem_votes) / total_votes * 100, 5) AS margin_pct
+FROM res JOIN c USING (scope, contest_type, year) JOIN u USING (scope, contest_type, year)""")
+def payload_rows(spark, sf_dir):
+    """What the slices' payloads hold, read back from their text."""
+    schema = "meta struct<direct_match_coverage_pct: double>, general struct<results: map<string, struct<winner: string, margin_pct: double>>>"
+    back = district_payloads(spark, sf_dir).withColumn("p", F.from_json("payload", schema)).select("scope", "contest_type", "year", F.col("p.meta.direct_match_coverage_pct").alias("direct_match_coverage_pct"), F.explode("p.general.results").alias("district", "r"))
+    return rounded(back.select("scope", "contest_type", "year", "district", "direct_match_coverage_pct", "r.*"), 5, "direct_match_coverage_pct", "margin_pct")

@@ -186,6 +186,15 @@ def leading_counties(spark, sf_dir):
     return rounded(own, 6, "share", "allocated")
 
 
+@query(f"""WITH {B.APPORTION_SQL}, c AS (SELECT scope, contest_type, year, county, sum(CASE WHEN source = 'direct' THEN votes ELSE 0 END) AS x, sum(CASE WHEN source = 'allocated' THEN votes ELSE 0 END) AS y FROM con GROUP BY ALL), u AS (SELECT scope, contest_type, year, county, sum(votes) AS z FROM unm GROUP BY ALL)
+SELECT scope, contest_type, year, county, round(greatest(coalesce(z, 0) - coalesce(y, 0), 0), 2) AS unallocated_votes, round(CASE WHEN coalesce(x, 0) + coalesce(z, 0) > 0 THEN coalesce(x, 0) / (coalesce(x, 0) + coalesce(z, 0)) * 100 ELSE 0 END, 2) AS direct_match_pct, round(CASE WHEN coalesce(x, 0) + coalesce(z, 0) > 0 THEN coalesce(y, 0) / (coalesce(x, 0) + coalesce(z, 0)) * 100 ELSE 0 END, 2) AS allocated_pct
+FROM c FULL JOIN u USING (scope, contest_type, year, county)""")
+def county_coverage(spark, sf_dir):
+    rows = diagnose.county_coverage(_allocated(spark, sf_dir))
+    pct = [(V.share(F.col(c), F.col("input_votes")) * 100).alias(n) for c, n in (("direct_votes", "direct_match_pct"), ("allocated_votes", "allocated_pct"))]
+    return rounded(rows.select("scope", "contest_type", "year", "county", F.greatest("unallocated_votes", F.lit(0.0)).alias("unallocated_votes"), *pct), 2, "unallocated_votes", "direct_match_pct", "allocated_pct")
+
+
 _BLENDED_SQL = """SELECT scope, contest_type, year, district, county, bucket, round(sum(votes), 3) AS votes FROM al GROUP BY ALL"""
 
 
