@@ -33,6 +33,77 @@ def project(rings: Column) -> Column:
     return F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(mercator_x(p["x"]).alias("x"), mercator_y(p["y"]).alias("y"))))
 
 
+def longitude(x: Column) -> Column:
+    return F.degrees(x / RADIUS)
+
+
+def latitude(y: Column) -> Column:
+    return F.degrees(2 * F.atan(F.exp(y / RADIUS)) - math.pi / 2)
+
+
+GEOGRAPHIC = ("EPSG:4326", "EPSG:4269")
+MERCATOR = "EPSG:3857"
+ELLIPSOID = (6_378_137.0, 1 / 298.257222101)
+"""Half axis and flattening."""
+NO_SHIFT = (0.0,) * 7
+
+
+def helmert(lon: Column, lat: Column, shift: tuple[float, ...]) -> tuple[Column, Column]:
+    """Longitude and latitude in another datum: seven parameters, of which three move (metres), three turn (arc seconds, as
+    position vectors) and one stretches (parts in a million); heights are none."""
+    a, f = ELLIPSOID
+    e2, b = f * (2 - f), a * (1 - f)
+    p, q = F.radians(lat), F.radians(lon)
+    n = F.lit(a) / F.sqrt(1 - e2 * F.sin(p) * F.sin(p))
+    x, y, z = n * F.cos(p) * F.cos(q), n * F.cos(p) * F.sin(q), n * (1 - e2) * F.sin(p)
+    tx, ty, tz, *turns, ppm = shift
+    rx, ry, rz = (math.radians(t / 3600) for t in turns)
+    m = 1 + ppm * 1e-6
+    u, v, w = tx + m * (x - rz * y + ry * z), ty + m * (rz * x + y - rx * z), tz + m * (rx * y - ry * x + z)
+    flat = F.sqrt(u * u + v * v)
+    t = F.atan2(w * a, flat * b)
+    second = e2 / (1 - e2)
+    return F.degrees(F.atan2(v, u)), F.degrees(F.atan2(w + second * b * F.pow(F.sin(t), 3), flat - e2 * a * F.pow(F.cos(t), 3)))
+
+
+def with_crs(layer: DataFrame, crs: str) -> DataFrame:
+    """The layer with the reference system of its rings in the column's metadata, where spatial joins look for it."""
+    if crs not in (*GEOGRAPHIC, MERCATOR):
+        raise ValueError(f"unknown reference system {crs!r}")
+    return layer.withMetadata("rings", {**layer.schema["rings"].metadata, "crs": crs})
+
+
+def crs_of(layer: DataFrame) -> str | None:
+    return layer.schema["rings"].metadata.get("crs")
+
+
+def to_crs(layer: DataFrame, crs: str, shift: tuple[float, ...] = NO_SHIFT) -> DataFrame:
+    """The layer in another reference system. `shift` takes coordinates of the one datum to the other; published default is none, as the
+    two geographic systems differ by less than a metre or two."""
+    own = crs_of(layer)
+    if own is None:
+        raise ValueError("the layer's reference system is not known; name it by with_crs()")
+    moves = own != crs and any(shift)
+    if own == crs or (own in GEOGRAPHIC and crs in GEOGRAPHIC and not moves):
+        return with_crs(layer, crs)
+
+    def moved(p):
+        lon, lat = (longitude(p["x"]), latitude(p["y"])) if own == MERCATOR else (p["x"], p["y"])
+        lon, lat = helmert(lon, lat, shift) if moves else (lon, lat)
+        x, y = (mercator_x(lon), mercator_y(lat)) if crs == MERCATOR else (lon, lat)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return with_crs(layer.withColumn("rings", F.transform("rings", lambda r: F.transform(r, moved))), crs)
+
+
+def aligned(left: DataFrame, right: DataFrame) -> DataFrame:
+    """right in left's reference system; ValueError if only one of them is known. Layers without any are taken as they are."""
+    a, b = crs_of(left), crs_of(right)
+    if (a is None) != (b is None):
+        raise ValueError(f"only one layer has a reference system: {a or b}")
+    return right if a == b else to_crs(right, a)
+
+
 def signed_ring(r: Column) -> Column:
     """Area of a ring by the shoelace formula, closed or not: above zero if it is wound to the left."""
     index = F.sequence(F.lit(1), F.size(r))
@@ -218,8 +289,10 @@ def overlay(left: DataFrame, right: DataFrame, cell: float | None = None) -> Dat
     """(left_id, right_id, area) of every pair that overlaps; `cell` is the grid's size, that of left's polygons if not given.
 
     Outlines are cut to cells first, each polygon by itself. Pieces then meet cell by cell, so a pair moves no more of an outline than
-    the cells that it shares, and a long outline is the work of as many tasks as it has cells.
+    the cells that it shares, and a long outline is the work of as many tasks as it has cells. A right layer of another
+    reference system is brought to left's.
     """
+    right = aligned(left, right)
     cell = cell or cell_of(left)
 
     def celled(df: DataFrame, side: str) -> DataFrame:

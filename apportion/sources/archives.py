@@ -56,6 +56,23 @@ def _member(z: zipfile.ZipFile, suffix: str) -> zipfile.ZipInfo:
     return found
 
 
+# Fixed names of reference systems in layers' descriptions.
+SYSTEMS = {"Web_Mercator": "EPSG:3857", "Pseudo-Mercator": "EPSG:3857", "North_American_1983": "EPSG:4269", "NAD83": "EPSG:4269", "WGS_1984": "EPSG:4326", "WGS 84": "EPSG:4326"}
+
+
+def system_of(path: str) -> str | None:
+    """The reference system that the shapefiles of a path describe; ValueError if they differ, None if none does."""
+    found = set()
+    for archive in listed(path):
+        with opened(archive) as f, zipfile.ZipFile(f) as z:
+            described = [m for m in z.namelist() if m.lower().endswith(".prj")]
+            text = z.read(described[0]).decode("utf-8", "replace") if described else ""
+        found.add(next((crs for name, crs in SYSTEMS.items() if name in text), None))
+    if len(found) > 1:
+        raise ValueError(f"shapefiles of different reference systems: {sorted(map(str, found))}")
+    return found.pop() if found else None
+
+
 def _skip(stream, n: int) -> None:
     while n > 0:
         got = len(stream.read(min(n, BLOCK)))

@@ -29,10 +29,16 @@ def layer(n):
 @pytest.mark.parametrize("split", [200, 5_000, 1 << 25])
 def test_shapes_in_parts(spark, tmp_path, split):
     shp, dbf, shx = layer(100)
-    for name, members in (("a.zip", {"x.SHP": shp, "x.dbf": dbf, "x.shx": shx}), ("b.zip", {"y.shp": shp, "y.dbf": dbf})):
+    for name, members in (("a.zip", {"x.SHP": shp, "x.dbf": dbf, "x.shx": shx, "x.prj": b'GEOGCS["GCS_North_American_1983",DATUM["D_North_American_1983"]]'}), ("b.zip", {"y.shp": shp, "y.dbf": dbf})):
         with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_DEFLATED) as z:
             for member, data in members.items():
                 z.writestr(member, data)
+    assert geo.crs_of(shapes.zipped_shapes(spark, f"{tmp_path}/a.zip", ("NAME",))) == "EPSG:4269"
+    assert geo.crs_of(shapes.zipped_shapes(spark, f"{tmp_path}/b.zip", ("NAME",))) is None
+    with pytest.raises(ValueError, match="different"):
+        shapes.zipped_shapes(spark, str(tmp_path), ("NAME",))
+    with zipfile.ZipFile(tmp_path / "b.zip", "a") as z:
+        z.writestr("y.PRJ", 'GEOGCS["NAD83"]')
     (tmp_path / "notes.txt").write_text("no archive")
     rows = shapes.zipped_shapes(spark, str(tmp_path), ("GEOID20", "NAME", "OTHER"), split_bytes=split)
     got = sorted((int(r["GEOID20"]), r["NAME"], r["OTHER"], r["area"]) for r in rows.withColumn("area", geo.area(F.col("rings"))).collect())

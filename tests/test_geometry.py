@@ -136,3 +136,34 @@ def test_inner_points_of_any_outline(spark):
         assert crossings % 2 == 1, k
     flat = spark.createDataFrame([([ring([(0, 0), (1, 0), (2, 0)])],), ([],), (None,)], f"rings {geo.RINGS}")
     assert [x["p"] for x in flat.select(geo.inner_point(F.col("rings")).alias("p")).collect()] == [None] * 3
+
+
+def test_reference_systems(spark, tmp_path):
+    rows = spark.createDataFrame([(1, [square(-77.5, 38.5, 0.25)])], f"id int, rings {geo.RINGS}")
+    a, b = geo.with_crs(rows, "EPSG:4269"), geo.to_crs(geo.with_crs(rows, "EPSG:4326"), "EPSG:3857")
+    assert (geo.crs_of(rows), geo.crs_of(a.select("rings", "id")), geo.crs_of(b)) == (None, "EPSG:4269", "EPSG:3857")
+    back = geo.to_crs(b, "EPSG:4269").first()["rings"]
+    assert all(p["x"] == pytest.approx(q["x"], abs=1e-11) and p["y"] == pytest.approx(q["y"], abs=1e-11) for p, q in zip(back[0], rows.first()["rings"][0], strict=True))
+    # Layers of two systems are aligned; one that has none beside one that has is an error.
+    assert geo.overlay(a, b, 0.1).first()["area"] == pytest.approx(0.0625, abs=1e-9)
+    with pytest.raises(ValueError, match="only one"):
+        geo.overlay(a, rows, 0.1)
+    with pytest.raises(ValueError, match="not known"):
+        geo.to_crs(rows, "EPSG:3857")
+    with pytest.raises(ValueError, match="unknown"):
+        geo.with_crs(rows, "EPSG:1")
+
+
+def test_datum_shift(spark):
+    def moved(shift, lon=-77.0, lat=38.0):
+        return spark.range(1).select(*[c.alias(n) for c, n in zip(geo.helmert(F.lit(lon), F.lit(lat), shift), "xy", strict=True)]).first()
+
+    same = moved(geo.NO_SHIFT)
+    assert (same["x"], same["y"]) == (pytest.approx(-77, abs=1e-11), pytest.approx(38, abs=1e-10))
+    # On the equator a metre along z is a metre north; a turn about z of one second is one second east; a stretch changes nothing.
+    north, east, far = moved((0, 0, 1, 0, 0, 0, 0), 0.0, 0.0), moved((0, 0, 0, 0, 0, 1, 0)), moved((0, 0, 0, 0, 0, 0, 5))
+    a, f = geo.ELLIPSOID
+    assert north["y"] == pytest.approx(math.degrees(1 / (a * (1 - f * (2 - f)))), rel=1e-4) and east["x"] == pytest.approx(-77 + 1 / 3600, abs=1e-10)
+    assert (far["x"], far["y"]) == (pytest.approx(-77, abs=1e-10), pytest.approx(38, abs=1e-6))
+    layer = geo.with_crs(spark.createDataFrame([([square(0, 0, 1)],)], f"rings {geo.RINGS}"), "EPSG:4269")
+    assert geo.to_crs(layer, "EPSG:4326", (0, 0, 1, 0, 0, 0, 0)).first()["rings"][0][0]["y"] == pytest.approx(north["y"], abs=1e-9)

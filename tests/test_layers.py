@@ -46,6 +46,19 @@ def test_precinct_layer(spark):
     assert got == [(1, "YORK COUNTY", "101", "101 - MAIN", 3.0), (2, "YORK COUNTY", "7", "7 - HILL", 4.0), (3, "002", "9", "9 - VTD 9", 8.0)]
 
 
+def test_precincts_with_outlines(spark):
+    def box(x, w=1.0):
+        return [[{"x": a, "y": b} for a, b in ((x, 0.0), (x, 1.0), (x + w, 1.0), (x + w, 0.0))]]
+
+    blocks = spark.createDataFrame([("a", 1.0, box(0.0)), ("b", 1.0, box(1.0)), ("c", 4.0, box(5.0)), ("d", 8.0, None)], f"BLOCKID string, weight double, rings {geo.RINGS}")
+    assignment = spark.createDataFrame([("a", "1", "101"), ("b", "1", "101"), ("c", "1", "101"), ("d", "2", "9")], "BLOCKID string, COUNTYFP string, DISTRICT string")
+    counties = spark.createDataFrame([("001", "York County")], "countyfp string, county string")
+    none = spark.createDataFrame([], "county string, code string, label string")
+    layer = layers.outlined(layers.precincts(blocks, assignment, counties, none), layers.outlines(blocks, assignment))
+    got = {r["prec_id"]: (r["a"], r["n"], r["p"]) for r in layer.select("prec_id", geo.area(F.col("rings")).alias("a"), F.size("rings").alias("n"), F.size(geo.polygons(F.col("rings"))).alias("p")).collect()}
+    assert got == {"101": (3.0, 2, 2), "9": (0.0, 0, 0)}
+
+
 @pytest.fixture(scope="module")
 def split_county(spark):
     """A county with two districts, precincts that match, one that doesn't, and absentee votes."""
