@@ -324,6 +324,41 @@ PLACED = "kind int, place long, block long, a binary, b binary, ids array<{id}>"
 own place: numbers of units of each text (a), units' numbers (b), and ids."""
 
 
+ROW_CHARS = 1 << 14
+"""Characters of text that a row from a block to a group stands for at least; below it, blocks deal in two levels."""
+
+
+@dataclass(frozen=True)
+class Dealing:
+    """How units travel: blocks of `block_chars` characters to `groups` groups, or, with `bunches` above zero, by way of bunches of
+    blocks: a block sends a row to each of `ranges` ranges of groups in its bunch, and a bunch's range one to each of its groups.
+
+    Were there one level only, rows would grow with the square of the input, and each would hold ever fewer units. In two,
+    rows grow with its power of one and a half: each still stands for ROW_CHARS characters or more at a thousand times
+    the input that one level serves. What a bunch's range holds at once is about a block."""
+
+    block_chars: int
+    groups: int
+    bunches: int = 0
+    ranges: int = 0
+
+    @staticmethod
+    def of(chars: int) -> Dealing:
+        block_chars = BLOCK_CHARS * growth(chars, 8)
+        groups = max(8, -(-chars // (GROUP_CHARS * growth(chars, 4))))
+        if block_chars >= ROW_CHARS * groups:
+            return Dealing(block_chars, groups)
+        ranges = max(2, round(groups**0.5))
+        blocks_of_bunch = max(1, groups // ranges)
+        return Dealing(block_chars, groups, max(1, -(-chars // (block_chars * blocks_of_bunch))), ranges)
+
+    def row_chars(self, chars: int) -> float:
+        """Characters that a row stands for, at the level where that is least."""
+        if not self.bunches:
+            return self.block_chars / self.groups
+        return min(self.block_chars / self.ranges, chars / self.bunches / self.groups)
+
+
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, ids), one for each row of docs: the ids of its text's pieces, in order."""
     import zlib
@@ -336,8 +371,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     kept = docs.select(id_col, F.col(text_col).alias("text"))
     id_type = kept.schema[0].dataType.simpleString()
     chars = kept.agg(F.sum(F.length("text"))).first()[0] or 0
-    groups = max(8, -(-chars // (GROUP_CHARS * growth(chars, 4))))
-    block_chars = BLOCK_CHARS * growth(chars, 8)
+    deal = Dealing.of(chars)
+    groups = deal.groups
     sent = spark.sparkContext.broadcast(model)
 
     def name(batches):
@@ -349,10 +384,11 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 kind = b.schema.field(0).type
                 yield b
 
-        for block, ids, lengths, seq, units in _blocks(seen(batches), sent.value, block_chars):
+        for block, ids, lengths, seq, units in _blocks(seen(batches), sent.value, deal.block_chars):
             by: dict[int, list[int]] = {}
             for k, u in enumerate(units):
-                by.setdefault(zlib.crc32(u.encode()) % groups, []).append(k)
+                g = zlib.crc32(u.encode()) % groups
+                by.setdefault(-1 - (block % deal.bunches * deal.ranges + g % deal.ranges) if deal.bunches else g, []).append(k)
             rows = [(0, g, block, _pack_texts([units[k] for k in own]), pack_sorted(np.array(own, dtype=np.uint64)), None) for g, own in by.items()]
             rows.append((1, block, block, pack(np.array(lengths)), pack_numbered(np.array(seq)), ids))
             types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(kind))
@@ -366,12 +402,23 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def of_kind(table: pa.Table, kind: int) -> pa.Table:
         return table.filter(pa.compute.equal(table.column("kind"), kind))
 
+    def gather(table: pa.Table) -> pa.Table:
+        """Rows to groups for those that a bunch's blocks send to a range of groups: each unit once, numbered in order."""
+        place = table.column("place")[0].as_py()
+        by: dict[int, list[int]] = {}
+        every = sorted({u for x in of_kind(table, 0).column("a").to_pylist() for u in _unpack_texts(x)})
+        for k, u in enumerate(every):
+            by.setdefault(zlib.crc32(u.encode()) % groups, []).append(k)
+        rows = [(0, g, place, _pack_texts([every[k] for k in own]), pack_sorted(np.array(own, dtype=np.uint64)), None) for g, own in by.items()]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [[]] * 6, table.schema, strict=True)], schema=table.schema)
+
     def distinct(table: pa.Table) -> pa.Table:
         return pa.table({"unit": pa.array({u for x in of_kind(table, 0).column("a").to_pylist() for u in _unpack_texts(x) if len(u) <= LONGEST}, pa.string())})
 
     # Groups are hashes of units, so their units are distinct over all groups. The number of partitions is given, as the
     # work on a unit is much more than its size.
-    units = placed.groupBy("place").applyInArrow(distinct, "unit string").repartition(groups * 4, "unit")
+    at_groups = placed.where("kind = 0").groupBy("place").applyInArrow(gather, PLACED.format(id=id_type)) if deal.bunches else placed
+    units = at_groups.groupBy("place").applyInArrow(distinct, "unit string").repartition(groups * 4, "unit")
     encoded = lattice(units, spark, model).withColumn("place", F.pmod(F.crc32(F.col("unit").cast("binary")), F.lit(groups)).cast("long"))
     answer_schema = pa.schema([("place", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("flat", pa.binary())])
 
@@ -397,7 +444,27 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         cols = list(zip(*rows, strict=True)) or [[]] * 4
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, answer_schema, strict=True)], schema=answer_schema)
 
-    answers = placed.groupBy("place").cogroup(encoded.groupBy("place")).applyInArrow(answer, "place long, numbers binary, sizes binary, flat binary")
+    answers = at_groups.groupBy("place").cogroup(encoded.groupBy("place")).applyInArrow(answer, "place long, numbers binary, sizes binary, flat binary")
+
+    def split(table: pa.Table, got: pa.Table) -> pa.Table:
+        """Answers to blocks from those to their bunch's range of groups."""
+        sent_rows = of_kind(table, 0).select(["block", "a", "b"]).to_pylist()
+        blocks = [(r["block"], r["b"], _unpack_texts(r["a"])) for r in sent_rows]
+        number = {u: k for k, u in enumerate(sorted({u for *_, units in blocks for u in units}))}
+        size, start, flat, at = np.zeros(len(number), dtype=np.int64), np.zeros(len(number), dtype=np.int64), [np.zeros(0, dtype=np.int64)], 0
+        for num, sizes, x in zip(*(got.column(c).to_pylist() for c in ("numbers", "sizes", "flat")), strict=True) if number else ():
+            places, own = unpack_sorted(num).astype(np.int64), unpack(sizes).astype(np.int64)
+            size[places], start[places] = own, at + offsets(own)[:-1]
+            flat.append(unpack(x).astype(np.int64))
+            at += int(own.sum())
+        every, rows = np.concatenate(flat), []
+        for block, b, units in blocks:
+            k = np.fromiter((number[u] for u in units), dtype=np.int64, count=len(units))
+            rows.append((block, b, pack(size[k]), pack(every[np.repeat(start[k] - offsets(size[k])[:-1], size[k]) + np.arange(size[k].sum())])))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [[]] * 4, answer_schema, strict=True)], schema=answer_schema)
+
+    if deal.bunches:
+        answers = placed.groupBy("place").cogroup(answers.groupBy("place")).applyInArrow(split, "place long, numbers binary, sizes binary, flat binary")
 
     def assemble(table: pa.Table, got: pa.Table) -> pa.Table:
         text = of_kind(table, 1)

@@ -473,3 +473,30 @@ def test_equal_blocks_are_groups_of_their_own(spark):
     df = spark.createDataFrame(spark.sparkContext.parallelize([(1, "some words here")] * 12, 3), "doc_id long, text string")
     first, again = ([tuple(r) for r in df.mapInArrow(names, "block long, n long").collect()] for _ in range(2))
     assert first == again and len({b for b, _ in first}) == 12 and {n for _, n in first} == {1}
+
+
+@pytest.mark.parametrize("row_chars", [1, 1 << 30])
+def test_ids_by_one_level_of_dealing_and_by_two(spark, monkeypatch, row_chars):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    r, sp, model = random.Random(12), sentencepiece.SentencePieceProcessor(model_file=MODEL), pieces.load(MODEL)
+    words = ["".join(r.choices("abcdeéß中 ", k=r.randint(1, 9))) for _ in range(200)]
+    texts = [" ".join(r.choices(words, k=r.randint(0, 60))) for _ in range(90)] + ["", "x" * 200, "same text", "same text"]
+    monkeypatch.setattr(pieces, "BLOCK_CHARS", 700)
+    monkeypatch.setattr(pieces, "GROUP_CHARS", 1_000)
+    monkeypatch.setattr(pieces, "ROW_CHARS", row_chars)
+    deal = pieces.Dealing.of(sum(map(len, texts)))
+    assert (deal.bunches > 1) == (row_chars > 1) and deal.groups > 8
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x["ids"] for x in pieces.encode(df, model).collect()}
+    assert got == {i: sp.encode(t) for i, t in enumerate(texts)}
+
+
+def test_rows_stay_long_at_any_size():
+    """Characters that a row stands for, simulated: 21,000 tokens and more at a hundred terabytes of text."""
+    for tera in (0.001, 0.03, 1, 10, 100):
+        chars = int(tera * 1e12)
+        deal = pieces.Dealing.of(chars)
+        assert deal.row_chars(chars) > 20_000 if deal.bunches else deal.row_chars(chars) >= pieces.ROW_CHARS
+        # No task holds more than about a block at a bunch's range, nor a bunch more than a few blocks' rows a group.
+        assert not deal.bunches or chars / deal.bunches / deal.ranges < 3 * deal.block_chars
+    assert not pieces.Dealing.of(int(3e10)).bunches and pieces.Dealing.of(int(1e14)).bunches
