@@ -41,10 +41,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, offsets, text_batches
-from .packed import growth, mix, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
+from .packed import Dealing, mix, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
 
 BLOCK_CHARS, GROUP_CHARS = 1 << 22, 1 << 24
 """Characters of a block and of a group at 2^29 characters of input; they grow with its root, up to 8 and 4 times."""
+ROW_CHARS = 1 << 14
+"""Characters of text that a row from a block to a group stands for at least; below it, blocks deal in two levels."""
+NARROW = 1 << 32
+"""Two ranks below this are one key of 64 bits."""
 BUCKETS, STEPS, ROUNDS = 48, 4, 60
 """Frequency buckets; histogram bins to a factor of two; rounds of EM."""
 
@@ -74,7 +78,7 @@ ROW = "kind int, place long, block long, a binary, b binary, ids array<{id}>, c
 kind 1: a block's texts, training texts first: lengths (a), words' numbers (b), ids; c: number of training texts."""
 
 
-def _block_rows(block: int, ids: list, texts: list[str], train: list[bool], groups: int, wanted: int):
+def _block_rows(block: int, ids: list, texts: list[str], train: list[bool], deal: Dealing, wanted: int):
     import xxhash
 
     order = sorted(range(len(texts)), key=lambda i: not train[i])
@@ -95,12 +99,16 @@ def _block_rows(block: int, ids: list, texts: list[str], train: list[bool], grou
         return
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), dtype=U64, count=len(number))
     counts = np.bincount(seq[:at_train], minlength=len(number)) if len(number) else np.zeros(0, np.int64)
-    group = (mix(hashes) % U64(groups)).astype(np.int64)
-    order_w = np.lexsort((hashes, group))
-    for g, part in _runs(group[order_w], order_w):
+    place = deal.place(block, _word_group(hashes, deal))
+    order_w = np.lexsort((hashes, place))
+    for g, part in _runs(place[order_w], order_w):
         yield (0, g, block, pack_sorted(hashes[part]), pack(counts[part]), None, pack(part))
 
 
+def _word_group(hashes: np.ndarray, deal: Dealing) -> np.ndarray:
+    return (mix(hashes) % U64(deal.groups)).astype(np.int64)
+
+
 def _runs(sorted_keys: np.ndarray, values: np.ndarray):
     """(key, values) of each run of equal keys."""
     if len(sorted_keys):
@@ -118,7 +126,7 @@ def _rows(table: pa.Table) -> list[dict]:
     return table.to_pylist()
 
 
-def _read(docs: DataFrame, train: Column, groups: int, block_chars: int, id_col: str, text_col: str, wanted: int) -> DataFrame:
+def _read(docs: DataFrame, train: Column, deal: Dealing, id_col: str, text_col: str, wanted: int) -> DataFrame:
     """Rows of ROW of one kind. A block's name is a hash of its partition's number, its own in the partition and its rows,
     so each reading gives it the same name, and blocks of equal rows have names of their own."""
     import xxhash
@@ -139,7 +147,7 @@ def _read(docs: DataFrame, train: Column, groups: int, block_chars: int, id_col:
             nonlocal ids, texts, train, size, name
             schema = pa.schema([("kind", pa.int32()), ("place", pa.int64()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("ids", pa.list_(kind)), ("c", pa.binary())])
             block = name.intdigest() - (1 << 63)
-            rows = [r for r in _block_rows(block, ids, texts, train, groups, wanted) if r[0] == wanted]
+            rows = [r for r in _block_rows(block, ids, texts, train, deal, wanted) if r[0] == wanted]
             ids, texts, train, size, name = [], [], [], 0, fresh_name()
             for i in range(0, len(rows), 64):
                 yield _table(rows[i : i + 64], schema)
@@ -153,7 +161,7 @@ def _read(docs: DataFrame, train: Column, groups: int, block_chars: int, id_col:
                 train.append(f)
                 size += len(t)
                 name.update(f"{i!r} {f} ".encode() + t.encode())
-                if size >= block_chars:
+                if size >= deal.block_chars:
                     yield from flush()
         if ids:
             yield from flush()
@@ -169,6 +177,37 @@ def _group_words(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, list[np.ndar
     return every, counts, np.split(where, offsets([len(p) for p in parts])[1:-1])
 
 
+def _bunched_words(words: DataFrame, deal: Dealing) -> DataFrame:
+    """Rows to word groups, of what a bunch's blocks sent to a range of them: each word once, numbered in order of hashes."""
+    schema = pa.schema([("place", pa.int64()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
+
+    def run(table: pa.Table) -> pa.Table:
+        every, counts, _ = _group_words(_rows(table))
+        group = _word_group(every, deal)
+        order = np.argsort(group, kind="stable")
+        place = table.column("place")[0].as_py()
+        return pa.Table.from_batches([_table([(g, place, pack_sorted(every[part]), pack(counts[part]), pack(part)) for g, part in _runs(group[order], order)], schema)])
+
+    return words.groupBy("place").applyInArrow(run, "place long, block long, a binary, b binary, c binary")
+
+
+def _split_ranks(words: DataFrame, answers: DataFrame) -> DataFrame:
+    """Ranks of blocks' words, as _ranks() gives them, from those of their bunches' ranges."""
+    schema = pa.schema([("block", pa.int64()), ("a", pa.binary()), ("c", pa.binary())])
+
+    def run(table: pa.Table, got: pa.Table) -> pa.Table:
+        rows = _rows(table)
+        if not rows:
+            return schema.empty_table()
+        every, _, where = _group_words(rows)
+        rank = np.zeros(len(every), dtype=np.int64)
+        for r in _rows(got):
+            rank[unpack(r["c"]).astype(np.int64)] = unpack(r["a"]).astype(np.int64)
+        return pa.Table.from_batches([_table([(r["block"], pack(rank[w]), r["c"]) for r, w in zip(rows, where, strict=True)], schema)])
+
+    return words.groupBy("place").cogroup(answers.groupBy("block")).applyInArrow(run, "block long, a binary, c binary")
+
+
 def _histogram(words: DataFrame) -> DataFrame:
     """(place, level, n): how many words of each group have each training count above zero."""
 
@@ -227,7 +266,23 @@ and the tokens' texts as numbers in the block, training texts first. kind 1: a b
 scores, and in `lone` the context buckets and counts of tokens whose bigram training can't have: bucket, c(w), text."""
 
 
-def _pair(rows: list[dict], counts: Counts, end: int, groups: int):
+def _in_order(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of pairs of ranks, and where in it each distinct one begins."""
+    if max(u.max(initial=0), w.max(initial=0)) < NARROW:
+        key = u << U64(32) | w
+        order = np.argsort(key, kind="stable")
+        new = key[order][1:] != key[order][:-1]
+    else:
+        order = np.lexsort((w, u))
+        new = (u[order][1:] != u[order][:-1]) | (w[order][1:] != w[order][:-1])
+    return order, np.flatnonzero(np.concatenate(([True], new))) if len(order) else np.zeros(0, np.int64)
+
+
+def _pair_group(u: np.ndarray, w: np.ndarray, deal: Dealing) -> np.ndarray:
+    return (mix(u << U64(32) ^ w ^ mix(u >> U64(32))) % U64(deal.groups)).astype(np.int64)
+
+
+def _pair(rows: list[dict], counts: Counts, end: int, deal: Dealing):
     """Rows of PAIR_ROW for one block. Its texts and the ranks of its words come from two readings; if these didn't give
     the same blocks, that is an error, never a wrong score."""
     own = [r for r in rows if r["ids"] is not None]
@@ -259,32 +314,107 @@ def _pair(rows: list[dict], counts: Counts, end: int, groups: int):
     lone = np.flatnonzero(~known)
     cu = np.where(context[lone] >= 0, counts.of(np.maximum(context[lone], 0)), 0) if counts.distinct else np.zeros(len(lone), np.int64)
     yield (1, block, block, None, None, None, None, n_train, texts["ids"], numbers, b"".join(len(p).to_bytes(8, "little") + p for p in (pack(_bucket(cu)), pack(cw[lone]), pack(text[lone]))))
-    if counts.distinct >= 1 << 32:
-        raise ValueError("bigrams of over 2^32 distinct words need wider keys")
-    key = context[known].astype(U64) << U64(32) | tokens[known].astype(U64)
-    order = np.argsort(key, kind="stable")
-    key, owner = key[order], text[known][order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    own, size = key[first], np.diff(np.append(first, len(key)))
-    group = (mix(own) % U64(groups)).astype(np.int64)
-    by_group = np.argsort(group, kind="stable")
-    for g, part in _runs(group[by_group], by_group):
+    u, w = context[known].astype(U64), tokens[known].astype(U64)
+    order, first = _in_order(u, w)
+    u, w, owner = u[order], w[order], text[known][order]
+    size = np.diff(np.append(first, len(u)))
+    place = deal.place(block, _pair_group(u[first], w[first], deal))
+    by_place = np.argsort(place, kind="stable")
+    for g, part in _runs(place[by_place], by_place):
         n = size[part]
         starts = np.repeat(first[part] - offsets(n)[:-1], n) + np.arange(n.sum())
-        yield (0, g, block, pack_sorted(own[part] >> U64(32)), pack(own[part] & U64(0xFFFFFFFF)), pack(n), pack(owner[starts]), n_train, None, None, None)
+        yield (0, g, block, pack_sorted(u[first[part]]), pack(w[first[part]]), pack(n), pack(owner[starts]), n_train, None, None, None)
 
 
-def _pairs(answers: DataFrame, texts: DataFrame, counts: Counts, end: int, groups: int, id_type: str, parts: int) -> DataFrame:
+def _pairs(answers: DataFrame, texts: DataFrame, counts: Counts, end: int, deal: Dealing, id_type: str) -> DataFrame:
     sent = answers.sparkSession.sparkContext.broadcast(counts)
 
     def run(table: pa.Table) -> pa.Table:
         kind = table.schema.field("ids").type
         schema = pa.schema([("kind", pa.int32()), ("place", pa.int64()), ("block", pa.int64()), *((x, pa.binary()) for x in ("u", "w", "n", "texts")), ("n_train", pa.int64()), ("ids", kind), ("numbers", pa.list_(pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64())]))), ("lone", pa.binary())])
-        return pa.Table.from_batches([_table(list(_pair(_rows(table), sent.value, end, groups)), schema)])
+        return pa.Table.from_batches([_table(list(_pair(_rows(table), sent.value, end, deal)), schema)])
 
     both = texts.select("block", "a", "b", "ids", "c").unionByName(answers, allowMissingColumns=True)
     made = both.groupBy("block").applyInArrow(run, PAIR_ROW.format(id=id_type))
-    return cut(made.repartition(parts, "place", "kind").sortWithinPartitions("kind", "place"))
+    return cut(made.repartition(deal.groups, "place", "kind").sortWithinPartitions("kind", "place"))
+
+
+def _renumbered(rows: list[dict]) -> tuple[list[np.ndarray], list[tuple[int, int]], int]:
+    """Of a bunch's rows, in order of their blocks: each one's texts as numbers in the bunch, its numbers of training texts and
+    of others, and how many training texts there are; as in a block, they have the first numbers."""
+    texts = [unpack(r["texts"]).astype(np.int64) for r in rows]
+    sizes = [(r["n_train"], max(int(t.max(initial=-1)) + 1 - r["n_train"], 0)) for r, t in zip(rows, texts, strict=True)]
+    total = sum(a for a, _ in sizes)
+    trained, other = offsets([a for a, _ in sizes]), total + offsets([b for _, b in sizes])
+    return [np.where(t < a, t + trained[k], t - a + other[k]) for k, (t, (a, _)) in enumerate(zip(texts, sizes, strict=True))], sizes, total
+
+
+def _bunched_pairs(pairs: DataFrame, deal: Dealing) -> DataFrame:
+    """Rows to bigram groups, of what a bunch's blocks sent to a range of them: each bigram once, texts numbered over the bunch."""
+    names = ("u", "w", "n", "texts")
+    schema = pa.schema([("kind", pa.int32()), ("place", pa.int64()), ("block", pa.int64()), *((x, pa.binary()) for x in names), ("n_train", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(_rows(table), key=lambda r: r["block"])
+        texts, _, n_train = _renumbered(rows)
+        u, w, n = (np.concatenate([f(r[c]) for r in rows]) for c, f in (("u", unpack_sorted), ("w", unpack), ("n", unpack)))
+        order, first = _in_order(u, w)
+        pair = np.empty(len(u), dtype=np.int64)
+        pair[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(u))))
+        token = np.repeat(pair, n.astype(np.int64))
+        owner = np.concatenate(texts)[np.argsort(token, kind="stable")]
+        size = np.bincount(token, minlength=len(first))
+        begin = offsets(size)[:-1]
+        u, w = u[order][first], w[order][first]
+        group = _pair_group(u, w, deal)
+        by_group = np.argsort(group, kind="stable")
+        out = []
+        for g, part in _runs(group[by_group], by_group):
+            at = np.repeat(begin[part] - offsets(size[part])[:-1], size[part]) + np.arange(size[part].sum())
+            out.append((0, g, rows[0]["place"], pack_sorted(u[part]), pack(w[part]), pack(size[part]), pack(owner[at]), n_train))
+        return pa.Table.from_batches([_table(out, schema)])
+
+    made = pairs.where("kind = 0").groupBy("place").applyInArrow(run, "kind int, place long, block long, u binary, w binary, n binary, texts binary, n_train long")
+    return cut(made.repartition(deal.groups, "place", "kind").sortWithinPartitions("kind", "place"))
+
+
+def _split_sums(pairs: DataFrame, sums: DataFrame) -> DataFrame:
+    """Sums of blocks' texts, as _sums() gives them, from those of their bunches' ranges."""
+    schema = pa.schema([("block", pa.int64()), ("texts", pa.binary()), ("sums", pa.binary())])
+
+    def run(table: pa.Table, got: pa.Table) -> pa.Table:
+        rows = sorted(_rows(table), key=lambda r: r["block"])
+        if not rows:
+            return schema.empty_table()
+        texts, sizes, total = _renumbered(rows)
+        score = np.zeros(sum(a + b for a, b in sizes))
+        for r in sorted(_rows(got), key=lambda r: (len(r["sums"]), r["sums"])):
+            _add(score, r)
+        out = []
+        for r, t in zip(rows, texts, strict=True):
+            own, here = np.unique(unpack(r["texts"]).astype(np.int64)), np.unique(t)  # both in the same order: training texts first
+            out.append((r["block"], *_sparse(own, score[here])))
+        return pa.Table.from_batches([_table(out, schema)])
+
+    return pairs.where("kind = 0").select("place", "block", "texts", "n_train").groupBy("place").cogroup(sums.groupBy("block")).applyInArrow(run, "block long, texts binary, sums binary")
+
+
+def _sparse(texts: np.ndarray, sums: np.ndarray) -> tuple[bytes | None, bytes]:
+    """Sums of some texts, numbered in ascending order: without the numbers if at least half of those up to the last are there."""
+    n = int(texts[-1]) + 1 if len(texts) else 0
+    if 2 * len(texts) < n:
+        return pack_sorted(texts.astype(U64)), sums.tobytes()
+    full = np.zeros(n)
+    full[texts] = sums
+    return None, full.tobytes()
+
+
+def _add(score: np.ndarray, row: dict) -> None:
+    x = np.frombuffer(row["sums"])
+    if row["texts"] is None:
+        score[: len(x)] += x
+    else:
+        score[unpack_sorted(row["texts"]).astype(np.int64)] += x
 
 
 def _by_place(batches):
@@ -302,18 +432,22 @@ def _by_place(batches):
 
 def _group_pairs(rows: list[dict]):
     """Distinct bigrams (u, w) of a group, their training counts, and each row's places among them, with tokens and texts."""
-    keys, sizes, texts = [], [], []
+    us, ws, sizes, texts = [], [], [], []
     for r in rows:
-        keys.append(unpack_sorted(r["u"]) << U64(32) | unpack(r["w"]))
+        us.append(unpack_sorted(r["u"]))
+        ws.append(unpack(r["w"]))
         sizes.append(unpack(r["n"]).astype(np.int64))
         texts.append(unpack(r["texts"]).astype(np.int64))
-    every, where = np.unique(np.concatenate(keys), return_inverse=True)
-    count = np.zeros(len(every), dtype=np.int64)
-    places = np.split(where, offsets([len(k) for k in keys])[1:-1])
+    u, w = np.concatenate(us), np.concatenate(ws)
+    order, first = _in_order(u, w)
+    where = np.empty(len(u), dtype=np.int64)
+    where[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(u))))
+    count = np.zeros(len(first), dtype=np.int64)
+    places = np.split(where, offsets([len(k) for k in us])[1:-1])
     tokens = [np.repeat(p, s) for p, s in zip(places, sizes, strict=True)]
     for r, at, t in zip(rows, tokens, texts, strict=True):
-        count += np.bincount(at[t < r["n_train"]], minlength=len(every))
-    return (every >> U64(32)).astype(np.int64), (every & U64(0xFFFFFFFF)).astype(np.int64), count, tokens, texts
+        count += np.bincount(at[t < r["n_train"]], minlength=len(first))
+    return u[order][first].astype(np.int64), w[order][first].astype(np.int64), count, tokens, texts
 
 
 def _estimates(pairs: DataFrame, counts: Counts) -> DataFrame:
@@ -373,7 +507,8 @@ def learn(histogram: list[tuple], distinct: int) -> np.ndarray:
 
 
 def _sums(pairs: DataFrame, counts: Counts, weights: np.ndarray) -> DataFrame:
-    """(block, sums): for each block and bigram group, the sum of log10 probabilities of each text, as packed doubles."""
+    """(block, texts, sums): for each block and bigram group, the sum of log10 probabilities of each text, as doubles of all texts up to
+    the last, or of the packed numbers in `texts`."""
     sent = pairs.sparkSession.sparkContext.broadcast((counts, weights))
 
     def run(batches):
@@ -383,10 +518,18 @@ def _sums(pairs: DataFrame, counts: Counts, weights: np.ndarray) -> DataFrame:
             cu, cw = c.of(u), c.of(w)
             b = _bucket(cu)
             logs = _safe_log10(l[b, 0] * n / cu + l[b, 1] * cw / c.total + l[b, 2] / (c.distinct + 1))
-            out = [np.bincount(t, weights=logs[at]) for at, t in zip(tokens, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([r["block"] for r in rows], pa.int64()), pa.array([x.tobytes() for x in out], pa.binary())], names=["block", "sums"])
+            out = []
+            for at, t in zip(tokens, texts, strict=True):
+                if int(t.max(initial=0)) < 4 * len(t):
+                    sums = np.bincount(t, weights=logs[at])
+                    own = np.flatnonzero(np.bincount(t))
+                    out.append(_sparse(own, sums[own]))
+                else:
+                    own, where = np.unique(t, return_inverse=True)
+                    out.append(_sparse(own, np.bincount(where, weights=logs[at])))
+            yield pa.RecordBatch.from_arrays([pa.array([r["block"] for r in rows], pa.int64()), *(pa.array([x[k] for x in out], pa.binary()) for k in (0, 1))], names=["block", "texts", "sums"])
 
-    return pairs.where("kind = 0").select("place", "block", "u", "w", "n", "texts", "n_train").mapInArrow(run, "block long, sums binary")
+    return pairs.where("kind = 0").select("place", "block", "u", "w", "n", "texts", "n_train").mapInArrow(run, "block long, texts binary, sums binary")
 
 
 def _totals(pairs: DataFrame, sums: DataFrame, counts: Counts, weights: np.ndarray, id_col: str, id_type: str) -> DataFrame:
@@ -397,9 +540,8 @@ def _totals(pairs: DataFrame, sums: DataFrame, counts: Counts, weights: np.ndarr
         rows = _rows(table)
         own = next(r for r in rows if r["ids"] is not None)
         score = np.zeros(len(own["ids"]))
-        for r in sorted((r["sums"] for r in rows if r["sums"] is not None), key=len):
-            x = np.frombuffer(r)
-            score[: len(x)] += x
+        for r in sorted((r for r in rows if r["sums"] is not None), key=lambda r: len(r["sums"])):
+            _add(score, r)
         parts, at = [], 0
         while at < len(own["lone"]):
             size = int.from_bytes(own["lone"][at : at + 8], "little")
@@ -422,10 +564,10 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     """
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     chars, ends = docs.agg(F.sum(F.length(F.col(text_col))), F.sum(F.coalesce(train, F.lit(False)).cast("long"))).first()
-    groups = max(8, -(-(chars or 0) // (GROUP_CHARS * growth(chars or 0, 4))))
-    block_chars = BLOCK_CHARS * growth(chars or 0, 8)
+    deal = Dealing.of(chars or 0, BLOCK_CHARS, GROUP_CHARS, ROW_CHARS)
     # Words are dealt to their groups once; the checkpoint keeps that, so steps 2 and 3 need no shuffle of their own.
-    words = cut(_read(docs, train, groups, block_chars, id_col, text_col, 0).select("place", "block", "a", "b", "c").repartition(groups, "place"))
+    read = cut(_read(docs, train, deal, id_col, text_col, 0).select("place", "block", "a", "b", "c").repartition(deal.groups, "place"))
+    words = cut(_bunched_words(read, deal).repartition(deal.groups, "place")) if deal.bunches else read
     histogram = cut(_histogram(words))
     levels = [(r["level"], r["n"]) for r in histogram.groupBy("level").agg(F.sum("n").alias("n")).collect()]
     counts, end = _count_table(levels, ends or 0)
@@ -434,9 +576,11 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     first = spark.createDataFrame([(int(v), int(f) + (int(v) == (ends or 0))) for v, f in zip(counts.level, counts.first, strict=True)] or [(0, 0)], "level long, first long")
     before = Window.partitionBy("level").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     starts = histogram.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(first, "level").select("place", "level", (F.col("first") + F.col("before")).alias("start"))
-    answers = _ranks(words, starts)
-    pairs = _pairs(answers, _read(docs, train, groups, block_chars, id_col, text_col, 1), counts, end, groups, id_type, groups)
+    answers = _split_ranks(read, _ranks(words, starts)) if deal.bunches else _ranks(words, starts)
+    texts = _pairs(answers, _read(docs, train, deal, id_col, text_col, 1), counts, end, deal, id_type)
+    pairs = _bunched_pairs(texts, deal) if deal.bunches else texts
     found = _estimates(pairs, counts).collect()
     weights = learn([tuple(r) for r in found], counts.distinct)
-    out = _totals(pairs, _sums(pairs, counts, weights), counts, weights, id_col, id_type)
+    sums = _split_sums(texts, _sums(pairs, counts, weights)) if deal.bunches else _sums(pairs, counts, weights)
+    out = _totals(texts, sums, counts, weights, id_col, id_type)
     return out.select(id_col, "n_tokens", "n_known", F.lit(counts.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 
 
@@ -15,6 +17,44 @@ def growth(chars: int, most: int) -> int:
     return max(1, min(most, round((chars / (1 << 29)) ** 0.5)))
 
 
+@dataclass(frozen=True)
+class Dealing:
+    """How packed rows travel: blocks of `block_chars` characters to `groups` groups or, with `bunches` above zero, by way of
+    bunches of blocks: a block sends a row to each of `ranges` ranges of groups in its bunch, and a bunch's range one to each of its
+    groups.
+
+    Were there one level only, rows would grow with the square of the input, and each would hold ever fewer numbers. In
+    two, rows grow with its power of one and a half: each still stands for as many characters at a thousand times the input
+    that one level serves. What a bunch's range holds at once is about a block."""
+
+    block_chars: int
+    groups: int
+    bunches: int = 0
+    ranges: int = 0
+
+    @staticmethod
+    def of(chars: int, block: int, group: int, least: int) -> Dealing:
+        """For `chars` characters of input: one level if a row then stands for `least` characters or more; `block` and `group` are
+        the sizes at 2^29 characters, of which they may grow up to 8 and 4 times."""
+        block_chars = block * growth(chars, 8)
+        groups = max(8, -(-chars // (group * growth(chars, 4))))
+        if block_chars >= least * groups:
+            return Dealing(block_chars, groups)
+        ranges = max(2, round(groups**0.5))
+        blocks_of_bunch = max(1, groups // ranges)
+        return Dealing(block_chars, groups, max(1, -(-chars // (block_chars * blocks_of_bunch))), ranges)
+
+    def place(self, block: int, group):
+        """Where a block sends what is for a group, or for each group of an array: places of bunches are below zero."""
+        return -1 - (block % self.bunches * self.ranges + group % self.ranges) if self.bunches else group
+
+    def row_chars(self, chars: int) -> float:
+        """Characters that a row stands for, at the level where that is least."""
+        if not self.bunches:
+            return self.block_chars / self.groups
+        return min(self.block_chars / self.ranges, chars / self.bunches / self.groups)
+
+
 def pack(x: np.ndarray) -> bytes:
     """A byte string that holds non-negative numbers: byte planes of the widest one's size, compressed."""
     import zstandard

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import offsets, text_batches
-from .packed import growth, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
+from .packed import Dealing, pack, pack_numbered, pack_sorted, unpack, unpack_numbered, unpack_sorted
 
 MARK = "▁"
 LONGEST = 62
@@ -328,35 +328,8 @@ ROW_CHARS = 1 << 14
 """Characters of text that a row from a block to a group stands for at least; below it, blocks deal in two levels."""
 
 
-@dataclass(frozen=True)
-class Dealing:
-    """How units travel: blocks of `block_chars` characters to `groups` groups, or, with `bunches` above zero, by way of bunches of
-    blocks: a block sends a row to each of `ranges` ranges of groups in its bunch, and a bunch's range one to each of its groups.
-
-    Were there one level only, rows would grow with the square of the input, and each would hold ever fewer units. In two,
-    rows grow with its power of one and a half: each still stands for ROW_CHARS characters or more at a thousand times
-    the input that one level serves. What a bunch's range holds at once is about a block."""
-
-    block_chars: int
-    groups: int
-    bunches: int = 0
-    ranges: int = 0
-
-    @staticmethod
-    def of(chars: int) -> Dealing:
-        block_chars = BLOCK_CHARS * growth(chars, 8)
-        groups = max(8, -(-chars // (GROUP_CHARS * growth(chars, 4))))
-        if block_chars >= ROW_CHARS * groups:
-            return Dealing(block_chars, groups)
-        ranges = max(2, round(groups**0.5))
-        blocks_of_bunch = max(1, groups // ranges)
-        return Dealing(block_chars, groups, max(1, -(-chars // (block_chars * blocks_of_bunch))), ranges)
-
-    def row_chars(self, chars: int) -> float:
-        """Characters that a row stands for, at the level where that is least."""
-        if not self.bunches:
-            return self.block_chars / self.groups
-        return min(self.block_chars / self.ranges, chars / self.bunches / self.groups)
+def dealing(chars: int) -> Dealing:
+    return Dealing.of(chars, BLOCK_CHARS, GROUP_CHARS, ROW_CHARS)
 
 
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -371,7 +344,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     kept = docs.select(id_col, F.col(text_col).alias("text"))
     id_type = kept.schema[0].dataType.simpleString()
     chars = kept.agg(F.sum(F.length("text"))).first()[0] or 0
-    deal = Dealing.of(chars)
+    deal = dealing(chars)
     groups = deal.groups
     sent = spark.sparkContext.broadcast(model)
 
@@ -388,7 +361,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             by: dict[int, list[int]] = {}
             for k, u in enumerate(units):
                 g = zlib.crc32(u.encode()) % groups
-                by.setdefault(-1 - (block % deal.bunches * deal.ranges + g % deal.ranges) if deal.bunches else g, []).append(k)
+                by.setdefault(deal.place(block, g), []).append(k)
             rows = [(0, g, block, _pack_texts([units[k] for k in own]), pack_sorted(np.array(own, dtype=np.uint64)), None) for g, own in by.items()]
             rows.append((1, block, block, pack(np.array(lengths)), pack_numbered(np.array(seq)), ids))
             types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(kind))

@@ -38,13 +38,19 @@ def plain(rows):
     return out
 
 
-def test_scores_match_a_plain_count(spark, monkeypatch):
+@pytest.mark.parametrize("changes", [{"ROW_CHARS": 1}, {"ROW_CHARS": 1 << 30, "GROUP_CHARS": 500}, {"ROW_CHARS": 1, "NARROW": 3, "GROUP_CHARS": 500}])
+def test_scores_match_a_plain_count(spark, monkeypatch, changes):
+    """Also where blocks deal in two levels, and where two ranks are more than a key of 64 bits."""
     monkeypatch.setattr(ngram, "BLOCK_CHARS", 400)
+    for name, value in changes.items():
+        monkeypatch.setattr(ngram, name, value)
     r = random.Random(5)
     words = [chr(97 + k % 26) * (1 + k // 26) for k in range(80)]
     rows = [(i, " ".join(r.choices(words, [1 / (k + 1) for k in range(80)], k=r.choice([0, 1, 5, 40]))).upper(), i % 4 != 1) for i in range(120)]
     rows += [(500, None, True), (501, None, False), (502, "unseen words only", False), (503, " \t\n", True), (504, "a " * 3000, True)]
     df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
+    deal = ngram.Dealing.of(sum(len(t or "") for _, t, _ in rows), ngram.BLOCK_CHARS, ngram.GROUP_CHARS, ngram.ROW_CHARS)
+    assert (deal.bunches > 1) == (ngram.ROW_CHARS > 1)
     got = {x["doc_id"]: tuple(x)[1:] for x in ngram.score(df, F.col("train")).collect()}
     want = plain(rows)
     assert got.keys() == want.keys()
@@ -93,7 +99,7 @@ def test_equal_blocks_keep_their_own_sums(spark, monkeypatch):
 
 def test_blocks_that_were_read_differently_raise():
     counts, end = ngram._count_table([(2, 1), (1, 2)], 1)
-    rows = {wanted: list(ngram._block_rows(7, [1, 2], ["a b", "a c"], [True, False], 4, wanted)) for wanted in (0, 1)}
+    rows = {wanted: list(ngram._block_rows(7, [1, 2], ["a b", "a c"], [True, False], ngram.Dealing(100, 4), wanted)) for wanted in (0, 1)}
     text = dict(zip(("kind", "place", "block", "a", "b", "ids", "c"), next(r for r in rows[1] if r[0] == 1), strict=True))
     with pytest.raises(RuntimeError):  # no ranks for its words
         list(ngram._pair([text], counts, end, 4))
@@ -116,3 +122,19 @@ def test_rows_of_a_block_keep_their_size_as_the_input_grows():
     assert all(words_in_a_row((1 << 29) * k) > small / 2 for k in (1, 4, 10, 16, 30, 60))
     # Blocks and groups are as large as memory allows from 64 times that input on.
     assert growth(1 << 60, 8) == 8 and growth(0, 8) == 1
+
+
+def test_rows_stay_long_at_any_size():
+    for tera in (0.001, 0.03, 1, 10, 100):
+        chars = int(tera * 1e12)
+        deal = ngram.Dealing.of(chars, ngram.BLOCK_CHARS, ngram.GROUP_CHARS, ngram.ROW_CHARS)
+        assert deal.row_chars(chars) >= ngram.ROW_CHARS and bool(deal.bunches) == (tera >= 1)
+
+
+def test_sums_of_few_texts_and_of_many():
+    score = np.zeros(10)
+    for texts in ([], [0], [9], [0, 1, 2, 3], [2, 3, 9]):
+        numbers, sums = ngram._sparse(np.array(texts, dtype=np.int64), np.arange(len(texts)) + 1.0)
+        assert (numbers is None) == (2 * len(texts) >= (texts[-1] + 1 if texts else 0))
+        ngram._add(score, {"texts": numbers, "sums": sums})
+    assert score.tolist() == [2.0, 2.0, 4.0, 6.0, 0, 0, 0, 0, 0, 4.0]

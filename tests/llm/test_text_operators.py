@@ -484,7 +484,7 @@ def test_ids_by_one_level_of_dealing_and_by_two(spark, monkeypatch, row_chars):
     monkeypatch.setattr(pieces, "BLOCK_CHARS", 700)
     monkeypatch.setattr(pieces, "GROUP_CHARS", 1_000)
     monkeypatch.setattr(pieces, "ROW_CHARS", row_chars)
-    deal = pieces.Dealing.of(sum(map(len, texts)))
+    deal = pieces.dealing(sum(map(len, texts)))
     assert (deal.bunches > 1) == (row_chars > 1) and deal.groups > 8
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {x["doc_id"]: x["ids"] for x in pieces.encode(df, model).collect()}
@@ -495,8 +495,8 @@ def test_rows_stay_long_at_any_size():
     """Characters that a row stands for, simulated: 21,000 tokens and more at a hundred terabytes of text."""
     for tera in (0.001, 0.03, 1, 10, 100):
         chars = int(tera * 1e12)
-        deal = pieces.Dealing.of(chars)
+        deal = pieces.dealing(chars)
         assert deal.row_chars(chars) > 20_000 if deal.bunches else deal.row_chars(chars) >= pieces.ROW_CHARS
         # No task holds more than about a block at a bunch's range, nor a bunch more than a few blocks' rows a group.
         assert not deal.bunches or chars / deal.bunches / deal.ranges < 3 * deal.block_chars
-    assert not pieces.Dealing.of(int(3e10)).bunches and pieces.Dealing.of(int(1e14)).bunches
+    assert not pieces.dealing(int(3e10)).bunches and pieces.dealing(int(1e14)).bunches
