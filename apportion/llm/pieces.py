@@ -30,7 +30,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 from itertools import count
 
@@ -119,6 +119,12 @@ def load(model_file: str) -> Model:
     return Model(pieces, tuple(bytes_[b] for b in range(256)), tuple(texts), trained.model_type == trained.UNIGRAM, least - UNKNOWN_PENALTY)
 
 
+def by_score(model: Model) -> Model:
+    """The model as one whose segmentations are those of the greatest sum of scores, whatever it was trained for."""
+    least = min((s for _, s in model.pieces.values()), default=0.0)
+    return replace(model, unigram=True, unknown=min(0.0, least) - UNKNOWN_PENALTY)
+
+
 def best_path(unit: str, model: Model) -> list[int]:
     """Ids of a unit by Viterbi, with sums of single precision as the library has them."""
     add, get, longest = np.float32, model.pieces.get, model.longest

@@ -23,6 +23,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = f"{TOK
     return back.select("key.doc_id", "key.n_pieces", "key.ids_hash", (F.xxhash64("text") == F.col("key.was")).alias("round_trip"))
 
 
+def sentencepiece_paths(spark: SparkSession, sf_dir: str, model_file: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
+    """Number and hash of the ids of each text's path of the greatest sum of scores, by Viterbi over the lattice."""
+    coded = pieces.encode(table(spark, sf_dir, "documents"), pieces.by_score(pieces.load(model_file)))
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -88,6 +94,12 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of the language model's scores: all but the interpolated ones."""
+    base = F.round(F.col("base_score").cast("decimal(38,12)"), 6).cast("double")
+    return op10_lm_scores(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", base.alias("base_score"))
+
+
 def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
@@ -116,22 +128,58 @@ QUERIES = {
     "op11_toxicity": op11_toxicity,
     "op12_resample": op12_resample,
     "op13_divergence": op13_divergence,
+    "sentencepiece_paths": sentencepiece_paths,
+    "lm_base_scores": lm_base_scores,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# The checksum of g goes by half bytes, the lower one first; t holds the sixteen checksums of half bytes.
+_HALVES = "halves AS (SELECT [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108] AS t)"
+_CRC32 = r"""xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(regexp_replace(hex(encode(g)), '(.)(.)', '\2\1', 'g'), '.'), lambda h: strpos('0123456789ABCDEF', h)::BIGINT - 1),
+    lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1])), 4294967295)"""
+
+
+def _matches(*patterns: tuple[str, str]) -> str:
+    """Texts x as parts, one before and one from each match of a kind's pattern on: group 1, chr(3), group 2, chr(2), the rest."""
+    return " UNION ALL ".join(f"SELECT r, {k} AS k, '{kind}' AS kind, string_split(regexp_replace(x, '{pattern}', chr(1) || '\\1' || chr(3) || '\\2' || chr(2), 'g'), chr(1)) AS parts FROM t" for k, (kind, pattern) in enumerate(patterns))
+
+
+_MARKED = _matches(
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)"""),
+    ("access", r"(AKIA)([A-Z0-9]+)"),
+    ("hex", r"()([0-9a-f]+)"),
+    ("pem", r"(-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----)([A-Za-z0-9+/=\s]+(?:-----END (?:[A-Z]+ )*PRIVATE KEY-----)?)"),
+)
+
 ORACLES: dict[str, str] = {
-    # The checksum goes by half bytes, the lower one first; t holds the sixteen checksums of half bytes.
+    # Places of matches are sums of the lengths of the parts before them.
+    "op4_secrets": rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), chr(1) || chr(2) || chr(3), chr(4) || chr(4) || chr(4)) AS x FROM documents),
+m AS ({_MARKED}),
+s AS (SELECT r, k, kind, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM m WHERE len(parts) > 1),
+l AS (SELECT *, CASE WHEN i = 1 THEN length(part) ELSE length(part) - 2 END AS n, CASE WHEN i > 1 THEN strpos(part, chr(3)) - 1 END AS a, CASE WHEN i > 1 THEN strpos(part, chr(2)) - strpos(part, chr(3)) - 1 END AS b FROM s),
+w AS (SELECT *, (sum(n) OVER (PARTITION BY r, k ORDER BY i) - n)::BIGINT AS start FROM l),
+f AS (SELECT r, k, start, kind || ':' || start || ':' || (start + a + b) AS span FROM w WHERE i > 1 AND CASE k WHEN 0 THEN b >= 12 WHEN 1 THEN a + b >= 18 WHEN 2 THEN b >= 16 ELSE true END),
+g AS (SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex, string_agg(span, ',' ORDER BY start, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY start, k) AS spans FROM f GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN g USING (r)""",
+    "lm_base_scores": rf"""
+WITH {_HALVES}, ids AS (SELECT g, {_CRC32} % 5 AS part FROM (SELECT DISTINCT coalesce(doc_id::VARCHAR, '') AS g FROM documents), halves),
+docs AS (SELECT row_number() OVER () AS r, doc_id, part, list_append(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), chr(10)) AS w FROM documents JOIN ids ON g = coalesce(doc_id::VARCHAR, '')),
+tokens AS (SELECT r, part, unnest(w) AS word FROM docs),
+counts AS (SELECT word, count(*) AS c FROM tokens WHERE part <> 1 GROUP BY word),
+size AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM counts),
+sums AS (SELECT r, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))) AS base FROM tokens LEFT JOIN counts USING (word) CROSS JOIN size GROUP BY r)
+SELECT doc_id, part = 1 AS held_out, n_tokens, n_known, n AS train_tokens, round(base::DECIMAL(38, 12), 6)::DOUBLE AS base_score FROM docs JOIN sums USING (r) CROSS JOIN size""",
     "op12_resample": rf"""
-WITH halves AS (SELECT [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108] AS t),
+WITH {_HALVES},
 tokens AS (
   SELECT 0 AS side, doc_id AS id, row_number() OVER () AS row_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
   UNION ALL SELECT 1, NULL, NULL, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
 grams AS (SELECT side, row_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM tokens),
 counted AS (SELECT side, row_id, g, count(*) AS n FROM grams GROUP BY ALL),
 hashed AS (
-  SELECT g, xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(regexp_replace(hex(encode(g)), '(.)(.)', '\2\1', 'g'), '.'), lambda h: strpos('0123456789ABCDEF', h)::BIGINT - 1),
-    lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1])), 4294967295) % 10000 AS bucket
+  SELECT g, {_CRC32} % 10000 AS bucket
   FROM (SELECT DISTINCT g FROM counted), halves),
 bucketed AS (SELECT side, row_id, bucket, n FROM counted JOIN hashed USING (g)),
 sums AS (SELECT bucket, sum(CASE WHEN side = 0 THEN n ELSE 0 END)::DOUBLE AS s, sum(CASE WHEN side = 1 THEN n ELSE 0 END)::DOUBLE AS t FROM bucketed GROUP BY bucket),
