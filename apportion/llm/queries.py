@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, divergence, html, langid, media, ngram, pieces, quality, resample, secrets, simhash, toxicity, wordpiece
-from .common import fold, shared_folder, table
+from .common import cut, fold, shared_folder, table
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -46,7 +46,8 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/secrets-{uuid.uuid4()}"
     for delivery in (0, 1):
         ledger = secrets.update(docs.where(fold(F.col("doc_id"), 2) == delivery), folder)
-    found = secrets.findings(docs, ledger)
+    found = cut(secrets.findings(docs, ledger))
+    secrets.forget(spark, folder)
 
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -114,6 +114,12 @@ def update(docs: DataFrame, folder: str, text_col: str = "text", rule_version: s
     return read_ledger(spark, folder)
 
 
+def forget(spark: SparkSession, folder: str) -> None:
+    """Removes a stored ledger."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _hits(ledger: DataFrame, rule_version: str, blob: str, salt: str, spans: str) -> DataFrame:
     own = ledger.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).groupBy("blob").agg(F.first("spans").alias("spans"))
     return own.select(F.col("blob").alias(blob), F.explode(F.array(*[F.lit(s) for s in range(SALTS)])).alias(salt), F.col("spans").alias(spans))

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -77,6 +78,7 @@ def test_op3(spark, folder, rows):
 
 
 def test_op4(spark, folder, rows):
+    shared = spark.sparkContext.getCheckpointDir().removeprefix("file:")
     got = {r["doc_id"]: r for r in queries.op4_secrets(spark, folder).collect()}
     for i, t, *_ in rows:
         spans = plain_spans(t or "")
@@ -86,6 +88,7 @@ def test_op4(spark, folder, rows):
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(counts[k] for k in range(3))
         assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
         assert re.sub(r",?pem:\d+:\d+", "", r["spans"]).strip(",") == text
+    assert not list(Path(shared).glob("secrets-*"))  # the query's own ledger is gone
 
 
 def test_op6_and_op8(spark, folder, rows):
