@@ -127,8 +127,8 @@ def tokens(page: str) -> list[Token]:
     at = 0
 
     def text(raw: str) -> None:
-        # White space alone is a text too, of no words: it may part the words of two elements.
-        if raw:
+        # White space alone is a text too, of no words, as it may part the words of two elements; not so where a block begins or ends.
+        if raw and not (raw.isspace() and (not out or (not out[-1].text and out[-1].key.lstrip("</") in BLOCK))):
             top = stack[-1] if stack else root
             out.append(Token(top.key, raw, top.shown, top.own, top.doubt, len(raw.split())))
 
