@@ -354,6 +354,15 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     groups = deal.groups
     sent = spark.sparkContext.broadcast(model)
 
+    def by_place(units: list[str], block: int | None):
+        """(place, numbers of units) of a block's units, or of a bunch's, which go to their groups."""
+        place = np.fromiter(map(zlib.crc32, map(str.encode, units)), dtype=np.int64, count=len(units)) % groups
+        place = place if block is None else deal.place(block, place)
+        order = np.argsort(place, kind="stable")
+        starts = np.flatnonzero(np.diff(place[order], prepend=np.iinfo(np.int64).min))
+        for own in np.split(order, starts[1:]) if len(order) else ():
+            yield int(place[own[0]]), own
+
     def name(batches):
         kind = None
 
@@ -364,11 +373,7 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield b
 
         for block, ids, lengths, seq, units in _blocks(seen(batches), sent.value, deal.block_chars):
-            by: dict[int, list[int]] = {}
-            for k, u in enumerate(units):
-                g = zlib.crc32(u.encode()) % groups
-                by.setdefault(deal.place(block, g), []).append(k)
-            rows = [(0, g, block, _pack_texts([units[k] for k in own]), pack_sorted(np.array(own, dtype=np.uint64)), None) for g, own in by.items()]
+            rows = [(0, g, block, _pack_texts([units[k] for k in own.tolist()]), pack_sorted(own), None) for g, own in by_place(units, block)]
             rows.append((1, block, block, pack(np.array(lengths)), pack_numbered(np.array(seq)), ids))
             types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(kind))
             for k in range(0, len(rows), 64):
@@ -384,11 +389,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def gather(table: pa.Table) -> pa.Table:
         """Rows to groups for those that a bunch's blocks send to a range of groups: each unit once, numbered in order."""
         place = table.column("place")[0].as_py()
-        by: dict[int, list[int]] = {}
         every = sorted({u for x in of_kind(table, 0).column("a").to_pylist() for u in _unpack_texts(x)})
-        for k, u in enumerate(every):
-            by.setdefault(zlib.crc32(u.encode()) % groups, []).append(k)
-        rows = [(0, g, place, _pack_texts([every[k] for k in own]), pack_sorted(np.array(own, dtype=np.uint64)), None) for g, own in by.items()]
+        rows = [(0, g, place, _pack_texts([every[k] for k in own.tolist()]), pack_sorted(own), None) for g, own in by_place(every, None)]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [[]] * 6, table.schema, strict=True)], schema=table.schema)
 
     def distinct(table: pa.Table) -> pa.Table:
