@@ -212,13 +212,13 @@ def blends_by_county(spark, sf_dir):
 
 @query(f"""WITH {B.APPORTION_SQL}, k AS (SELECT scope, contest_type, year, district, county, sum(CASE WHEN source = 'allocated' THEN votes ELSE 0 END) AS y, sum(votes) AS v FROM con GROUP BY ALL),
 r AS (SELECT *, v / sum(v) OVER (PARTITION BY scope, contest_type, year, district) AS part FROM k),
-e AS (SELECT scope, contest_type, year, district FROM res WHERE abs((rep_votes - dem_votes) / total_votes * 100) >= 20)
+e AS (SELECT scope, contest_type, year, district FROM res WHERE abs((rep_votes - dem_votes) / total_votes * 100) >= 5)
 SELECT DISTINCT scope, county FROM r SEMI JOIN e USING (scope, contest_type, year, district) WHERE part >= 0.04 AND y / v >= 0.2""")
 def tuning_candidates(spark, sf_dir):
     found = _allocated(spark, sf_dir)
     results = allocate.district_results(found.contributions)
     report = results.withColumn("raw_abs_error_pct", F.abs(V.margin_pct(F.col("dem_votes"), F.col("rep_votes"), F.col("total_votes"))))
-    return diagnose.candidate_counties(report, diagnose.county_contributions(found), 20.0, 0.04, 0.2)
+    return diagnose.candidate_counties(report, diagnose.county_contributions(found), 5.0, 0.04, 0.2)
 
 
 @query("""SELECT CAST(place AS INT) AS id, district, scope, e AS raw_abs_error_pct, status FROM (SELECT *, row_number() OVER (ORDER BY CASE WHEN status = 'ok' THEN 0 ELSE 1 END, coalesce(e, 0) DESC, CASE scope WHEN 'congressional' THEN 1 WHEN 'state_house' THEN 2 ELSE 3 END, year, CASE WHEN regexp_matches(district, '^[0-9]+$') THEN 0 ELSE 1 END, district) AS place
