@@ -242,14 +242,43 @@ def common_area(a: np.ndarray, b: np.ndarray) -> float:
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
             row, other = _spread(first[at:to], first[at:to] + n[at:to] - 1)
             row = row + at
-            total += _below_both(a[other if turned else row], b[row if turned else other])
+            total += float(_below_both(a[other if turned else row], b[row if turned else other]).sum())
             at = to
     return total
 
 
-def _below_both(e: np.ndarray, f: np.ndarray) -> float:
-    if not len(e):
-        return 0.0
+SMALL = 64
+"""Pairs of edges up to which two pieces are looked at together with others."""
+
+
+def common_areas(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """common_area() of many pairs of pieces, given as bytes: those of few edges all at once, edge by edge."""
+    (own, at), (other, bt) = (_unpacked(x) for x in (a, b))
+    n, m = np.diff(at), np.diff(bt)
+    out = np.zeros(len(n))
+    for k in np.flatnonzero(n * m > SMALL).tolist():
+        out[k] = common_area(own[at[k] : at[k + 1]], other[bt[k] : bt[k + 1]])
+    few = np.flatnonzero(n * m <= SMALL)
+    for part in np.array_split(few, max(1, len(few) * SMALL // PAIRS)):
+        size = n[part] * m[part]
+        row = np.repeat(np.arange(len(part)), size)
+        k = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        e, f = own[at[part][row] + k // m[part][row]], other[bt[part][row] + k % m[part][row]]
+        met = np.maximum(e[:, 0], f[:, 0]) < np.minimum(e[:, 2], f[:, 2])
+        out[part] = np.bincount(row[met], weights=_below_both(e[met], f[met]), minlength=len(part))
+    return out
+
+
+def _unpacked(x: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of all pieces of an array, and where each begins, with the end of the last."""
+    x = x.cast(pa.large_binary())
+    _, places, data = x.buffers()
+    at = np.frombuffer(places, dtype=np.int64)[x.offset : x.offset + len(x) + 1]
+    edges = np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, dtype=np.uint8)
+    return np.frombuffer(edges.tobytes(), dtype=float).reshape(-1, 5), (at - at[0]) // 40
+
+
+def _below_both(e: np.ndarray, f: np.ndarray) -> np.ndarray:
     left, right = np.maximum(e[:, 0], f[:, 0]), np.minimum(e[:, 2], f[:, 2])
 
     def height(g, x):
@@ -260,7 +289,7 @@ def _below_both(e: np.ndarray, f: np.ndarray) -> float:
     # The lower of two is their mean less half their distance, which is a trapezoid, or two triangles where they cross.
     size = np.abs(d0) + np.abs(d1)
     apart = np.where(d0 * d1 >= 0, size / 2, (d0 * d0 + d1 * d1) / np.where(size > 0, 2 * size, 1))
-    return float((e[:, 4] * f[:, 4] * (right - left) * ((e0 + e1 + f0 + f1) / 4 - apart / 2)).sum())
+    return e[:, 4] * f[:, 4] * (right - left) * ((e0 + e1 + f0 + f1) / 4 - apart / 2)
 
 
 LEAST = 1e-12
@@ -312,10 +341,7 @@ def overlay(left: DataFrame, right: DataFrame, cell: float | None = None) -> Dat
 
     @F.arrow_udf("double")
     def common(a: pa.Array, b: pa.Array) -> pa.Array:
-        def edges(x):
-            return np.frombuffer(x.as_buffer(), dtype=float).reshape(-1, 5)
-
-        return pa.array([common_area(edges(x), edges(y)) for x, y in zip(a, b, strict=True)], pa.float64())
+        return pa.array(common_areas(a, b), pa.float64())
 
     # An outline's many cells of one edge are small, those of its border are not.
     pairs = celled(left, "left").join(celled(right, "right"), ["cx", "cy"])
