@@ -314,39 +314,70 @@ def cell_of(layer: DataFrame) -> float:
     return float(side) if side else 1.0
 
 
+def outlines(layer: DataFrame, side: str) -> tuple[DataFrame, DataFrame, bool]:
+    """A layer's distinct outlines (shape, rings), its rows (side_shape, side_id, n) with how often an id has the outline, and
+    whether every id has one outline only."""
+    own = layer.select("id", "rings").where("rings IS NOT NULL")
+    shapes = settle(own.select("rings").distinct().select(F.monotonically_increasing_id().alias("shape"), "rings"))
+    members = settle(own.join(shapes, "rings").groupBy(F.col("shape").alias(f"{side}_shape"), F.col("id").alias(f"{side}_id")).agg(F.count("*").alias("n")))
+    return shapes, members, members.groupBy(f"{side}_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
 def overlay(left: DataFrame, right: DataFrame, cell: float | None = None) -> DataFrame:
     """(left_id, right_id, area) of every pair that overlaps; `cell` is the grid's size, that of left's polygons if not given.
 
     Outlines are cut to cells first, each polygon by itself. Pieces then meet cell by cell, so a pair moves no more of an outline than
-    the cells that it shares, and a long outline is the work of as many tasks as it has cells. A right layer of another
-    reference system is brought to left's.
+    the cells that it shares, and a long outline is the work of as many tasks as it has cells. Equal outlines of a layer are cut and
+    compared once, and their rows joined to the areas. A right layer of another reference system is brought to left's.
     """
     right = aligned(left, right)
     cell = cell or cell_of(left)
 
     def celled(df: DataFrame, side: str) -> DataFrame:
-        kind = df.select("id").schema[0].dataType.simpleString()
+        def batch(cells):
+            x, y, shapes, edges = zip(*cells, strict=True)
+            ends = (pa.array([f(e) for e in edges], pa.float64()) for f in (lambda e: e[:, 0].min(), lambda e: e[:, 2].max()))
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (x, y, shapes)), *ends, pa.array([e.tobytes() for e in edges], pa.binary())], names=["cx", "cy", *(f"{side}_{c}" for c in ("shape", "x0", "x1", "edges"))])
 
         def run(batches):
-            for batch in batches:
-                ids = batch.column(0)
-                for i, rings in enumerate(batch.column(1)):
-                    cells = list(pieces(rings.as_py(), cell))
-                    for at in range(0, len(cells), 1024):
-                        part = cells[at : at + 1024]
-                        x, y = (pa.array([c[k] for c in part], pa.int64()) for k in (0, 1))
-                        yield pa.RecordBatch.from_arrays([x, y, pa.concat_arrays([ids.slice(i, 1)] * len(part)), pa.array([c[2].tobytes() for c in part], pa.binary())], names=["cx", "cy", f"{side}_id", f"{side}_edges"])
-
-        return df.select("id", "rings").mapInArrow(run, f"cx long, cy long, {side}_id {kind}, {side}_edges binary")
+            # A batch costs as much as many cells, so it holds those of many outlines, or a part of a long one's.
+            cells, size = [], 0
+            for rows in batches:
+                for shape, rings in zip(rows.column(0).to_pylist(), rows.column(1), strict=True):
+                    for x, y, edges in pieces(rings.as_py(), cell):
+                        cells.append((x, y, shape, edges))
+                        size += edges.nbytes
+                        if len(cells) == 4096 or size > 1 << 22:
+                            yield batch(cells)
+                            cells, size = [], 0
+            if cells:
+                yield batch(cells)
+
+        return df.mapInArrow(run, f"cx long, cy long, {side}_shape long, {side}_x0 double, {side}_x1 double, {side}_edges binary")
 
     @F.arrow_udf("double")
     def common(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array(common_areas(a, b), pa.float64())
 
-    # An outline's many cells of one edge are small, those of its border are not.
-    pairs = celled(left, "left").join(celled(right, "right"), ["cx", "cy"])
-    areas = pairs.select("left_id", "right_id", common("left_edges", "right_edges").alias("area")).where(F.col("area") > LEAST * cell * cell)
-    return areas.groupBy("left_id", "right_id").agg(F.sum("area").alias("area"))
+    common = common.asNondeterministic()  # else the filter on areas works them out once more
+    own, own_rows, own_once = outlines(left, "left")
+    other, other_rows, other_once = outlines(right, "right")
+    # Outlines are few bytes and much work: their partitions are not to be merged by size. A cell's pieces without a common range
+    # of x share no area. An outline's many cells of one edge are small, those of its border are not.
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first, second = (celled(df.repartition(n), side).repartition(n, "cx", "cy") for df, side in ((own, "left"), (other, "right")))
+    pairs = first.join(second, ["cx", "cy"]).where("left_x0 < right_x1 AND right_x0 < left_x1")
+    areas = pairs.select("left_shape", "right_shape", common("left_edges", "right_edges").alias("area")).where(F.col("area") > LEAST * cell * cell)
+    found = areas.groupBy("left_shape", "right_shape").agg(F.sum("area").alias("area"))
+
+    def named(df: DataFrame, rows: DataFrame, side: str, by: str, once: bool) -> DataFrame:
+        met = df.join(rows, f"{side}_shape").select(by, f"{side}_id", (F.col("area") * F.col("n")).alias("area"))
+        return met if once else met.groupBy(by, f"{side}_id").agg(F.sum("area").alias("area"))
+
+    # Ids with several outlines are added up while the other side is still outlines, not rows.
+    if other_once and not own_once:
+        return named(named(found, own_rows, "left", "right_shape", own_once), other_rows, "right", "left_id", other_once).select("left_id", "right_id", "area")
+    return named(named(found, other_rows, "right", "left_shape", other_once), own_rows, "left", "right_id", own_once).select("left_id", "right_id", "area")
 
 
 def dissolve(blocks: DataFrame, *keys: str) -> DataFrame:

@@ -78,6 +78,31 @@ def test_overlay_of_layers(spark, cell):
     assert geo.overlay(frames[0].where("false"), frames[1], 1.0).count() == 0
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_equal_outlines_are_compared_once(spark, tmp_path, monkeypatch, turned):
+    r = np.random.default_rng(5)
+    shapes = [[ring(blob(r, 9, x, 0, 1))] for x in (0, 0.5, 1, 1.5)]
+    left = [(k, shapes[k % 3]) for k in range(60)]
+    right = [(k % 7, shapes[1 + k % 3]) for k in range(90)] + [(0, shapes[1])]  # ids that come with several outlines, and twice with one
+    want = {}
+    for i, a in left:
+        for j, b in right:
+            want[i, j] = want.get((i, j), 0) + plain_area(a, b)
+    whole = geo.common_areas
+
+    def counted(a, b):
+        with open(tmp_path / "seen", "a") as f:
+            f.write(f"{len(a)}\n")
+        return whole(a, b)
+
+    monkeypatch.setattr(geo, "common_areas", counted)
+    frames = [spark.createDataFrame(rows, f"id long, rings {geo.RINGS}") for rows in (left, right)]
+    got = geo.overlay(*(frames[::-1] if turned else frames), 10.0).collect()
+    assert len(got) == len(want) and all(x["area"] == pytest.approx(want[(x["right_id"], x["left_id"]) if turned else (x["left_id"], x["right_id"])], abs=1e-9) for x in got)
+    # Outlines fall into four cells at most, and each pair is looked at once.
+    assert sum(map(int, (tmp_path / "seen").read_text().split())) <= 9 * 4
+
+
 def components(cells, steps):
     left, n = set(cells), 0
     while left:
