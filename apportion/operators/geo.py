@@ -11,6 +11,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -455,25 +456,61 @@ def polygons(rings: Column) -> Column:
 def inner_point(rings: Column) -> Column:
     """A point (x, y) inside the polygon: the middle of its widest span at half its height or, where nothing lies there, at half the
     height of its steepest edge, beside which there is always something; null for outlines without area."""
-    b = bounds(rings)
-    own = F.filter(rings, lambda r: F.size(r) > 2)
-    ends = F.flatten(F.transform(own, lambda r: F.transform(F.sequence(F.lit(1), F.size(r)), lambda i: F.struct(F.element_at(r, i).alias("p"), F.element_at(r, i % F.size(r) + 1).alias("q")))))
-    steepest = F.array_max(F.transform(ends, lambda e: F.struct(F.abs(e["p"]["y"] - e["q"]["y"]).alias("rise"), ((e["p"]["y"] + e["q"]["y"]) / 2).alias("y"))))
-
-    def widest(y):
-        def at(e):
-            p, q = e["p"], e["q"]
-            return F.when((p["y"] <= y) != (q["y"] <= y), p["x"] + (y - p["y"]) * F.try_divide(q["x"] - p["x"], q["y"] - p["y"]))
-
-        xs = F.array_sort(F.filter(F.transform(ends, at), lambda x: x.isNotNull()))
-        spans = F.filter(F.transform(xs, lambda x, i: F.struct((F.get(xs, i + 1) - x).alias("width"), ((F.get(xs, i + 1) + x) / 2).alias("x"), y.alias("y"), (i % 2 == 0).alias("inside"))), lambda s: s["inside"] & (s["width"] > 0))
-        return F.array_max(spans)
-
-    found = F.coalesce(widest((b["y0"] + b["y1"]) / 2), widest(steepest["y"]))
-    return F.when(found.isNotNull(), F.struct(found["x"].alias("x"), found["y"].alias("y")))
+    return F.arrow_udf(inner_points, "struct<x: double, y: double>")(rings)
+
+
+def inner_points(rings: pa.Array) -> pa.Array:
+    """inner_point() of all polygons of an array at once: their edges are rows, and what is widest is found by sorting."""
+    n = len(rings)
+    each = rings.flatten()
+    points = each.flatten()
+    size = pc.fill_null(pc.list_value_length(each), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    count = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    x, y = (pc.struct_field(points, c).to_numpy(zero_copy_only=False).astype(float) for c in ("x", "y"))
+    owner = np.repeat(np.arange(n), count)
+    low, high = np.full(n, np.inf), np.full(n, -np.inf)
+    np.fmin.at(low, np.repeat(owner, size), y)
+    np.fmax.at(high, np.repeat(owner, size), y)
+    # From each point to the next of its ring, and from the last to the first.
+    start = np.cumsum(size) - size
+    ring = np.repeat(np.arange(len(size)), size)
+    at = np.arange(len(x))
+    after = np.where(at + 1 < (start + size)[ring], at + 1, start[ring])
+    whole = size[ring] > 2
+    of, p, q = owner[ring][whole], at[whole], after[whole]
+    px, py, qx, qy = x[p], y[p], x[q], y[q]
+    out = np.full((n, 2), np.nan)
+
+    def last_of(of: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+        """The row of each polygon that is the greatest by keys, the first key first."""
+        order = np.lexsort((*reversed(keys), of))
+        return order[np.flatnonzero(np.diff(of[order], append=n))]
+
+    def widest(level: np.ndarray) -> None:
+        """Fills in the points of polygons that have none yet."""
+        line = level[of]
+        met = ((py <= line) != (qy <= line)) & np.isnan(out[of, 0])
+        k, cut = of[met], px[met] + (line[met] - py[met]) * ((qx[met] - px[met]) / (qy[met] - py[met]))
+        order = np.lexsort((cut, k))
+        k, cut = k[order], cut[order]
+        first = np.flatnonzero(np.diff(k, prepend=-1))
+        place = np.arange(len(k)) - np.repeat(first, np.diff(first, append=len(k)))
+        i = np.flatnonzero((place[:-1] % 2 == 0) & (k[:-1] == k[1:]) & (cut[1:] > cut[:-1]))
+        k, width, middle = k[i], cut[i + 1] - cut[i], (cut[i + 1] + cut[i]) / 2
+        best = last_of(k, width, middle)
+        out[k[best], 0], out[k[best], 1] = middle[best], level[k[best]]
+
+    with np.errstate(invalid="ignore"):
+        widest((low + high) / 2)
+        steepest, height = np.full(n, np.nan), (py + qy) / 2
+        best = last_of(of, np.abs(py - qy), height)
+        steepest[of[best]] = height[best]
+        widest(steepest)
+    none = np.isnan(out[:, 0])
+    return pa.StructArray.from_arrays([pa.array(out[:, c]) for c in (0, 1)], names=["x", "y"], mask=pa.array(none))
 
 
 def centroid_layer(precincts: DataFrame) -> DataFrame:
     """Internal point of each precinct where it has one, else a point inside its outline; (id, lon, lat)."""
-    own = inner_point(F.col("rings"))
-    return precincts.select("id", F.coalesce(F.col("lon").try_cast("double"), own["x"]).alias("lon"), F.coalesce(F.col("lat").try_cast("double"), own["y"]).alias("lat"))
+    own = precincts.select("id", "lon", "lat", inner_point(F.col("rings")).alias("own"))
+    return own.select("id", F.coalesce(F.col("lon").try_cast("double"), F.col("own.x")).alias("lon"), F.coalesce(F.col("lat").try_cast("double"), F.col("own.y")).alias("lat"))

@@ -192,3 +192,21 @@ def test_datum_shift(spark):
     assert (far["x"], far["y"]) == (pytest.approx(-77, abs=1e-10), pytest.approx(38, abs=1e-6))
     layer = geo.with_crs(spark.createDataFrame([([square(0, 0, 1)],)], f"rings {geo.RINGS}"), "EPSG:4269")
     assert geo.to_crs(layer, "EPSG:4326", (0, 0, 1, 0, 0, 0, 0)).first()["rings"][0][0]["y"] == pytest.approx(north["y"], abs=1e-9)
+
+
+def test_inner_points_of_many_outlines_are_quick(spark):
+    n = 100_000
+    df = spark.range(n).select("id", F.array(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.struct((F.col("id") + F.cos(i * math.pi / 6)).alias("x"), F.sin(i * math.pi / 6).alias("y")))).alias("rings"))
+    began = time.time()
+    own = df.withColumn("p", geo.inner_point(F.col("rings"))).agg(F.max(F.abs(F.expr("p.x - id"))), F.max(F.abs(F.col("p.y"))), F.count("p")).first()
+    assert own[0] < 1e-9 and own[1] < 1e-9 and own[2] == n
+    assert time.time() - began < 20
+
+
+def test_inner_points_of_slices_and_nulls():
+    import pyarrow as pa
+
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+    shapes = [[square(9, 9, 1)], None, [], [square(0, 0, 2)], [ring([(5, 5)]), square(0, 0, 4)], [square(0, 0, 1), square(7, 0, 3)]]
+    got = geo.inner_points(pa.array(shapes, kind).slice(1)).to_pylist()
+    assert got == [None, None, {"x": 1.0, "y": 1.0}, {"x": 2.0, "y": 2.5}, {"x": 8.5, "y": 1.5}]
