@@ -1,7 +1,7 @@
 """GeoJSON layers, both ways: collections and feature sequences as rows, and rows as one collection.
 
 A file is cut where a feature says that it is one ("Feature", in quotes), by Spark's own splits of text, so a large layer is the
-work of many tasks whether it has a line for each feature or is one line. A writer that puts other members of a feature
+work of many tasks whether it has a line for each feature or is one line; so can the parts of write_collection() be. A writer that puts other members of a feature
 before its type can't be read so; `whole` reads such files, one task each. What can't be read raises an error.
 """
 
@@ -26,12 +26,14 @@ def read(spark: SparkSession, path: str | list[str], whole: bool = False) -> Dat
         found = raw.select(F.when(each["type"].eqNullSafe("FeatureCollection"), each["features"]).otherwise(F.raise_error(F.concat(F.lit("no collection of features: "), F.col("_metadata.file_path")))).alias("features"))
         return found.select(F.explode("features").alias("f")).select("f.properties", "f.geometry", "f.id")
     chunks = spark.read.option("lineSep", MARK).text(path).select("value", F.col("_metadata.file_path").alias("path"), F.ltrim(F.regexp_replace("value", r"^[\s\x{FEFF}]+", "")).alias("own"))
-    # What comes before a file's first feature begins with a brace; what comes after a feature's type with a comma.
+    # What comes before a file's first feature begins with a brace; what comes after a feature's type with a comma and a member. A part
+    # of a collection goes on with a comma and a feature, or only ends it.
     end = F.substring("own", -200, 200)
-    head = F.col("own").startswith("{") | (F.col("own") == "")
+    onward = F.col("own").rlike(r'^(,\s*\{\s*"type"\s*:|\]\s*\})\s*$')
+    head = F.col("own").startswith("{") | (F.col("own") == "") | onward
     next_one = end.rlike(r'"type"\s*:\s*$')
     f = F.from_json(F.concat(F.lit('{"type":"Feature"'), F.col("own")), FEATURE)
-    good_head = (F.col("own") == "") | F.col("own").rlike(r'^\{\s*"type"\s*:\s*$') | F.col("own").contains('"FeatureCollection"')
+    good_head = (F.col("own") == "") | onward | F.col("own").rlike(r'^\{\s*"type"\s*:\s*$') | F.col("own").contains('"FeatureCollection"')
     good = ~F.col("own").startswith("[") & f["type"].isNotNull() & (~next_one | end.rlike(r'\{\s*"type"\s*:\s*$'))
     bad = F.raise_error(F.concat(F.lit("no GeoJSON, or features whose type is not their first member (whole=True reads those): "), F.col("path")))
     checked = chunks.select(F.when(head & good_head, F.lit(None).cast(FEATURE)).when(~head & good, f).otherwise(bad).alias("f"))

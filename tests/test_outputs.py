@@ -136,6 +136,22 @@ def test_features_both_ways(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
 
 
+def test_parts_of_a_collection_are_read(spark, tmp_path):
+    rows = spark.range(200).withColumn("g", geojson.point(F.col("id") * 1.0, F.lit(2.0)))
+    merged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a large layer has many parts, and but one begins the collection
+    geojson.write_collection(geojson.features(rows, "g", "id", keep=("id",)), str(tmp_path / "parts"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+    assert sum(p.stat().st_size > 0 for p in (tmp_path / "parts").glob("part-*")) > 2
+    assert sorted(int(r["properties"]["id"]) for r in geojson.read(spark, str(tmp_path / "parts")).collect()) == list(range(200))
+    for k, text in enumerate(('{"type":"FeatureCollection","features":[', '{"type":"Feature","properties":{},"geometry":null}', "]}")):
+        (tmp_path / f"{k}.txt").write_text(text)
+    assert geojson.read(spark, [str(tmp_path / f"{k}.txt") for k in range(3)]).count() == 1
+    (tmp_path / "cut.txt").write_text(',{"type":"Feature","properties":{"a":')
+    with pytest.raises(Exception, match="GeoJSON"):
+        geojson.read(spark, str(tmp_path / "cut.txt")).collect()
+
+
 def test_what_is_no_geojson_is_an_error(spark, tmp_path):
     (tmp_path / "late.json").write_text('{"features":[{"properties":{"a":"1"},"geometry":null,"type":"Feature"},{"properties":{"a":"2"},"geometry":null,"type":"Feature"}],"type":"FeatureCollection"}')
     assert [r["properties"]["a"] for r in geojson.read(spark, str(tmp_path / "late.json"), whole=True).collect()] == ["1", "2"]
