@@ -147,8 +147,9 @@ def from_contests(ballots: DataFrame) -> Crosswalk:
 
     Ballots have county, precinct, office, year and votes; counties are keyed without aliases.
     """
-    c = office_class(F.col("office"), F.col("year"))
-    own = ballots.withColumn("__c", c).where("__c.kind = 'district' AND votes > 0")
+    # Votes are added up before their labels are read, so that is done once for each precinct and office, not for each ballot.
+    sums = settle(ballots.where("votes > 0").groupBy("county", "precinct", "office", "year").agg(F.sum("votes").alias("votes")))
+    own = sums.withColumn("__c", office_class(F.col("office"), F.col("year"))).where("__c.kind = 'district'")
     keyed = own.select(F.col("__c.contest_type").alias("scope"), locality_key(F.col("county")).alias("county"), precinct_code_of_label(F.col("precinct")).alias("code"), district_id(F.col("__c.district")).alias("district"), "votes").where("county != '' AND code != '' AND district != ''")
     sums = keyed.groupBy("scope", "county", "code", "district").agg(F.sum("votes").alias("votes"))
     return Crosswalk(

@@ -136,6 +136,19 @@ def test_features_both_ways(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
 
 
+def test_labels_of_contests_are_read_once(spark, tmp_path, monkeypatch):
+    def read(office, year):
+        with open(tmp_path / "seen", "a") as f:
+            f.write("x")
+        return "district", "state_house", office[-1]
+
+    monkeypatch.setattr(crosswalk, "office_class", lambda *c: F.udf(read, "kind string, contest_type string, district string")(*c))
+    rows = [("A COUNTY", "001 - X", f"House {1 + k % 2}", 2023, k % 2 + 1.0) for k in range(400)] + [("A COUNTY", "001 - X", "House 2", 2023, -7.0)]
+    found = crosswalk.from_contests(spark.createDataFrame(rows, "county string, precinct string, office string, year int, votes double"))
+    assert sorted((r["code"], r["district"], r["share"]) for r in found.splits.collect()) == [("1", "1", 1 / 3), ("1", "2", 2 / 3)]
+    assert (tmp_path / "seen").stat().st_size < 40
+
+
 def test_parts_of_a_collection_are_read(spark, tmp_path):
     rows = spark.range(200).withColumn("g", geojson.point(F.col("id") * 1.0, F.lit(2.0)))
     merged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
