@@ -128,6 +128,13 @@ def direct_contests(ballots: DataFrame) -> DataFrame:
     return own.groupBy("scope", F.col("scope").alias("contest_type"), "year", "county", "district", "bucket", "candidate").agg(F.sum("votes").alias("votes")).withColumn("source", F.lit("direct"))
 
 
+def over_counties(found: Apportioned) -> Apportioned:
+    """found with its contributions added up over counties and settled, for readers that ask for several sums of districts;
+    contributions have no county then."""
+    keys = [*CONTEST, "district", "bucket", "candidate", "source"]
+    return Apportioned(settle(found.contributions.groupBy(*keys).agg(F.sum("votes").alias("votes"))), found.unmatched)
+
+
 def district_results(contributions: DataFrame) -> DataFrame:
     """Votes by bucket of each district; districts without votes go."""
     sums = contributions.groupBy(*CONTEST, "district").agg(*bucket_sums(suffix="_votes"))

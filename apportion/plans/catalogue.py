@@ -525,7 +525,7 @@ def smart_insights(spark, sf_dir):
 
 @query()
 def district_payloads(spark, sf_dir):
-    found = _allocated(spark, sf_dir, candidates=True)
+    found = allocate.over_counties(_allocated(spark, sf_dir, candidates=True))
     keys = ("scope", "contest_type", "year")
     rows = contest.district_rows(allocate.district_results(found.contributions), contest.leading_candidates(found.contributions, [*allocate.CONTEST, "district"]))
     return contest.slice_payloads(rows, allocate.coverage(found), keys)

@@ -58,3 +58,14 @@ def test_known_counties_have_their_blends(spark, geometry):
     rows = spark.createDataFrame([("state_house", "STAFFORD COUNTY"), ("state_house", "ELSEWHERE"), ("congressional", "CHESAPEAKE CITY"), ("unknown", "X")], "scope string, county string")
     got = {(r["scope"], r["county"]): r["blend"] for r in allocate.with_blend(rows, allocate.blends(spark)).collect()}
     assert got == {("state_house", "STAFFORD COUNTY"): 1.0, ("state_house", "ELSEWHERE"): 0.15, ("congressional", "CHESAPEAKE CITY"): 0.55, ("unknown", "X"): 0.15}
+
+
+def test_sums_over_counties_are_settled(spark):
+    rows = [("s", "c", 2020, f"county {k % 9}", f"{k % 2}", ("dem", "rep")[k % 2], "X", ("direct", "allocated")[k % 3 // 2], 1.0 + k) for k in range(90)]
+    made = spark.createDataFrame(rows, "scope string, contest_type string, year int, county string, district string, bucket string, candidate string, source string, votes double")
+    found = allocate.Apportioned(made, made.where("source = 'allocated'"))
+    own = allocate.over_counties(found)
+    assert own.contributions.count() == 4 and own.contributions.groupBy().sum("votes").first()[0] == sum(r[-1] for r in rows)
+    assert "Aggregate" not in own.contributions._jdf.queryExecution().optimizedPlan().toString()  # later sums don't work it out again
+    for f in (lambda x: allocate.district_results(x.contributions), allocate.coverage):
+        assert sorted(map(tuple, f(own).collect())) == sorted(map(tuple, f(found).collect()))
