@@ -49,6 +49,8 @@ ROW_CHARS = 1 << 14
 """Characters of text that a row from a block to a group stands for at least; below it, blocks deal in two levels."""
 NARROW = 1 << 32
 """Two ranks below this are one key of 64 bits."""
+SLICE_TOKENS = 1 << 20
+"""Tokens of a bigram group that are sorted and scored at once, about."""
 BUCKETS, STEPS, ROUNDS = 48, 4, 60
 """Frequency buckets; histogram bins to a factor of two; rounds of EM."""
 
@@ -271,7 +273,8 @@ def _in_order(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if max(u.max(initial=0), w.max(initial=0)) < NARROW:
         key = u << U64(32) | w
         order = np.argsort(key, kind="stable")
-        new = key[order][1:] != key[order][:-1]
+        key = key[order]
+        new = key[1:] != key[:-1]
     else:
         order = np.lexsort((w, u))
         new = (u[order][1:] != u[order][:-1]) | (w[order][1:] != w[order][:-1])
@@ -299,31 +302,35 @@ def _pair(rows: list[dict], counts: Counts, end: int, deal: Dealing):
         rank[at] = unpack(r["a"]).astype(np.int64) - 1
     if (rank == -2).any():
         raise RuntimeError("docs gave other rows when they were read again: pass a table or a checkpoint")
-    # Tokens of all texts, an end after each; contexts likewise, an end before each.
+    # Tokens of all texts as numbers of words, an end after each; contexts likewise, an end before each. The end is the last word.
+    # A block has many more tokens than words, so ranks and counts stay with the words, and tokens are 4 bytes.
+    word = np.append(rank, end)
     at = offsets(lengths + 1)
-    tokens = np.full(at[-1], end, dtype=np.int64)
+    token = np.full(at[-1], len(rank), dtype=np.int32)
     inner = np.ones(at[-1], dtype=bool)
     inner[at[1:] - 1] = False
-    tokens[inner] = rank[seq]
-    context = np.concatenate(([end], tokens[:-1]))
-    text = np.repeat(np.arange(len(lengths)), lengths + 1)
-    cw = np.where(tokens >= 0, counts.of(np.maximum(tokens, 0)), 0) if counts.distinct else np.zeros(len(tokens), np.int64)
+    token[inner] = seq
+    del seq, inner
+    context = np.concatenate((np.array([len(rank)], dtype=np.int32), token[:-1]))
+    text = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
+    cw = np.where(word >= 0, counts.of(np.maximum(word, 0)), 0) if counts.distinct else np.zeros(len(word), np.int64)
     base = np.log10((cw + 0.5) / (counts.total + 0.5 * (counts.distinct + 1)))
-    numbers = [{"n_tokens": n, "n_known": k, "base": b} for n, k, b in zip((lengths + 1).tolist(), np.add.reduceat(cw > 0, at[:-1], dtype=np.int64).tolist(), np.add.reduceat(base, at[:-1]).tolist(), strict=True)]
-    known = (tokens >= 0) & (context >= 0)
+    numbers = [{"n_tokens": n, "n_known": k, "base": b} for n, k, b in zip((lengths + 1).tolist(), np.add.reduceat((cw > 0)[token], at[:-1], dtype=np.int64).tolist(), np.add.reduceat(base[token], at[:-1]).tolist(), strict=True)]
+    known = (word >= 0)[token] & (word >= 0)[context]
     lone = np.flatnonzero(~known)
-    cu = np.where(context[lone] >= 0, counts.of(np.maximum(context[lone], 0)), 0) if counts.distinct else np.zeros(len(lone), np.int64)
-    yield (1, block, block, None, None, None, None, n_train, texts["ids"], numbers, b"".join(len(p).to_bytes(8, "little") + p for p in (pack(_bucket(cu)), pack(cw[lone]), pack(text[lone]))))
-    u, w = context[known].astype(U64), tokens[known].astype(U64)
+    yield (1, block, block, None, None, None, None, n_train, texts["ids"], numbers, b"".join(len(p).to_bytes(8, "little") + p for p in (pack(_bucket(cw[context[lone]])), pack(cw[token[lone]]), pack(text[lone]))))
+    u, w, text = word[context[known]].astype(U64), word[token[known]].astype(U64), text[known]
+    del numbers, token, context, known, lone
     order, first = _in_order(u, w)
-    u, w, owner = u[order], w[order], text[known][order]
-    size = np.diff(np.append(first, len(u)))
-    place = deal.place(block, _pair_group(u[first], w[first], deal))
+    u, w, owner = u[order[first]], w[order[first]], text[order]
+    size = np.diff(np.append(first, len(order)))
+    del order, text
+    place = deal.place(block, _pair_group(u, w, deal))
     by_place = np.argsort(place, kind="stable")
     for g, part in _runs(place[by_place], by_place):
         n = size[part]
         starts = np.repeat(first[part] - offsets(n)[:-1], n) + np.arange(n.sum())
-        yield (0, g, block, pack_sorted(u[first[part]]), pack(w[first[part]]), pack(n), pack(owner[starts]), n_train, None, None, None)
+        yield (0, g, block, pack_sorted(u[part]), pack(w[part]), pack(n), pack(owner[starts]), n_train, None, None, None)
 
 
 def _pairs(answers: DataFrame, texts: DataFrame, counts: Counts, end: int, deal: Dealing, id_type: str) -> DataFrame:
@@ -421,7 +428,8 @@ def _by_place(batches):
     """Lists of rows (dicts) that share a place, from batches in order of place."""
     held: list[dict] = []
     for batch in batches:
-        for r in batch.to_pylist():
+        for k in range(batch.num_rows):
+            r = batch.slice(k, 1).to_pylist()[0]
             if held and held[0]["place"] != r["place"]:
                 yield held
                 held = []
@@ -430,24 +438,89 @@ def _by_place(batches):
         yield held
 
 
-def _group_pairs(rows: list[dict]):
-    """Distinct bigrams (u, w) of a group, their training counts, and each row's places among them, with tokens and texts."""
-    us, ws, sizes, texts = [], [], [], []
-    for r in rows:
-        us.append(unpack_sorted(r["u"]))
-        ws.append(unpack(r["w"]))
-        sizes.append(unpack(r["n"]).astype(np.int64))
-        texts.append(unpack(r["texts"]).astype(np.int64))
-    u, w = np.concatenate(us), np.concatenate(ws)
-    order, first = _in_order(u, w)
-    where = np.empty(len(u), dtype=np.int64)
-    where[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(u))))
-    count = np.zeros(len(first), dtype=np.int64)
-    places = np.split(where, offsets([len(k) for k in us])[1:-1])
-    tokens = [np.repeat(p, s) for p, s in zip(places, sizes, strict=True)]
-    for r, at, t in zip(rows, tokens, texts, strict=True):
-        count += np.bincount(at[t < r["n_train"]], minlength=len(first))
-    return u[order][first].astype(np.int64), w[order][first].astype(np.int64), count, tokens, texts
+def _small(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in as few bytes as the greatest needs."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def _numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, and each one's place among them."""
+    if int(x.max(initial=0)) >= 4 * len(x):
+        return np.unique(x, return_inverse=True)
+    there = np.bincount(x) > 0
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[x]
+
+
+class _Group:
+    """The rows of a bigram group, unpacked into as few bytes as their numbers need; `rows` is emptied meanwhile.
+
+    Each block's row has the ranks (u, w) of its distinct bigrams, how many tokens of each are of training texts (c) and, with
+    `texts`, of all texts (n), and the tokens' texts as places in the list of its own texts."""
+
+    def __init__(self, rows: list[dict], texts: bool):
+        self.u, self.w, self.c, self.n, self.slot, self.own, self.block, self.tokens = [], [], [], [], [], [], [], 0
+        rows.reverse()
+        while rows:
+            r = rows.pop()
+            n, t = unpack(r["n"]).astype(np.int64), unpack(r["texts"]).astype(np.int64)
+            self.tokens += len(t)
+            self.block.append(r["block"])
+            self.u.append(_small(unpack_sorted(r["u"])))
+            self.w.append(_small(unpack(r["w"])))
+            self.c.append(_small(np.add.reduceat(t < r["n_train"], offsets(n)[:-1], dtype=np.int64)))
+            if texts:
+                own, slot = _numbered(t)
+                self.n.append(_small(n))
+                self.own.append(_small(own))
+                self.slot.append(_small(slot))
+
+    def slices(self):
+        """By ranges of u, of about SLICE_TOKENS tokens each: distinct bigrams (u, w) and their training counts; then the place among
+        them of each row's bigrams, laid end to end, and where these begin and end in each row."""
+        some = np.sort(np.concatenate([u[::16] for u in self.u]))
+        n = -(-self.tokens // SLICE_TOKENS)
+        bounds = np.unique(some[np.arange(1, n) * len(some) // n])
+        at = np.stack([np.concatenate(([0], np.searchsorted(u, bounds), [len(u)])) for u in self.u])
+        for a, b in zip(at[:, :-1].T.tolist(), at[:, 1:].T.tolist(), strict=True):
+            u, w, c = (np.concatenate([x[i:j] for x, i, j in zip(xs, a, b, strict=True)]) for xs in (self.u, self.w, self.c))
+            u, w = u.astype(U64), w.astype(U64)
+            order, first = _in_order(u, w)
+            where = np.empty(len(u), dtype=np.int64)
+            where[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(u))))
+            distinct = order[first]
+            yield u[distinct].astype(np.int64), w[distinct].astype(np.int64), np.bincount(where, weights=c, minlength=len(first)).astype(np.int64), where, a, b
+
+
+def _group_estimates(rows: list[dict], c: Counts):
+    """Histograms (bucket, x2, x1, n, s2, s1) of a bigram group's slices."""
+    for u, w, n, *_ in _Group(rows, False).slices():
+        own = n > 0
+        u, w, n = u[own], w[own], n[own]
+        cu, cw = c.of(u), c.of(w)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            l2 = np.where(n > 1, np.log2((n - 1) / np.maximum(cu - 1, 1)), -np.inf)
+            l1 = np.where(cw > 1, np.log2((cw - 1) / max(c.total - 1, 1)), -np.inf)
+        bins = [np.where(np.isfinite(x), np.floor(-np.where(np.isfinite(x), x, 0) * STEPS), -1).astype(np.int64) for x in (l2, l1)]
+        key = (_bucket(cu) * 2048 + bins[0] + 1) * 2048 + bins[1] + 1
+        every, where = np.unique(key, return_inverse=True)
+        sums = [np.bincount(where, weights=n * np.where(np.isfinite(x), x, 0), minlength=len(every)) for x in (l2, l1)]
+        yield every // (2048 * 2048), every // 2048 % 2048 - 1, every % 2048 - 1, np.bincount(where, weights=n, minlength=len(every)), *sums
+
+
+def _group_sums(rows: list[dict], c: Counts, l: np.ndarray) -> list[tuple]:
+    """(block, texts, sums) of each row of a bigram group."""
+    group = _Group(rows, True)
+    sums, done = [np.zeros(len(own)) for own in group.own], [0] * len(group.own)
+    for u, w, n, where, begin, end in group.slices():
+        cu, cw = c.of(u), c.of(w)
+        b = _bucket(cu)
+        logs, at = _safe_log10(l[b, 0] * n / cu + l[b, 1] * cw / c.total + l[b, 2] / (c.distinct + 1)), 0
+        for k, (i, j) in enumerate(zip(begin, end, strict=True)):
+            each = np.repeat(logs[where[at : at + j - i]], group.n[k][i:j])
+            if len(each):
+                sums[k] += np.bincount(group.slot[k][done[k] : done[k] + len(each)], weights=each, minlength=len(sums[k]))
+            at, done[k] = at + j - i, done[k] + len(each)
+    return [(block, *_sparse(own.astype(np.int64), x)) for block, own, x in zip(group.block, group.own, sums, strict=True)]
 
 
 def _estimates(pairs: DataFrame, counts: Counts) -> DataFrame:
@@ -460,18 +533,8 @@ def _estimates(pairs: DataFrame, counts: Counts) -> DataFrame:
     def run(batches):
         c = sent.value
         for rows in _by_place(batches):
-            u, w, n, _, _ = _group_pairs(rows)
-            own = n > 0
-            u, w, n = u[own], w[own], n[own]
-            cu, cw = c.of(u), c.of(w)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                l2 = np.where(n > 1, np.log2((n - 1) / np.maximum(cu - 1, 1)), -np.inf)
-                l1 = np.where(cw > 1, np.log2((cw - 1) / max(c.total - 1, 1)), -np.inf)
-            bins = [np.where(np.isfinite(x), np.floor(-np.where(np.isfinite(x), x, 0) * STEPS), -1).astype(np.int64) for x in (l2, l1)]
-            key = (_bucket(cu) * 2048 + bins[0] + 1) * 2048 + bins[1] + 1
-            every, where = np.unique(key, return_inverse=True)
-            sums = [np.bincount(where, weights=n * np.where(np.isfinite(x), x, 0), minlength=len(every)) for x in (l2, l1)]
-            yield pa.RecordBatch.from_arrays([pa.array(every // (2048 * 2048)), pa.array(every // 2048 % 2048 - 1), pa.array(every % 2048 - 1), pa.array(np.bincount(where, weights=n, minlength=len(every))), pa.array(sums[0]), pa.array(sums[1])], names=["bucket", "x2", "x1", "n", "s2", "s1"])
+            for found in _group_estimates(rows, c):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["bucket", "x2", "x1", "n", "s2", "s1"])
 
     found = pairs.where("kind = 0").select("place", "block", "u", "w", "n", "texts", "n_train").mapInArrow(run, "bucket long, x2 long, x1 long, n double, s2 double, s1 double")
     return found.groupBy("bucket", "x2", "x1").agg(F.sum("n").alias("n"), F.sum("s2").alias("s2"), F.sum("s1").alias("s1"))
@@ -514,20 +577,8 @@ def _sums(pairs: DataFrame, counts: Counts, weights: np.ndarray) -> DataFrame:
     def run(batches):
         c, l = sent.value
         for rows in _by_place(batches):
-            u, w, n, tokens, texts = _group_pairs(rows)
-            cu, cw = c.of(u), c.of(w)
-            b = _bucket(cu)
-            logs = _safe_log10(l[b, 0] * n / cu + l[b, 1] * cw / c.total + l[b, 2] / (c.distinct + 1))
-            out = []
-            for at, t in zip(tokens, texts, strict=True):
-                if int(t.max(initial=0)) < 4 * len(t):
-                    sums = np.bincount(t, weights=logs[at])
-                    own = np.flatnonzero(np.bincount(t))
-                    out.append(_sparse(own, sums[own]))
-                else:
-                    own, where = np.unique(t, return_inverse=True)
-                    out.append(_sparse(own, np.bincount(where, weights=logs[at])))
-            yield pa.RecordBatch.from_arrays([pa.array([r["block"] for r in rows], pa.int64()), *(pa.array([x[k] for x in out], pa.binary()) for k in (0, 1))], names=["block", "texts", "sums"])
+            out = list(zip(*_group_sums(rows, c, l), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["block", "texts", "sums"])
 
     return pairs.where("kind = 0").select("place", "block", "u", "w", "n", "texts", "n_train").mapInArrow(run, "block long, texts binary, sums binary")
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -138,3 +139,68 @@ def test_sums_of_few_texts_and_of_many():
         assert (numbers is None) == (2 * len(texts) >= (texts[-1] + 1 if texts else 0))
         ngram._add(score, {"texts": numbers, "sums": sums})
     assert score.tolist() == [2.0, 2.0, 4.0, 6.0, 0, 0, 0, 0, 0, 4.0]
+
+
+def _text_rows(texts, words, r, n_blocks, deal):
+    """Rows for _pair() of blocks of random texts, and the counts of their words."""
+    made, counts = [], Counter()
+    for block in range(n_blocks):
+        own = [" ".join(r.choices(words, [1 / (k + 1) for k in range(len(words))], k=300)) for _ in range(texts)]
+        train = [i % 4 != 1 for i in range(texts)]
+        made.append((block, own, train))
+        for t, f in zip(own, train, strict=True):
+            counts.update(ngram._words_of(t) if f else [])
+    ranked = {w: k for k, (w, _) in enumerate(counts.most_common())}
+    table, end = ngram._count_table(sorted(Counter(counts.values()).items()), sum(f for *_, fs in made for f in fs))
+    # The end's rank is the first of its level, so words of that level and below come after it.
+    ranked = {w: k + (k >= end) for w, k in ranked.items()}
+    rows = []
+    for block, own, train in made:
+        names = [x for x in ngram._block_rows(block, list(range(texts)), own, train, deal, 1)]
+        seen: dict = {}
+        for i in sorted(range(texts), key=lambda i: not train[i]):
+            for w in ngram._words_of(own[i]):
+                seen.setdefault(w, len(seen))
+        answer = {"block": block, "a": pack(np.array([ranked.get(w, -1) + 1 for w in seen])), "b": None, "ids": None, "c": pack(np.arange(len(seen)))}
+        rows.append([dict(zip(("kind", "place", "block", "a", "b", "ids", "c"), x, strict=True)) for x in names] + [answer])
+    return rows, table, end
+
+
+def test_memory_for_each_token_of_a_block_and_of_a_group(monkeypatch):
+    """Numbers of a block's or a group's tokens take few bytes each, whatever their size; slices give the same sums."""
+    r, deal = random.Random(7), ngram.Dealing(1 << 22, 1)
+    blocks, counts, end = _text_rows(400, [f"w{k}" for k in range(20_000)], r, 6, deal)
+    tokens = 400 * 301
+    names = ("kind", "place", "block", "u", "w", "n", "texts", "n_train", "ids", "numbers", "lone")
+
+    def peak(f):
+        tracemalloc.start()
+        out = f()
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, found
+
+    _, used = peak(lambda: list(ngram._pair(blocks[0], counts, end, ngram.Dealing(1 << 22, 16))))
+    assert used / tokens < 90
+    rows = [dict(zip(names, x, strict=True)) for b in blocks for x in ngram._pair(b, counts, end, deal) if x[0] == 0]
+    weights = ngram.learn([], counts.distinct)
+    whole = ngram._group_sums(list(rows), counts, weights)
+    histogram = [np.concatenate(x) for x in zip(*ngram._group_estimates(list(rows), counts), strict=True)]
+    monkeypatch.setattr(ngram, "SLICE_TOKENS", tokens // 4)
+    sliced, used = peak(lambda: ngram._group_sums(list(rows), counts, weights))
+    assert used / (6 * tokens) < 30
+    assert [x[:2] for x in sliced] == [x[:2] for x in whole]
+    for x, y in zip(sliced, whole, strict=True):
+        assert np.allclose(np.frombuffer(x[2]), np.frombuffer(y[2]), atol=1e-9)
+    parts = [np.concatenate(x) for x in zip(*ngram._group_estimates(list(rows), counts), strict=True)]
+    assert parts[3].sum() == histogram[3].sum() and len(parts[0]) > len(histogram[0])
+    assert parts[4].sum() == pytest.approx(histogram[4].sum()) and parts[5].sum() == pytest.approx(histogram[5].sum())
+
+
+def test_scores_by_slices_match_a_plain_count(spark, monkeypatch):
+    monkeypatch.setattr(ngram, "SLICE_TOKENS", 7)
+    r = random.Random(9)
+    rows = [(i, " ".join(r.choices("abcdefgh", k=r.choice([0, 1, 30]))), i % 4 != 1) for i in range(60)]
+    got = {x["doc_id"]: tuple(x)[1:] for x in ngram.score(spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(2), F.col("train")).collect()}
+    for i, w in plain(rows).items():
+        assert got[i][:3] == w[:3] and got[i][3] == pytest.approx(w[3], abs=1e-7) and got[i][4] == pytest.approx(w[4], rel=2e-3, abs=1e-3)
