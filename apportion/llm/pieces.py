@@ -6,12 +6,13 @@ piece of the model mixes letters, digits and others or has two digits, between t
 
     1. each unit's substrings of at most the longest piece's length are exploded;
     2. an equi-join with the piece table keeps the substrings that are pieces: the lattice's edges;
-    3. edges are grouped by unit, the best score first;
-    4. a higher-order fold over the grouped edges finds the unit's segmentation.
+    3. edges are grouped by unit, a byte-pair model's best score first;
+    4. a fold over the grouped edges finds the unit's segmentation.
 
 A unigram model's fold is Viterbi: the state holds the greatest sum of scores up to each character and the edge that
-reached it. A byte-pair model's scores are ranks of merges, and the greatest sum of ranks is not what its encoder gives;
-so its fold replays the merges on the lattice: the state is a bit set of boundaries, and each step takes the best edge
+reached it, in arrays for a batch of units at a time, as an expression's steps through each unit took more time than all
+the rest. A byte-pair model's scores are ranks of merges, and the greatest sum of ranks is not what its encoder gives;
+so its fold, a higher-order one, replays the merges on the lattice: the state is a bit set of boundaries, and each step takes the best edge
 that spans exactly two segments, the leftmost of equals. Characters that are no piece fall back to byte pieces. Units of
 over LONGEST characters, whose lattice would be one row's state, are done in place by a heap of merges or by Viterbi over
 the same pieces, with the same ids. (Sums are of single precision and by unit; the library's run on through the text, so
@@ -37,7 +38,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import offsets, text_batches
@@ -203,6 +204,8 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
     edge = F.expr(f"coalesce(known, {(0 if model.unigram else 1 << 60) + none}L) + shiftleft(CAST(start AS BIGINT), 34) + shiftleft(CAST(size AS BIGINT), 28)")
     if model.unigram:
         edge = F.struct(edge.alias("edge"), F.coalesce("score", F.lit(model.unknown).cast("float")).alias("score"))
+    if model.unigram:
+        return edges.groupBy("unit").agg(F.collect_list(edge).alias("edges")).mapInArrow(_viterbi(model.byte_ids, none), "unit string, ids array<int>")
     words = edges.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     # What a fold needs more than once is bound to a variable of a one-element array, as the optimiser would repeat a column's expression at each use.
     known = F.array(*[F.lit(i) for i in model.byte_ids])
@@ -236,9 +239,6 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
         i = e.bitwiseAND(none)
         return F.when(i == none, raw(F.substring(F.col("unit"), start(e) + 1, F.lit(1)))).otherwise(F.array(i.cast("int")))
 
-    if model.unigram:
-        return words.select("unit", bind(_viterbi(F.col("edges"), F.length("unit"), start, size), lambda path: F.flatten(F.transform(path, ids_of))).alias("ids"))
-
     spread = F.transform("edges", lambda e: F.struct((bit(start(e)) + bit(start(e) + size(e))).alias("ends"), (bit(start(e) + size(e)) - bit(start(e) + 1)).alias("inside"), e.bitwiseAND((1 << 40) - 1).alias("key")))
 
     def segmented(all_edges):
@@ -252,30 +252,59 @@ def lattice(units: DataFrame, spark: SparkSession, model: Model) -> DataFrame:
     return words.select("unit", bind(spread, segmented).alias("ids"))
 
 
-def _viterbi(edges: Column, n: Column, start, size) -> Column:
-    """Edges of the path with the greatest sum of scores over n characters; `edges` is sorted by start, then by size, so
-    all edges to a character come before those from it, and the first of equals stays."""
-
-    def replaced(values, at, x):
-        return F.concat(F.slice(values, 1, at), F.array(x), F.slice(values, at + 2, n + 1))
+def _viterbi(byte_ids: tuple[int, ...], none: int):
+    """What maps batches of (unit, edges) to (unit, ids): the path with the greatest sum of scores, of single precision.
 
-    def step(state, e):
-        to = start(e["edge"]) + size(e["edge"])
-        total = F.get(state["best"], start(e["edge"])) + e["score"]
-        old = F.get(state["best"], to)
-        moved = F.struct(replaced(state["best"], to, total).alias("best"), replaced(state["back"], to, e["edge"]).alias("back"))
-        return F.when(total.isNotNull() & (old.isNull() | (total > old)), moved).otherwise(state)
-
-    first = F.struct(F.concat(F.array(F.lit(0).cast("float")), F.array_repeat(F.lit(None).cast("float"), n)).alias("best"), F.array_repeat(F.lit(None).cast("long"), n + 1).alias("back"))
+    Edges of all units of a batch are taken by their end, so sums up to where they start are settled; of equal sums to a
+    character the longest edge's stays. Each character has an edge of size 1, so each end is reached.
+    """
 
-    def walk(state):
-        def back(path, _):
-            at = F.when(F.size(path) == 0, n).otherwise(start(F.get(path, F.lit(0))))
-            return F.when(at == 0, path).otherwise(F.concat(F.array(F.get(state["back"], at)), path))
+    def paths(units: pa.Array, lists: pa.ListArray) -> pa.ListArray:
+        flat = lists.flatten()
+        edge, score = flat.field("edge").to_numpy(), flat.field("score").to_numpy()
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        start = edge >> 34 & 63
+        end = start + (edge >> 28 & 63)
+        order = np.argsort(end << 48 | row << 6 | start)
+        edge, score, row, start, end = (x[order] for x in (edge, score, row, start, end))
+        best = np.zeros((len(lists), LONGEST + 1), dtype=np.float32)
+        back = np.zeros((len(lists), LONGEST + 1), dtype=np.int64)
+        at = np.flatnonzero(np.diff(end, prepend=0))
+        for i, j in zip(at.tolist(), [*at[1:].tolist(), len(end)], strict=True):
+            r, total = row[i:j], best[row[i:j], start[i:j]] + score[i:j]
+            new = np.flatnonzero(np.diff(r, prepend=-1))
+            top = np.flatnonzero(total == np.repeat(np.maximum.reduceat(total, new), np.diff(np.append(new, j - i))))
+            top = top[np.diff(r[top], prepend=-1) > 0]
+            best[r[top], end[i]], back[r[top], end[i]] = total[top], i + top
+        # All paths are walked back together; then their edges are put in order of unit and start.
+        place, left, chosen = np.zeros(len(lists), dtype=np.int64), np.arange(len(lists)), []
+        np.maximum.at(place, row, end)
+        while len(left):
+            own = back[left, place[left]]
+            chosen.append(own)
+            place[left] = start[own]
+            left = left[start[own] > 0]
+        own = np.concatenate(chosen)
+        own = own[np.argsort(row[own] << 6 | start[own])]
+        ids = edge[own] & none
+        size = np.ones(len(own), dtype=np.int64)
+        raw = [(k, np.array([byte_ids[b] for b in units[row[own[k]]].as_py()[start[own[k]]].encode()])) for k in np.flatnonzero(ids == none).tolist()]
+        for k, x in raw:
+            size[k] = len(x)
+        to = offsets(size)
+        out = np.repeat(ids, size)
+        for k, x in raw:
+            out[to[k] : to[k + 1]] = x
+        first = np.searchsorted(row[own], np.arange(len(lists) + 1))
+        return pa.ListArray.from_arrays(pa.array(to[first], pa.int32()), pa.array(out, pa.int32()))
 
-        return F.aggregate(F.sequence(F.lit(1), n), F.array().cast("array<long>"), back)
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                units = batch.column("unit")
+                yield pa.RecordBatch.from_arrays([units, paths(units, batch.column("edges"))], names=["unit", "ids"])
 
-    return F.get(F.transform(F.array(F.aggregate(edges, first, step)), walk), F.lit(0))
+    return run
 
 
 def _blocks(batches, model: Model, chars: int | None = None):

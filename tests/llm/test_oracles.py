@@ -63,3 +63,17 @@ def test_paths_of_the_query(spark):
     for r in docs.limit(20).collect():
         assert got[r["doc_id"]] == sum(len(pieces.best_path(u, model)) for u in model.units_of(r["text"]))
     assert len(got) == docs.count()
+
+
+def test_paths_of_many_units_at_a_time(spark):
+    """Viterbi goes over batches of units in arrays, not step by step through each as an expression; with the same paths."""
+    model = pieces.by_score(pieces.load(MODEL))
+    r = random.Random(8)
+    units = sorted({"".join(r.choices("etaoinshr▁12é中\U0001f600", k=r.choice([1, 2, 5, 15, 62]))) for _ in range(600)} | {"▁", "e" * 62, "\U0001f600" * 62})
+    found = pieces.lattice(spark.createDataFrame([(u,) for u in [*units, "e" * 63, ""]], "unit string").repartition(2, "unit"), spark, model)
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {x["unit"]: x["ids"] for x in found.collect()}
+    assert got.keys() == set(units)
+    for u in units:
+        assert got[u] == pieces.best_path(u, model), u
+    assert pieces.lattice(spark.createDataFrame([], "unit string"), spark, model).count() == 0
