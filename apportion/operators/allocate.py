@@ -60,11 +60,12 @@ def with_blend(df: DataFrame, config: DataFrame) -> DataFrame:
     return df.join(own, ["scope", "county"], "left").join(default, "scope", "left").withColumn("blend", F.coalesce("__own", "__default", F.lit(0.15))).drop("__own", "__default")
 
 
-def apportion(ballots: DataFrame, geometry: Crosswalk, explicit: Crosswalk | None, scopes: tuple[str, ...], candidates: bool = True) -> Apportioned:
+def apportion(ballots: DataFrame, geometry: Crosswalk, explicit: Crosswalk | None, scopes: tuple[str, ...], candidates: bool = True, direct_candidates: bool = True) -> Apportioned:
     """Direct contributions by precinct splits. Explicit splits serve codes that geometry leaves open, in their scopes.
 
     Without `candidates`, votes are added up over them and the column is empty: readers that ask for buckets alone then
-    aggregate and shuffle one row for each bucket instead of each candidate.
+    aggregate and shuffle one row for each bucket instead of each candidate. Without `direct_candidates` this holds for the
+    direct contributions alone, which readers of allocated votes need as weights only; unmatched votes keep their candidates.
     """
     keys = ["contest_type", "year", "county", "code", "bucket", "candidate"]
     code = F.when(F.col("non_geographic"), F.lit("")).otherwise(F.col("code"))
@@ -76,6 +77,16 @@ def apportion(ballots: DataFrame, geometry: Crosswalk, explicit: Crosswalk | Non
     if explicit is not None:
         splits = settle(splits)
         splits = splits.unionByName(resolve(wanted.join(splits.select(*on).distinct(), on, "left_anti"), explicit))
+    if candidates and not direct_candidates:
+        splits = settle(splits)
+        # Precincts meet their splits with one row for each bucket, and candidates are looked at where some scope has no split.
+        tally = sums.where("code != ''").groupBy("contest_type", "year", "county", "code", "bucket").agg(F.sum("votes").alias("votes"))
+        direct = tally.join(splits.select(*on, "district", "share"), ["county", "code"]).groupBy(*CONTEST, "county", "district", "bucket").agg(F.sum(F.col("votes") * F.col("share")).alias("votes"))
+        contributions = settle(direct).select(*CONTEST, "county", "district", "bucket", F.lit("").alias("candidate"), F.lit("direct").alias("source"), "votes")
+        unsplit = wanted.join(splits.select(*on).distinct(), on, "left_anti").groupBy("county", "code").agg(F.collect_set("scope").alias("scopes"))
+        left = sums.where("code = ''").withColumn("scopes", F.array(*[F.lit(s) for s in scopes])).unionByName(sums.where("code != ''").join(unsplit, ["county", "code"]))
+        rest = left.groupBy("contest_type", "year", "county", "bucket", "candidate", "scopes").agg(F.sum("votes").alias("votes")).withColumn("scope", F.explode("scopes"))
+        return Apportioned(contributions, settle(rest.groupBy(*CONTEST, "county", "bucket", "candidate").agg(F.sum("votes").alias("votes"))))
     # One pass over the precincts: rows that no split matches keep all their votes, with a null district.
     part = F.sum(F.col("votes") * F.coalesce("share", F.lit(1.0))).alias("votes")
     both = settle(sums.select("*", scope).join(splits.select(*on, "district", "share"), on, "left").groupBy(*CONTEST, "county", "district", "bucket", "candidate").agg(part))

@@ -295,9 +295,9 @@ def weights_l1(spark, sf_dir):
 # Apportionment and allocation.
 
 
-def _allocated(spark, sf_dir, candidates=False):
+def _allocated(spark, sf_dir, candidates=False, direct_candidates=True):
     geometry = _crosswalk(spark, sf_dir)
-    direct = allocate.apportion(B.ballots(spark, sf_dir), geometry, None, SCOPES, candidates)
+    direct = allocate.apportion(B.ballots(spark, sf_dir), geometry, None, SCOPES, candidates, direct_candidates)
     return allocate.allocate(direct, geometry, allocate.blends(spark))
 
 
@@ -318,7 +318,7 @@ def allocate_unmatched(spark, sf_dir):
 
 @query(f"WITH {B.APPORTION_SQL} SELECT scope, contest_type, year, district, bucket, candidate, round(sum(votes), 3) AS votes FROM al GROUP BY ALL")
 def allocated_candidates(spark, sf_dir):
-    found = _allocated(spark, sf_dir, candidates=True).contributions.where("source = 'allocated'")
+    found = _allocated(spark, sf_dir, candidates=True, direct_candidates=False).contributions.where("source = 'allocated'")
     return rounded(found.groupBy("scope", "contest_type", "year", "district", "bucket", "candidate").agg(F.sum("votes").alias("votes")), 3, "votes")
 
 

@@ -69,3 +69,25 @@ def test_sums_over_counties_are_settled(spark):
     assert "Aggregate" not in own.contributions._jdf.queryExecution().optimizedPlan().toString()  # later sums don't work it out again
     for f in (lambda x: allocate.district_results(x.contributions), allocate.coverage):
         assert sorted(map(tuple, f(own).collect())) == sorted(map(tuple, f(found).collect()))
+
+
+def test_allocated_votes_need_no_candidates_of_direct_ones(spark, geometry):
+    """Direct votes are added up over candidates before they meet splits; what is unmatched, in some scope or all, keeps its own."""
+    other = "state_house"
+    two = Crosswalk(
+        geometry.splits.union(spark.createDataFrame([(other, "A", "1", "h1", 0.5), (other, "A", "1", "h2", 0.5), (other, "B", "5", "h3", 1.0)], SPLITS)),
+        geometry.county_weights.union(spark.createDataFrame([(other, "A", "h1", 1.0), (other, "B", "h3", 1.0)], COUNTIES)),
+        geometry.code_weights.union(spark.createDataFrame([(other, "A", "1", 1.0)], CODES)),
+    )
+    explicit = Crosswalk(spark.createDataFrame([(S, "A", "9", "d2", 1.0)], SPLITS), geometry.county_weights.limit(0), geometry.code_weights.limit(0))
+    rows = [("A", "1", False, "dem", "x", 10.0), ("A", "1", False, "dem", "y", 6.0), ("A", "1", True, "dem", "y", 2.0), ("A", "9", False, "rep", "y", 5.0), ("A", "777", False, "dem", "x", 4.0), ("B", "5", False, "dem", " x", 3.0), ("B", "5", False, "dem", "z", 1.0), ("C", "1", False, "dem", None, 2.0)]
+    ballots = spark.createDataFrame([("president", 2020, *r) for r in rows], "contest_type string, year int, county string, code string, non_geographic boolean, bucket string, candidate string, votes double")
+    whole, short = (allocate.apportion(ballots, two, explicit, (S, other), direct_candidates=d) for d in (True, False))
+    keys = ("scope", "contest_type", "year", "county", "bucket", "candidate")
+    assert votes(short.unmatched, *keys) == votes(whole.unmatched, *keys)
+    assert whole.contributions.count() > short.contributions.count()
+    assert {r["candidate"] for r in short.contributions.collect()} == {""}
+    by_bucket = [k for k in keys if k != "candidate"] + ["district"]
+    assert votes(short.contributions, *by_bucket) == votes(whole.contributions.groupBy(*by_bucket).agg({"votes": "sum"}).withColumnRenamed("sum(votes)", "votes"), *by_bucket)
+    given = [votes(allocate.allocate(x, two, allocate.blends(spark)).contributions.where("source = 'allocated'"), *keys, "district") for x in (whole, short)]
+    assert given[0] == given[1] and len(given[0]) > 5
